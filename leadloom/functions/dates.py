@@ -12,6 +12,7 @@ from leadloom import vocab
 from leadloom.functions.text import ColumnOrName, _col
 
 _DAY_US = 86_400_000_000
+_SHIFT = 10_000_000  # days; makes every difference of two valid timestamps positive
 
 
 def moment(value: datetime | str | Column) -> Column:
@@ -25,7 +26,8 @@ def moment(value: datetime | str | Column) -> Column:
 def floor_days(start: ColumnOrName, end: ColumnOrName) -> Column:
     """Whole days from ``start`` to ``end``, rounded down: ten hours early is day -1."""
     us = F.timestamp_diff("MICROSECOND", _col(start).cast("timestamp_ntz"), _col(end).cast("timestamp_ntz"))
-    return ((us - F.pmod(us, F.lit(_DAY_US))) / F.lit(_DAY_US)).cast("bigint")
+    # Integer division cuts toward zero, so it is done on the positive side.
+    return F.call_function("div", us + F.lit(_SHIFT * _DAY_US), F.lit(_DAY_US)) - F.lit(_SHIFT)
 
 
 def parse_moment(c: ColumnOrName) -> Column:
@@ -33,21 +35,13 @@ def parse_moment(c: ColumnOrName) -> Column:
     return F.try_to_timestamp(_col(c)).cast("timestamp_ntz")
 
 
-def relative_bin(
-    c: ColumnOrName,
-    start: Column,
-    as_of: Column,
+def day_bin(
+    days: Column,
     edges: Sequence[int] = vocab.DATE_BIN_EDGES,
     labels: Sequence[str] = vocab.DATE_BIN_LABELS,
 ) -> Column:
-    """Label of the left-closed interval of days after ``start``; null outside [start, as_of).
-
-    The last interval ends at ``as_of``. An edge beyond ``as_of`` simply leaves its interval empty.
-    """
-    value = _col(c)
-    inside = (value >= start) & (value < as_of)
-    starts = [start + F.make_dt_interval(days=F.lit(int(e))) for e in edges]
-    label = F.when(F.lit(False), F.lit(None).cast("string"))
-    for lower, name in reversed(list(zip(starts, labels))):
-        label = label.when(inside & (value >= lower), F.lit(name))
-    return label
+    """Label of the left-closed interval a number of days falls in; null below the first edge."""
+    label = F.when(days.isNull() | (days < edges[0]), F.lit(None).cast("string"))
+    for upper, name in zip(edges[1:], labels):
+        label = label.when(days < upper, F.lit(name))
+    return label.otherwise(F.lit(labels[-1]))

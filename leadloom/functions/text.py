@@ -103,8 +103,7 @@ def nfkc(c: ColumnOrName) -> Column:
         return s.str.normalize("NFKC")
 
     value = _col(c)
-    ascii_only = ~value.rlike(r"[^\x00-\x7F]")
-    return F.when(ascii_only, value).otherwise(_nfkc(F.when(~ascii_only, value)))
+    return F.coalesce(_nfkc(F.when(value.rlike(r"[^\x00-\x7F]"), value)), value)
 
 
 def expand_contractions(c: ColumnOrName) -> Column:

@@ -92,10 +92,11 @@ def segment_notes_by_text(
         )
         training = materialise(vectors.filter("__ok").select("__v"))
     else:
-        cleaned = events.withColumn("__text", X.clean_text(note)).withColumn("__ok", valid & (F.col("__text") != ""))
-        # The cleaned text is stored, not its terms: those take three times the space.
-        stored = materialise(cleaned.filter("__ok").select("__text"))
-        texts = stored.select(N.grams("__text").alias("__grams"))
+        # Cleaning is the costly step. It runs once, into a stored copy; the terms are derived
+        # from that copy again, because they would take three times its space.
+        cleaned = materialise(events.withColumn("__text", X.clean_text(note)))
+        cleaned = cleaned.withColumn("__ok", valid & (F.col("__text") != ""))
+        texts = cleaned.filter("__ok").select(N.grams("__text").alias("__grams"))
         terms = N.fit_terms(texts, "__grams", **term_options)
         if not terms.terms:
             return events.withColumn(out, F.lit(-1))

@@ -236,13 +236,16 @@ def date_bins(
 ) -> DataFrame:
     """Label each date by its distance from the earliest date of the column.
 
-    The earliest date is a one-row subquery, so it costs a single pruned scan.
+    The last interval ends at ``as_of``; later dates get null. An edge beyond ``as_of`` leaves
+    its interval empty. The earliest date is a one-row subquery over one column.
     """
     if col not in df.columns:
         return df
     start = df.agg(F.min(quoted(col)).cast("timestamp_ntz")).scalar()
     value = F.col(quoted(col)).cast("timestamp_ntz")
-    return df.withColumn(out or f"{col}_Bins", D.relative_bin(value, start, D.moment(as_of), edges, labels))
+    days = F.when(value < D.moment(as_of), D.floor_days(start, value))
+    aged = df.withColumn("__days", days)
+    return aged.withColumn(out or f"{col}_Bins", D.day_bin(F.col("__days"), edges, labels)).drop("__days")
 
 
 def flag_columns(df: DataFrame, col: str, flags: Mapping[str, object]) -> DataFrame:

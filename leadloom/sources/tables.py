@@ -171,5 +171,7 @@ def ddl_string(profile: DataFrame) -> str:
 def run_metadata(spark: SparkSession, as_of: datetime, **fields) -> DataFrame:
     """One row describing a training run; dictionaries are stored as text."""
     columns = {"model_id": F.date_format(D.moment(as_of), "yyyyMMdd_HHmmss"), "training_date": D.moment(as_of)}
-    columns.update({k: F.lit(str(v) if isinstance(v, Mapping) else v) for k, v in fields.items()})
+    for name, value in fields.items():
+        cell = F.lit(str(value) if isinstance(value, Mapping) else value)
+        columns[name] = cell.cast("bigint") if isinstance(value, int) and not isinstance(value, bool) else cell
     return spark.range(1).select(*[c.alias(name) for name, c in columns.items()])
