@@ -6,9 +6,10 @@ state for every row (coverage, additivity, share), a second query checks that pr
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -22,7 +23,7 @@ from leadloom.operators import modelling as M
 from leadloom.operators import outliers as O
 from leadloom.operators import ranking as K
 from leadloom.plans import conversion, lead, topup
-from leadloom.session import materialise
+from leadloom.session import materialise, shared_dir
 
 AS_OF = datetime(2001, 8, 2)
 SMALL_SPACE = {
@@ -52,8 +53,6 @@ def kmeans_segments(spark, d):
 def kmeans_properties(spark, d):
     """Every customer sits in the segment with the nearest centre; numbers follow segment size."""
     rows = _customer_numbers(spark, d).select("c_custkey", F.array("c_acctbal", "n_orders", "spent").alias("x"))
-    from pyspark.ml.functions import array_to_vector
-
     table = materialise(rows.withColumn("v", array_to_vector(F.transform("x", lambda a: a.cast("double")))))
     clusters = C.fit_clusters(table, "v", 4)
     placed = C.assign_nearest(clusters.assign(table), "x", clusters.centroids())
@@ -182,10 +181,6 @@ def shap_action_explain(spark, d):
 
 def model_round_trip(spark, d):
     """A saved and reloaded model gives the same scores."""
-    from leadloom.session import shared_dir
-
-    import uuid
-
     _, table = _documents(spark, d)
     model = _make().fit(table)
     path = M.save_model(model, f"{shared_dir(spark).rstrip('/')}/leadloom/model-{uuid.uuid4().hex}")

@@ -10,6 +10,7 @@ from leadloom import vocab
 from leadloom.functions import text as X
 from leadloom.operators import clustering as K
 from leadloom.operators import notes as N
+from leadloom.session import materialise
 
 
 def clean_sql(col: str) -> str:
@@ -27,7 +28,7 @@ def clean_sql(col: str) -> str:
 
 
 def clean_text(spark, d):
-    return B.table(spark, d, "documents").select("doc_id", X.clean_text("text").alias("cleaned"))
+    return N.clean_notes(B.table(spark, d, "documents").select("doc_id", "text"), "text", "cleaned").drop("text")
 
 
 def clean_conversations(spark, d):
@@ -56,7 +57,7 @@ SELECT note_id, array_to_string(list_transform(w, lambda x: CASE WHEN length(x)
 
 
 def _grams(spark, d):
-    cleaned = B.table(spark, d, "documents").select("doc_id", X.clean_text("text").alias("cleaned"))
+    cleaned = clean_text(spark, d)
     return cleaned.select("doc_id", N.grams("cleaned").alias("grams"))
 
 
@@ -67,7 +68,8 @@ def term_vocabulary(spark, d):
 
 def tfidf_top_terms(spark, d):
     """The three heaviest terms of every document."""
-    rows = _grams(spark, d)
+    cleaned = materialise(clean_text(spark, d))  # read twice: by the fit and by the weights
+    rows = cleaned.select("doc_id", N.grams("cleaned").alias("grams"))
     weights = N.tfidf_terms(rows, "doc_id", "grams", N.fit_terms(rows, "grams"))
     weights = weights.withColumn("tfidf", F.round("tfidf", 6))
     rank = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.desc("tfidf"), "term"))

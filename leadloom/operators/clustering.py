@@ -7,6 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -82,8 +84,6 @@ def segment_notes_by_text(
     TF-IDF weights of the cleaned notes. Nothing is clustered unless there are more than
     ``min_notes`` notes. Each row keeps its own label.
     """
-    from pyspark.ml.functions import array_to_vector
-
     valid = X.has_text(note)
     if embedding:
         ready = valid & F.col(embedding).isNotNull()
@@ -94,7 +94,7 @@ def segment_notes_by_text(
     else:
         # Cleaning is the costly step. It runs once, into a stored copy; the terms are derived
         # from that copy again, because they would take three times its space.
-        cleaned = materialise(events.withColumn("__text", X.clean_text(note)))
+        cleaned = materialise(N.clean_notes(events, note, "__text"))
         cleaned = cleaned.withColumn("__ok", valid & (F.col("__text") != ""))
         texts = cleaned.filter("__ok").select(N.grams("__text").alias("__grams"))
         terms = N.fit_terms(texts, "__grams", **term_options)
@@ -142,7 +142,6 @@ def assign_nearest(
 
 def group_centroids(df: DataFrame, group: str, vector: str) -> list[list[float]]:
     """Mean vector of each group in group order: groups times dimensions numbers."""
-    cells = df.select(group, F.posexplode(F.col(vector).cast("array<double>")).alias("pos", "x"))
-    means = cells.groupBy(group, "pos").agg(F.avg("x").alias("m"))
-    rows = means.groupBy(group).agg(F.array_sort(F.collect_list(F.struct("pos", "m"))).alias("c")).orderBy(group).collect()
-    return [[p["m"] for p in r["c"]] for r in rows]
+    vectors = df.select(group, array_to_vector(F.col(vector).cast("array<double>")).alias("__v"))
+    means = vectors.groupBy(group).agg(Summarizer.mean(F.col("__v")).alias("__m")).orderBy(group)
+    return [row["__m"].toArray().tolist() for row in means.collect()]

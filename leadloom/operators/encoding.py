@@ -15,6 +15,7 @@ from pyspark.sql.window import Window
 from leadloom import vocab
 from leadloom.functions import text as X
 from leadloom.operators.frames import columns_of, quoted
+from leadloom.session import materialise
 
 
 def category_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -73,20 +74,24 @@ def onehot(df: DataFrame, vocabulary: Mapping[str, Sequence[str]], prefix: Mappi
     return df.withColumns(out) if out else df
 
 
-def sorted_codes(df: DataFrame, col: str, value: str = "value", code: str = "code") -> DataFrame:
+def sorted_codes(df: DataFrame, col: str, value: str = "value", code: str = "code", slices: int = 256) -> DataFrame:
     """(value, code): the rank of each distinct value in code-point order, from 0.
 
-    Values are ranked within their two-character prefix and shifted by the number of values
-    in earlier prefixes, so no single task sorts all distinct values.
+    For columns with very many values. A fixed-size hash sample of the values gives the cut
+    points of ``slices`` ranges; values are ranked inside their range and shifted by the size
+    of the lower ranges, so no single task sorts them all.
     """
-    head = F.substring(F.col(value), 1, 2)
-    words = df.select(F.col(quoted(col)).cast("string").alias(value)).filter(F.col(value).isNotNull()).distinct()
-    words = words.withColumn("__head", head)
-    earlier = Window.orderBy("__head").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = words.groupBy("__head").agg(F.count("*").alias("__n"))
-    shift = sizes.select("__head", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__shift"))
-    place = F.row_number().over(Window.partitionBy("__head").orderBy(value))
-    return words.join(shift, "__head").select(value, (F.col("__shift") + place - 1).cast("bigint").alias(code))
+    text = F.col(quoted(col)).cast("string").alias(value)
+    words = materialise(df.select(text).filter(F.col(value).isNotNull()).distinct())
+    sample = sorted(r[0] for r in words.orderBy(F.xxhash64(value), value).limit(16 * slices).collect())
+    cuts = sorted(set(sample[len(sample) * i // slices] for i in range(1, slices))) if sample else []
+    place = F.size(F.filter(F.lit(cuts), lambda c: c <= F.col(value))) if cuts else F.lit(0)
+    ranged = words.withColumn("__r", place)
+    earlier = Window.orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranged.groupBy("__r").agg(F.count("*").alias("__n"))
+    shift = sizes.select("__r", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__shift"))
+    rank = F.row_number().over(Window.partitionBy("__r").orderBy(value))
+    return ranged.join(shift, "__r").select(value, (F.col("__shift") + rank - 1).cast("bigint").alias(code))
 
 
 def fit_labels(df: DataFrame, cols: Sequence[str], unknown: str = "Unknown", literal_limit: int = 256) -> dict:

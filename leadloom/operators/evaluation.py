@@ -107,7 +107,14 @@ def binary_metrics(df: DataFrame, label: str, pred: str) -> DataFrame:
     return base.withColumn("f1", ratio("__a", "__b")).drop("__a", "__b")
 
 
-def roc_auc(df: DataFrame, label: str, score: str, by: Sequence[str] = (), slices: int = 64) -> DataFrame:
+def _slices(df: DataFrame) -> int:
+    """Score ranges for a session: a few per shuffle partition, 64 at least."""
+    return min(max(64, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))), 8192)
+
+
+def roc_auc(
+    df: DataFrame, label: str, score: str, by: Sequence[str] = (), slices: int | None = None
+) -> DataFrame:
     """Exact area under the ROC curve (ties count one half), overall or per group.
 
     Rows collapse to distinct scores first. The running count of negatives is then taken in
@@ -118,8 +125,9 @@ def roc_auc(df: DataFrame, label: str, score: str, by: Sequence[str] = (), slice
     flat = df.select(*by, s.alias("__s"), F.col(quoted(label)).cast("int").alias("__y")).filter(
         F.col("__s").isNotNull() & ~F.isnan("__s") & F.col("__y").isNotNull()
     )
+    slices = slices or _slices(df)
     steps = [i / slices for i in range(1, slices)]
-    cuts = sorted(set(flat.approxQuantile("__s", steps, 0.005))) or [0.0]
+    cuts = sorted(set(flat.approxQuantile("__s", steps, 1 / (4 * slices)))) or [0.0]
     grouped = flat.groupBy(*by, "__s").agg(
         F.count_if(F.col("__y") == 1).alias("__p"), F.count_if(F.col("__y") != 1).alias("__n")
     )

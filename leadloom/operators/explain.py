@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from leadloom.functions import text as X
 from leadloom.operators.frames import quoted
 from leadloom.operators.modelling import trees_of
-from leadloom.session import shared_dir
+from leadloom.session import shared_dir, spread
 
 
 def leaf_rules(df: DataFrame, model) -> list[tuple[float, list[tuple]]]:
@@ -120,7 +120,7 @@ def contributions(df: DataFrame, model, n_features: int, features: str = "featur
             return pd.Series([], dtype=object)
         return pd.Series(list(contribute(np.vstack(batch.to_numpy()))))
 
-    return df.withColumn(out, explain(vector_to_array(F.col(features))))
+    return spread(df).withColumn(out, explain(vector_to_array(F.col(features))))
 
 
 def contribution_rows(df: DataFrame, id_col: str, names: Sequence[str], values: str = "contributions") -> DataFrame:

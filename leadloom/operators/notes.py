@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from leadloom.functions import text as X
+from leadloom.session import spread
 
 
 def lemma_lookup(df: DataFrame, id_col: str, tokens: str, lemmas: DataFrame, out: str = "tokens") -> DataFrame:
@@ -31,16 +32,27 @@ def lemma_lookup(df: DataFrame, id_col: str, tokens: str, lemmas: DataFrame, out
     return named.groupBy(id_col).agg(F.transform(F.array_sort(kept), lambda p: p["__w"]).alias(out))
 
 
+def clean_notes(df: DataFrame, note: str, out: str, **options) -> DataFrame:
+    """Add the cleaned note (see ``clean_text``)."""
+    return spread(df).withColumn(out, X.clean_text(note, **options))
+
+
 def grams(text: str | Column) -> Column:
-    """Words of two or more characters and their adjacent pairs, from a cleaned note."""
-    words = F.regexp_extract_all(X._col(text), F.lit(r"\b\w\w+\b"), 0)
+    """Words of two or more characters and their adjacent pairs, from a cleaned note.
+
+    Cleaned notes hold letters, digits, blanks and hyphens, so the last two part the words.
+    """
+    words = F.filter(F.split(X._col(text), "[ \\-]+"), lambda w: F.length(w) >= 2)
 
     def with_pairs(w: Column) -> Column:
-        starts = F.when(F.size(w) > 1, F.sequence(F.lit(0), F.size(w) - 2)).otherwise(F.array().cast("array<int>"))
-        return F.concat(w, F.transform(starts, lambda i: F.concat_ws(" ", w[i], w[i + 1])))
+        return F.concat(w, F.zip_with(w, F.slice(w, 2, F.size(w)), _pair))
+
+    # The one-element transform names the words, so that they are computed once.
+    return F.filter(F.element_at(F.transform(F.array(words), with_pairs), 1), lambda g: g.isNotNull())
+
 
-    # One-element transform: the split is evaluated once and bound to a name.
-    return F.element_at(F.transform(F.array(words), with_pairs), 1)
+def _pair(first: Column, second: Column) -> Column:
+    return F.when(second.isNotNull(), F.concat(first, F.lit(" "), second))
 
 
 @dataclass(frozen=True)
@@ -65,20 +77,18 @@ def fit_terms(
     """The ``max_features`` most frequent terms among those in at least ``min_df`` notes and at
     most the share ``max_df`` of them.
 
-    Occurrences and notes are counted in one explode and one shuffle of partial sums: each
-    term appears once per occurrence, and the first one of a note also counts the note.
+    Occurrences and notes are counted in one explode and one shuffle of partial sums: the
+    terms of a note are followed by its distinct terms, told apart by their position.
     """
     n_docs = df.count()
     g = F.col(gram_col)
-    marks = F.concat(
-        F.transform(g, lambda t: F.struct(t.alias("t"), F.lit(1).alias("c"), F.lit(0).alias("d"))),
-        F.transform(F.array_distinct(g), lambda t: F.struct(t.alias("t"), F.lit(0).alias("c"), F.lit(1).alias("d"))),
+    cells = df.select(
+        F.size(g).alias("n"), F.posexplode_outer(F.concat(g, F.array_distinct(g))).alias("pos", "term")
     )
     counted = (
-        df.select(F.explode(marks).alias("m"))
-        .groupBy(F.col("m.t").alias("term"))
-        .agg(F.sum("m.c").alias("cf"), F.sum("m.d").alias("df"))
-        .filter((F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df * n_docs)))
+        cells.groupBy("term")
+        .agg(F.count_if(F.col("pos") < F.col("n")).alias("cf"), F.count_if(F.col("pos") >= F.col("n")).alias("df"))
+        .filter(F.col("term").isNotNull() & (F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df * n_docs)))
     )
     rows = counted.orderBy(F.desc("cf"), F.asc("term")).limit(max_features).collect()
     return TermVocabulary(tuple(r["term"] for r in rows), tuple(r["df"] for r in rows), n_docs)
@@ -87,7 +97,7 @@ def fit_terms(
 def tfidf_terms(df: DataFrame, id_col: str, gram_col: str, vocabulary: TermVocabulary) -> DataFrame:
     """(id, term, tfidf) with unit length per note. The term table holds ``max_features`` rows at most."""
     spark = df.sparkSession
-    cells = df.select(id_col, F.explode(gram_col).alias("term"))
+    cells = df.select(id_col, F.explode_outer(gram_col).alias("term"))
     known = cells.join(F.broadcast(vocabulary.frame(spark)), "term")
     weighed = known.groupBy(id_col, "term").agg((F.count("*") * F.max("idf")).alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from leadloom.operators.frames import quoted
-from leadloom.session import materialise
+from leadloom.session import materialise, spread
 
 _TREE_SCHEMA = "tree int, node int, feature int, threshold double, left int, right int, size bigint"
 _POOL = 32  # rows drawn before the per-tree samples, in multiples of one sample
@@ -170,6 +170,6 @@ def outlier_flags(
     if len(forest) == 0:
         return df.withColumns({score: F.lit(None).cast("double"), out: F.lit(0)})
     grade = F.pandas_udf(_scorer(forest, drawn), T.DoubleType())
-    scored = materialise(wide.withColumn(score, grade("__x")).drop("__x"))
+    scored = materialise(spread(wide).withColumn(score, grade("__x")).drop("__x"))
     cut = exact_quantile(scored, score, 1.0 - contamination)
     return scored.withColumn(out, (F.col(score) > F.lit(cut)).cast("int"))

@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 from leadloom.operators.frames import above, quoted, select_existing
 from leadloom.functions import text as X
 
-_PREFIX = 3  # hexadecimal digits of the hash that make a bucket: 4,096 buckets per class
+_PREFIX = 4  # hexadecimal digits of the hash that make a bucket: 65,536 buckets per class
 
 
 def shuffle_key(id_col: str, seed: int):

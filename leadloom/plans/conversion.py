@@ -61,7 +61,8 @@ def conversion_features(
     )
     base = R.drop_existing(widen_large_ints(base), vocab.PREPARATION_DROPS)
     base = clean_contacts(base, cfg.site, cfg.site_label).filter(F.col("Nationality") == cfg.nationality)
-    base = C.top_or_other(base, "FirstPageSeen", 5)
+    # Stored once: a fit, two semi joins and the final join read the cleaned contacts.
+    base = C.top_or_other(materialise(base), "FirstPageSeen", 5)
     base = R.not_equal_keep_null(base, "LeadStageNewCEO", "Lead")
     base = base.withColumn("LeadStageNew", X.value_map("LeadStageNew", vocab.STAGE_ORDINAL, keep=False))
 

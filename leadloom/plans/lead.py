@@ -18,6 +18,7 @@ from leadloom.operators import evaluation as V
 from leadloom.operators import explain as P
 from leadloom.operators import frames as R
 from leadloom.operators import modelling as M
+from leadloom.operators import notes as N
 from leadloom.operators import ranking as K
 from leadloom.plans.contacts import clean_contacts, known_events, note_order, with_segments
 from leadloom.session import materialise
@@ -41,8 +42,9 @@ class LeadConfig:
 
 
 def encode_contacts(contacts: DataFrame, as_of: datetime | str, cfg: LeadConfig) -> DataFrame:
-    """All contact-level features. Vocabularies are learned in two passes over the contacts."""
-    df = clean_contacts(contacts, cfg.site, cfg.site_label)
+    """All contact-level features. Vocabularies are learned in two passes over the stored,
+    cleaned contacts."""
+    df = materialise(clean_contacts(contacts, cfg.site, cfg.site_label))
     df = df.withColumns(
         {f"Nationality_{n}": X.contains_flag("Nationality", n) for n in vocab.NATIONALITY_FLAGS}
         if "Nationality" in df.columns
@@ -73,7 +75,7 @@ def meeting_features(meetings: DataFrame, as_of: datetime | str, cfg: LeadConfig
 def call_features(calls: DataFrame, as_of: datetime | str, cfg: LeadConfig) -> DataFrame:
     events = calls.withColumn("ActivityDate", F.to_date("ActivityDate").cast("timestamp_ntz"))
     # Stored, so that the cleaning runs once and not again in the filter of the digest.
-    cleaned = materialise(events.withColumn(E.CALLS.note, X.clean_text(E.CALLS.note)))
+    cleaned = materialise(N.clean_notes(events, E.CALLS.note, E.CALLS.note))
     facts = E.engagement_features(cleaned, cfg.key, E.CALLS, as_of)
     digest = E.note_digest(
         cleaned, cfg.key, E.CALLS.note, note_order(E.CALLS.note), 5, "\n\n", "TopSegmentRepresentativeCalls"

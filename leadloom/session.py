@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_SCAN_PARTITION = 128 << 20  # bytes; Spark's default size of a scan partition
+
 
 def build_session(app: str = "leadloom", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
     """A session with the settings every operator assumes (UTC, ANSI, adaptive plans)."""
@@ -52,3 +54,14 @@ def materialise(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(spark).rstrip('/')}/leadloom/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a small input out to all cores before work that is heavy per row.
+
+    A small file is often a single scan task. An input large enough to give every core a scan
+    partition of its own is left alone, so at most one scan partition per core is ever moved.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores) if estimate < cores * _SCAN_PARTITION else df
