@@ -229,7 +229,52 @@ def feature_list(spark, d):
     return counts.select(F.explode(pairs).alias("p")).select("p.*")
 
 
+def column_selection(spark, d):
+    """Listed columns that exist, then listed drops; names that are absent do no harm."""
+    rows = R.select_existing(B.table(spark, d, "orders"), ["o_orderkey", "no_such", "o_custkey", "o_orderstatus"])
+    return R.drop_existing(rows, ["o_orderstatus", "gone"])
+
+
+def text_categories(spark, d):
+    """All categorical columns as text."""
+    rows = B.table(spark, d, "part").select("p_partkey", "p_size", "p_brand")
+    return R.as_text(rows, ["p_size", "p_brand", "absent"])
+
+
+def equality_flags(spark, d):
+    rows = B.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    return B.whole(R.flag_columns(rows, "l_returnflag", {"returned": "R", "accepted": "A", "none": "N"}).drop("l_returnflag"))
+
+
+def known_contacts(spark, d):
+    """Distinct contacts that have any event."""
+    return B.meetings(spark, d).select("contact_id").distinct()
+
+
+def model_columns(spark, d):
+    """The numeric matrix a model sees: nulls as 0, sanitised names, no identifiers."""
+    rows = B.contacts(spark, d).select(
+        "contact_id", F.col("PageDirectoryArticles").alias("Page (articles)"), F.col("OnboardingId").alias("on-boarding id"), "Gender"
+    )
+    safe = R.sanitize_column_names(rows)
+    names = R.feature_columns(safe, ["contact_id"], "Target")
+    return B.whole(R.fill_by_type(safe, names).select("contact_id", *names))
+
+
 QUERIES = {
+    "column_selection": (column_selection, "SELECT o_orderkey, o_custkey FROM orders"),
+    "text_categories": (text_categories, "SELECT p_partkey, CAST(p_size AS VARCHAR) AS p_size, p_brand FROM part"),
+    "equality_flags": (
+        equality_flags,
+        """SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, CAST(l_returnflag = 'R' AS BIGINT) AS returned,
+        CAST(l_returnflag = 'A' AS BIGINT) AS accepted, CAST(l_returnflag = 'N' AS BIGINT) AS none FROM lineitem""",
+    ),
+    "known_contacts": (known_contacts, "SELECT DISTINCT o_custkey AS contact_id FROM orders"),
+    "model_columns": (
+        model_columns,
+        _C + """SELECT contact_id, CAST(coalesce("PageDirectoryArticles", 0) AS BIGINT) AS "Page_articles",
+        coalesce("OnboardingId", 0) AS on_boarding_id FROM contacts""",
+    ),
     "onehot": (
         onehot,
         "SELECT c_custkey, " + ", ".join(f"CAST(c_mktsegment = '{s}' AS BIGINT) AS \"c_mktsegment_{s}\"" for s in _SEGMENTS) + " FROM customer",

@@ -56,21 +56,16 @@ SELECT note_id, array_to_string(list_transform(w, lambda x: CASE WHEN length(x)
   THEN x[1:length(x) - 1] ELSE x END), ' ') AS lemmas FROM words"""
 
 
-def _grams(spark, d):
-    cleaned = clean_text(spark, d)
-    return cleaned.select("doc_id", N.grams("cleaned").alias("grams"))
-
-
 def term_vocabulary(spark, d):
-    terms = N.fit_terms(_grams(spark, d), "grams")
+    cleaned = materialise(clean_text(spark, d))
+    terms = N.fit_terms(cleaned, "cleaned")
     return B.tidy(terms.frame(spark).select("term", F.col("df").alias("doc_freq"), "idf"))
 
 
 def tfidf_top_terms(spark, d):
     """The three heaviest terms of every document."""
-    cleaned = materialise(clean_text(spark, d))  # read twice: by the fit and by the weights
-    rows = cleaned.select("doc_id", N.grams("cleaned").alias("grams"))
-    weights = N.tfidf_terms(rows, "doc_id", "grams", N.fit_terms(rows, "grams"))
+    cleaned = materialise(clean_text(spark, d))  # read by both passes of the fit and by the weights
+    weights = N.tfidf_terms(cleaned, "doc_id", "cleaned", N.fit_terms(cleaned, "cleaned"))
     weights = weights.withColumn("tfidf", F.round("tfidf", 6))
     rank = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.desc("tfidf"), "term"))
     return weights.withColumn("r", rank).filter("r <= 3").select("doc_id", "term", "tfidf")

@@ -96,15 +96,15 @@ def segment_notes_by_text(
         # from that copy again, because they would take three times its space.
         cleaned = materialise(N.clean_notes(events, note, "__text"))
         cleaned = cleaned.withColumn("__ok", valid & (F.col("__text") != ""))
-        texts = cleaned.filter("__ok").select(N.grams("__text").alias("__grams"))
-        terms = N.fit_terms(texts, "__grams", **term_options)
+        texts = cleaned.filter("__ok").select("__text")
+        terms = N.fit_terms(texts, "__text", **term_options)
         if not terms.terms:
             return events.withColumn(out, F.lit(-1))
         weights = N.tfidf_model(terms, "__grams", "__v")
         vectors = weights.transform(cleaned.withColumn("__grams", N.grams("__text"))).drop(
             "__tf", "__tfidf", "__grams", "__text"
         )
-        training = materialise(weights.transform(texts).select("__v"))
+        training = materialise(vectors.filter("__ok").select("__v"))
     if training.limit(min_notes + 1).count() <= min_notes:
         return events.withColumn(out, F.lit(-1))
     clusters = fit_clusters(training, "__v", k, seed)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from leadloom.functions import text as X
-from leadloom.session import spread
+from leadloom.session import materialise, spread
 
 
 def lemma_lookup(df: DataFrame, id_col: str, tokens: str, lemmas: DataFrame, out: str = "tokens") -> DataFrame:
@@ -37,24 +37,30 @@ def clean_notes(df: DataFrame, note: str, out: str, **options) -> DataFrame:
     return spread(df).withColumn(out, X.clean_text(note, **options))
 
 
-def grams(text: str | Column) -> Column:
-    """Words of two or more characters and their adjacent pairs, from a cleaned note.
+def words(text: str | Column) -> Column:
+    """Words of two or more characters of a cleaned note.
 
     Cleaned notes hold letters, digits, blanks and hyphens, so the last two part the words.
     """
-    words = F.filter(F.split(X._col(text), "[ \\-]+"), lambda w: F.length(w) >= 2)
+    return F.filter(F.split(X._col(text), "[ \\-]+"), lambda w: F.length(w) >= 2)
 
-    def with_pairs(w: Column) -> Column:
-        return F.concat(w, F.zip_with(w, F.slice(w, 2, F.size(w)), _pair))
 
-    # The one-element transform names the words, so that they are computed once.
-    return F.filter(F.element_at(F.transform(F.array(words), with_pairs), 1), lambda g: g.isNotNull())
+def word_pairs(w: Column) -> Column:
+    """Adjacent words of an array, each pair joined by a blank."""
+    joined = F.zip_with(w, F.slice(w, 2, F.size(w)), _pair)
+    return F.filter(joined, lambda p: p.isNotNull())
 
 
 def _pair(first: Column, second: Column) -> Column:
     return F.when(second.isNotNull(), F.concat(first, F.lit(" "), second))
 
 
+def grams(text: str | Column) -> Column:
+    """Words and adjacent pairs of a cleaned note."""
+    # The one-element transform names the words, so that they are computed once.
+    return F.element_at(F.transform(F.array(words(text)), lambda w: F.concat(w, word_pairs(w))), 1)
+
+
 @dataclass(frozen=True)
 class TermVocabulary:
     """Terms in rank order with the number of notes holding each; ``n_docs`` notes in all."""
@@ -71,33 +77,57 @@ class TermVocabulary:
         return spark.createDataFrame(rows, "term string, df bigint, idf double")
 
 
+def _term_counts(df: DataFrame, terms: Column) -> DataFrame:
+    """(position, size, term): the terms of each note followed by its distinct terms.
+
+    One explode serves both counts: entries before ``size`` are occurrences, later ones notes.
+    """
+    return df.select(
+        F.size(terms).alias("n"), F.posexplode_outer(F.concat(terms, F.array_distinct(terms))).alias("pos", "term")
+    ).filter(F.col("term").isNotNull())
+
+
+def _counted(cells: DataFrame) -> DataFrame:
+    return cells.groupBy("term").agg(
+        F.count_if(F.col("pos") < F.col("n")).alias("cf"), F.count_if(F.col("pos") >= F.col("n")).alias("df")
+    )
+
+
 def fit_terms(
-    df: DataFrame, gram_col: str, max_features: int = 5000, min_df: int = 5, max_df: float = 0.9
+    df: DataFrame, text: str, max_features: int = 5000, min_df: int = 5, max_df: float = 0.9
 ) -> TermVocabulary:
-    """The ``max_features`` most frequent terms among those in at least ``min_df`` notes and at
-    most the share ``max_df`` of them.
+    """The ``max_features`` most frequent words and pairs of a column of cleaned notes.
+
+    Only terms in at least ``min_df`` notes and at most the share ``max_df`` of them count.
 
-    Occurrences and notes are counted in one explode and one shuffle of partial sums: the
-    terms of a note are followed by its distinct terms, told apart by their position.
+    Words are counted first. A pair occurs no more often than either of its words, so once
+    the words alone fill the vocabulary, pairs with a word below its last entry cannot enter
+    it and are dropped before they are counted. That is exact, and it keeps the many rare
+    pairs of a large corpus out of the shuffle.
     """
     n_docs = df.count()
-    g = F.col(gram_col)
-    cells = df.select(
-        F.size(g).alias("n"), F.posexplode_outer(F.concat(g, F.array_distinct(g))).alias("pos", "term")
-    )
-    counted = (
-        cells.groupBy("term")
-        .agg(F.count_if(F.col("pos") < F.col("n")).alias("cf"), F.count_if(F.col("pos") >= F.col("n")).alias("df"))
-        .filter(F.col("term").isNotNull() & (F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df * n_docs)))
-    )
-    rows = counted.orderBy(F.desc("cf"), F.asc("term")).limit(max_features).collect()
+    tokens = df.select(words(text).alias("w"))
+
+    def best(counts: DataFrame) -> list:
+        kept = counts.filter((F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df * n_docs)))
+        return kept.orderBy(F.desc("cf"), F.asc("term")).limit(max_features).collect()
+
+    singles = materialise(_counted(_term_counts(tokens, F.col("w"))))
+    top = best(singles)
+    floor = max(min_df, top[-1]["cf"] if len(top) == max_features else 0)
+    frequent = singles.filter(F.col("cf") >= floor)
+    cells = _term_counts(tokens.select(word_pairs(F.col("w")).alias("p")), F.col("p"))
+    for part in (1, -1):
+        known = frequent.select(F.col("term").alias("__w"))
+        cells = cells.join(known, F.substring_index("term", " ", part) == F.col("__w"), "left_semi")
+    rows = sorted(top + best(_counted(cells)), key=lambda r: (-r["cf"], r["term"]))[:max_features]
     return TermVocabulary(tuple(r["term"] for r in rows), tuple(r["df"] for r in rows), n_docs)
 
 
-def tfidf_terms(df: DataFrame, id_col: str, gram_col: str, vocabulary: TermVocabulary) -> DataFrame:
+def tfidf_terms(df: DataFrame, id_col: str, text: str, vocabulary: TermVocabulary) -> DataFrame:
     """(id, term, tfidf) with unit length per note. The term table holds ``max_features`` rows at most."""
     spark = df.sparkSession
-    cells = df.select(id_col, F.explode_outer(gram_col).alias("term"))
+    cells = df.select(id_col, F.explode_outer(grams(text)).alias("term"))
     known = cells.join(F.broadcast(vocabulary.frame(spark)), "term")
     weighed = known.groupBy(id_col, "term").agg((F.count("*") * F.max("idf")).alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))

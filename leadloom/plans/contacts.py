@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,9 +33,12 @@ def note_order(note: str) -> list:
     return [F.desc_nulls_last("ActivityDate"), F.desc_nulls_last("CreateDate"), F.asc(note)]
 
 
-def known_events(events: DataFrame, contacts: DataFrame, key: str, event_key: str) -> DataFrame:
-    """Events of the given contacts, under the contact key."""
-    return R.keep_known(R.rename_key(events, event_key, key), contacts, key)
+def known_events(
+    events: DataFrame, contacts: DataFrame, key: str, event_key: str, spec: E.EngagementSpec, extra: Sequence[str] = ()
+) -> DataFrame:
+    """The columns of interest of the events of the given contacts, under the contact key."""
+    wanted = [event_key, "CreateDate", "ActivityDate", spec.outcome, spec.note, *extra]
+    return R.keep_known(R.rename_key(R.select_existing(events, wanted), event_key, key), contacts, key)
 
 
 def with_segments(events: DataFrame, spec: E.EngagementSpec, segment: str, embedding: str | None, seed: int, **term_options) -> DataFrame:

@@ -66,10 +66,11 @@ def conversion_features(
     base = R.not_equal_keep_null(base, "LeadStageNewCEO", "Lead")
     base = base.withColumn("LeadStageNew", X.value_map("LeadStageNew", vocab.STAGE_ORDINAL, keep=False))
 
-    met = _branch(
-        E.settle_dates(known_events(meetings, base, cfg.key, cfg.event_key)), E.MEETINGS, "NoteSegment", as_of, cfg
-    )
-    called = _branch(known_events(calls, base, cfg.key, cfg.event_key), E.CALLS, "CallNoteSegment", as_of, cfg)
+    embedding = [cfg.embedding] if cfg.embedding else []
+    met = known_events(meetings, base, cfg.key, cfg.event_key, E.MEETINGS, ["NoteSegment", *embedding])
+    met = _branch(E.settle_dates(met), E.MEETINGS, "NoteSegment", as_of, cfg)
+    called = known_events(calls, base, cfg.key, cfg.event_key, E.CALLS, ["CallNoteSegment", *embedding])
+    called = _branch(called, E.CALLS, "CallNoteSegment", as_of, cfg)
     wide = R.left_attach(R.left_attach(base, met, cfg.key), called, cfg.key)
     # Dates first: a missing date means "never", not day zero.
     wide = R.days_since(wide, vocab.DAYS_SINCE_COLUMNS, as_of)

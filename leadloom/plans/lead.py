@@ -90,8 +90,10 @@ def lead_features(
     leads = encode_contacts(R.lead_filter(contacts, cfg.contact_types), as_of, cfg)
     leads = R.drop_existing(leads, [*vocab.PREPARATION_DROPS, *vocab.FINAL_DROPS])
     leads = R.not_equal_keep_null(leads, "LeadStageNewCEO", "Lead")
-    met = meeting_features(known_events(meetings, leads, cfg.key, cfg.event_key), as_of, cfg)
-    called = call_features(known_events(calls, leads, cfg.key, cfg.event_key), as_of, cfg)
+    extra = ["NoteSegment", *([cfg.embedding] if cfg.embedding else [])]
+    met = known_events(meetings, leads, cfg.key, cfg.event_key, E.MEETINGS, extra)
+    met = meeting_features(met, as_of, cfg)
+    called = call_features(known_events(calls, leads, cfg.key, cfg.event_key, E.CALLS), as_of, cfg)
     zero = {c: 0 for c in (*met.columns, *called.columns) if c != cfg.key and not c.startswith("TopSegment")}
     wide = R.left_attach(R.left_attach(leads, met, cfg.key), called, cfg.key)
     wide = R.fill_defaults(wide, zero)

@@ -152,37 +152,41 @@ def test_grams(spark):
     assert one(spark, "one", N.grams("v")) == ["one"]
 
 
-def test_terms_and_weights_agree_with_brute_force(spark):
+DOCS = ["red blue red", "blue green", "red blue green green", "solo", "blue blue", "red blue solo red blue"]
+
+
+@pytest.mark.parametrize("max_features", [1, 2, 3, 4, 6, 50])
+def test_terms_and_weights_agree_with_brute_force(spark, max_features):
     import math
 
-    docs = ["red blue red", "blue green", "red blue green green", "solo", "blue blue"]
-    df = spark.createDataFrame(list(enumerate(docs)), "id int, t string").select("id", N.grams("t").alias("g"))
-    terms = N.fit_terms(df, "g", max_features=4, min_df=2, max_df=0.9)
+    df = spark.createDataFrame(list(enumerate(DOCS)), "id int, t string")
+    terms = N.fit_terms(df, "t", max_features=max_features, min_df=2, max_df=0.9)
 
     def grams(t):
         w = t.split()
         return w + [f"{a} {b}" for a, b in zip(w, w[1:])]
 
-    bags = [grams(t) for t in docs]
+    bags = [grams(t) for t in DOCS]
     words = sorted({g for b in bags for g in b})
     freq = {w: sum(b.count(w) for b in bags) for w in words}
     docs_with = {w: sum(w in b for b in bags) for w in words}
-    kept = sorted((w for w in words if 2 <= docs_with[w] <= 0.9 * len(docs)), key=lambda w: (-freq[w], w))[:4]
+    kept = [w for w in words if 2 <= docs_with[w] <= 0.9 * len(DOCS)]
+    kept = sorted(kept, key=lambda w: (-freq[w], w))[:max_features]
     assert list(terms.terms) == kept
     assert list(terms.doc_freq) == [docs_with[w] for w in kept]
 
-    got = {(r["id"], r["term"]): r["tfidf"] for r in N.tfidf_terms(df, "id", "g", terms).collect()}
+    got = {(r["id"], r["term"]): r["tfidf"] for r in N.tfidf_terms(df, "id", "t", terms).collect()}
     want = {}
     for i, b in enumerate(bags):
-        raw = {w: b.count(w) * (math.log((1 + len(docs)) / (1 + docs_with[w])) + 1) for w in kept if w in b}
+        raw = {w: b.count(w) * (math.log((1 + len(DOCS)) / (1 + docs_with[w])) + 1) for w in kept if w in b}
         norm = math.sqrt(sum(v * v for v in raw.values()))
         want.update({(i, w): v / norm for w, v in raw.items()})
     assert got.keys() == want.keys()
     assert all(abs(got[k] - want[k]) < 1e-12 for k in want)
-    vectors = {r["id"]: r["features"] for r in N.tfidf_model(terms, "g").transform(df).collect()}
-    for i in range(len(docs)):
+    vectors = N.tfidf_model(terms, "g").transform(df.withColumn("g", N.grams("t"))).collect()
+    for r in vectors:
         for j, w in enumerate(kept):
-            assert abs(vectors[i][j] - want.get((i, w), 0.0)) < 1e-12
+            assert abs(r["features"][j] - want.get((r["id"], w), 0.0)) < 1e-12
 
 
 def test_lemma_lookup_keeps_order_and_unknown_words(spark):
