@@ -23,7 +23,7 @@ from leadloom.operators import modelling as M
 from leadloom.operators import outliers as O
 from leadloom.operators import ranking as K
 from leadloom.plans import conversion, lead, topup
-from leadloom.session import materialise, shared_dir
+from leadloom.session import materialise, shared_dir, training_table
 
 AS_OF = datetime(2001, 8, 2)
 SMALL_SPACE = {
@@ -115,7 +115,7 @@ def _documents(spark, d):
     rows = rows.withColumn("n_words", F.size(X.note_tokens("text"))).drop("text")
     rows = materialise(K.stratified_folds(rows, "doc_id", "quality"))
     plan = M.fit_features(rows, _NUMERIC, _TEXT)
-    return plan, materialise(plan.apply(rows).withColumn("label", F.col("quality")))
+    return plan, training_table(plan.apply(rows).withColumn("label", F.col("quality")))
 
 
 def _make():

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from leadloom import vocab
 from leadloom.functions.text import ColumnOrName, _col
 
-_DAY_US = 86_400_000_000
 _SHIFT = 10_000_000  # days; makes every difference of two valid timestamps positive
 
 
@@ -25,14 +24,15 @@ def moment(value: datetime | str | Column) -> Column:
 
 def floor_days(start: ColumnOrName, end: ColumnOrName) -> Column:
     """Whole days from ``start`` to ``end``, rounded down: ten hours early is day -1."""
-    us = F.timestamp_diff("MICROSECOND", _col(start).cast("timestamp_ntz"), _col(end).cast("timestamp_ntz"))
-    # Integer division cuts toward zero, so it is done on the positive side.
-    return F.call_function("div", us + F.lit(_SHIFT * _DAY_US), F.lit(_DAY_US)) - F.lit(_SHIFT)
+    # Subtracting zone-free timestamps keeps daylight saving out. Division cuts toward zero, so
+    # it is done on the positive side.
+    gap = _col(end).cast("timestamp_ntz") - _col(start).cast("timestamp_ntz")
+    return F.call_function("div", gap + F.expr(f"INTERVAL '{_SHIFT}' DAY"), F.expr("INTERVAL '1' DAY")) - F.lit(_SHIFT)
 
 
 def parse_moment(c: ColumnOrName) -> Column:
     """Lenient parse: values that are no timestamp become null."""
-    return F.try_to_timestamp(_col(c)).cast("timestamp_ntz")
+    return _col(c).try_cast("timestamp_ntz")
 
 
 def day_bin(

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from leadloom.operators.encoding import fit_top_values
 from leadloom.operators.frames import quoted
+from leadloom.session import fits_at_once
 
 # --- fixed values: search ranges (low, high, scale) -----------------------------------
 SEARCH_SPACE = {
@@ -88,8 +89,9 @@ def propensity_pipeline(pos_weight: float = 1.0, eval_col: str | None = None, se
 
     With ``eval_col`` (boolean) training stops early on those rows.
     """
+    deep = params.get("maxDepth", 5) > 10  # only there does caching node ids pay for its jobs
     trees = GBTClassifier(
-        featuresCol="features", labelCol="label", weightCol="weight", seed=seed, cacheNodeIds=True, **params
+        featuresCol="features", labelCol="label", weightCol="weight", seed=seed, cacheNodeIds=deep, **params
     )
     if eval_col:
         trees = trees.setValidationIndicatorCol(eval_col)
@@ -134,10 +136,13 @@ def search(
     fold: str = "fold",
     k: int = 5,
     seed: int = 42,
-    parallelism: int = 4,
+    parallelism: int | None = None,
     eval_col: str | None = None,
 ) -> SearchResult:
-    """Random search by mean area under the ROC curve over the given folds."""
+    """Random search by mean area under the ROC curve over the given folds.
+
+    Pass a stored table (``training_table``): every fit reads it.
+    """
     pipeline = propensity_pipeline(eval_col=eval_col, seed=seed)
     weigher, trees = pipeline.getStages()
     draws = draw_params(space, trials, seed)
@@ -148,7 +153,8 @@ def search(
         maps.append(grid)
     judge = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction", numBins=0)
     validator = CrossValidator(
-        estimator=pipeline, estimatorParamMaps=maps, evaluator=judge, numFolds=k, foldCol=fold, parallelism=parallelism
+        estimator=pipeline, estimatorParamMaps=maps, evaluator=judge, numFolds=k, foldCol=fold,
+        parallelism=parallelism or fits_at_once(df),
     )
     fitted = validator.fit(df)
     best = int(np.argmax(fitted.avgMetrics))
@@ -181,7 +187,7 @@ def oof_scores(
     make: Callable[[], Pipeline],
     fold: str = "fold",
     k: int = 5,
-    parallelism: int = 4,
+    parallelism: int | None = None,
     probability: str = "oof_probability",
     pred: str = "oof_prediction",
 ) -> tuple[DataFrame, list[PipelineModel]]:
@@ -190,7 +196,7 @@ def oof_scores(
     The fits run side by side from a thread pool. ``df`` is read once per fold, so pass a
     stored table.
     """
-    pool = ThreadPool(min(parallelism, k))
+    pool = ThreadPool(min(parallelism or fits_at_once(df), k))
     spark = df.sparkSession
 
     @inheritable_thread_target(spark)

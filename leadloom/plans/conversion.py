@@ -20,7 +20,7 @@ from leadloom.operators import frames as R
 from leadloom.operators import modelling as M
 from leadloom.operators import ranking as K
 from leadloom.plans.contacts import clean_contacts, known_events, note_order, with_segments
-from leadloom.session import materialise
+from leadloom.session import materialise, training_table
 from leadloom.sources.tables import run_metadata, widen_large_ints
 
 
@@ -101,7 +101,7 @@ def conversion_scores(
     trials: int = 50,
     threshold: float = 0.5,
     seed: int = 42,
-    parallelism: int = 4,
+    parallelism: int | None = None,
     model_path: str = "",
     action_score: str = "oof_probability",
     open_only: bool = False,
@@ -119,7 +119,7 @@ def conversion_scores(
     texts = R.feature_columns(features, barred, "Target", kind="text")
     plan = M.fit_features(features, numeric, texts, max_values)
     table = plan.apply(features).select(key, F.col("Target").cast("int").alias("label"), "features")
-    table = materialise(M.eval_slice(K.stratified_folds(table, key, "label", 5, seed), key, seed=seed))
+    table = training_table(M.eval_slice(K.stratified_folds(table, key, "label", 5, seed), key, seed=seed))
     labelled = table.filter(F.col("label").isNotNull())
 
     found = M.search(labelled, space, trials, "fold", 5, seed, parallelism, eval_col="is_eval")

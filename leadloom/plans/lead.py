@@ -21,7 +21,7 @@ from leadloom.operators import modelling as M
 from leadloom.operators import notes as N
 from leadloom.operators import ranking as K
 from leadloom.plans.contacts import clean_contacts, known_events, note_order, with_segments
-from leadloom.session import materialise
+from leadloom.session import materialise, training_table
 from leadloom.sources.tables import run_metadata
 
 
@@ -122,7 +122,7 @@ def lead_scores(
     trials: int = 50,
     threshold: float = 0.5,
     seed: int = 42,
-    parallelism: int = 4,
+    parallelism: int | None = None,
     model_path: str = "",
     keep: Sequence[str] = ("CreateDate", "ContactType", "ContactOwnerId", "LeadStageNewCEO"),
 ) -> LeadResult:
@@ -134,7 +134,7 @@ def lead_scores(
     table = plan.apply(safe).withColumn("label", F.col("Target").cast("int"))
     table = R.select_existing(table, list(dict.fromkeys([key, *keep, "label", "features"])))
     table = K.holdout(K.stratified_folds(table, key, "label", 5, seed), key, "label", 0.2, seed)
-    table = materialise(M.eval_slice(table, key, seed=seed))
+    table = training_table(M.eval_slice(table, key, seed=seed))
 
     train = table.filter(~F.col("is_test"))
     found = M.search(train, space, trials, "fold", 5, seed, parallelism, eval_col="is_eval")

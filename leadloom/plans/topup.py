@@ -19,7 +19,7 @@ from leadloom.operators import notes as N
 from leadloom.operators import outliers as O
 from leadloom.operators import ranking as K
 from leadloom.operators.clustering import segment_entities
-from leadloom.session import materialise
+from leadloom.session import training_table
 
 SCORE = "TOPUP_PROBABILITY_THIS_MONTH"
 ID_ALIASES = ("Client_ID", "Client ID")
@@ -72,7 +72,7 @@ def topup_scores(
     data = O.outlier_flags(data, key, names, contamination, trees, seed=seed)
     plan = M.fit_features(data, names)
     table = M.eval_slice(plan.apply(data).withColumn("label", F.col("target_flag")), key, seed=seed)
-    table = materialise(table)
+    table = training_table(table)
 
     train = table.filter(F.col("is_outlier") == 0)
     model = M.propensity_pipeline(eval_col="is_eval" if early_stop else None, seed=seed, **params).fit(train)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SCAN_PARTITION = 128 << 20  # bytes; Spark's default size of a scan partition
+_FIT_PARTITION = 16 << 20  # bytes of stored features that keep one core busy in a fit
 
 
 def build_session(app: str = "leadloom", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
@@ -56,6 +58,10 @@ def materialise(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _estimated_bytes(df: DataFrame) -> int:
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Deal a small input out to all cores before work that is heavy per row.
 
@@ -63,5 +69,20 @@ def spread(df: DataFrame) -> DataFrame:
     partition of its own is left alone, so at most one scan partition per core is ever moved.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(cores) if estimate < cores * _SCAN_PARTITION else df
+    return df.repartition(cores) if _estimated_bytes(df) < cores * _SCAN_PARTITION else df
+
+
+def training_table(df: DataFrame) -> DataFrame:
+    """Store ``df`` for repeated fits, in no more partitions than its size deserves.
+
+    Every boosting step runs several jobs over all partitions; on a small table their overhead
+    is nearly all the time. Large tables keep their scan partitions.
+    """
+    stored = materialise(df)
+    return stored.coalesce(max(1, math.ceil(_estimated_bytes(stored) / _FIT_PARTITION)))
+
+
+def fits_at_once(df: DataFrame) -> int:
+    """How many fits on a stored table may run side by side without fighting for cores."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return min(16, max(2, cores // max(1, df.rdd.getNumPartitions())))

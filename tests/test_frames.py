@@ -25,6 +25,16 @@ def test_floor_days_rounds_down(spark):
         assert r["d"] == r["want"]
 
 
+def test_floor_days_ignores_daylight_saving(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.sql("SELECT timestamp_ntz'2024-03-09 12:00:00' AS a, timestamp_ntz'2024-03-10 12:00:00' AS b")
+        assert df.select(D.floor_days("a", "b").alias("d")).first()["d"] == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_filters_keep_or_drop_nulls(spark, rows):
     df = spark.createDataFrame([(1, None), (2, "Lead"), (3, "SAL 1")], "id int, LeadStageNewCEO string")
     assert rows(R.not_equal_keep_null(df, "LeadStageNewCEO", "Lead").select("id")) == [(1,), (3,)]
