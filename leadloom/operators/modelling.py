@@ -94,7 +94,10 @@ def propensity_pipeline(pos_weight: float = 1.0, eval_col: str | None = None, se
         featuresCol="features", labelCol="label", weightCol="weight", seed=seed, cacheNodeIds=deep, **params
     )
     if eval_col:
+        # The default tolerance asks for one percent per tree, more than a slow learning rate
+        # can give; zero stops at the first tree that makes the held-out loss worse.
         trees = trees.setValidationIndicatorCol(eval_col)
+        trees.set(trees.validationTol, 0.0)
     return Pipeline(stages=[SQLTransformer(statement=weight_statement(pos_weight)), trees])
 
 

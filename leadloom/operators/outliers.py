@@ -120,9 +120,14 @@ def exact_quantile(df: DataFrame, col: str, q: float, buckets: int = 1024, small
     if not n:
         return None
     position = (n - 1) * q
-    ranks = sorted({math.floor(position), math.ceil(position)})
-    found = [_order_statistic(values, rank, low, high, buckets, small) for rank in ranks]
-    return found[0] + (position - ranks[0]) * (found[-1] - found[0])
+    rank = math.floor(position)
+    below = _order_statistic(values, rank, low, high, buckets, small)
+    if position == rank:
+        return below
+    v = F.col("v")
+    up_to, following = values.agg(F.count_if(v <= F.lit(below)), F.min(F.when(v > F.lit(below), v))).first()
+    above = below if up_to > rank + 1 else following
+    return below + (position - rank) * (above - below)
 
 
 def _order_statistic(values: DataFrame, rank: int, low: float, high: float, buckets: int, small: int) -> float:

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 import catalog.models as Q
 from catalog import base as B
 from leadloom.plans import conversion, lead, topup
+from leadloom.plans.outputs import write_results
 from leadloom.session import materialise
+from leadloom.sources.tables import read_table
 
 SF = "/root/testdata/sf0.001"
 
@@ -17,7 +19,7 @@ def wide(spark):
     return "/root/testdata/sf0.01"
 
 
-def test_lead_plan(spark, wide):
+def test_lead_plan(spark, wide, tmp_path):
     features = materialise(Q._lead_features(spark, wide, segmented=False))
     found = lead.lead_scores(features, Q.AS_OF, "contact_id", Q.SMALL_SPACE, trials=1)
     n = features.count()
@@ -32,6 +34,13 @@ def test_lead_plan(spark, wide):
     assert "Target" not in names and "contact_id" not in names and "Country_Other" in names
     assert names == {r["feature"] for r in found.shap_importance.collect()}
 
+    target = {"format": "parquet", "path": str(tmp_path)}
+    for _ in range(2):
+        written = write_results(found, target, "lead")
+    assert len(written) == 6
+    assert read_table(spark, target, "lead_model_predictions").count() == n
+    assert read_table(spark, target, "lead_model_metadata").count() == 2
+
 
 def test_conversion_plan(spark, wide):
     features = materialise(Q._conversion_features(spark, wide, segmented=False))
