@@ -25,7 +25,7 @@ def strip_all(c: ColumnOrName) -> Column:
 
 def has_text(c: ColumnOrName) -> Column:
     """True when the value holds something besides whitespace; null counts as empty."""
-    return F.coalesce(strip_all(c) != "", F.lit(False))
+    return F.coalesce(F.rlike(_col(c), F.lit(r"(?U)[^\s\x1c-\x1f]")), F.lit(False))
 
 
 def contains_ci(c: ColumnOrName, text: str) -> Column:

@@ -275,12 +275,54 @@ def left_attach(
     return fill_defaults(joined, fill) if fill else joined
 
 
-def keep_known(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    return df.join(ids.select(key), key, "left_semi")
+_BROADCAST_IDS = 2_000_000  # ids: some 60 MB as a hash table
+_HOT_SHARE = 0.001
 
 
-def drop_known(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    return df.join(ids.select(key), key, "left_anti")
+def few_ids(ids: DataFrame, limit: int = _BROADCAST_IDS) -> bool:
+    """Whether an id list is small enough to send to every task; reads no more than the limit."""
+    return ids.limit(limit + 1).count() <= limit
+
+
+def hot_keys(df: DataFrame, key: str, share: float = _HOT_SHARE) -> list:
+    """All keys with more than ``share`` of the rows (and possibly some others), 1/share at most.
+
+    One pass over the key column, without a shuffle.
+    """
+    found = df.select(quoted(key)).filter(F.col(quoted(key)).isNotNull()).freqItems([key], share).first()
+    return [k for k in found[0] if k is not None]
+
+
+def keep_known(df: DataFrame, ids: DataFrame, key: str, broadcast_limit: int = _BROADCAST_IDS) -> DataFrame:
+    """Rows whose key is among ``ids``.
+
+    A short id list goes to every task and nothing is shuffled. Otherwise rows are shuffled by
+    key, except those of hot keys, which are so few keys that a plain filter decides them.
+    """
+    ids, columns = ids.select(quoted(key)), [F.col(quoted(c)) for c in df.columns]
+    if few_ids(ids, broadcast_limit):
+        return df.join(F.broadcast(ids), key, "left_semi").select(columns)
+    c, hot, known = _split_hot(df, ids, key)
+    rest = df.filter(~c.isin(hot)).join(ids, key, "left_semi").select(columns)
+    return rest.unionByName(df.filter(c.isin(known)))
+
+
+def drop_known(df: DataFrame, ids: DataFrame, key: str, broadcast_limit: int = _BROADCAST_IDS) -> DataFrame:
+    """Rows whose key is not among ``ids``; rows without a key stay."""
+    ids, columns = ids.select(quoted(key)), [F.col(quoted(c)) for c in df.columns]
+    if few_ids(ids, broadcast_limit):
+        return df.join(F.broadcast(ids), key, "left_anti").select(columns)
+    c, hot, known = _split_hot(df, ids, key)
+    unknown = [k for k in hot if k not in set(known)]
+    rest = df.filter(c.isNull() | ~c.isin(hot)).join(ids, key, "left_anti").select(columns)
+    return rest.unionByName(df.filter(c.isin(unknown)))
+
+
+def _split_hot(df: DataFrame, ids: DataFrame, key: str) -> tuple[Column, list, list]:
+    c = F.col(quoted(key))
+    hot = hot_keys(df, key)
+    known = [r[0] for r in ids.filter(c.isin(hot)).distinct().collect()]
+    return c, hot, known
 
 
 # --- missing data --------------------------------------------------------------------

@@ -115,7 +115,7 @@ def fit_terms(
     singles = materialise(_counted(_term_counts(tokens, F.col("w"))))
     top = best(singles)
     floor = max(min_df, top[-1]["cf"] if len(top) == max_features else 0)
-    frequent = singles.filter(F.col("cf") >= floor)
+    frequent = singles.filter((F.col("cf") >= floor) & (F.col("df") >= min_df))
     cells = _term_counts(tokens.select(word_pairs(F.col("w")).alias("p")), F.col("p"))
     for part in (1, -1):
         known = frequent.select(F.col("term").alias("__w"))

@@ -34,11 +34,24 @@ def note_order(note: str) -> list:
 
 
 def known_events(
-    events: DataFrame, contacts: DataFrame, key: str, event_key: str, spec: E.EngagementSpec, extra: Sequence[str] = ()
+    events: DataFrame,
+    contacts: DataFrame,
+    key: str,
+    event_key: str,
+    spec: E.EngagementSpec,
+    extra: Sequence[str] = (),
+    exact: bool = True,
 ) -> DataFrame:
-    """The columns of interest of the events of the given contacts, under the contact key."""
+    """The columns of interest of the events of the given contacts, under the contact key.
+
+    With ``exact`` unset the events of other contacts may stay in, for the final join to drop:
+    shuffling all events just to discard some costs more than carrying their partial sums.
+    """
     wanted = [event_key, "CreateDate", "ActivityDate", spec.outcome, spec.note, *extra]
-    return R.keep_known(R.rename_key(R.select_existing(events, wanted), event_key, key), contacts, key)
+    mine = R.rename_key(R.select_existing(events, wanted), event_key, key)
+    if not exact and not R.few_ids(contacts.select(key)):
+        return mine
+    return R.keep_known(mine, contacts, key)
 
 
 def with_segments(events: DataFrame, spec: E.EngagementSpec, segment: str, embedding: str | None, seed: int, **term_options) -> DataFrame:

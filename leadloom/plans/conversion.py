@@ -67,10 +67,14 @@ def conversion_features(
     base = base.withColumn("LeadStageNew", X.value_map("LeadStageNew", vocab.STAGE_ORDINAL, keep=False))
 
     embedding = [cfg.embedding] if cfg.embedding else []
-    met = known_events(meetings, base, cfg.key, cfg.event_key, E.MEETINGS, ["NoteSegment", *embedding])
-    met = _branch(E.settle_dates(met), E.MEETINGS, "NoteSegment", as_of, cfg)
-    called = known_events(calls, base, cfg.key, cfg.event_key, E.CALLS, ["CallNoteSegment", *embedding])
-    called = _branch(called, E.CALLS, "CallNoteSegment", as_of, cfg)
+
+    def branch(events: DataFrame, spec: E.EngagementSpec, segment: str, settle: bool) -> DataFrame:
+        fit_notes = segment not in events.columns
+        mine = known_events(events, base, cfg.key, cfg.event_key, spec, [segment, *embedding], exact=fit_notes)
+        return _branch(E.settle_dates(mine) if settle else mine, spec, segment, as_of, cfg)
+
+    met = branch(meetings, E.MEETINGS, "NoteSegment", settle=True)
+    called = branch(calls, E.CALLS, "CallNoteSegment", settle=False)
     wide = R.left_attach(R.left_attach(base, met, cfg.key), called, cfg.key)
     # Dates first: a missing date means "never", not day zero.
     wide = R.days_since(wide, vocab.DAYS_SINCE_COLUMNS, as_of)

@@ -91,9 +91,11 @@ def lead_features(
     leads = R.drop_existing(leads, [*vocab.PREPARATION_DROPS, *vocab.FINAL_DROPS])
     leads = R.not_equal_keep_null(leads, "LeadStageNewCEO", "Lead")
     extra = ["NoteSegment", *([cfg.embedding] if cfg.embedding else [])]
-    met = known_events(meetings, leads, cfg.key, cfg.event_key, E.MEETINGS, extra)
+    fit_notes = "NoteSegment" not in meetings.columns
+    met = known_events(meetings, leads, cfg.key, cfg.event_key, E.MEETINGS, extra, exact=fit_notes)
     met = meeting_features(met, as_of, cfg)
-    called = call_features(known_events(calls, leads, cfg.key, cfg.event_key, E.CALLS), as_of, cfg)
+    called = known_events(calls, leads, cfg.key, cfg.event_key, E.CALLS, exact=False)
+    called = call_features(called, as_of, cfg)
     zero = {c: 0 for c in (*met.columns, *called.columns) if c != cfg.key and not c.startswith("TopSegment")}
     wide = R.left_attach(R.left_attach(leads, met, cfg.key), called, cfg.key)
     wide = R.fill_defaults(wide, zero)

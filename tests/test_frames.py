@@ -110,6 +110,19 @@ def test_left_attach_guards_names_and_null_keys(spark, rows):
     assert rows(got.select("x", "R_x")) == [("a", "p"), ("a", "q"), ("b", "none"), ("c", "none")]
 
 
+@pytest.mark.parametrize("limit", [1000, 3])
+def test_known_and_unknown_keys_under_skew(spark, rows, limit):
+    keys = [7] * 400 + [8] * 300 + list(range(100, 150)) + [None] * 5
+    df = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "i int, k bigint")
+    ids = spark.createDataFrame([(k,) for k in (7, 7, 101, 102, 149, 999, None)], "k bigint")
+    known = {7, 101, 102, 149}
+    kept = R.keep_known(df, ids, "k", broadcast_limit=limit)
+    assert rows(kept) == sorted(((i, k) for i, k in enumerate(keys) if k in known), key=repr)
+    dropped = R.drop_known(df, ids, "k", broadcast_limit=limit)
+    assert rows(dropped) == sorted(((i, k) for i, k in enumerate(keys) if k not in known), key=repr)
+    assert {7, 8} <= set(R.hot_keys(df, "k"))
+
+
 def test_missing_ratio_thresholds(spark):
     groups = {f"g{i}": [f"c{i}"] for i in range(9)} | {"g9": ["absent"]}
     cols = ", ".join(f"c{i} int" for i in range(9))
