@@ -23,7 +23,7 @@ from leadloom.operators import modelling as M
 from leadloom.operators import outliers as O
 from leadloom.operators import ranking as K
 from leadloom.plans import conversion, lead, topup
-from leadloom.session import materialise, shared_dir, training_table
+from leadloom.session import materialise, shared_dir, spread, training_table
 
 AS_OF = datetime(2001, 8, 2)
 SMALL_SPACE = {
@@ -112,7 +112,7 @@ _TEXT = ["lang", "source"]
 
 def _documents(spark, d):
     rows = B.table(spark, d, "labels").join(B.table(spark, d, "documents"), "doc_id")
-    rows = rows.withColumn("n_words", F.size(X.note_tokens("text"))).drop("text")
+    rows = spread(rows).withColumn("n_words", F.size(X.note_tokens("text"))).drop("text")
     rows = materialise(K.stratified_folds(rows, "doc_id", "quality"))
     plan = M.fit_features(rows, _NUMERIC, _TEXT)
     return plan, training_table(plan.apply(rows).withColumn("label", F.col("quality")))
@@ -361,6 +361,25 @@ def topup_features(spark, d):
     return B.tidy(rows.select(F.col("Client ID").alias("client_id"), "SegmentClass", "they_topped_up", "created_at"))
 
 
+def topup_table(spark, d):
+    """The top-up table: every client once, in exactly one of the four segments."""
+    rows = topup.topup_features(_clients(spark, d), AS_OF, restarts=1)
+    marks = sum(F.col(f"SegmentClass_{i}") for i in range(4))
+    own = F.element_at(F.array(*[F.col(f"SegmentClass_{i}") for i in range(4)]), F.col("SegmentClass") + 1)
+    return B.tidy(
+        rows.select(
+            F.col("Client ID").alias("client_id"), "they_topped_up", F.col("First Commitment Amount").alias("first_amount"),
+            ((marks == 1) & (own == 1)).alias("one_segment"), "created_at", "pipeline_run_id",
+        )
+    )
+
+
+TOPUP_TABLE_SQL = """SELECT c_custkey AS client_id, late AS they_topped_up, round(first_amount, 6) AS first_amount, true AS one_segment,
+  TIMESTAMP '2001-08-02 00:00:00' AS created_at, '20010802_000000' AS pipeline_run_id
+FROM customer LEFT JOIN (SELECT o_custkey, count(*) FILTER (WHERE o_orderdate >= TIMESTAMP '2001-02-01') AS late,
+    max(o_totalprice) FILTER (WHERE o_orderdate < TIMESTAMP '2001-02-01') AS first_amount FROM orders GROUP BY 1) ON o_custkey = c_custkey"""
+
+
 def topup_action_list(spark, d):
     """The whole top-up plan: segments, outliers, model, explanations, request bodies."""
     clients = _clients(spark, d)
@@ -408,5 +427,6 @@ QUERIES = {
     "lead_predictions": (lead_predictions, None),
     "conversion_predictions": (conversion_predictions, None),
     "topup_features": (topup_features, None),
+    "topup_table": (topup_table, TOPUP_TABLE_SQL),
     "topup_action_list": (topup_action_list, None),
 }

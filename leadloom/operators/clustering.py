@@ -64,6 +64,8 @@ def segment_entities(
     assembler = VectorAssembler(inputCols=names, outputCol="__features")
     wide = assembler.transform(df.drop(out).withColumns(dict(zip(names, zeroed)))).drop(*names)
     training = materialise(wide.select("__features"))
+    if training.isEmpty():
+        return df.withColumn(out, F.lit(0)).withColumns(flags)
     clusters = fit_clusters(training, "__features", k, seed, restarts)
     return clusters.assign(wide, out).drop("__features").withColumns(flags)
 

@@ -87,7 +87,7 @@ def sorted_codes(df: DataFrame, col: str, value: str = "value", code: str = "cod
     cuts = sorted(set(sample[len(sample) * i // slices] for i in range(1, slices))) if sample else []
     place = F.size(F.filter(F.lit(cuts), lambda c: c <= F.col(value))) if cuts else F.lit(0)
     ranged = words.withColumn("__r", place)
-    earlier = Window.orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)  # over ``slices`` rows
     sizes = ranged.groupBy("__r").agg(F.count("*").alias("__n"))
     shift = sizes.select("__r", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__shift"))
     rank = F.row_number().over(Window.partitionBy("__r").orderBy(value))

@@ -139,6 +139,7 @@ def roc_auc(
     per_range = ranged.withColumn("__w", wins).groupBy(*by, "__r").agg(
         F.sum("__w").alias("__w"), F.sum("__p").alias("__p"), F.sum("__n").alias("__n")
     )
+    # One row per range from here on.
     lower = Window.partitionBy(*by).orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
     total = per_range.withColumn("__w", F.col("__w") + F.col("__p") * F.coalesce(F.sum("__n").over(lower), F.lit(0)))
     out = total.groupBy(*by).agg(

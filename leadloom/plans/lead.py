@@ -110,6 +110,7 @@ class LeadResult:
     importance: DataFrame
     shap_importance: DataFrame
     evaluation: DataFrame
+    train_evaluation: DataFrame
     fold_auc: DataFrame
     metadata: DataFrame
     trials: DataFrame
@@ -187,6 +188,7 @@ def lead_scores(
         importance=M.importance_table(spark, final, plan.names),
         shap_importance=P.mean_abs_contribution(shares),
         evaluation=V.classification_report(judged.filter("is_test"), "label", "y_pred"),
+        train_evaluation=V.classification_report(judged.filter("NOT is_test"), "label", "y_pred"),
         fold_auc=V.roc_auc(oof, "label", "probability", by=["fold"]),
         metadata=metadata,
         trials=found.trials,
