@@ -74,12 +74,15 @@ def leaf_rules(df: DataFrame, model) -> list[tuple[float, list[tuple]]]:
     return leaves
 
 
-def _shares(n_features: int, leaves: list):
-    """Vectorised function: feature matrix -> contributions, base value in the last column."""
+def _shares(n_features: int, leaves):
+    """Vectorised function: feature matrix -> contributions, base value in the last column.
+
+    ``leaves`` is a broadcast variable: a large model must not travel with every task.
+    """
 
     def contribute(x: np.ndarray) -> np.ndarray:
         out = np.zeros((len(x), n_features + 1))
-        for value, rule in leaves:
+        for value, rule in leaves.value:
             d = len(rule)
             share = np.array([s for _, _, s in rule])
             out[:, -1] += value * share.prod() if d else value
@@ -112,7 +115,8 @@ def _shares(n_features: int, leaves: list):
 
 def contributions(df: DataFrame, model, n_features: int, features: str = "features", out: str = "contributions") -> DataFrame:
     """Add an array with one contribution per feature and the base value at its end."""
-    contribute = _shares(n_features, leaf_rules(df, model))
+    leaves = df.sparkSession.sparkContext.broadcast(leaf_rules(df, model))
+    contribute = _shares(n_features, leaves)
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def explain(batch: pd.Series) -> pd.Series:

@@ -49,8 +49,16 @@ def _tree_grower(seed: int, max_depth: int):
     return grow
 
 
-def _scorer(forest: pd.DataFrame, sample: int):
-    """Vectorised scoring function: anomaly score per row of a batch of feature arrays."""
+def _tree_arrays(forest: pd.DataFrame) -> list[tuple]:
+    names = ("feature", "threshold", "left", "right", "size")
+    return [tuple(t[c].to_numpy() for c in names) for _, t in forest.sort_values("node").groupby("tree")]
+
+
+def _scorer(trees, sample: int):
+    """Vectorised scoring function: anomaly score per row of a batch of feature arrays.
+
+    ``trees`` is a broadcast variable holding the node arrays of every tree.
+    """
 
     def unsuccessful(n):
         """Average path length of a search among ``n`` points."""
@@ -58,9 +66,6 @@ def _scorer(forest: pd.DataFrame, sample: int):
         big = 2.0 * (np.log(np.maximum(n - 1.0, 1.0)) + np.euler_gamma) - 2.0 * (n - 1.0) / np.maximum(n, 1.0)
         return np.where(n > 2, big, np.where(n == 2, 1.0, 0.0))
 
-    trees = []
-    for _, t in forest.sort_values("node").groupby("tree"):
-        trees.append(tuple(t[c].to_numpy() for c in ("feature", "threshold", "left", "right", "size")))
     typical = float(unsuccessful(sample))
 
     def score(batch: pd.Series) -> pd.Series:
@@ -69,7 +74,7 @@ def _scorer(forest: pd.DataFrame, sample: int):
         x = np.vstack(batch.to_numpy())
         every = np.arange(len(x))
         total = np.zeros(len(x))
-        for feature, threshold, left, right, size in trees:
+        for feature, threshold, left, right, size in trees.value:
             at = np.zeros(len(x), dtype=int)
             depth = np.zeros(len(x))
             while True:
@@ -81,7 +86,7 @@ def _scorer(forest: pd.DataFrame, sample: int):
                 at = np.where(inner, np.where(below, left[at], right[at]), at)
                 depth += inner
             total += depth + unsuccessful(size[at])
-        return pd.Series(np.power(2.0, -(total / len(trees)) / max(typical, 1e-12)))
+        return pd.Series(np.power(2.0, -(total / len(trees.value)) / max(typical, 1e-12)))
 
     return score
 
@@ -174,7 +179,8 @@ def outlier_flags(
     forest, drawn = fit_forest(wide, id_col, "__x", trees, sample, seed)
     if len(forest) == 0:
         return df.withColumns({score: F.lit(None).cast("double"), out: F.lit(0)})
-    grade = F.pandas_udf(_scorer(forest, drawn), T.DoubleType())
+    shared = df.sparkSession.sparkContext.broadcast(_tree_arrays(forest))
+    grade = F.pandas_udf(_scorer(shared, drawn), T.DoubleType())
     scored = materialise(spread(wide).withColumn(score, grade("__x")).drop("__x"))
     cut = exact_quantile(scored, score, 1.0 - contamination)
     return scored.withColumn(out, (F.col(score) > F.lit(cut)).cast("int"))

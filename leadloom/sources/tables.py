@@ -73,11 +73,13 @@ def write_table(
     clean: bool = True,
     amp: str | None = "and",
     column_types: str | None = None,
+    partition_by: Sequence[str] = (),
 ) -> None:
     """Write a result table; an empty one replaces the previous run like any other.
 
     ``clean`` makes names and values table-safe first. ``column_types`` (see ``ddl_string``)
-    sets the column types of a JDBC table.
+    sets the column types of a JDBC table. ``partition_by`` (run id, date) lets later reads of
+    file and catalog tables skip the other partitions.
     """
     if clean:
         df = clean_output_values(drop_duplicate_columns(clean_output_names(df, amp)))
@@ -90,8 +92,9 @@ def write_table(
             options["createTableColumnTypes"] = column_types
         writer.options(**options).save()
     elif kind == "catalog":
-        df.write.mode(mode).saveAsTable(table)
+        df.write.mode(mode).partitionBy(*partition_by).saveAsTable(table)
     else:
+        writer = writer.partitionBy(*partition_by)
         options = {k: str(v) for k, v in target.items() if k not in ("format", "path")}
         writer.options(**options).save(f"{target['path'].rstrip('/')}/{table}")
 

@@ -44,6 +44,15 @@ def test_overwrite_append_and_empty(spark, tmp_path):
     assert T.read_table(spark, target, "t").count() == 0
 
 
+def test_partitioned_table_is_pruned(spark, tmp_path):
+    target = {"format": "parquet", "path": str(tmp_path)}
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, pipeline_run_id string")
+    T.write_table(df, target, "t", partition_by=["pipeline_run_id"])
+    one = T.read_table(spark, target, "t").filter("pipeline_run_id = 'b'")
+    assert [r["id"] for r in one.collect()] == [2]
+    assert "PartitionFilters: [isnotnull(pipeline_run_id" in one._jdf.queryExecution().executedPlan().toString()
+
+
 def test_other_file_formats(spark, tmp_path):
     df = spark.createDataFrame([(1, "x")], "id int, s string")
     for kind in ("orc", "json", "csv"):
