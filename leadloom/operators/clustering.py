@@ -36,22 +36,36 @@ class Clusters:
         return [centers[by_id[i]].tolist() for i in range(len(centers))]
 
 
-def fit_clusters(df: DataFrame, features: str, k: int, seed: int = 42, restarts: int = 1, max_iter: int = 20) -> Clusters:
-    """The cheapest of ``restarts`` seeded k-means fits.
+def fit_clusters(
+    df: DataFrame, features: str, k: int, seed: int = 42, restarts: int = 1, max_iter: int = 20, weight: str | None = None
+) -> Clusters:
+    """The cheapest of ``restarts`` seeded k-means fits; ``weight`` counts the rows a vector stands for.
 
     Cluster numbers follow (size descending, first centroid coordinate), so they do not depend
     on the order in which the algorithm found the clusters.
     """
     best = None
     for i in range(restarts):
-        model = KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol=features, predictionCol="__cluster").fit(df)
+        means = KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol=features, predictionCol="__cluster")
+        model = (means.setWeightCol(weight) if weight else means).fit(df)
         if best is None or model.summary.trainingCost < best.summary.trainingCost:
             best = model
-    sizes, centers = best.summary.clusterSizes, best.clusterCenters()
-    order = sorted(range(len(centers)), key=lambda i: (-sizes[i], centers[i][0]))
+    n = F.sum(weight) if weight else F.count("*")
+    sizes = {r["__cluster"]: r["n"] for r in best.transform(df).groupBy("__cluster").agg(n.alias("n")).collect()}
+    centers = best.clusterCenters()
+    order = sorted(range(len(centers)), key=lambda i: (-sizes.get(i, 0), centers[i][0]))
     return Clusters(best, {old: new for new, old in enumerate(order)})
 
 
+def _distinct(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Distinct rows with their number in ``__w``, in an order that does not depend on the input.
+
+    Copies (empty profiles, stock phrases) collapse before the shuffle, so however many there
+    are they cost one row, and a fit on the result gives the same clusters on every run.
+    """
+    return df.groupBy(*cols).agg(F.count("*").cast("double").alias("__w")).sortWithinPartitions(*cols)
+
+
 def segment_entities(
     df: DataFrame, numeric: Sequence[str], k: int = 4, seed: int = 42, restarts: int = 10, out: str = "SegmentClass"
 ) -> DataFrame:
@@ -62,11 +76,12 @@ def segment_entities(
     zeroed = [F.coalesce(F.col(quoted(c)).cast("double"), F.lit(0.0)) for c in numeric]
     names = [f"__x{i}" for i in range(len(numeric))]
     assembler = VectorAssembler(inputCols=names, outputCol="__features")
-    wide = assembler.transform(df.drop(out).withColumns(dict(zip(names, zeroed)))).drop(*names)
-    training = materialise(wide.select("__features"))
+    points = _distinct(df.select(*[c.alias(n) for n, c in zip(names, zeroed)]), names)
+    training = materialise(assembler.transform(points).select("__features", "__w"))
     if training.isEmpty():
         return df.withColumn(out, F.lit(0)).withColumns(flags)
-    clusters = fit_clusters(training, "__features", k, seed, restarts)
+    clusters = fit_clusters(training, "__features", k, seed, restarts, weight="__w")
+    wide = assembler.transform(df.drop(out).withColumns(dict(zip(names, zeroed)))).drop(*names)
     return clusters.assign(wide, out).drop("__features").withColumns(flags)
 
 
@@ -88,11 +103,11 @@ def segment_notes_by_text(
     """
     valid = X.has_text(note)
     if embedding:
-        ready = valid & F.col(embedding).isNotNull()
-        vectors = events.withColumn("__ok", ready).withColumn(
-            "__v", array_to_vector(F.when(ready, F.col(embedding).cast("array<double>")).otherwise(F.array(F.lit(0.0))))
-        )
-        training = materialise(vectors.filter("__ok").select("__v"))
+        numbers = F.col(embedding).cast("array<double>")
+        marked = events.withColumn("__ok", valid & F.col(embedding).isNotNull())
+        points = _distinct(marked.filter("__ok").select(numbers.alias("__x")), ["__x"])
+        training = materialise(points.select(array_to_vector("__x").alias("__v"), "__w"))
+        n_notes = training.agg(F.sum("__w")).first()[0] or 0
     else:
         # Cleaning is the costly step. It runs once, into a stored copy; the terms are derived
         # from that copy again, because they would take three times its space.
@@ -100,22 +115,21 @@ def segment_notes_by_text(
         cleaned = cleaned.withColumn("__ok", valid & (F.col("__text") != ""))
         texts = cleaned.filter("__ok").select("__text")
         terms = N.fit_terms(texts, "__text", **term_options)
-        if not terms.terms:
-            return events.withColumn(out, F.lit(-1))
-        weights = N.tfidf_model(terms, "__grams", "__v")
-        vectors = weights.transform(cleaned.withColumn("__grams", N.grams("__text"))).drop(
-            "__tf", "__tfidf", "__grams", "__text"
-        )
-        training = materialise(vectors.filter("__ok").select("__v"))
-    if training.limit(min_notes + 1).count() <= min_notes:
+        n_notes = terms.n_docs if terms.terms else 0
+    if n_notes <= min_notes:
         return events.withColumn(out, F.lit(-1))
-    clusters = fit_clusters(training, "__v", k, seed)
     if embedding:
+        clusters = fit_clusters(training, "__v", k, seed, weight="__w")
         # Rows without a vector must not reach the model: it rejects other dimensions.
-        width = len(clusters.centroids()[0])
-        blank = F.array_repeat(F.lit(0.0), width)
-        vectors = vectors.withColumn(
-            "__v", array_to_vector(F.when(F.col("__ok"), F.col(embedding).cast("array<double>")).otherwise(blank))
+        blank = F.array_repeat(F.lit(0.0), len(clusters.centroids()[0]))
+        vectors = marked.withColumn("__v", array_to_vector(F.when(F.col("__ok"), numbers).otherwise(blank)))
+    else:
+        weights = N.tfidf_model(terms, "__grams", "__v")
+        points = _distinct(texts, ["__text"]).withColumn("__grams", N.grams("__text"))
+        training = materialise(weights.transform(points).select("__v", "__w"))
+        clusters = fit_clusters(training, "__v", k, seed, weight="__w")
+        vectors = weights.transform(cleaned.withColumn("__grams", N.grams("__text"))).drop(
+            "__tf", "__tfidf", "__grams", "__text"
         )
     return (
         clusters.assign(vectors, "__segment")

@@ -150,6 +150,18 @@ def test_notes_keep_their_own_segment(spark):
     assert {r["NoteSegment"] for r in few.collect()} == {-1}
 
 
+def test_note_segments_do_not_depend_on_the_layout(spark):
+    rng = random.Random(9)
+    stock = ["call budget offer", "visit hotel travel", "contract lawyer clause", "price bank fund"]
+    notes = [(i, rng.choice(stock) if i % 3 else "no answer left message") for i in range(300)]
+    df = spark.createDataFrame(notes, "i int, t string")
+    seen = set()
+    for n in (1, 5, 13):
+        got = C.segment_notes_by_text(df.repartition(n), "t", min_df=2).collect()
+        seen.add(tuple(sorted((r["i"], r["NoteSegment"]) for r in got)))
+    assert len(seen) == 1
+
+
 def test_notes_with_embeddings(spark):
     rows = [(i, "note" if i else None, [float(i % 3) * 5, 1.0] if i != 5 else None) for i in range(40)]
     df = spark.createDataFrame(rows, "i int, t string, e array<double>")
