@@ -4,10 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from leadloom.llm import mixing, quality, simhash
+from leadloom.llm import decontam, mixing, quality, simhash, tokenstore
 from leadloom.llm.tables import read
 
 
+def tokenizer_path() -> str:
+    """The tokenizer file of the queries; every worker has it at the same place."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op5_token_ids(spark, d):
+    return tokenstore.stored_layout(read(spark, d, "documents").select("doc_id", "text"), tokenizer_path())
+
+
 def op7_simhash(spark, d):
     found = simhash.near_duplicates(read(spark, d, "documents").select("doc_id", "text"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -17,12 +28,31 @@ def op8_quality(spark, d):
     return quality.quality_measures(read(spark, d, "documents").select("doc_id", "text")).drop("text")
 
 
+def op9_decontamination(spark, d):
+    found = decontam.contained_items(read(spark, d, "documents").select("doc_id", "text"), read(spark, d, "benchmark"))
+    return found.drop("_text")
+
+
+_SHINGLES = """
+  SELECT DISTINCT {key}, unnest(CASE WHEN len(w) = 0 THEN [] ELSE
+    list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS shingle FROM (
+  SELECT {key}, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS w FROM {table})"""
+DECONTAMINATION_SQL = f"""WITH theirs AS ({_SHINGLES.format(key='item_id', table='benchmark')}),
+ours AS ({_SHINGLES.format(key='doc_id, text', table='documents')}),
+sizes AS (SELECT item_id, count(*) AS q FROM theirs GROUP BY item_id),
+shared AS (SELECT doc_id, text, item_id, count(*) AS n FROM ours JOIN theirs USING (shingle) GROUP BY ALL)
+SELECT doc_id, item_id, n AS n_shared, q AS n_shingles, n / q AS containment
+FROM shared JOIN sizes USING (item_id) WHERE n >= ceil(q * 0.8)"""
+
+
 def op10_mixing(spark, d):
     return mixing.mix_plan(read(spark, d, "documents").select("doc_id", "source", "text")).drop("source", "rate", "copies")
 
 
 QUERIES = {
+    "op5_token_ids": (op5_token_ids, None),
     "op7_simhash": (op7_simhash, None),
     "op8_quality": (op8_quality, None),
+    "op9_decontamination": (op9_decontamination, DECONTAMINATION_SQL),
     "op10_mixing": (op10_mixing, None),
 }
