@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from leadloom.llm import decontam, mixing, quality, simhash, tokenstore
+from leadloom.llm import decontam, linefreq, mixing, quality, secretscan, simhash, tokenstore
 from leadloom.llm.tables import read
 
 
+def op1_secrets(spark, d):
+    return secretscan.scan(read(spark, d, "documents").select("doc_id", "text"))
+
+
 def tokenizer_path() -> str:
     """The tokenizer file of the queries; every worker has it at the same place."""
     import public_tokenizers
@@ -19,6 +23,29 @@ def op5_token_ids(spark, d):
     return tokenstore.stored_layout(read(spark, d, "documents").select("doc_id", "text"), tokenizer_path())
 
 
+def op6_site_lines(spark, d):
+    return linefreq.drop_site_lines(read(spark, d, "pages").select("page_id", "url", "html"))
+
+
+def _lines_sql() -> str:
+    text = r"regexp_replace(coalesce(html, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
+    for pattern in linefreq.HIDDEN:
+        text = f"regexp_replace({text}, '{pattern}', chr(10), 'g')"
+    text = f"regexp_replace(regexp_replace({text}, '{linefreq.BREAKS}', chr(10), 'g'), '<[A-Za-z/!?][^>]*>', '', 'g')"
+    for name, sign in linefreq.SIGNS:
+        text = f"replace({text}, '{name}', '{sign.replace(chr(39), chr(39) * 2)}')"
+    return f"list_filter(list_transform(string_split(regexp_replace({text}, ' +', ' ', 'g'), chr(10)), lambda x: trim(x)), lambda x: x <> '')"
+
+
+SITE_LINES_SQL = f"""WITH cut AS (
+  SELECT page_id, url, lower(regexp_extract(coalesce(url, ''), '{linefreq.HOST}', 1)) AS host, {_lines_sql()} AS lines FROM pages),
+totals AS (SELECT host, count(*) AS total FROM cut GROUP BY host),
+counted AS (SELECT host, line, count(*) AS n FROM (SELECT host, unnest(list_distinct(lines)) AS line FROM cut) GROUP BY ALL),
+often AS (SELECT host, list(line) AS o FROM counted JOIN totals USING (host) WHERE n >= {linefreq.MIN_PAGES} AND n > total * {linefreq.MAX_SHARE} GROUP BY host),
+done AS (SELECT page_id, url, lines, list_filter(lines, lambda x: NOT list_contains(coalesce(o, []), x)) AS kept FROM cut LEFT JOIN often USING (host))
+SELECT page_id, url, len(lines) AS n_lines, len(lines) - len(kept) AS n_dropped, array_to_string(kept, chr(10)) AS text FROM done"""
+
+
 def op7_simhash(spark, d):
     found = simhash.near_duplicates(read(spark, d, "documents").select("doc_id", "text"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -50,7 +77,9 @@ def op10_mixing(spark, d):
 
 
 QUERIES = {
+    "op1_secrets": (op1_secrets, None),
     "op5_token_ids": (op5_token_ids, None),
+    "op6_site_lines": (op6_site_lines, SITE_LINES_SQL),
     "op7_simhash": (op7_simhash, None),
     "op8_quality": (op8_quality, None),
     "op9_decontamination": (op9_decontamination, DECONTAMINATION_SQL),
