@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from leadloom.llm import decontam, linefreq, mixing, quality, secretscan, simhash, tokenstore
+from leadloom.llm import decontam, linefreq, mixing, quality, secretscan, simhash, sitestyle, tokenstore, toxicity, warc
 from leadloom.llm.tables import read
 
 
@@ -12,6 +12,20 @@ def op1_secrets(spark, d):
     return secretscan.scan(read(spark, d, "documents").select("doc_id", "text"))
 
 
+def op2_warc(spark, d):
+    return warc.archived(read(spark, d, "pages").select("page_id", "url", "html")).drop("file", "offset")
+
+
+def op3_main_text(spark, d):
+    return sitestyle.main_text(read(spark, d, "pages").select("page_id", "url", "html"))
+
+
+def op4_toxicity(spark, d):
+    docs = read(spark, d, "documents").select("doc_id", "text")
+    model = toxicity.fit(toxicity.labelled_texts(docs, read(spark, d, "labels")))
+    return toxicity.severity(docs, model)
+
+
 def tokenizer_path() -> str:
     """The tokenizer file of the queries; every worker has it at the same place."""
     import public_tokenizers
@@ -78,6 +92,9 @@ def op10_mixing(spark, d):
 
 QUERIES = {
     "op1_secrets": (op1_secrets, None),
+    "op2_warc": (op2_warc, None),
+    "op3_main_text": (op3_main_text, None),
+    "op4_toxicity": (op4_toxicity, None),
     "op5_token_ids": (op5_token_ids, None),
     "op6_site_lines": (op6_site_lines, SITE_LINES_SQL),
     "op7_simhash": (op7_simhash, None),

@@ -35,6 +35,6 @@ def write_frames(frames: DataFrame, path: str) -> None:
 
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:
-    """(file, content) of each file; file names sort in the order of the partitions that wrote them."""
+    """(file, content) of each file; file names sort in the order of the partitions that wrote them. Files without a byte are left out."""
     found = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    return found.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content")
+    return found.filter("length > 0").select(F.element_at(F.split("path", "/"), -1).alias("file"), "content")
