@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from leadloom.llm.linefreq import host_of
 from leadloom.llm.tables import same
-from leadloom.session import materialise, spread
+from leadloom.session import materialise
 
 MIN_PAGES = 5
 MIN_IMPORTANCE = 0.25
@@ -248,10 +248,10 @@ def main_text(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url"), min_
     branches is joined by host: broadcast if Spark finds it small, split where a host is skewed.
     """
     hosted = pages.select(*keep, host_of("url").alias("host"), "html")
-    judged = node_importance(style_nodes(spread(hosted.select("host", "html"))))
+    judged = node_importance(style_nodes(hosted.select("host", "html")))
     low = judged.filter((F.col("pages") >= min_pages) & (F.col("importance") < min_importance))
     by_host = materialise(low.groupBy("host").agg(F.collect_list("node").alias("low")))
-    joined = spread(hosted).join(by_host, "host", "left").select(*keep, "html", "low")
+    joined = hosted.join(by_host, "host", "left").select(*keep, "html", "low")
 
     @F.pandas_udf("string")
     def extract(sources: pd.Series, lows: pd.Series) -> pd.Series:
