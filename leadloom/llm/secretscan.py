@@ -96,7 +96,8 @@ def _two_sided(z: Column) -> Column:
 def randomness(tokens: DataFrame, token: str = "found") -> DataFrame:
     """``tokens`` with encoding, p_random (battery) and p_text (class changes); tokens that fit no encoding get nulls.
 
-    Built row by row from column functions over the token's characters.
+    Built row by row from column functions over the token's characters. The tokens with their values are
+    stored on the way, dealt out evenly: a few bytes of input mean much work here.
     """
     name, size, values = F.lit(None).cast("string"), F.lit(None).cast("int"), F.lit(None).cast("array<int>")
     squares = F.lit(None).cast("bigint")
@@ -109,7 +110,8 @@ def randomness(tokens: DataFrame, token: str = "found") -> DataFrame:
         )
         name, size = F.when(fits, F.lit(label)).otherwise(name), F.when(fits, F.lit(len(alphabet))).otherwise(size)
         values, squares = F.when(fits, code).otherwise(values), F.when(fits, counts).otherwise(squares)
-    df = tokens.withColumns({"encoding": name, "_k": size, "_v": values, "_sq": squares, "_n": F.length(token).cast("double")})
+    tokens = tokens.repartition(int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    df = materialise(tokens.withColumns({"encoding": name, "_k": size, "_v": values, "_sq": squares, "_n": F.length(token).cast("double")}))
     k, n = F.col("_k").cast("double"), F.col("_n")
     z_symbols = (k / n * F.col("_sq") - n - (k - 1)) / F.sqrt(2 * (k - 1) * (n - 1) / n)
 
@@ -190,7 +192,8 @@ def scan(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",
     found = materialise(docs.select(*[F.col(c).alias(n) for c, n in zip(keep, names, strict=True)], F.monotonically_increasing_id().alias("_row"), *cells))
     spans = materialise(raw_spans(found))
     last = len(KINDS) - 1
-    picked = discoveries(randomness(spans.filter(F.col("k") == last))).select("_row", "k", "start", "end")
+    tested = materialise(randomness(spans.filter(F.col("k") == last)))
+    picked = discoveries(tested).select("_row", "k", "start", "end")
     every = spans.filter(F.col("k") < last).select("_row", "k", "start", "end").unionByName(picked)
     first = F.min("k").over(Window.partitionBy("_row", "start", "end"))
     every = every.withColumn("_first", first).filter((F.col("k") < last) | (F.col("_first") == last))
