@@ -93,6 +93,10 @@ def _two_sided(z: Column) -> Column:
     return F.when(x < 3, poly * F.exp(-x * x)).otherwise(far)
 
 
+def _place_in(alphabet: str):
+    return lambda c: F.instr(F.lit(alphabet), c) - 1
+
+
 def randomness(tokens: DataFrame, token: str = "found") -> DataFrame:
     """``tokens`` with encoding, p_random (battery) and p_text (class changes); tokens that fit no encoding get nulls.
 
@@ -103,7 +107,7 @@ def randomness(tokens: DataFrame, token: str = "found") -> DataFrame:
     squares = F.lit(None).cast("bigint")
     for label, alphabet, pattern in reversed(ENCODINGS):
         fits = F.rlike(token, F.lit(pattern))
-        code = F.transform(F.split(token, ""), lambda c, a=alphabet: (F.instr(F.lit(a), c) - 1))
+        code = F.transform(F.split(token, ""), _place_in(alphabet))
         letters = F.array(*[F.lit(c) for c in alphabet])
         counts = F.aggregate(
             letters, F.lit(0).cast("bigint"), lambda s, c: s + F.pow(F.length(token) - F.length(F.replace(F.col(token), c, F.lit(""))), 2).cast("bigint")
@@ -111,7 +115,7 @@ def randomness(tokens: DataFrame, token: str = "found") -> DataFrame:
         name, size = F.when(fits, F.lit(label)).otherwise(name), F.when(fits, F.lit(len(alphabet))).otherwise(size)
         values, squares = F.when(fits, code).otherwise(values), F.when(fits, counts).otherwise(squares)
     tokens = tokens.repartition(int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    df = materialise(tokens.withColumns({"encoding": name, "_k": size, "_v": values, "_sq": squares, "_n": F.length(token).cast("double")}))
+    df = materialise(tokens.withColumns({"encoding": name, "_k": size, "_v": values, "_sq": squares, "_n": F.greatest(F.length(token), F.lit(2)).cast("double")}))
     k, n = F.col("_k").cast("double"), F.col("_n")
     z_symbols = (k / n * F.col("_sq") - n - (k - 1)) / F.sqrt(2 * (k - 1) * (n - 1) / n)
 

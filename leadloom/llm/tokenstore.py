@@ -179,7 +179,8 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, text: str = "text",
 
     order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text"), F.col("_tie")]
     size = int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // FILE_BYTES))
+    known = size if size < 1 << 60 else 0  # Spark gives the largest number where it has no figure
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-known // FILE_BYTES))
     dealt = rows.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(parts, *order).sortWithinPartitions(*order)
     write_frames(dealt.select("doc_id", "text").mapInPandas(run, "value binary"), f"{path}/ids")
 
