@@ -66,9 +66,9 @@ def drop_site_lines(pages: DataFrame, url: str = "url", html: str = "html", keep
 
     Null and empty pages have no lines; pages without a host form one site; a line that a page repeats
     counts once; repeated rows are pages of their own; pages of a site too small to judge keep all
-    lines; an empty table gives no rows. Columns other than ``keep``, url and html are not read.
+    lines; an empty table gives no rows. The lines are cut once and stored. Columns other than ``keep``, url and html are not read.
     """
-    cut = pages.select(*keep, host_of(url).alias("_host"), html_lines(html).alias("_lines"))
+    cut = materialise(pages.select(*keep, host_of(url).alias("_host"), html_lines(html).alias("_lines")))
     found = boilerplate(cut.select(F.col("_host").alias("host"), F.col("_lines").alias("lines")), max_share, min_pages)
     by_host = materialise(found.groupBy(F.col("host").alias("_host")).agg(F.collect_list("key").alias("_often")))
     joined = cut.join(by_host, same(cut, by_host, ["_host"]), "left").select(cut["*"], "_often")
