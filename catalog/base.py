@@ -157,7 +157,3 @@ def _q(name: str) -> str:
 
 def tidy(df: DataFrame) -> DataFrame:
     return whole(rounded(df))
-
-
-def tidy_sql(cte: str, body: str) -> str:
-    return f"WITH {cte} {body}" if cte else body

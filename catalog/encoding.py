@@ -33,12 +33,14 @@ def topk_bucket_onehot(spark, d):
     rows = B.contacts(spark, d).select("contact_id", "Country")
     top = C.fit_top_values(rows, ["Country"], 5)["Country"]
     bucketed = C.top_or_other(rows, "Country", values=top)
-    flags = C.onehot(bucketed, {"Country": ["Other"]})
-    return B.whole(flags.select("contact_id", "Country", "Country_Other"))
+    flags = C.onehot(bucketed, {"Country": [*top, "Other"]})
+    ranked = [F.col(f"`Country_{v}`").alias(f"Country_top{i}") for i, v in enumerate(top, 1)]
+    return B.whole(flags.select("contact_id", "Country", "Country_Other", *ranked))
 
 
-TOPK_SQL = _C + """, top AS (SELECT "Country" AS c FROM contacts GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 5)
-SELECT contact_id, coalesce(c, 'Other') AS "Country", CAST(CASE WHEN c IS NULL THEN 1 ELSE 0 END AS BIGINT) AS "Country_Other"
+TOPK_SQL = _C + """, top AS (SELECT "Country" AS c, row_number() OVER (ORDER BY count(*) DESC, "Country") AS r FROM contacts GROUP BY 1 QUALIFY r <= 5)
+SELECT contact_id, coalesce(c, 'Other') AS "Country", CAST(CASE WHEN c IS NULL THEN 1 ELSE 0 END AS BIGINT) AS "Country_Other",
+  """ + ", ".join(f"CAST(coalesce(r, 0) = {i} AS BIGINT) AS \"Country_top{i}\"" for i in range(1, 6)) + """
 FROM contacts LEFT JOIN top ON c = "Country" """
 
 

@@ -97,7 +97,7 @@ FROM meetings"""
 
 
 def segment_count_pivot(spark, d):
-    return E.segment_counts(B.table(spark, d, "events"), "user_id", "event_type", ("click", "error", "purchase", "view"))
+    return E.segment_counts(B.table(spark, d, "events"), "user_id", "event_type", ("click", "error", "purchase", "signup", "view"))
 
 
 def segment_facts(spark, d):
@@ -147,8 +147,8 @@ SAMPLE_NOTE_SQL = (
 
 def segment_notes_preview(spark, d):
     return E.segment_notes(
-        B.table(spark, d, "conversations"), "conv_id", "role", "text", [F.asc("turn")], ("user", "assistant"),
-        stem="Segment", descriptions={"user": "Contact", "assistant": "Advisor"},
+        B.table(spark, d, "conversations"), "conv_id", "role", "text", [F.asc("turn")], ("user", "assistant", "system"),
+        stem="Segment", descriptions={"user": "Contact", "assistant": "Advisor", "system": "Notice"},
     )
 
 
@@ -158,7 +158,7 @@ PREVIEW_SQL = (
         f"coalesce(arg_min(text, turn) FILTER (WHERE role = '{r}'), '') AS \"Segment_{r}_SampleNote\","
         f" coalesce(string_agg(text, ' | ' ORDER BY turn) FILTER (WHERE role = '{r}' AND rn <= 10), '')"
         f" AS \"Segment_{r}_NotesPreview\", '{t}' AS \"Segment_{r}_Description\""
-        for r, t in (("user", "Contact"), ("assistant", "Advisor"))
+        for r, t in (("user", "Contact"), ("assistant", "Advisor"), ("system", "Notice"))
     )
     + " FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, role ORDER BY turn) AS rn FROM conversations"
     " WHERE text IS NOT NULL) GROUP BY conv_id"
@@ -201,7 +201,7 @@ QUERIES = {
         segment_count_pivot,
         "SELECT user_id, "
         + ", ".join(
-            f"count(*) FILTER (WHERE event_type = '{t}') AS \"SegmentCount_{t}\"" for t in ("click", "error", "purchase", "view")
+            f"count(*) FILTER (WHERE event_type = '{t}') AS \"SegmentCount_{t}\"" for t in ("click", "error", "purchase", "signup", "view")
         )
         + " FROM events GROUP BY user_id",
     ),

@@ -333,7 +333,7 @@ def lead_predictions(spark, d):
 def conversion_predictions(spark, d):
     """The whole conversion plan: clustered notes, search, in-sample and out-of-fold scores."""
     features = materialise(_conversion_features(spark, d, segmented=False))
-    found = conversion.conversion_scores(features, AS_OF, "contact_id", SMALL_SPACE, trials=2, max_values=12)
+    found = conversion.conversion_scores(features, AS_OF, "contact_id", SMALL_SPACE, trials=2)
     return B.tidy(found.predictions)
 
 

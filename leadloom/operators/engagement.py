@@ -226,10 +226,13 @@ def top_segment(
 
 
 def first_note(events: DataFrame, key: str, segment: str, note: str, order: str, values: Sequence, suffix: str = "SampleNote", prefix: str = "Segment") -> DataFrame:
-    """First non-null note of each contact in each listed segment, empty where there is none."""
+    """First non-null note of each contact in each listed segment, empty where there is none.
+
+    Notes at the same place are ordered by their text.
+    """
     picks = []
     for v in values:
-        position = F.when((F.col(segment) == v) & F.col(note).isNotNull(), F.col(order))
+        position = F.when((F.col(segment) == v) & F.col(note).isNotNull(), F.struct(order, note))
         picks.append(F.coalesce(F.min_by(note, position), F.lit("")).alias(f"{prefix}_{v}_{suffix}"))
     return events.groupBy(key).agg(*picks)
 

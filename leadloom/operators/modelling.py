@@ -55,6 +55,11 @@ class FeaturePlan:
     def names(self) -> list[str]:
         return [*self.numeric, *self.categories]
 
+    @property
+    def bins(self) -> int:
+        """Bins a tree needs to give every value of every category its own, at least Spark's default."""
+        return max(32, *(len(v) + 1 for v in self.categories.values())) if self.categories else 32
+
     def apply(self, df: DataFrame, out: str = "features") -> DataFrame:
         """Add the feature vector: numbers with null as 0, then indexed categories.
 
@@ -73,10 +78,10 @@ class FeaturePlan:
         return assembler.transform(wide).drop(*numbers, *texts, *codes)
 
 
-def fit_features(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = (), max_values: int = 31) -> FeaturePlan:
-    """Learn the most frequent values of every categorical column in one pass."""
+def fit_features(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = (), max_values: int | None = None) -> FeaturePlan:
+    """Learn the values of every categorical column in one pass: all, or the ``max_values`` most frequent."""
     filled = df.select(*[F.coalesce(F.col(quoted(c)).cast("string"), F.lit("")).alias(c) for c in categorical])
-    top = fit_top_values(filled, list(categorical), max_values) if categorical else {}
+    top = fit_top_values(filled, list(categorical), max_values or (1 << 31) - 1) if categorical else {}
     return FeaturePlan(tuple(numeric), {c: tuple(sorted(v)) for c, v in top.items()})
 
 
@@ -141,12 +146,14 @@ def search(
     seed: int = 42,
     parallelism: int | None = None,
     eval_col: str | None = None,
+    fixed: Mapping | None = None,
 ) -> SearchResult:
     """Random search by mean area under the ROC curve over the given folds.
 
-    Pass a stored table (``training_table``): every fit reads it.
+    Pass a stored table (``training_table``): every fit reads it. ``fixed`` holds parameters that all
+    trials share.
     """
-    pipeline = propensity_pipeline(eval_col=eval_col, seed=seed)
+    pipeline = propensity_pipeline(eval_col=eval_col, seed=seed, **(fixed or {}))
     weigher, trees = pipeline.getStages()
     draws = draw_params(space, trials, seed)
     maps = []

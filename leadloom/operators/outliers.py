@@ -16,7 +16,7 @@ from leadloom.operators.frames import quoted
 from leadloom.session import materialise, spread
 
 _TREE_SCHEMA = "tree int, node int, feature int, threshold double, left int, right int, size bigint"
-_POOL = 32  # rows drawn before the per-tree samples, in multiples of one sample
+_MARGIN = 4  # rows let through for each tree, in multiples of one sample
 
 
 def _tree_grower(seed: int, max_depth: int):
@@ -92,21 +92,20 @@ def _scorer(trees, sample: int):
 
 
 def fit_forest(df: DataFrame, id_col: str, features: str, trees: int = 100, sample: int = 256, seed: int = 42) -> tuple[pd.DataFrame, int]:
-    """Grow the trees in parallel, each from its own hash-drawn sample.
+    """Grow the trees in parallel, each from its own sample of the whole table.
 
-    A pool of a few thousand rows is drawn from the whole table first, so the work per tree is
-    constant. The node tables (at most ``2 * sample`` rows per tree) come back as one frame.
+    A row enters the sample of a tree if its hash of (tree, id, features) lies under a bound that lets
+    about four samples through, and the smallest ``sample`` hashes of each tree stay. Rows that share an id draw
+    for themselves. The node tables (at most ``2 * sample`` rows per tree) come back as one frame.
     """
     n = df.count()
     drawn = min(sample, n)
     key = F.col(quoted(id_col))
-    share = min(1.0, _POOL * sample / max(n, 1))
-    pool = df.filter(
-        F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 30)) < F.lit(math.ceil(share * 1.1 * (1 << 30)))
-    )
-    spread = pool.select(
-        F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), key.alias("__id"), F.col(features).alias("x")
-    ).withColumn("h", F.xxhash64("__id", "tree", F.lit(seed)))
+    bound = math.ceil(min(1.0, _MARGIN * sample / max(n, 1)) * (1 << 30))
+    numbers = F.sequence(F.lit(0), F.lit(trees - 1))
+    rows = df.select(key.alias("__id"), F.col(features).alias("x"), F.xxhash64(key, F.col(features), F.lit(seed)).alias("__row"))
+    picked = F.filter(numbers, lambda t: F.pmod(F.xxhash64(F.col("__row"), t), F.lit(1 << 30)) < bound)
+    spread = rows.select(F.explode(picked).alias("tree"), "__id", "x", "__row").withColumn("h", F.xxhash64("__row", "tree", F.lit(seed)))
     rank = F.row_number().over(Window.partitionBy("tree").orderBy("h", "__id"))
     samples = spread.withColumn("r", rank).filter(F.col("r") <= drawn).select("tree", "h", "x")
     depth = max(1, math.ceil(math.log2(max(drawn, 2))))

@@ -40,17 +40,13 @@ def known_events(
     event_key: str,
     spec: E.EngagementSpec,
     extra: Sequence[str] = (),
-    exact: bool = True,
 ) -> DataFrame:
     """The columns of interest of the events of the given contacts, under the contact key.
 
-    With ``exact`` unset the events of other contacts may stay in, for the final join to drop:
-    shuffling all events just to discard some costs more than carrying their partial sums.
+    The filter comes before any cleaning or clustering, at every size.
     """
     wanted = [event_key, "CreateDate", "ActivityDate", spec.outcome, spec.note, *extra]
     mine = R.rename_key(R.select_existing(events, wanted), event_key, key)
-    if not exact and not R.few_ids(contacts.select(key)):
-        return mine
     return R.keep_known(mine, contacts, key)
 
 

@@ -69,8 +69,7 @@ def conversion_features(
     embedding = [cfg.embedding] if cfg.embedding else []
 
     def branch(events: DataFrame, spec: E.EngagementSpec, segment: str, settle: bool) -> DataFrame:
-        fit_notes = segment not in events.columns
-        mine = known_events(events, base, cfg.key, cfg.event_key, spec, [segment, *embedding], exact=fit_notes)
+        mine = known_events(events, base, cfg.key, cfg.event_key, spec, [segment, *embedding])
         return _branch(E.settle_dates(mine) if settle else mine, spec, segment, as_of, cfg)
 
     met = branch(meetings, E.MEETINGS, "NoteSegment", settle=True)
@@ -109,13 +108,15 @@ def conversion_scores(
     model_path: str = "",
     action_score: str = "oof_probability",
     open_only: bool = False,
-    max_values: int = 31,
+    max_values: int | None = None,
+    explain_rows: int | None = None,
 ) -> ConversionResult:
     """Search, out-of-fold scores and evaluation, production model, importances, action list.
 
     Rows without a target are not trained on but do get a production score. The action list
     uses the out-of-fold score unless ``action_score`` says ``probability``; ``open_only``
-    leaves out rows that are clients already.
+    leaves out rows that are clients already. Categories enter with all their values, or with the
+    ``max_values`` most frequent; ``explain_rows`` limits the contribution summary to a seeded sample.
     """
     spark = features.sparkSession
     barred = [key, *vocab.CONVERSION_NON_FEATURES]
@@ -126,16 +127,17 @@ def conversion_scores(
     table = training_table(M.eval_slice(K.stratified_folds(table, key, "label", 5, seed), key, seed=seed))
     labelled = table.filter(F.col("label").isNotNull())
 
-    found = M.search(labelled, space, trials, "fold", 5, seed, parallelism, eval_col="is_eval")
+    bins = {"maxBins": plan.bins}
+    found = M.search(labelled, space, trials, "fold", 5, seed, parallelism, eval_col="is_eval", fixed=bins)
     oof, models = M.oof_scores(
         labelled,
-        lambda: M.propensity_pipeline(eval_col="is_eval", seed=seed, **found.best_params),
+        lambda: M.propensity_pipeline(eval_col="is_eval", seed=seed, **{**bins, **found.best_params}),
         "fold",
         5,
         parallelism,
     )
     oof = materialise(oof.select(key, "fold", "label", "oof_prediction", "oof_probability"))
-    final = M.propensity_pipeline(seed=seed, **found.best_params).fit(labelled)
+    final = M.propensity_pipeline(seed=seed, **{**bins, **found.best_params}).fit(labelled)
     scored = M.score(table, final).select(key, F.col("label").alias("y_true"), "y_pred", "probability")
     predictions = scored.join(oof.select(key, "oof_prediction", "oof_probability"), key, "left").withColumn(
         "prediction_date", D.moment(as_of)
@@ -143,8 +145,8 @@ def conversion_scores(
     candidates = predictions.filter(F.coalesce(F.col("y_true"), F.lit(0)) == 0) if open_only else predictions
     actions = K.action_list(candidates, action_score, key, ["probability", "oof_probability"], threshold)
 
-    sample = K.seeded_sample(table, key, 100, seed)
-    shares = P.contribution_rows(P.contributions(sample, models[0], len(plan.names)), key, plan.names)
+    explained = table if explain_rows is None else K.seeded_sample(table, key, explain_rows, seed)
+    shares = P.contribution_rows(P.contributions(explained, models[0], len(plan.names)), key, plan.names)
     overall = V.roc_auc(oof, "label", "oof_probability").first()
     marks = V.binary_metrics(oof, "label", "oof_prediction").first()
     metadata = run_metadata(

@@ -91,10 +91,9 @@ def lead_features(
     leads = R.drop_existing(leads, [*vocab.PREPARATION_DROPS, *vocab.FINAL_DROPS])
     leads = R.not_equal_keep_null(leads, "LeadStageNewCEO", "Lead")
     extra = ["NoteSegment", *([cfg.embedding] if cfg.embedding else [])]
-    fit_notes = "NoteSegment" not in meetings.columns
-    met = known_events(meetings, leads, cfg.key, cfg.event_key, E.MEETINGS, extra, exact=fit_notes)
+    met = known_events(meetings, leads, cfg.key, cfg.event_key, E.MEETINGS, extra)
     met = meeting_features(met, as_of, cfg)
-    called = known_events(calls, leads, cfg.key, cfg.event_key, E.CALLS, exact=False)
+    called = known_events(calls, leads, cfg.key, cfg.event_key, E.CALLS)
     called = call_features(called, as_of, cfg)
     zero = {c: 0 for c in (*met.columns, *called.columns) if c != cfg.key and not c.startswith("TopSegment")}
     wide = R.left_attach(R.left_attach(leads, met, cfg.key), called, cfg.key)
@@ -127,9 +126,13 @@ def lead_scores(
     seed: int = 42,
     parallelism: int | None = None,
     model_path: str = "",
+    explain_rows: int | None = None,
     keep: Sequence[str] = ("CreateDate", "ContactType", "ContactOwnerId", "LeadStageNewCEO"),
 ) -> LeadResult:
-    """Search, hold-out evaluation, out-of-fold scores, importances, contributions, action list."""
+    """Search, hold-out evaluation, out-of-fold scores, importances, contributions, action list.
+
+    ``explain_rows`` limits the contribution summary to a seeded sample; by default it takes all rows.
+    """
     spark = features.sparkSession
     safe = R.sanitize_column_names(features)
     numeric = R.feature_columns(safe, [key, *vocab.LEAD_NON_FEATURES], "Target")
@@ -160,8 +163,8 @@ def lead_scores(
     stamped = oof.withColumnRenamed("label", "y_true").withColumn("prediction_date", D.moment(as_of))
     actions = K.action_list(stamped, "probability", key, keep, threshold, stage="LeadStageNewCEO")
 
-    sample = K.seeded_sample(table, key, 100, seed)
-    shares = P.contribution_rows(P.contributions(sample, models[0], len(plan.names)), key, plan.names)
+    explained = table if explain_rows is None else K.seeded_sample(table, key, explain_rows, seed)
+    shares = P.contribution_rows(P.contributions(explained, models[0], len(plan.names)), key, plan.names)
     by_split = {r["split"]: r for r in auc.collect()}
     sizes = {s: r["n_pos"] + r["n_neg"] for s, r in by_split.items()}
     none = {"auc": None}

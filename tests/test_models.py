@@ -202,3 +202,24 @@ def test_additivity_with_deep_trees(spark, table):
     got = P.contributions(model.transform(df), model, 3)
     total = F.aggregate("contributions", F.lit(0.0), lambda a, x: a + x)
     assert got.agg(F.max(F.abs(total - vector_to_array("rawPrediction")[1]))).first()[0] < 1e-9
+
+
+def test_a_rare_category_among_many_decides(spark):
+    rows = spark.range(3000).select(
+        "id", F.rand(4).alias("a"), F.concat(F.lit("v"), F.pmod(F.xxhash64("id"), F.lit(500))).alias("c")
+    )
+    rare = rows.groupBy("c").count().orderBy("count", "c").first()["c"]
+    rows = materialise(rows.withColumn("label", (F.col("c") == rare).cast("int")))
+    plan = M.fit_features(rows, ["a"], ["c"])
+    assert len(plan.categories["c"]) == rows.select("c").distinct().count() and plan.bins > 490
+    fitted = M.propensity_pipeline(maxBins=plan.bins, maxIter=2, maxDepth=2, stepSize=1.0).fit(plan.apply(rows))
+    scored = M.score(plan.apply(rows), fitted)
+    assert scored.filter(F.col("y_pred") != F.col("label")).count() == 0
+
+
+def test_every_tree_draws_from_the_whole_table(spark):
+    rows = spark.range(20000).select(
+        F.when(F.col("id") % 2 == 0, F.lit(7)).otherwise(F.col("id")).alias("id"), F.array(F.rand(1), F.rand(2)).alias("x")
+    )
+    nodes, drawn = O.fit_forest(materialise(rows), "id", "x", trees=6, sample=128)
+    assert drawn == 128 and sorted(nodes["tree"].unique()) == list(range(6))

@@ -45,7 +45,7 @@ def test_lead_plan(spark, wide, tmp_path):
 def test_conversion_plan(spark, wide):
     features = materialise(Q._conversion_features(spark, wide, segmented=False))
     assert not [c for c in features.columns if c.startswith("__")]
-    found = conversion.conversion_scores(features, Q.AS_OF, "contact_id", Q.SMALL_SPACE, trials=1, max_values=8)
+    found = conversion.conversion_scores(features, Q.AS_OF, "contact_id", Q.SMALL_SPACE, trials=1)
     rows = found.predictions.collect()
     assert len(rows) == features.count()
     assert all((r["oof_probability"] is None) == (r["y_true"] is None) for r in rows)
