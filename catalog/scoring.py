@@ -112,7 +112,8 @@ def action_list(spark, d):
     return B.tidy(K.action_list(rows, "score", "contact_id", ["CreateDate", "ContactType"], 0.5, stage="LeadStageNewCEO"))
 
 
-ACTION_SQL = f"""WITH {B.CONTACTS_SQL} SELECT contact_id, "CreateDate", "ContactType", round(c_acctbal / 10000, 6) AS score
+ACTION_SQL = f"""WITH {B.CONTACTS_SQL} SELECT contact_id, "CreateDate", "ContactType", round(c_acctbal / 10000, 6) AS score,
+  row_number() OVER (ORDER BY c_acctbal / 10000 DESC, contact_id) AS rank
 FROM contacts JOIN customer ON c_custkey = contact_id
 WHERE c_acctbal / 10000 >= 0.5 AND lower("LeadStageNewCEO") LIKE '%sql%'"""
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from catalog import base as B
 from leadloom import vocab
@@ -65,10 +64,10 @@ def term_vocabulary(spark, d):
 def tfidf_top_terms(spark, d):
     """The three heaviest terms of every document."""
     cleaned = materialise(clean_text(spark, d))  # read by both passes of the fit and by the weights
-    weights = N.tfidf_terms(cleaned, "doc_id", "cleaned", N.fit_terms(cleaned, "cleaned"))
-    weights = weights.withColumn("tfidf", F.round("tfidf", 6))
-    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.desc("tfidf"), "term"))
-    return weights.withColumn("r", rank).filter("r <= 3").select("doc_id", "term", "tfidf")
+    weighed = N.with_terms(cleaned, "cleaned", N.fit_terms(cleaned, "cleaned"))
+    ordered = F.array_sort(F.transform("terms", lambda t: F.struct((-F.round(t["tfidf"], 6)).alias("k"), t["term"].alias("term"))))
+    best = weighed.select("doc_id", F.inline(F.slice(ordered, 1, 3)))
+    return best.select("doc_id", "term", (-F.col("k")).alias("tfidf"))
 
 
 _GRAMS_SQL = rf"""

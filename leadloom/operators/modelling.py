@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from itertools import product
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
@@ -14,7 +15,6 @@ from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +44,11 @@ TOPUP_PARAMS = {
 }
 
 
+# --- fixed values: trees without a lower held-out loss before a fit ends ---------------
+PATIENCE = 100
+SEARCH_PATIENCE = 50
+
+
 @dataclass(frozen=True)
 class FeaturePlan:
     """Which columns make up the feature vector, and the values each category may take."""
@@ -89,23 +94,84 @@ def weight_statement(pos_weight: float) -> str:
     return f"SELECT *, CASE WHEN label = 1 THEN {float(pos_weight)}D ELSE 1D END AS weight FROM __THIS__"
 
 
-def propensity_pipeline(pos_weight: float = 1.0, eval_col: str | None = None, seed: int = 42, **params) -> Pipeline:
+def propensity_pipeline(
+    pos_weight: float = 1.0, eval_col: str | None = None, seed: int = 42, patience: int = PATIENCE, **params
+) -> Pipeline | PatientFit:
     """Class weighting and boosted trees on the columns ``features`` and ``label``.
 
-    With ``eval_col`` (boolean) training stops early on those rows.
+    With ``eval_col`` (boolean) training stops early on those rows (see ``PatientFit``).
     """
+    if eval_col:
+        return PatientFit(pos_weight, eval_col, seed, patience, params)
     deep = params.get("maxDepth", 5) > 10  # only there does caching node ids pay for its jobs
     trees = GBTClassifier(
         featuresCol="features", labelCol="label", weightCol="weight", seed=seed, cacheNodeIds=deep, **params
     )
-    if eval_col:
-        # The default tolerance asks for one percent per tree, more than a slow learning rate
-        # can give; zero stops at the first tree that makes the held-out loss worse.
-        trees = trees.setValidationIndicatorCol(eval_col)
-        trees.set(trees.validationTol, 0.0)
     return Pipeline(stages=[SQLTransformer(statement=weight_statement(pos_weight)), trees])
 
 
+@dataclass(frozen=True)
+class PatientFit:
+    """Boosted trees up to the one with the lowest loss on the rows of ``eval_col``.
+
+    Growing ends ``patience`` trees after the best one, or at ``maxIter``. Spark cannot go on with a
+    finished fit, so a fit that has not ended is repeated with twice the trees: a tree depends on those
+    before it and on the seed only, so the longer fit begins with the same trees. Without rows to
+    hold out all ``maxIter`` trees stay.
+    """
+
+    pos_weight: float
+    eval_col: str
+    seed: int
+    patience: int
+    params: Mapping
+
+    def fit(self, df: DataFrame) -> PipelineModel:
+        held = df.filter(F.col(self.eval_col))
+        grown = df.filter(~F.coalesce(F.col(self.eval_col), F.lit(False)))
+        most = self.params.get("maxIter", 20)
+        stops = not held.isEmpty()
+        size = min(most, 2 * self.patience) if stops else most
+        while True:
+            sized = {**self.params, "maxIter": size}
+            model = propensity_pipeline(self.pos_weight, seed=self.seed, **sized).fit(grown)
+            if not stops:
+                return model
+            kept, ended = best_trees(held_out_losses(model, held), self.patience)
+            if ended or size == most:
+                return first_trees(model, kept)
+            size = min(most, 2 * size)
+
+
+def held_out_losses(model: PipelineModel, held: DataFrame) -> list[float]:
+    """Loss on the given rows after each tree; one job."""
+    return trees_of(model).evaluateEachIteration(model.stages[0].transform(held))
+
+
+def best_trees(losses: Sequence[float], patience: int) -> tuple[int, bool]:
+    """Trees up to the lowest loss, and whether ``patience`` trees without a lower one followed."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def first_trees(model: PipelineModel, n: int) -> PipelineModel:
+    """The model of the first ``n`` trees."""
+    trees = trees_of(model)
+    gateway = SparkSession.active().sparkContext._gateway
+    ml = gateway.jvm.org.apache.spark.ml
+    every, shares = trees._java_obj.trees(), trees.treeWeights
+    some, weights = gateway.new_array(ml.regression.DecisionTreeRegressionModel, n), gateway.new_array(gateway.jvm.double, n)
+    for i in range(n):
+        some[i], weights[i] = every[i], shares[i]
+    cut = GBTClassificationModel(ml.classification.GBTClassificationModel(trees.uid, some, weights))
+    return PipelineModel([*model.stages[:-1], trees._copyValues(cut)])
+
+
 def eval_slice(df: DataFrame, id_col: str, fraction: float = 0.1, seed: int = 42, out: str = "is_eval") -> DataFrame:
     """Mark a hash-drawn share of rows for early stopping."""
     share = F.pmod(F.xxhash64(quoted(id_col), F.lit(seed)), F.lit(1_000_000)) < F.lit(int(fraction * 1_000_000))
@@ -134,7 +200,6 @@ class SearchResult:
     best_params: dict
     best_score: float
     trials: DataFrame
-    model: PipelineModel
 
 
 def search(
@@ -147,29 +212,32 @@ def search(
     parallelism: int | None = None,
     eval_col: str | None = None,
     fixed: Mapping | None = None,
+    patience: int = SEARCH_PATIENCE,
 ) -> SearchResult:
     """Random search by mean area under the ROC curve over the given folds.
 
     Pass a stored table (``training_table``): every fit reads it. ``fixed`` holds parameters that all
-    trials share.
+    trials share. The fits of all trials and folds share one pool, and nothing is fitted beyond them.
     """
-    pipeline = propensity_pipeline(eval_col=eval_col, seed=seed, **(fixed or {}))
-    weigher, trees = pipeline.getStages()
+    spark = df.sparkSession
     draws = draw_params(space, trials, seed)
-    maps = []
-    for draw in draws:
-        grid = {trees.getParam(name): value for name, value in draw.items() if name != "pos_weight"}
-        grid[weigher.statement] = weight_statement(draw.get("pos_weight", 1.0))
-        maps.append(grid)
     judge = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction", numBins=0)
-    validator = CrossValidator(
-        estimator=pipeline, estimatorParamMaps=maps, evaluator=judge, numFolds=k, foldCol=fold,
-        parallelism=parallelism or fits_at_once(df),
-    )
-    fitted = validator.fit(df)
-    best = int(np.argmax(fitted.avgMetrics))
-    table = trials_table(df.sparkSession, draws, fitted.avgMetrics, fitted.stdMetrics)
-    return SearchResult(draws[best], float(fitted.avgMetrics[best]), table, fitted.bestModel)
+    pool = ThreadPool(min(parallelism or fits_at_once(df), trials * k))
+
+    @inheritable_thread_target(spark)
+    def auc(job: tuple[int, int]) -> float:
+        trial, f = job
+        chosen = {**(fixed or {}), **draws[trial]}
+        model = propensity_pipeline(eval_col=eval_col, seed=seed, patience=patience, **chosen).fit(df.filter(F.col(fold) != f))
+        return judge.evaluate(model.transform(df.filter(F.col(fold) == f)))
+
+    try:
+        found = np.array(pool.map(auc, product(range(trials), range(k)), chunksize=1)).reshape(trials, k)
+    finally:
+        pool.close()
+    means = found.mean(axis=1)
+    best = int(np.argmax(means))
+    return SearchResult(draws[best], float(means[best]), trials_table(spark, draws, means, found.std(axis=1)))
 
 
 def trials_table(spark: SparkSession, draws: Sequence[Mapping], means: Sequence[float], stds: Sequence[float]) -> DataFrame:
@@ -194,7 +262,7 @@ def score(df: DataFrame, model: PipelineModel, probability: str = "probability",
 
 def oof_scores(
     df: DataFrame,
-    make: Callable[[], Pipeline],
+    make: Callable[[], Pipeline | PatientFit],
     fold: str = "fold",
     k: int = 5,
     parallelism: int | None = None,
@@ -231,8 +299,14 @@ def trees_of(model) -> GBTClassificationModel:
     return model
 
 
+def _importances(model, names: Sequence[str]) -> list[float]:
+    """Importance by feature; a model cut short ends at the last feature it uses."""
+    values = trees_of(model).featureImportances.toArray().tolist()
+    return values + [0.0] * (len(names) - len(values))
+
+
 def importance_table(spark: SparkSession, model, names: Sequence[str]) -> DataFrame:
-    values = trees_of(model).featureImportances.toArray()
+    values = _importances(model, names)
     return spark.createDataFrame(
         [(n, float(v)) for n, v in zip(names, values)], "feature string, importance double"
     ).orderBy(F.desc("importance"), "feature")
@@ -241,7 +315,7 @@ def importance_table(spark: SparkSession, model, names: Sequence[str]) -> DataFr
 def fold_importance(spark: SparkSession, models: Sequence, names: Sequence[str]) -> DataFrame:
     """Importance per feature, averaged over the fold models."""
     rows = [
-        (n, float(v), f + 1) for f, m in enumerate(models) for n, v in zip(names, trees_of(m).featureImportances.toArray())
+        (n, float(v), f + 1) for f, m in enumerate(models) for n, v in zip(names, _importances(m, names))
     ]
     per_fold = spark.createDataFrame(rows, "feature string, importance double, fold int")
     return per_fold.groupBy("feature").agg(F.avg("importance").alias("importance")).orderBy(

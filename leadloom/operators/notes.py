@@ -11,10 +11,9 @@ from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normali
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from leadloom.functions import text as X
-from leadloom.session import materialise, spread
+from leadloom.session import materialise, small_side, spread
 
 
 def lemma_lookup(df: DataFrame, id_col: str, tokens: str, lemmas: DataFrame, out: str = "tokens") -> DataFrame:
@@ -103,7 +102,8 @@ def fit_terms(
     Words are counted first. A pair occurs no more often than either of its words, so once
     the words alone fill the vocabulary, pairs with a word below its last entry cannot enter
     it and are dropped before they are counted. That is exact, and it keeps the many rare
-    pairs of a large corpus out of the shuffle.
+    pairs of a large corpus out of the shuffle. The words that remain are stored; their table is
+    broadcast if its size allows.
     """
     n_docs = df.count()
     tokens = df.select(words(text).alias("w"))
@@ -116,22 +116,34 @@ def fit_terms(
     top = best(singles)
     floor = max(min_df, top[-1]["cf"] if len(top) == max_features else 0)
     frequent = singles.filter((F.col("cf") >= floor) & (F.col("df") >= min_df))
+    known = small_side(materialise(frequent.select(F.col("term").alias("__w"))))
     cells = _term_counts(tokens.select(word_pairs(F.col("w")).alias("p")), F.col("p"))
     for part in (1, -1):
-        known = frequent.select(F.col("term").alias("__w"))
         cells = cells.join(known, F.substring_index("term", " ", part) == F.col("__w"), "left_semi")
     rows = sorted(top + best(_counted(cells)), key=lambda r: (-r["cf"], r["term"]))[:max_features]
     return TermVocabulary(tuple(r["term"] for r in rows), tuple(r["df"] for r in rows), n_docs)
 
 
+def with_terms(df: DataFrame, text: str, vocabulary: TermVocabulary, out: str = "terms") -> DataFrame:
+    """Add the array of (term, tfidf) of each note, of unit length, without a shuffle.
+
+    Terms outside the vocabulary do not count; a null or empty note has no terms.
+    """
+    if not vocabulary.terms:
+        return df.withColumn(out, F.lit(None).cast("array<struct<term:string,tfidf:double>>"))
+    cut = df.withColumn("__grams", F.coalesce(grams(text), F.array().cast("array<string>")))
+    weighed = tfidf_model(vocabulary, "__grams", "__weights").transform(cut)
+    names = F.split(F.lit("\n".join(vocabulary.terms)), "\n")  # one constant, not thousands of literals
+    vector = F.unwrap_udt("__weights")
+    cells = F.zip_with(
+        vector["indices"], vector["values"], lambda i, w: F.struct(F.element_at(names, i + 1).alias("term"), w.alias("tfidf"))
+    )
+    return weighed.withColumn(out, cells).drop("__grams", "__tf", "__tfidf", "__weights")
+
+
 def tfidf_terms(df: DataFrame, id_col: str, text: str, vocabulary: TermVocabulary) -> DataFrame:
-    """(id, term, tfidf) with unit length per note. The term table holds ``max_features`` rows at most."""
-    spark = df.sparkSession
-    cells = df.select(id_col, F.explode_outer(grams(text)).alias("term"))
-    known = cells.join(F.broadcast(vocabulary.frame(spark)), "term")
-    weighed = known.groupBy(id_col, "term").agg((F.count("*") * F.max("idf")).alias("w"))
-    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))
-    return weighed.select(id_col, "term", (F.col("w") / norm).alias("tfidf"))
+    """(id, term, tfidf), one row for each different term of a note."""
+    return with_terms(df, text, vocabulary).select(id_col, F.inline("terms"))
 
 
 def tfidf_model(vocabulary: TermVocabulary, gram_col: str, out: str = "features") -> PipelineModel:

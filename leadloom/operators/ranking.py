@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from leadloom.operators.frames import above, quoted, select_existing
 from leadloom.functions import text as X
+from leadloom.session import materialise
 
 _PREFIX = 4  # hexadecimal digits of the hash that make a bucket: 65,536 buckets per class
 
@@ -59,6 +60,24 @@ def seeded_sample(df: DataFrame, id_col: str, n: int = 100, seed: int = 42) -> D
     return df.orderBy(h, quoted(id_col)).limit(n)
 
 
+def with_rank(df: DataFrame, order: Sequence[Column], out: str = "rank") -> DataFrame:
+    """Number the rows from 1 in the given order.
+
+    The rows are sorted in ranges of the order, each range in its own task, and stored with their place
+    in it. A place is then shifted by the sizes of the earlier ranges.
+    """
+    dealt = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    stored = materialise(dealt.withColumn("__at", F.monotonically_increasing_id()))
+    placed = stored.select(
+        *df.columns, F.shiftrightunsigned("__at", 33).alias("__range"), F.col("__at").bitwiseAND(F.lit((1 << 33) - 1)).alias("__place")
+    )
+    earlier = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy("__range").agg(F.count("*").alias("__n"))
+    shifts = sizes.select("__range", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__shift"))
+    numbered = placed.join(shifts, "__range").withColumn(out, F.col("__shift") + F.col("__place") + 1)
+    return numbered.drop("__range", "__place", "__shift")
+
+
 def action_list(
     df: DataFrame,
     score: str,
@@ -68,12 +87,16 @@ def action_list(
     stage: str | None = None,
     stage_text: str = "SQL",
 ) -> DataFrame:
-    """Rows with a score of at least ``threshold``, best first, optionally of one stage only."""
+    """Rows with a score of at least ``threshold``, best first, optionally of one stage only.
+
+    The column ``rank`` keeps their order in tables that do not.
+    """
     rows = above(df, score, threshold)
     if stage and stage in df.columns:
         rows = rows.filter(X.contains_ci(F.col(quoted(stage)), stage_text))
     wanted = list(dict.fromkeys([id_col, *keep, score]))
-    return select_existing(rows, wanted).orderBy(F.desc(quoted(score)), F.asc(quoted(id_col)))
+    listed = select_existing(rows, wanted)
+    return with_rank(listed, [F.desc(quoted(score)), F.asc(quoted(id_col))]).orderBy("rank")
 
 
 def top_importance(df: DataFrame, n: int = 20, feature: str = "feature", value: str = "importance") -> DataFrame:

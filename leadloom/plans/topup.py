@@ -102,7 +102,7 @@ def topup_scores(
     )
     actions = actions.withColumn(
         "pitch_request", F.when(F.col("explain") == "", F.lit("")).otherwise(F.col("pitch_request"))
-    ).orderBy(F.desc(SCORE), F.asc(key))
+    ).orderBy("rank")
     if model_path:
         M.save_model(model, model_path)
     return TopupResult(

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _SCAN_PARTITION = 128 << 20  # bytes; Spark's default size of a scan partition
 _FIT_PARTITION = 16 << 20  # bytes of stored features that keep one core busy in a fit
@@ -62,6 +63,14 @@ def _estimated_bytes(df: DataFrame) -> int:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
+def small_side(df: DataFrame, most: int = 64 << 20) -> DataFrame:
+    """A stored table marked for broadcast where Spark's figures show it within the bound.
+
+    Four bytes in memory are counted for each stored one. Beyond the bound a join shuffles.
+    """
+    return F.broadcast(df) if 4 * _estimated_bytes(df) <= most else df
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Deal a small input out to all cores before work that is heavy per row.
 

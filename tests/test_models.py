@@ -116,6 +116,46 @@ def test_search_is_reproducible_and_reports_every_trial(spark, table):
     assert len(trials) == 2 and found.best_score == max(t["value"] for t in trials)
 
 
+def test_the_best_trees_are_found_with_patience():
+    assert M.best_trees([3.0, 2.0, 2.5, 1.0, 1.5, 1.2], 2) == (4, True)
+    assert M.best_trees([3.0, 2.0, 2.5, 2.5, 1.0], 2) == (2, True)
+    assert M.best_trees([3.0, 2.0, 2.0], 2) == (2, False)
+    assert M.best_trees([1.0], 5) == (1, False)
+
+
+@pytest.mark.parametrize("patience", [2, 4, 50])
+def test_early_stopping_keeps_the_trees_up_to_the_lowest_loss(spark, table, patience):
+    _, df = table
+    marked = materialise(M.eval_slice(df, "id", 0.25))
+    params = {"maxDepth": 4, "stepSize": 0.4, "maxIter": 24}
+    model = M.propensity_pipeline(eval_col="is_eval", patience=patience, pos_weight=1.5, **params).fit(marked)
+    whole = M.propensity_pipeline(pos_weight=1.5, **params).fit(marked.filter("NOT is_eval"))
+    losses = M.held_out_losses(whole, marked.filter("is_eval"))
+    kept = M.trees_of(model).getNumTrees
+    assert kept == M.best_trees(losses, patience)[0] < 24
+    assert losses[kept - 1] == min(losses[: kept + patience])
+    same = M.propensity_pipeline(pos_weight=1.5, **{**params, "maxIter": kept}).fit(marked.filter("NOT is_eval"))
+    a = {r["id"]: r["probability"] for r in M.score(df, model).collect()}
+    assert a == pytest.approx({r["id"]: r["probability"] for r in M.score(df, same).collect()}, abs=1e-9)
+    weights = [r["importance"] for r in M.importance_table(spark, model, ["a", "b", "c", "unused"]).collect()]
+    assert len(weights) == 4 and sum(weights) == pytest.approx(1.0)
+
+
+def test_without_rows_to_hold_out_all_trees_stay(spark, table):
+    _, df = table
+    fitted = M.propensity_pipeline(eval_col="none", maxIter=3, maxDepth=2).fit(df.withColumn("none", F.lit(False)))
+    assert M.trees_of(fitted).getNumTrees == 3
+
+
+def test_a_cut_model_can_be_saved(spark, table, tmp_path):
+    _, df = table
+    cut = M.first_trees(make().fit(df), 2)
+    again = M.load_model(M.save_model(cut, str(tmp_path / "cut")))
+    a = {r["id"]: r["probability"] for r in M.score(df, cut).collect()}
+    assert a == {r["id"]: r["probability"] for r in M.score(df, again).collect()}
+    assert P.contributions(df.limit(2), cut, 3).count() == 2
+
+
 def test_saved_model_scores_the_same(spark, table, tmp_path):
     _, df = table
     model = make().fit(df)

@@ -41,6 +41,14 @@ def test_sample_is_the_same_whatever_the_partitioning(spark):
     assert K.seeded_sample(df.limit(7), "id", 100).count() == 7
 
 
+def test_rank_numbers_all_rows_in_order(spark):
+    df = spark.range(3000).select("id", (F.pmod(F.xxhash64("id"), F.lit(40)) / 10.0).alias("p")).repartition(7)
+    got = sorted(K.with_rank(df, [F.desc("p"), F.asc("id")]).collect(), key=lambda r: r["rank"])
+    assert [r["rank"] for r in got] == list(range(1, 3001))
+    assert [(r["p"], r["id"]) for r in got] == sorted(((r["p"], r["id"]) for r in got), key=lambda x: (-x[0], x[1]))
+    assert K.with_rank(df.filter("id < 0"), [F.desc("p")]).count() == 0
+
+
 def test_action_list_threshold_order_and_stage(spark):
     df = spark.createDataFrame(
         [(1, 0.5, "SQL 1"), (2, 0.9, "sql 2"), (3, 0.4999, "SQL 1"), (4, 0.9, None), (5, 0.9, "SQL 1"), (6, 0.8, "SAL 1")],
