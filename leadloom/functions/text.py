@@ -98,7 +98,7 @@ def ellipsis(c: ColumnOrName, n: int) -> Column:
 def nfkc(c: ColumnOrName) -> Column:
     """Unicode compatibility form, with all remaining non-ASCII blanks as plain blanks.
 
-    ASCII values need neither, so only others reach Python.
+    ASCII values need neither and reach Python as nulls.
     """
     blanks = {0x85: " ", 0x1680: " ", 0x2028: " ", 0x2029: " "}
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 from leadloom.operators import notes as N
 from leadloom.operators.frames import quoted
 from leadloom.functions import text as X
-from leadloom.session import materialise
+from leadloom.session import fits_at_once, materialise
 
 
 @dataclass(frozen=True)
@@ -36,20 +38,32 @@ class Clusters:
         return [centers[by_id[i]].tolist() for i in range(len(centers))]
 
 
+def different_vectors(df: DataFrame, features: str, most: int) -> int:
+    """How many different vectors there are, counted up to ``most``; hashes are compared, not vectors."""
+    return df.select(F.xxhash64(F.unwrap_udt(features))).distinct().limit(most).count()
+
+
 def fit_clusters(
     df: DataFrame, features: str, k: int, seed: int = 42, restarts: int = 1, max_iter: int = 20, weight: str | None = None
 ) -> Clusters:
     """The cheapest of ``restarts`` seeded k-means fits; ``weight`` counts the rows a vector stands for.
 
     Cluster numbers follow (size descending, first centroid coordinate), so they do not depend
-    on the order in which the algorithm found the clusters.
+    on the order in which the algorithm found the clusters. With fewer than ``k`` different vectors
+    there are as many clusters as vectors; Spark wants two at least.
     """
-    best = None
-    for i in range(restarts):
+    k = different_vectors(df, features, k)
+
+    @inheritable_thread_target(df.sparkSession)
+    def fit(i: int) -> KMeansModel:
         means = KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol=features, predictionCol="__cluster")
-        model = (means.setWeightCol(weight) if weight else means).fit(df)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
+        return (means.setWeightCol(weight) if weight else means).fit(df)
+
+    pool = ThreadPool(min(restarts, fits_at_once(df)))
+    try:
+        best = min(pool.map(fit, range(restarts), chunksize=1), key=lambda m: m.summary.trainingCost)  # the first of equals
+    finally:
+        pool.close()
     n = F.sum(weight) if weight else F.count("*")
     sizes = {r["__cluster"]: r["n"] for r in best.transform(df).groupBy("__cluster").agg(n.alias("n")).collect()}
     centers = best.clusterCenters()
@@ -78,7 +92,7 @@ def segment_entities(
     assembler = VectorAssembler(inputCols=names, outputCol="__features")
     points = _distinct(df.select(*[c.alias(n) for n, c in zip(names, zeroed)]), names)
     training = materialise(assembler.transform(points).select("__features", "__w"))
-    if training.isEmpty():
+    if different_vectors(training, "__features", 2) < 2:
         return df.withColumn(out, F.lit(0)).withColumns(flags)
     clusters = fit_clusters(training, "__features", k, seed, restarts, weight="__w")
     wide = assembler.transform(df.drop(out).withColumns(dict(zip(names, zeroed)))).drop(*names)
@@ -93,12 +107,13 @@ def segment_notes_by_text(
     seed: int = 42,
     min_notes: int = 10,
     embedding: str | None = None,
+    lemmas: DataFrame | None = None,
     **term_options,
 ) -> DataFrame:
     """Cluster the notes of an event table; rows without a usable note get -1.
 
     With an ``embedding`` column (array of numbers) those vectors are clustered, otherwise
-    TF-IDF weights of the cleaned notes. Nothing is clustered unless there are more than
+    TF-IDF weights of the cleaned notes (their lemmas, with a table of them). Nothing is clustered unless there are more than
     ``min_notes`` notes. Each row keeps its own label.
     """
     valid = X.has_text(note)
@@ -111,7 +126,7 @@ def segment_notes_by_text(
     else:
         # Cleaning is the costly step. It runs once, into a stored copy; the terms are derived
         # from that copy again, because they would take three times its space.
-        cleaned = materialise(N.clean_notes(events, note, "__text"))
+        cleaned = materialise(N.clean_notes(events, note, "__text", lemmas))
         cleaned = cleaned.withColumn("__ok", valid & (F.col("__text") != ""))
         texts = cleaned.filter("__ok").select("__text")
         terms = N.fit_terms(texts, "__text", **term_options)
@@ -119,6 +134,8 @@ def segment_notes_by_text(
     if n_notes <= min_notes:
         return events.withColumn(out, F.lit(-1))
     if embedding:
+        if different_vectors(training, "__v", 2) < 2:
+            return _one_segment(marked, out)
         clusters = fit_clusters(training, "__v", k, seed, weight="__w")
         # Rows without a vector must not reach the model: it rejects other dimensions.
         blank = F.array_repeat(F.lit(0.0), len(clusters.centroids()[0]))
@@ -127,6 +144,8 @@ def segment_notes_by_text(
         weights = N.tfidf_model(terms, "__grams", "__v")
         points = _distinct(texts, ["__text"]).withColumn("__grams", N.grams("__text"))
         training = materialise(weights.transform(points).select("__v", "__w"))
+        if different_vectors(training, "__v", 2) < 2:
+            return _one_segment(cleaned.drop("__text"), out)
         clusters = fit_clusters(training, "__v", k, seed, weight="__w")
         vectors = weights.transform(cleaned.withColumn("__grams", N.grams("__text"))).drop(
             "__tf", "__tfidf", "__grams", "__text"
@@ -138,6 +157,11 @@ def segment_notes_by_text(
     )
 
 
+def _one_segment(marked: DataFrame, out: str) -> DataFrame:
+    """Equal notes are one segment."""
+    return marked.withColumn(out, F.when(F.col("__ok"), F.lit(0)).otherwise(F.lit(-1))).drop("__ok")
+
+
 def squared_distance(vector: Column, center: Sequence[float]) -> Column:
     parts = F.zip_with(vector, F.lit([float(x) for x in center]), lambda a, b: (a - b) * (a - b))
     return F.aggregate(parts, F.lit(0.0), lambda acc, x: acc + x)
@@ -156,8 +180,15 @@ def assign_nearest(
     return best.withColumns(cols).drop("__best")
 
 
-def group_centroids(df: DataFrame, group: str, vector: str) -> list[list[float]]:
-    """Mean vector of each group in group order: groups times dimensions numbers."""
+def group_centroids(df: DataFrame, group: str, vector: str, max_groups: int = 1000) -> list[list[float]]:
+    """Mean vector of each group in group order: groups times dimensions numbers.
+
+    More than ``max_groups`` groups are an error: the vectors go to the driver and into an expression.
+    """
     vectors = df.select(group, array_to_vector(F.col(vector).cast("array<double>")).alias("__v"))
-    means = vectors.groupBy(group).agg(Summarizer.mean(F.col("__v")).alias("__m")).orderBy(group)
+    means = vectors.groupBy(group).agg(Summarizer.mean(F.col("__v")).alias("__m"))
+    means = materialise(means)
+    if (found := means.count()) > max_groups:
+        raise ValueError(f"{found} groups in {group}, at most {max_groups} expected")
+    means = means.orderBy(group)
     return [row["__m"].toArray().tolist() for row in means.collect()]

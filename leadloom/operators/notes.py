@@ -31,9 +31,18 @@ def lemma_lookup(df: DataFrame, id_col: str, tokens: str, lemmas: DataFrame, out
     return named.groupBy(id_col).agg(F.transform(F.array_sort(kept), lambda p: p["__w"]).alias(out))
 
 
-def clean_notes(df: DataFrame, note: str, out: str, **options) -> DataFrame:
-    """Add the cleaned note (see ``clean_text``)."""
-    return spread(df).withColumn(out, X.clean_text(note, **options))
+def clean_notes(df: DataFrame, note: str, out: str, lemmas: DataFrame | None = None, **options) -> DataFrame:
+    """Add the cleaned note (see ``clean_text``); with a (form, lemma) table its words become lemmas.
+
+    The words are then cut once and stored, and only they are shuffled, not the other columns of a note
+    before the last join.
+    """
+    if lemmas is None:
+        return spread(df).withColumn(out, X.clean_text(note, **options))
+    cut = spread(df).withColumns({"__note": F.monotonically_increasing_id(), "__words": X.note_tokens(note, **options)})
+    stored = materialise(cut)
+    found = lemma_lookup(stored, "__note", "__words", lemmas, "__lemmas")
+    return stored.join(found, "__note").withColumn(out, F.array_join("__lemmas", " ")).drop("__note", "__words", "__lemmas")
 
 
 def words(text: str | Column) -> Column:

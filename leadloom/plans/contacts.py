@@ -50,7 +50,7 @@ def known_events(
     return R.keep_known(mine, contacts, key)
 
 
-def with_segments(events: DataFrame, spec: E.EngagementSpec, segment: str, embedding: str | None, seed: int, **term_options) -> DataFrame:
+def with_segments(events: DataFrame, spec: E.EngagementSpec, segment: str, embedding: str | None, seed: int, **options) -> DataFrame:
     """Cluster the notes unless the events bring their segments along.
 
     The clustered events are stored: facts and note digests both read them, the facts without
@@ -61,5 +61,5 @@ def with_segments(events: DataFrame, spec: E.EngagementSpec, segment: str, embed
     if embedding and embedding not in events.columns:
         embedding = None
     return materialise(
-        segment_notes_by_text(events, spec.note, out=segment, seed=seed, embedding=embedding, **term_options)
+        segment_notes_by_text(events, spec.note, out=segment, seed=seed, embedding=embedding, **options)
     )

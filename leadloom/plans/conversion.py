@@ -40,11 +40,17 @@ class ConversionConfig:
     embedding: str | None = "NoteEmbedding"
     seed: int = 42
     min_df: int = 5
+    min_notes: int = 0  # notes are clustered if there are more; the established rule asks for more than 10
+    lemmas: DataFrame | None = None  # (form, lemma)
+
+    @property
+    def note_options(self) -> dict:
+        return {"min_df": self.min_df, "min_notes": self.min_notes, "lemmas": self.lemmas}
 
 
 def _branch(events: DataFrame, spec: E.EngagementSpec, segment: str, as_of, cfg: ConversionConfig) -> DataFrame:
     """Engagement facts and segment notes of one event table, both grouped by contact."""
-    events = with_segments(events, spec, segment, cfg.embedding, cfg.seed, min_df=cfg.min_df)
+    events = with_segments(events, spec, segment, cfg.embedding, cfg.seed, **cfg.note_options)
     facts = E.engagement_features(events, cfg.key, spec, as_of, segment=segment)
     notes = E.segment_notes(
         events, cfg.key, segment, spec.note, note_order(spec.note), stem=spec.label_stem, descriptions=spec.descriptions

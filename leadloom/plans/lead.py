@@ -39,6 +39,12 @@ class LeadConfig:
     embedding: str | None = "NoteEmbedding"
     seed: int = 42
     min_df: int = 5
+    min_notes: int = 0  # notes are clustered if there are more; the established rule asks for more than 10
+    lemmas: DataFrame | None = None  # (form, lemma)
+
+    @property
+    def note_options(self) -> dict:
+        return {"min_df": self.min_df, "min_notes": self.min_notes, "lemmas": self.lemmas}
 
 
 def encode_contacts(contacts: DataFrame, as_of: datetime | str, cfg: LeadConfig) -> DataFrame:
@@ -63,7 +69,7 @@ def encode_contacts(contacts: DataFrame, as_of: datetime | str, cfg: LeadConfig)
 
 def meeting_features(meetings: DataFrame, as_of: datetime | str, cfg: LeadConfig) -> DataFrame:
     events = E.settle_dates(meetings)
-    events = with_segments(events, E.MEETINGS, "NoteSegment", cfg.embedding, cfg.seed, min_df=cfg.min_df)
+    events = with_segments(events, E.MEETINGS, "NoteSegment", cfg.embedding, cfg.seed, **cfg.note_options)
     facts = E.engagement_features(events, cfg.key, E.MEETINGS, as_of, segment="NoteSegment")
     wanted = ["ScheduledMeetings", "CompletedMeetings", "SegmentCount_0", "SegmentCount_1", "SegmentCount_2"]
     digest = E.note_digest(
@@ -75,7 +81,7 @@ def meeting_features(meetings: DataFrame, as_of: datetime | str, cfg: LeadConfig
 def call_features(calls: DataFrame, as_of: datetime | str, cfg: LeadConfig) -> DataFrame:
     events = calls.withColumn("ActivityDate", F.to_date("ActivityDate").cast("timestamp_ntz"))
     # Stored, so that the cleaning runs once and not again in the filter of the digest.
-    cleaned = materialise(N.clean_notes(events, E.CALLS.note, E.CALLS.note))
+    cleaned = materialise(N.clean_notes(events, E.CALLS.note, E.CALLS.note, cfg.lemmas))
     facts = E.engagement_features(cleaned, cfg.key, E.CALLS, as_of)
     digest = E.note_digest(
         cleaned, cfg.key, E.CALLS.note, note_order(E.CALLS.note), 5, "\n\n", "TopSegmentRepresentativeCalls"

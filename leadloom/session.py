@@ -5,12 +5,16 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _SCAN_PARTITION = 128 << 20  # bytes; Spark's default size of a scan partition
 _FIT_PARTITION = 16 << 20  # bytes of stored features that keep one core busy in a fit
+_LOCAL = "leadloom.local.folder"  # session setting: the fallback of a local session
+_RUN = "leadloom.run.folder"  # session setting while a run folder is open
 
 
 def build_session(app: str = "leadloom", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
@@ -37,16 +41,42 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local session may fall back to a temporary folder; on a cluster an unset
     folder is an error, because a machine-local path dies with its machine.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_LOCAL, None)
     if configured:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     fallback = tempfile.mkdtemp(prefix="leadloom-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
+    spark.conf.set(_LOCAL, fallback)  # Spark does not let a running session set its own folder
     return fallback
 
 
+def steps_dir(spark: SparkSession) -> str:
+    """Where stored steps go: the open run folder, otherwise ``leadloom`` in the shared folder."""
+    return spark.conf.get(_RUN, None) or f"{shared_dir(spark).rstrip('/')}/leadloom"
+
+
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """Steps stored inside the block share one folder, which is removed at its end.
+
+    Frames made in the block read that folder: write what should stay before the block ends. Blocks may be
+    nested; a session runs one block at a time.
+    """
+    before = spark.conf.get(_RUN, None)
+    path = f"{steps_dir(spark)}/run-{uuid.uuid4().hex}"
+    spark.conf.set(_RUN, path)
+    try:
+        yield path
+    finally:
+        if before is None:
+            spark.conf.unset(_RUN)
+        else:
+            spark.conf.set(_RUN, before)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -54,7 +84,7 @@ def materialise(df: DataFrame) -> DataFrame:
     and unlike a cache it outlives lost executors without recomputing the lineage.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/leadloom/{uuid.uuid4().hex}"
+    path = f"{steps_dir(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from leadloom import vocab
 from leadloom.functions import dates as D
 from leadloom.operators.frames import clean_output_names, clean_output_values, columns_of, drop_duplicate_columns, quoted
+from leadloom.session import materialise
 
 _FILES = ("parquet", "orc", "csv", "json")
 
@@ -35,6 +36,15 @@ def jdbc_options(source: Mapping[str, str], table: str | None, query: str | None
     return options
 
 
+def jdbc_write_options(target: Mapping[str, str], table: str, mode: str, batch: int, column_types: str | None) -> dict[str, str]:
+    """Writer options; column types apply where the table is made anew."""
+    options = {k: str(v) for k, v in target.items() if k != "format"}
+    options.update(dbtable=table, batchsize=str(batch))
+    if column_types and mode == "overwrite":
+        options["createTableColumnTypes"] = column_types
+    return options
+
+
 def read_table(
     spark: SparkSession,
     source: Mapping[str, str],
@@ -77,20 +87,19 @@ def write_table(
 ) -> None:
     """Write a result table; an empty one replaces the previous run like any other.
 
-    ``clean`` makes names and values table-safe first. ``column_types`` (see ``ddl_string``)
-    sets the column types of a JDBC table. ``partition_by`` (run id, date) lets later reads of
-    file and catalog tables skip the other partitions.
+    ``clean`` makes names and values table-safe first. A JDBC table gets the column types of the
+    frame's width profile, or those of ``column_types`` (see ``ddl_string``). ``partition_by`` (run id, date)
+    lets later reads of file and catalog tables skip the other partitions.
     """
     if clean:
         df = clean_output_values(drop_duplicate_columns(clean_output_names(df, amp)))
     kind = target.get("format", "parquet")
+    if kind == "jdbc" and mode == "overwrite" and column_types is None:
+        df = materialise(df)  # profiled and written
+        column_types = ddl_string(width_profile(df))
     writer = df.write.format(kind).mode(mode)
     if kind == "jdbc":
-        options = {k: str(v) for k, v in target.items() if k != "format"}
-        options.update(dbtable=table, batchsize=str(batch))
-        if column_types and mode == "overwrite":
-            options["createTableColumnTypes"] = column_types
-        writer.options(**options).save()
+        writer.options(**jdbc_write_options(target, table, mode, batch, column_types)).save()
     elif kind == "catalog":
         df.write.mode(mode).partitionBy(*partition_by).saveAsTable(table)
     else:

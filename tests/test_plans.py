@@ -1,13 +1,14 @@
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 import catalog.models as Q
 from catalog import base as B
-from leadloom.plans import conversion, lead, topup
+from leadloom.plans import conversion, jobs, lead, topup
 from leadloom.plans.outputs import write_results
-from leadloom.session import materialise
+from leadloom.session import materialise, shared_dir
 from leadloom.sources.tables import read_table
 
 SF = "/root/testdata/sf0.001"
@@ -84,3 +85,42 @@ def test_plans_survive_empty_events(spark):
     )
     row = got.first()
     assert row["ScheduledMeetings"] == 0 and row["CallAttempts"] == 0 and row["TopSegmentRepresentative"] is None
+
+
+def test_jobs_leave_tables_and_no_stored_steps(spark, wide, tmp_path):
+    source, target = ({"format": "parquet", "path": str(tmp_path / name)} for name in ("in", "out"))
+    met, called = Q._events(spark, wide, segmented=True)
+    for name, frame in {"people": B.contacts(spark, wide), "met": met, "called": called, "clients": Q._clients(spark, wide)}.items():
+        frame.write.parquet(f"{source['path']}/{name}")
+    steps = Path(shared_dir(spark).removeprefix("file:")) / "leadloom"
+    before = set(steps.glob("run-*"))
+    tables = {"contacts": "people", "meetings": "met", "calls": "called"}
+    written = jobs.lead_job(spark, source, target, tables, Q.AS_OF, Q.LEAD, space=Q.SMALL_SPACE, trials=1)
+    params = {"maxIter": 3, "maxDepth": 3, "stepSize": 0.2, "pos_weight": 0.95}
+    topped = jobs.topup_job(spark, source, target, {"clients": "clients"}, Q.AS_OF, "Explain.", restarts=1, params=params, trees=20)
+    assert set(steps.glob("run-*")) == before
+    features = read_table(spark, target, "lead_features")
+    assert written[0] == "lead_features" and features.count() == read_table(spark, target, "lead_model_predictions").count() > 0
+    listed = [r["rank"] for r in read_table(spark, target, "lead_rm_action_list").orderBy("rank").collect()]
+    assert listed == list(range(1, len(listed) + 1))
+    assert {"topup_features", "topup_model_predictions", "topup_rm_action_list"} <= set(topped)
+    used = {r["feature"] for r in read_table(spark, target, "topup_feature_importance").collect()}
+    assert used and not used & {"Top_Up_Frequency", "they_topped_up", "Client_ID"}
+
+
+def test_lemmas_reach_the_clusters(spark):
+    lemmas = spark.createDataFrame([("calls", "call"), ("calls", "call"), (None, "x")], "form string, lemma string")
+    notes = spark.createDataFrame([(1, "Calls & calls"), (2, None), (3, ""), (4, "call")], "id int, note string")
+    got = {r["id"]: r["clean"] for r in lead.N.clean_notes(notes, "note", "clean", lemmas).collect()}
+    assert got == {1: "call call", 2: "", 3: "", 4: "call"}
+    spec = lead.E.EngagementSpec(**{**lead.E.MEETINGS.__dict__, "note": "note"})
+
+    def segments(notes, **options):
+        rows = spark.createDataFrame(list(enumerate(notes)), "id int, note string")
+        placed = lead.with_segments(rows, spec, "s", None, 1, min_df=1, max_df=1.0, min_notes=0, **options)
+        return [r["s"] for r in placed.orderBy("id").collect()]
+
+    notes = ["calls made", "call made", None] * 4
+    assert segments(notes, lemmas=lemmas) == [0, 0, -1] * 4
+    apart = segments(notes)
+    assert sorted(set(apart)) == [-1, 0, 1] and apart == apart[:3] * 4

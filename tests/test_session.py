@@ -1,3 +1,7 @@
+import os
+
+import pytest
+
 from leadloom import session as S
 
 
@@ -27,3 +31,37 @@ def test_stored_table_keeps_feature_metadata(spark):
     df = spark.createDataFrame([("a", "p", 1.0), ("b", "q", 2.0), ("c", "q", 2.0)], "x string, y string, n double")
     wide = fit_features(df, ["n"], ["x", "y"]).apply(df)
     assert S.materialise(wide).schema["features"].metadata == wide.schema["features"].metadata
+
+
+def test_run_folder_is_removed_and_may_be_nested(spark):
+    kept = S.materialise(spark.range(3))
+    with S.run_folder(spark) as outer:
+        first = S.materialise(spark.range(5))
+        with S.run_folder(spark) as inner:
+            S.materialise(spark.range(7))
+            assert inner.startswith(outer) and os.path.isdir(inner.removeprefix("file:"))
+        assert first.count() == 5 and S.steps_dir(spark) == outer and not os.path.exists(inner.removeprefix("file:"))
+    assert not os.path.exists(outer.removeprefix("file:")) and kept.count() == 3
+    with pytest.raises(KeyError), S.run_folder(spark) as failed:
+        S.materialise(spark.range(2))
+        raise KeyError
+    assert not os.path.exists(failed.removeprefix("file:"))
+    assert S.steps_dir(spark) == f"{S.shared_dir(spark).rstrip('/')}/leadloom"
+
+
+def test_only_a_local_session_falls_back_to_a_folder_of_its_own(tmp_path, monkeypatch):
+    class Conf(dict):
+        def set(self, name, value):
+            if name.startswith("spark."):
+                raise AssertionError("a running session cannot set it")
+            self[name] = value
+
+    class Session:
+        def __init__(self, master):
+            self.conf, self.sparkContext = Conf(), type("Context", (), {"master": master})
+
+    monkeypatch.setattr(S.tempfile, "mkdtemp", lambda prefix: str(tmp_path))
+    local = Session("local[2]")
+    assert S.shared_dir(local) == str(tmp_path) == S.shared_dir(local)
+    with pytest.raises(ValueError):
+        S.shared_dir(Session("spark://host:7077"))

@@ -78,3 +78,11 @@ def test_run_metadata(spark):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_jdbc_table_gets_profiled_types_where_it_is_made_anew(spark):
+    target = {"format": "jdbc", "url": "jdbc:x", "user": "u"}
+    types = T.ddl_string(T.width_profile(spark.createDataFrame([("x" * 40, 1)], "v string, n int")))
+    made = T.jdbc_write_options(target, "t", "overwrite", 500, types)
+    assert made == {"url": "jdbc:x", "user": "u", "dbtable": "t", "batchsize": "500", "createTableColumnTypes": "`v` VARCHAR(60)"}
+    assert "createTableColumnTypes" not in T.jdbc_write_options(target, "t", "append", 500, types)
