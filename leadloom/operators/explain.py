@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from math import factorial
 
 import numpy as np
@@ -20,7 +21,11 @@ from pyspark.sql import types as T
 from leadloom.functions import text as X
 from leadloom.operators.frames import quoted
 from leadloom.operators.modelling import trees_of
-from leadloom.session import shared_dir, spread
+from leadloom.session import spread, steps_dir
+
+#: Rows worked at once, and tests (rows x leaves x tests of a leaf) held at once.
+_ROWS = 2048
+_CELLS = 1 << 21
 
 
 def leaf_rules(df: DataFrame, model) -> list[tuple[float, list[tuple]]]:
@@ -31,7 +36,7 @@ def leaf_rules(df: DataFrame, model) -> list[tuple[float, list[tuple]]]:
     """
     spark = df.sparkSession
     trees = trees_of(model)
-    path = f"{shared_dir(spark).rstrip('/')}/leadloom/model-{uuid.uuid4().hex}"
+    path = f"{steps_dir(spark)}/model-{uuid.uuid4().hex}"
     trees.write().overwrite().save(path)
     n = F.col("nodeData")
     rows = spark.read.parquet(f"{path}/data").select(
@@ -74,40 +79,108 @@ def leaf_rules(df: DataFrame, model) -> list[tuple[float, list[tuple]]]:
     return leaves
 
 
-def _shares(n_features: int, leaves):
+@dataclass(frozen=True)
+class LeafGroup:
+    """Leaves whose rules have the same number of features, as arrays: one row per leaf, one column per test.
+
+    ``allowed`` is -1 for an interval (low, high], otherwise a row of the table of category sets.
+    """
+
+    value: np.ndarray
+    feature: np.ndarray
+    share: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    allowed: np.ndarray
+
+
+def packed_leaves(leaves: Sequence[tuple[float, list[tuple]]]) -> tuple[float, list[LeafGroup], np.ndarray]:
+    """(base value, leaf groups, category sets) of a leaf list; leaves that add nothing but to the base are left out."""
+    base, by_size, sets = 0.0, {}, {}
+    for value, rule in leaves:
+        base += value * float(np.prod([s for _, _, s in rule]))
+        if rule and value != 0.0:
+            by_size.setdefault(len(rule), []).append((value, rule))
+    groups = []
+    for _, rows in sorted(by_size.items()):
+        tests = [[t for _, t, _ in rule] for _, rule in rows]
+        spans = np.array([[t if isinstance(t, tuple) else (-np.inf, np.inf) for t in row] for row in tests])
+        known = np.array([[-1 if isinstance(t, tuple) else sets.setdefault(t, len(sets)) for t in row] for row in tests])
+        groups.append(
+            LeafGroup(
+                np.array([v for v, _ in rows]),
+                np.array([[f for f, _, _ in rule] for _, rule in rows]),
+                np.array([[s for _, _, s in rule] for _, rule in rows]),
+                spans[:, :, 0], spans[:, :, 1], known,
+            )
+        )
+    width = 1 + int(max((max(s) for s in sets if s), default=0))
+    allowed = np.zeros((max(1, len(sets)), width + 1), dtype=bool)  # the last column stands for values no set knows
+    for chosen, row in sets.items():
+        allowed[row, [int(c) for c in chosen]] = True
+    return base, groups, allowed
+
+
+def _met(x: np.ndarray, g: LeafGroup, at: slice, allowed: np.ndarray) -> np.ndarray:
+    """Rows x leaves x tests: which tests a row meets."""
+    seen = x[:, g.feature[at]]
+    met = (seen > g.low[at]) & (seen <= g.high[at])
+    sets = g.allowed[at]
+    leaf, test = np.nonzero(sets >= 0)
+    if leaf.size:
+        codes = seen[:, leaf, test]
+        known = (codes >= 0) & (codes < allowed.shape[1] - 1) & (codes == np.floor(codes))
+        place = np.where(known, codes, allowed.shape[1] - 1).astype(np.int64)
+        met[:, leaf, test] = allowed[sets[leaf, test], place]
+    return met
+
+
+def _gains(share: np.ndarray, ones: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Shapley value of every test, for rows of (shares, tests met, leaf value)."""
+    d = share.shape[1]
+    weight = np.array([factorial(s) * factorial(d - 1 - s) / factorial(d) for s in range(d)])
+    out = np.empty(share.shape)
+    for i in range(d):
+        poly = np.ones((len(value), 1))
+        for j in range(d):
+            if j != i:
+                longer = np.zeros((len(value), poly.shape[1] + 1))
+                longer[:, :-1] += poly * share[:, j : j + 1]
+                longer[:, 1:] += poly * ones[:, j : j + 1]
+                poly = longer
+        out[:, i] = value * (ones[:, i] - share[:, i]) * (poly @ weight)
+    return out
+
+
+def _shares(n_features: int, model):
     """Vectorised function: feature matrix -> contributions, base value in the last column.
 
-    ``leaves`` is a broadcast variable: a large model must not travel with every task.
+    ``model`` is a broadcast variable of ``packed_leaves``: a large model must not travel with every task. Leaves
+    are worked in blocks of all rows at once; (leaf, tests met) pairs that occur for many rows are computed once.
     """
 
     def contribute(x: np.ndarray) -> np.ndarray:
-        out = np.zeros((len(x), n_features + 1))
-        for value, rule in leaves.value:
-            d = len(rule)
-            share = np.array([s for _, _, s in rule])
-            out[:, -1] += value * share.prod() if d else value
-            if not d or value == 0.0:
-                continue
-            met = np.empty((len(x), d), dtype=bool)
-            for j, (f, test, _) in enumerate(rule):
-                if isinstance(test, tuple):
-                    met[:, j] = (x[:, f] > test[0]) & (x[:, f] <= test[1])
-                else:
-                    met[:, j] = np.isin(x[:, f], list(test))
-            # Rows that meet the same tests get the same contributions.
-            patterns, which = np.unique(met @ (1 << np.arange(d)), return_inverse=True)
-            ones = (patterns[:, None] >> np.arange(d)) & 1
-            weight = np.array([factorial(s) * factorial(d - 1 - s) / factorial(d) for s in range(d)])
-            for i in range(d):
-                poly = np.ones((len(patterns), 1))
-                for j in range(d):
-                    if j != i:
-                        longer = np.zeros((len(patterns), poly.shape[1] + 1))
-                        longer[:, :-1] += poly * share[j]
-                        longer[:, 1:] += poly * ones[:, j : j + 1]
-                        poly = longer
-                gain = value * (ones[:, i] - share[i]) * (poly @ weight)
-                out[:, rule[i][0]] += gain[which]
+        base, groups, allowed = model.value
+        n, width = len(x), n_features + 1
+        out = np.zeros(n * width)
+        for g in groups:
+            leaves, d = g.feature.shape
+            step = max(1, _CELLS // (n * d))
+            for start in range(0, leaves, step):
+                at = slice(start, min(start + step, leaves))
+                count = at.stop - start
+                met = _met(x, g, at, allowed)
+                pattern = met @ (1 << np.arange(d)) + (np.arange(count) << d)
+                seen, which = np.unique(pattern.ravel(), return_inverse=True)
+                leaf = (seen >> d) + start
+                ones = (seen[:, None] >> np.arange(d)) & 1
+                gain = _gains(g.share[leaf], ones, g.value[leaf])
+                rows = np.arange(n)[:, None] * width
+                for i in range(d):
+                    cells = (rows + g.feature[at, i]).ravel()
+                    out += np.bincount(cells, weights=gain[which, i], minlength=n * width)
+        out = out.reshape(n, width)
+        out[:, -1] += base
         return out
 
     return contribute
@@ -115,14 +188,16 @@ def _shares(n_features: int, leaves):
 
 def contributions(df: DataFrame, model, n_features: int, features: str = "features", out: str = "contributions") -> DataFrame:
     """Add an array with one contribution per feature and the base value at its end."""
-    leaves = df.sparkSession.sparkContext.broadcast(leaf_rules(df, model))
+    leaves = df.sparkSession.sparkContext.broadcast(packed_leaves(leaf_rules(df, model)))
     contribute = _shares(n_features, leaves)
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def explain(batch: pd.Series) -> pd.Series:
         if len(batch) == 0:
             return pd.Series([], dtype=object)
-        return pd.Series(list(contribute(np.vstack(batch.to_numpy()))))
+        x = np.vstack(batch.to_numpy())
+        parts = [contribute(x[at : at + _ROWS]) for at in range(0, len(x), _ROWS)]
+        return pd.Series(list(np.vstack(parts)))
 
     return spread(df).withColumn(out, explain(vector_to_array(F.col(features))))
 

@@ -120,21 +120,33 @@ def exact_quantile(df: DataFrame, col: str, q: float, buckets: int = 1024, small
     """
     c = F.col(quoted(col)).cast("double")
     values = df.select(c.alias("v")).filter(F.col("v").isNotNull())
-    low, high, n = values.agg(F.min("v"), F.max("v"), F.count("*")).first()
+    n = values.count()
     if not n:
         return None
     position = (n - 1) * q
     rank = math.floor(position)
-    below = _order_statistic(values, rank, low, high, buckets, small)
+    below = _order_statistic(values, rank, buckets, small)
     if position == rank:
         return below
     v = F.col("v")
     up_to, following = values.agg(F.count_if(v <= F.lit(below)), F.min(F.when(v > F.lit(below), v))).first()
     above = below if up_to > rank + 1 else following
-    return below + (position - rank) * (above - below)
+    return below if above == below else below + (position - rank) * (above - below)
 
 
-def _order_statistic(values: DataFrame, rank: int, low: float, high: float, buckets: int, small: int) -> float:
+def _order_statistic(values: DataFrame, rank: int, buckets: int, small: int) -> float:
+    """The value of a rank, counted from 0; infinite values and NaN have no place in a histogram and are counted apart."""
+    v = F.col("v")
+    finite = F.abs(v) < F.lit(math.inf)
+    n_low, n_finite, n_high, low, high = values.agg(
+        F.count_if(v == F.lit(-math.inf)), F.count_if(finite), F.count_if(v == F.lit(math.inf)),
+        F.min(F.when(finite, v)), F.max(F.when(finite, v)),
+    ).first()
+    if rank < n_low:
+        return -math.inf
+    if rank >= n_low + n_finite:
+        return math.inf if rank < n_low + n_finite + n_high else math.nan
+    rank -= n_low
     before = 0
     while low < high:
         inside = values.filter((F.col("v") >= F.lit(low)) & (F.col("v") <= F.lit(high)))

@@ -263,3 +263,57 @@ def test_every_tree_draws_from_the_whole_table(spark):
     )
     nodes, drawn = O.fit_forest(materialise(rows), "id", "x", trees=6, sample=128)
     assert drawn == 128 and sorted(nodes["tree"].unique()) == list(range(6))
+
+
+@pytest.mark.parametrize("rows_at_once, cells", [(2048, 1 << 21), (3, 40)])
+def test_contributions_of_many_leaves_equal_brute_force(spark, monkeypatch, rows_at_once, cells):
+    """Random leaves of up to four features with intervals and category sets, unknown categories included."""
+    monkeypatch.setattr(P, "_CELLS", cells)
+    rng = np.random.default_rng(5)
+    n, leaves = 5, [(0.25, []), (0.0, [(0, (0.0, 1.0), 0.5)])]
+    for _ in range(60):
+        chosen = rng.permutation(n)[: rng.integers(1, 5)]
+        rule = []
+        for f in chosen:
+            low, high = sorted(rng.normal(size=2))
+            test = (low, high) if f < 3 else frozenset(map(float, rng.permutation(6)[: rng.integers(0, 5)]))
+            rule.append((int(f), test, float(rng.uniform(0.1, 0.9))))
+        leaves.append((float(rng.normal()), rule))
+    x = np.column_stack([rng.normal(size=(7, 3)), rng.integers(0, 9, size=(7, 2)).astype(float)])
+
+    def expectation(row, known):
+        total = 0.0
+        for value, rule in leaves:
+            for f, test, share in rule:
+                met = test[0] < row[f] <= test[1] if isinstance(test, tuple) else row[f] in test
+                value *= float(met) if f in known else share
+            total += value
+        return total
+
+    shared = spark.sparkContext.broadcast(P.packed_leaves(leaves))
+    got = np.vstack([P._shares(n, shared)(x[at : at + rows_at_once]) for at in range(0, len(x), rows_at_once)])
+    for row, found in zip(x, got, strict=True):
+        assert abs(found[-1] - expectation(row, ())) < 1e-9
+        for i in range(n):
+            others = [j for j in range(n) if j != i]
+            phi = sum(
+                factorial(len(s)) * factorial(n - len(s) - 1) / factorial(n) * (expectation(row, {*s, i}) - expectation(row, set(s)))
+                for size in range(n) for s in itertools.combinations(others, size)
+            )
+            assert abs(phi - found[i]) < 1e-9
+
+
+def test_quantile_with_infinite_values_and_nan(spark):
+    inf, nan = float("inf"), float("nan")
+    values = [-inf, -inf, 1.0, 2.0, 3.0, 4.0, inf, nan, None]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = [O.exact_quantile(df, "v", q, buckets=2, small=1) for q in (0.0, 2 / 7, 0.5, 6 / 7, 1.0)]
+    assert got[:2] == [-inf, 1.0] and got[2] == 2.5 and got[3] == inf and got[4] != got[4]
+    assert O.exact_quantile(spark.createDataFrame([(inf,)], "v double"), "v", 0.3) == inf
+
+
+def test_too_many_groups_are_an_error(spark):
+    df = spark.createDataFrame([(i, [float(i)]) for i in range(5)], "g int, x array<double>")
+    assert C.group_centroids(df, "g", "x") == [[0.0], [1.0], [2.0], [3.0], [4.0]]
+    with pytest.raises(ValueError):
+        C.group_centroids(df, "g", "x", max_groups=4)
