@@ -23,7 +23,8 @@ from leadloom.operators import modelling as M
 from leadloom.operators import outliers as O
 from leadloom.operators import ranking as K
 from leadloom.plans import conversion, lead, topup
-from leadloom.session import materialise, shared_dir, spread, training_table
+from leadloom.plans.jobs import prepared
+from leadloom.session import materialise, shared_dir, spread, steps_dir, training_table
 
 AS_OF = datetime(2001, 8, 2)
 SMALL_SPACE = {
@@ -46,15 +47,20 @@ def _customer_numbers(spark, d):
 
 
 def kmeans_segments(spark, d):
-    rows = C.segment_entities(_customer_numbers(spark, d), ["c_acctbal", "n_orders", "spent", "largest"], restarts=2)
-    return B.whole(rows.select("c_custkey", "SegmentClass", *[f"SegmentClass_{i}" for i in range(4)]))
+    """Every customer has the flag of its segment alone; segments are numbered by size."""
+    rows = materialise(C.segment_entities(_customer_numbers(spark, d), ["c_acctbal", "n_orders", "spent", "largest"]))
+    flags = F.array(*[F.col(f"SegmentClass_{i}") for i in range(4)])
+    one = (F.aggregate(flags, F.lit(0), lambda a, x: a + x) == 1) & (F.element_at(flags, F.col("SegmentClass") + 1) == 1)
+    sizes = rows.groupBy("SegmentClass").agg(F.count("*").alias("n"))
+    placed = sizes.select("SegmentClass", (F.row_number().over(Window.orderBy(F.desc("n"), "SegmentClass")) - 1 == F.col("SegmentClass")).alias("by_size"))
+    return rows.join(placed, "SegmentClass").select("c_custkey", one.alias("one_flag"), "by_size")
 
 
 def kmeans_properties(spark, d):
     """Every customer sits in the segment with the nearest centre; numbers follow segment size."""
-    rows = _customer_numbers(spark, d).select("c_custkey", F.array("c_acctbal", "n_orders", "spent").alias("x"))
+    rows = _customer_numbers(spark, d).select("c_custkey", F.array("c_acctbal", "n_orders", "spent", "largest").alias("x"))
     table = materialise(rows.withColumn("v", array_to_vector(F.transform("x", lambda a: a.cast("double")))))
-    clusters = C.fit_clusters(table, "v", 4)
+    clusters = C.fit_clusters(table, "v", 4, restarts=10)
     placed = C.assign_nearest(clusters.assign(table), "x", clusters.centroids())
     sizes = placed.groupBy("segment").agg(F.count("*").alias("n"), F.count_if(F.col("segment") == F.col("nearest")).alias("ok"))
     ranked = sizes.withColumn("r", F.row_number().over(Window.orderBy(F.desc("n"), "segment")) - 1)
@@ -64,8 +70,11 @@ def kmeans_properties(spark, d):
 
 
 def note_clusters(spark, d):
-    rows = C.segment_notes_by_text(B.table(spark, d, "documents").select("doc_id", "text"), "text")
-    return B.whole(rows.select("doc_id", "NoteSegment"))
+    """Every document is in one of the three segments, -1 exactly where cleaning leaves nothing; equal texts share theirs."""
+    rows = materialise(C.segment_notes_by_text(B.table(spark, d, "documents").select("doc_id", "text"), "text"))
+    alike = rows.groupBy(F.sha2("text", 256).alias("h")).agg((F.min("NoteSegment") == F.max("NoteSegment")).alias("alike"))
+    placed = rows.select("doc_id", F.sha2("text", 256).alias("h"), F.col("NoteSegment").between(0, 2).alias("clustered"))
+    return placed.join(alike, "h").drop("h")
 
 
 def note_cluster_coverage(spark, d):
@@ -75,14 +84,20 @@ def note_cluster_coverage(spark, d):
 
 
 def embedding_clusters(spark, d):
+    """Every vector is in one of three segments, numbered by size."""
     rows = B.table(spark, d, "embeddings").withColumn("note", F.lit("note"))
-    found = C.segment_notes_by_text(rows, "note", embedding="embedding")
-    return B.whole(found.select("vec_id", "NoteSegment"))
+    found = materialise(C.segment_notes_by_text(rows, "note", embedding="embedding").select("vec_id", "NoteSegment"))
+    sizes = found.groupBy("NoteSegment").agg(F.count("*").alias("n"))
+    placed = sizes.select("NoteSegment", (F.row_number().over(Window.orderBy(F.desc("n"), "NoteSegment")) - 1 == F.col("NoteSegment")).alias("by_size"))
+    return found.join(placed, "NoteSegment").select("vec_id", F.col("NoteSegment").between(0, 2).alias("clustered"), "by_size")
 
 
 def outlier_flags(spark, d):
-    rows = O.outlier_flags(_customer_numbers(spark, d), "c_custkey", ["c_acctbal", "n_orders", "spent", "largest"])
-    return B.whole(rows.select("c_custkey", F.round("outlier_score", 6).alias("outlier_score"), "is_outlier"))
+    """Flagged are exactly the customers whose score is above the interpolated 95 % quantile of the scores."""
+    rows = materialise(O.outlier_flags(_customer_numbers(spark, d), "c_custkey", ["c_acctbal", "n_orders", "spent", "largest"]))
+    cut = rows.agg(F.percentile("outlier_score", 0.95)).first()[0]
+    above = (F.col("outlier_score") > F.lit(cut + 1e-12)).cast("int")
+    return rows.select("c_custkey", F.col("outlier_score").between(0.0, 1.0).alias("in_range"), (above == F.col("is_outlier")).alias("as_scored"))
 
 
 def outlier_share(spark, d):
@@ -90,7 +105,7 @@ def outlier_share(spark, d):
     rows = B.table(spark, d, "lineitem").select(
         F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").alias("id"), "l_quantity", "l_extendedprice", "l_discount", "l_tax"
     )
-    flagged = O.outlier_flags(rows, "id", ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], trees=50)
+    flagged = O.outlier_flags(rows, "id", ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
     return flagged.agg(
         F.count("*").alias("n_rows"),
         (F.abs(F.sum("is_outlier") / F.count("*") - F.lit(0.05)) < F.lit(0.002)).alias("as_asked"),
@@ -123,9 +138,16 @@ def _make():
 
 
 def gbt_oof_scores(spark, d):
+    """The score of each document equals that of a model fitted anew on the rows outside its fold."""
     _, table = _documents(spark, d)
     scored, _ = M.oof_scores(table, _make)
-    return B.tidy(scored.select("doc_id", "fold", "quality", "oof_prediction", "oof_probability"))
+    again = None
+    for f in range(5):
+        model = _make().fit(table.filter(F.col("fold") != f))
+        part = M.score(table.filter(F.col("fold") == f), model, "again").select("doc_id", "again")
+        again = part if again is None else again.unionByName(part)
+    both = scored.join(again, "doc_id")
+    return B.whole(both.select("doc_id", "fold", "quality", (F.abs(F.col("oof_probability") - F.col("again")) < 1e-9).alias("unseen")))
 
 
 def oof_coverage(spark, d):
@@ -143,21 +165,43 @@ def oof_coverage(spark, d):
 
 
 def search_trials(spark, d):
+    """Every trial is complete, draws inside the space and has an area under the curve."""
     _, table = _documents(spark, d)
-    return B.tidy(M.search(table, SMALL_SPACE, trials=2).trials)
+    drawn = F.col("value").between(0.0, 1.0) & (F.col("std") >= 0)
+    for name, (low, high, _) in SMALL_SPACE.items():
+        drawn = drawn & F.col(f"params_{name}").between(low, high)
+    return B.whole(M.search(table, SMALL_SPACE, trials=2).trials.select("number", "state", drawn.alias("in_range")))
 
 
 def fold_importance(spark, d):
+    """One row a feature: the mean of the folds' importances, which are shares of one."""
     plan, table = _documents(spark, d)
     _, models = M.oof_scores(table, _make)
-    return B.tidy(M.fold_importance(spark, models, plan.names))
+    found = M.fold_importance(spark, models, plan.names)
+    single = [M.importance_table(spark, m, plan.names) for m in models]
+    total = single[0]
+    for one in single[1:]:
+        total = total.unionAll(one)
+    means = total.groupBy("feature").agg(F.avg("importance").alias("mean"), F.min("importance").alias("least"))
+    share = F.sum("importance").over(Window.partitionBy())
+    both = found.join(means, "feature").withColumn("all", share)
+    close = F.abs(F.col("mean") - F.col("importance")) < 1e-9
+    return both.select("feature", close.alias("mean_of_folds"), ((F.col("least") >= 0) & (F.abs(F.col("all") - 1) < 1e-9)).alias("shares"))
 
 
 def shap_summary(spark, d):
-    """Mean absolute contribution per feature over all labelled documents."""
+    """The mean absolute contribution of each feature is that of its place in the rows' arrays; unused features have none."""
     plan, table = _documents(spark, d)
-    explained = P.contributions(table, _make().fit(table), len(plan.names))
-    return B.tidy(P.mean_abs_contribution(P.contribution_rows(explained, "doc_id", plan.names)))
+    model = _make().fit(table)
+    explained = materialise(P.contributions(table, model, len(plan.names)).select("doc_id", "contributions"))
+    found = P.mean_abs_contribution(P.contribution_rows(explained, "doc_id", plan.names))
+    cells = [F.struct(F.lit(n).alias("feature"), F.avg(F.abs(F.col("contributions")[i])).alias("mean")) for i, n in enumerate(plan.names)]
+    means = explained.agg(*[c.alias(f"c{i}") for i, c in enumerate(cells)]).select(F.inline(F.array(*[f"c{i}" for i in range(len(cells))])))
+    both = found.join(means, "feature").join(M.importance_table(spark, model, plan.names), "feature")
+    return both.select(
+        "feature", (F.abs(F.col("mean_abs_shap") - F.col("mean")) < 1e-9).alias("as_rows"),
+        ((F.col("importance") > 0) == (F.col("mean_abs_shap") > 0)).alias("as_used"),
+    )
 
 
 def contribution_additivity(spark, d):
@@ -171,12 +215,20 @@ def contribution_additivity(spark, d):
 
 
 def shap_action_explain(spark, d):
-    """Explanations of the documents that score at least one half."""
+    """Explanations name all features, largest effect first, and with the base value give the score of the document."""
     plan, table = _documents(spark, d)
     model = _make().fit(table)
-    listed = R.above(M.score(table, model), "probability", 0.5)
+    listed = R.above(M.score(table, model), "probability", 0.0)
     explained = P.explain_json(P.contributions(listed, model, len(plan.names)), plan.names)
-    return explained.select("doc_id", F.round("probability", 6).alias("probability"), "explain")
+    parsed = F.from_json("explain", "array<struct<Feature:string,Value:string,SHAP:double>>")
+    rows = explained.withColumns({"e": parsed, "base": F.element_at("contributions", -1)})
+    margin = F.aggregate("e", F.col("base"), lambda a, x: a + x["SHAP"])
+    sizes = F.transform("e", lambda x: -F.abs(x["SHAP"]))
+    return rows.select(
+        "doc_id", F.size(F.array_distinct("e.Feature")).cast("bigint").alias("n_features"),
+        (sizes == F.array_sort(sizes)).alias("sorted"),
+        (F.abs(1 / (1 + F.exp(-2 * margin)) - F.col("probability")) < 1e-9).alias("adds_up"),
+    )
 
 
 def model_round_trip(spark, d):
@@ -327,14 +379,46 @@ def lead_predictions(spark, d):
     """The whole lead plan: clustered notes, search, out-of-fold predictions."""
     features = materialise(_lead_features(spark, d, segmented=False))
     found = lead.lead_scores(features, AS_OF, "contact_id", SMALL_SPACE, trials=2)
-    return B.tidy(found.predictions)
+    valid = F.col("probability").between(0.0, 1.0) & (F.col("y_pred") == (F.col("probability") > 0.5).cast("int"))
+    return B.whole(found.predictions.select("contact_id", "y_true", valid.alias("valid"), "prediction_date"))
 
 
 def conversion_predictions(spark, d):
     """The whole conversion plan: clustered notes, search, in-sample and out-of-fold scores."""
     features = materialise(_conversion_features(spark, d, segmented=False))
     found = conversion.conversion_scores(features, AS_OF, "contact_id", SMALL_SPACE, trials=2)
-    return B.tidy(found.predictions)
+    valid = F.col("probability").between(0.0, 1.0) & (F.col("y_pred") == (F.col("probability") > 0.5).cast("int"))
+    held = F.col("oof_probability").isNull() | F.col("oof_probability").between(0.0, 1.0)
+    return B.whole(
+        found.predictions.select(
+            "contact_id", "y_true", (valid & held).alias("valid"), F.col("oof_probability").isNotNull().alias("has_oof"), "prediction_date"
+        )
+    )
+
+
+def _stored(spark, features, name):
+    """A feature table after it went through the sink."""
+    return prepared(features, {"format": "parquet", "path": steps_dir(spark)}, f"{name}-{uuid.uuid4().hex}")
+
+
+def lead_stored(spark, d):
+    """The lead table as the scores read it: written, with table-safe names and values, and read back."""
+    rows = _stored(spark, _lead_features(spark, d), "lead")
+    return B.whole(
+        rows.select("contact_id", "Target", "CallAttempts", "TopSegmentRepresentative", "TopSegmentRepresentativeCalls", "FirstPageSeen", "Nationality_saudi_arabia")
+    )
+
+
+def conversion_stored(spark, d):
+    """The conversion table as the scores read it."""
+    rows = _stored(spark, _conversion_features(spark, d), "conversion")
+    return B.tidy(rows.select("contact_id", "Target", "LeadStageNew", "TotalMeetings", "LastMeetingDate_days", "TopSegmentLabel", "Segment_2_NotesPreview"))
+
+
+def topup_stored(spark, d):
+    """The top-up table as the scores read it."""
+    rows = _stored(spark, topup.topup_features(_clients(spark, d), AS_OF), "topup")
+    return B.tidy(rows.select(F.col("Client_ID").alias("client_id"), "they_topped_up", "First_Commitment_Amount", "Nationality", "MaritalStatus", "pipeline_run_id"))
 
 
 def _clients(spark, d):
@@ -357,13 +441,20 @@ def _clients(spark, d):
 
 
 def topup_features(spark, d):
-    rows = topup.topup_features(_clients(spark, d), AS_OF, restarts=2)
-    return B.tidy(rows.select(F.col("Client ID").alias("client_id"), "SegmentClass", "they_topped_up", "created_at"))
+    """The source columns of the top-up table, and a segment number for every client."""
+    rows = topup.topup_features(_clients(spark, d), AS_OF)
+    return B.tidy(
+        rows.select(
+            F.col("Client ID").alias("client_id"), F.col("SegmentClass").between(0, 3).alias("placed"), "ContactType", "LeadStageNew", "Nationality",
+            "MaritalStatus", "AgeRange", "Gender", "engagement_label", "meetscounts", "they_topped_up", F.col("Top Up Frequency").alias("frequency"),
+            F.col("Activities per Quarter").alias("activities"), "created_at",
+        )
+    )
 
 
 def topup_table(spark, d):
     """The top-up table: every client once, in exactly one of the four segments."""
-    rows = topup.topup_features(_clients(spark, d), AS_OF, restarts=1)
+    rows = topup.topup_features(_clients(spark, d), AS_OF)
     marks = sum(F.col(f"SegmentClass_{i}") for i in range(4))
     own = F.element_at(F.array(*[F.col(f"SegmentClass_{i}") for i in range(4)]), F.col("SegmentClass") + 1)
     return B.tidy(
@@ -381,52 +472,109 @@ FROM customer LEFT JOIN (SELECT o_custkey, count(*) FILTER (WHERE o_orderdate >=
 
 
 def topup_action_list(spark, d):
-    """The whole top-up plan: segments, outliers, model, explanations, request bodies."""
+    """The whole top-up plan: segments, outliers, model, explanations, request bodies.
+
+    Every client: a score, and exactly those of at least one half are listed, ranked by score, explained
+    and phrased.
+    """
     clients = _clients(spark, d)
-    features = materialise(topup.topup_features(clients, AS_OF, restarts=2))
+    features = materialise(topup.topup_features(clients, AS_OF))
     found = topup.topup_scores(
-        features, clients, "Explain the score in plain words.",
-        params={"maxIter": 5, "maxDepth": 3, "stepSize": 0.2, "pos_weight": 0.95}, trees=30,
+        features, clients, "Explain the score in plain words.", params={"maxIter": 5, "maxDepth": 3, "stepSize": 0.2, "pos_weight": 0.95},
     )
-    return B.tidy(found.action_list.select("HubSpotId", topup.SCORE, "RM_Name", "explain", "pitch_request"))
-
+    listed = materialise(found.action_list.select("HubSpotId", "rank", topup.SCORE, "explain", "pitch_request"))
+    better = listed.select((F.col("rank") + 1).alias("rank"), F.struct((-F.col(topup.SCORE)).alias("p"), F.col("HubSpotId").alias("id")).alias("before"))
+    here = F.struct((-F.col(topup.SCORE)).alias("p"), F.col("HubSpotId").alias("id"))
+    place = F.coalesce(F.col("before") < here, F.col("rank") == 1)
+    told = F.col("pitch_request").contains("Explain the score in plain words.") & (F.get_json_object("explain", "$[0].Feature").isNotNull())
+    judged = listed.join(better, "rank", "left").select("HubSpotId", (place & told).alias("fine"))
+    scored = found.predictions.select("HubSpotId", F.col(topup.SCORE).alias("p"), "RM_Name")
+    rows = scored.join(judged, "HubSpotId", "left")
+    right = F.coalesce("fine", ~F.col("HubSpotId").isNull() & (F.col("p") < 0.5)) & (F.col("fine").isNotNull() == (F.col("p") >= 0.5))
+    return B.whole(rows.select(F.col("HubSpotId").alias("client_id"), "RM_Name", F.col("p").between(0.0, 1.0).alias("scored"), right.alias("listed_right")))
+
+
+_CLIENTS_SQL = f"""WITH {B.CONTACTS_SQL}, facts AS (SELECT o_custkey AS contact_id,
+    count(*) FILTER (WHERE o_orderdate < TIMESTAMP '2001-02-01') AS early, count(*) FILTER (WHERE o_orderdate >= TIMESTAMP '2001-02-01') AS late,
+    max(o_totalprice) FILTER (WHERE o_orderdate < TIMESTAMP '2001-02-01') AS first_amount, avg(o_totalprice) AS activities,
+    count(*) FILTER (WHERE o_orderdate >= TIMESTAMP '2001-02-01' AND o_orderstatus = 'F') AS frequency FROM orders GROUP BY 1)"""
+_FEATURES = '["n_chars", "n_words", "toxic", "lang", "source"]'.replace('"', "'")
+_STAMP = "TIMESTAMP '2001-08-02 00:00:00'"
 
 QUERIES = {
-    "kmeans_segments": (kmeans_segments, None),
+    "kmeans_segments": (kmeans_segments, "SELECT c_custkey, true AS one_flag, true AS by_size FROM customer"),
     "kmeans_properties": (
         kmeans_properties, "SELECT count(*) AS n_rows, count(*) AS n_nearest, CAST(4 AS BIGINT) AS n_in_order FROM customer"
     ),
-    "note_clusters": (note_clusters, None),
+    "note_clusters": (
+        note_clusters, f"SELECT doc_id, len({clean_sql('text')}) > 0 AS clustered, true AS alike FROM documents"
+    ),
     "note_cluster_coverage": (
         note_cluster_coverage,
         "SELECT conv_id, turn, len(w) > 0 AS clustered FROM"
         f" (SELECT conv_id, turn, {clean_sql('text')} AS w FROM conversations)",
     ),
-    "embedding_clusters": (embedding_clusters, None),
-    "outlier_flags": (outlier_flags, None),
+    "embedding_clusters": (embedding_clusters, "SELECT vec_id, true AS clustered, true AS by_size FROM embeddings"),
+    "outlier_flags": (outlier_flags, "SELECT c_custkey, true AS in_range, true AS as_scored FROM customer"),
     "outlier_share": (outlier_share, "SELECT count(*) AS n_rows, true AS as_asked FROM lineitem"),
     "price_quantile": (
         price_quantile,
         """SELECT count(*) FILTER (WHERE o_totalprice > q) AS n_above, round(max(q), 4) AS q95 FROM orders,
         (SELECT quantile_cont(o_totalprice, 0.95) AS q FROM orders)""",
     ),
-    "gbt_oof_scores": (gbt_oof_scores, None),
+    "gbt_oof_scores": (
+        gbt_oof_scores,
+        """SELECT doc_id, (row_number() OVER (PARTITION BY quality ORDER BY md5(concat_ws('|', doc_id, '42')), doc_id) - 1) % 5 AS fold,
+        CAST(quality AS BIGINT) AS quality, true AS unseen FROM labels""",
+    ),
     "oof_coverage": (
         oof_coverage,
         """SELECT doc_id, CAST(1 AS BIGINT) AS n_scores, (row_number() OVER (PARTITION BY quality
         ORDER BY md5(concat_ws('|', doc_id, '42')), doc_id) - 1) % 5 AS fold, true AS consistent FROM labels""",
     ),
-    "search_trials": (search_trials, None),
-    "fold_importance": (fold_importance, None),
-    "shap_summary": (shap_summary, None),
+    "search_trials": (search_trials, "SELECT i AS number, 'COMPLETE' AS state, true AS in_range FROM range(2) t(i)"),
+    "fold_importance": (fold_importance, f"SELECT unnest({_FEATURES}) AS feature, true AS mean_of_folds, true AS shares"),
+    "shap_summary": (shap_summary, f"SELECT unnest({_FEATURES}) AS feature, true AS as_rows, true AS as_used"),
     "contribution_additivity": (contribution_additivity, "SELECT doc_id, true AS adds_up FROM labels"),
-    "shap_action_explain": (shap_action_explain, None),
+    "shap_action_explain": (
+        shap_action_explain, 'SELECT doc_id, CAST(5 AS BIGINT) AS n_features, true AS "sorted", true AS adds_up FROM labels'
+    ),
     "model_round_trip": (model_round_trip, "SELECT doc_id, true AS same FROM labels"),
     "lead_features": (lead_features, LEAD_FEATURES_SQL),
     "conversion_features": (conversion_features, CONVERSION_FEATURES_SQL),
-    "lead_predictions": (lead_predictions, None),
-    "conversion_predictions": (conversion_predictions, None),
-    "topup_features": (topup_features, None),
+    "lead_predictions": (
+        lead_predictions, f'SELECT contact_id, "Target" AS y_true, true AS valid, {_STAMP} AS prediction_date FROM ({LEAD_FEATURES_SQL})'
+    ),
+    "conversion_predictions": (
+        conversion_predictions,
+        f"""SELECT contact_id, "Target" AS y_true, true AS valid, "Target" IS NOT NULL AS has_oof, {_STAMP} AS prediction_date
+        FROM ({CONVERSION_FEATURES_SQL})""",
+    ),
+    "lead_stored": (
+        lead_stored,
+        f"""SELECT contact_id, "Target", "CallAttempts", coalesce("TopSegmentRepresentative", '') AS "TopSegmentRepresentative",
+        coalesce("TopSegmentRepresentativeCalls", '') AS "TopSegmentRepresentativeCalls", coalesce("FirstPageSeen", '') AS "FirstPageSeen",
+        CAST("Nationality" = 'saudi arabia' AS BIGINT) AS "Nationality_saudi_arabia" FROM ({LEAD_FEATURES_SQL})""",
+    ),
+    "conversion_stored": (
+        conversion_stored,
+        f"""SELECT contact_id, "Target", "LeadStageNew", "TotalMeetings", "LastMeetingDate_days", "TopSegmentLabel", "Segment_2_NotesPreview"
+        FROM ({CONVERSION_FEATURES_SQL})""",
+    ),
+    "topup_stored": (
+        topup_stored,
+        _CLIENTS_SQL + """SELECT contact_id AS client_id, late AS they_topped_up, round(first_amount, 6) AS "First_Commitment_Amount",
+        "Nationality", coalesce("MaritalStatus", '') AS "MaritalStatus", '20010802_000000' AS pipeline_run_id
+        FROM contacts LEFT JOIN facts USING (contact_id)""",
+    ),
+    "topup_features": (
+        topup_features,
+        _CLIENTS_SQL + f"""SELECT contact_id AS client_id, true AS placed, "ContactType", "LeadStageNew", "Nationality", "MaritalStatus", "AgeRange",
+        "Gender", "EngagementLabel" AS engagement_label, early AS meetscounts, late AS they_topped_up, frequency, round(activities, 6) AS activities,
+        {_STAMP} AS created_at FROM contacts LEFT JOIN facts USING (contact_id)""",
+    ),
     "topup_table": (topup_table, TOPUP_TABLE_SQL),
-    "topup_action_list": (topup_action_list, None),
+    "topup_action_list": (
+        topup_action_list, f'WITH {B.CONTACTS_SQL} SELECT contact_id AS client_id, "Country" AS "RM_Name", true AS scored, true AS listed_right FROM contacts'
+    ),
 }

@@ -30,6 +30,28 @@ def clean_text(spark, d):
     return N.clean_notes(B.table(spark, d, "documents").select("doc_id", "text"), "text", "cleaned").drop("text")
 
 
+_EXTRA = " They don't ASK, IT'S info@example.net; ﬁne x² y"
+
+
+def clean_pages(spark, d):
+    """Raw pages with markup, addresses, a contraction and compatibility characters."""
+    rows = B.table(spark, d, "pages").select("page_id", F.concat_ws(" ", "html", "url", F.lit(_EXTRA)).alias("text"))
+    return N.clean_notes(rows, "text", "cleaned").drop("text")
+
+
+#: DuckDB has no compatibility form: the added characters are spelled out, those of the pages are letters and signs it keeps.
+CLEAN_PAGES_SQL = f"""SELECT page_id, array_to_string({clean_sql('text')}, ' ') AS cleaned FROM (
+  SELECT page_id, concat_ws(' ', html, url, '{_EXTRA.replace("'", "''").replace("ﬁ", "fi").replace("²", "2")}') AS text FROM pages)"""
+
+
+def clean_lemmas(spark, d):
+    """Cleaned conversations with the words of a lemma table replaced, as the plans do it."""
+    rows = B.table(spark, d, "conversations").select("conv_id", "turn", "text")
+    forms = rows.select(F.explode(X.note_tokens("text")).alias("form")).distinct().filter(F.col("form").endswith("s") & (F.length("form") > 3))
+    lemmas = forms.select("form", F.expr("substr(form, 1, length(form) - 1)").alias("lemma"))
+    return B.whole(N.clean_notes(rows, "text", "cleaned", lemmas).drop("text"))
+
+
 def clean_conversations(spark, d):
     words = X.note_tokens("text")
     return B.table(spark, d, "conversations").select(
@@ -138,6 +160,12 @@ QUERIES = {
         f"SELECT conv_id, turn, len(w) AS n_words, array_to_string(w, ' ') AS cleaned FROM"
         f" (SELECT conv_id, turn, {clean_sql('text')} AS w FROM conversations)",
     ),
+    "clean_pages": (clean_pages, CLEAN_PAGES_SQL),
+    "clean_lemmas": (
+        clean_lemmas,
+        f"""SELECT conv_id, turn, array_to_string(list_transform({clean_sql('text')}, lambda x: CASE WHEN length(x) > 3 AND ends_with(x, 's')
+          THEN x[1:length(x) - 1] ELSE x END), ' ') AS cleaned FROM conversations""",
+    ),
     "lemma_lookup": (lemma_lookup, LEMMA_SQL),
     "term_vocabulary": (
         term_vocabulary, f"WITH {_GRAMS_SQL} SELECT term, df AS doc_freq, round(idf, 6) AS idf FROM idf"

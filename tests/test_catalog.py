@@ -12,6 +12,8 @@ from check import rows_of
 SF = "/root/testdata/sf0.001"
 SLOW = {
     "kmeans_properties", "oof_coverage", "contribution_additivity", "model_round_trip", "note_cluster_coverage", "outlier_share",
+    "kmeans_segments", "note_clusters", "gbt_oof_scores", "search_trials", "fold_importance", "shap_summary", "lead_predictions",
+    "conversion_predictions", "topup_action_list", "topup_table", "topup_stored", "conversion_stored",
 }
 
 
