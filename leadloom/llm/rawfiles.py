@@ -28,10 +28,13 @@ def new_folder(spark: SparkSession, what: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/leadloom/{what}-{uuid.uuid4().hex}"
 
 
-def write_frames(frames: DataFrame, path: str) -> None:
-    """One file for each partition that has rows, from the binary column ``value`` in its order."""
+def write_frames(frames: DataFrame, path: str, rows_per_file: int = 0) -> None:
+    """One file for each partition that has rows, from the binary column ``value`` in its order.
+
+    With ``rows_per_file`` a partition begins a new file after so many rows.
+    """
     whole = frames.select(F.col("value").cast("string"))
-    whole.write.option("lineSep", SEPARATOR.decode("ascii")).text(path)
+    whole.write.option("lineSep", SEPARATOR.decode("ascii")).option("maxRecordsPerFile", rows_per_file).text(path)
 
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:

@@ -35,7 +35,9 @@ _LEVEL = 3
 _DATE = "2024-01-01T00:00:00Z"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _PAGE_SPACE = 0x6C6C6F6F6D5F7061 << 64  # upper half of the record ids that hold a page id
-_BATCH = 64
+#: Records are handed to the writer in pieces of about so many bytes; so many pieces make a file.
+_PIECE_BYTES = 1 << 20
+_FILE_PIECES = 64
 
 
 def _record_id(page_id: int | None, extra: str = "") -> str:
@@ -121,9 +123,9 @@ def with_originals(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
 
 
 def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_BYTES) -> None:
-    """Write a record for every row of (page_id, url, html), one archive for each partition.
+    """Write a record for every row of (page_id, url, html), in archives of about ``_PIECE_BYTES * _FILE_PIECES`` bytes.
 
-    A null page is an empty payload; rows that repeat the largest page id of their payload are all
+    A partition of any size makes as many archives as it needs, each with the dictionary at its head. A null page is an empty payload; rows that repeat the largest page id of their payload are all
     responses; payloads that only rows without an id share are all responses; an empty table makes no files.
     """
     trained = train_dictionary(pages)
@@ -131,24 +133,31 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_BYTES) -> N
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         packer = zstandard.ZstdCompressor(level=_LEVEL, dict_data=zstandard.ZstdCompressionDict(trained) if trained else None)
-        first = True
+        head = skippable(zstandard.compress(trained) if trained else b"", DICTIONARY_MAGIC)
+        pieces, frames, size = 0, [head], 0
+
+        def piece() -> pd.DataFrame:
+            return pd.DataFrame({"value": [b"".join(frames)]})
+
         for batch in batches:
-            for at in range(0, len(batch), _BATCH):
-                part = batch.iloc[at : at + _BATCH]
-                frames = [skippable(zstandard.compress(trained) if trained else b"", DICTIONARY_MAGIC)] if first else []
-                first = False
-                for page_id, url, html, refers, target in part.itertuples(index=False, name=None):
-                    payload = html.encode("utf-8", "surrogatepass") if isinstance(html, str) else b""
-                    made = record(
-                        None if pd.isna(page_id) else int(page_id), url if isinstance(url, str) else None, payload, _base32(payload), len(payload),
-                        None if pd.isna(refers) else int(refers), target if isinstance(target, str) else None,
-                    )
-                    frames.append(packer.compress(made))
-                yield pd.DataFrame({"value": [b"".join(frames)]})
+            for page_id, url, html, refers, target in batch.itertuples(index=False, name=None):
+                payload = html.encode("utf-8", "surrogatepass") if isinstance(html, str) else b""
+                made = record(
+                    None if pd.isna(page_id) else int(page_id), url if isinstance(url, str) else None, payload, _base32(payload), len(payload),
+                    None if pd.isna(refers) else int(refers), target if isinstance(target, str) else None,
+                )
+                frames.append(packer.compress(made))
+                size += len(frames[-1])
+                if size >= _PIECE_BYTES:
+                    yield piece()
+                    pieces += 1
+                    frames, size = [head] if pieces % _FILE_PIECES == 0 else [], 0
+        if size:
+            yield piece()
 
     # ids as text: a column of numbers and nulls would pass through floating point
     texts = rows.select(F.col("page_id").cast("string"), "url", "html", F.col("refers_to").cast("string"), "target")
-    write_frames(spread(texts).mapInPandas(run, "value binary"), path)
+    write_frames(spread(texts).mapInPandas(run, "value binary"), path, _FILE_PIECES)
 
 
 def _frame_end(content: bytes, at: int) -> int:

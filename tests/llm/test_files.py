@@ -122,13 +122,18 @@ def test_archives_of_the_table(spark):
     assert sorted((tuple(r) for r in got), key=repr) == plain_archive(rows)
 
 
-def test_archive_is_a_plain_zstd_stream_and_records_open_by_offset(spark):
+@pytest.mark.parametrize("piece, pieces", [(warc._PIECE_BYTES, warc._FILE_PIECES), (1500, 2)])
+def test_archive_is_a_plain_zstd_stream_and_records_open_by_offset(spark, monkeypatch, piece, pieces):
+    """With small pieces a partition makes many archives, each with its dictionary."""
+    monkeypatch.setattr(warc, "_PIECE_BYTES", piece)
+    monkeypatch.setattr(warc, "_FILE_PIECES", pieces)
     path = rawfiles.new_folder(spark, "warc")
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     warc.write_archives(pages, path)
     index = warc.read_archives(spark, path).collect()
     files = {r["file"]: bytes(r["content"]) for r in rawfiles.read_files(spark, path).collect()}
     html = {r["page_id"]: r["html"] for r in pages.collect()}
+    assert len(index) == len(html) and (piece > 1500 or len(files) > spark.sparkContext.defaultParallelism)
     for name, content in files.items():
         assert int.from_bytes(content[:4], "little") == warc.DICTIONARY_MAGIC
         size = int.from_bytes(content[4:8], "little")
