@@ -1,10 +1,11 @@
 """Secret scan: fixed patterns, and tokens that a battery of randomness tests takes for keys.
 
-Candidates are runs of at least ``MIN_TOKEN`` key characters. Each gets the narrowest encoding that
-fits it (hex, base 32, base 62, base 64), and under it four tests of randomness: chi-squared over the
-symbols, chi-squared over their classes (digits, small and capital letters, signs), the number of runs above
-and below the middle of the alphabet, and serial correlation at distance one. A candidate stays unless
-the smallest of the four p-values, times four, is under ``REJECT``.
+Candidates are cut from runs of at least ``MIN_TOKEN`` key characters: the parts between the signs, and the
+parts with the signs of one base 64 alphabet (``CUTS``). So every candidate fits an encoding, and a key in a path is
+one too. Each gets the narrowest encoding that fits it (hex, letters, base 32, base 36, base 62, base 64), and
+under it four tests of randomness: chi-squared over the symbols, chi-squared over their classes (digits, small
+and capital letters, signs), the number of runs above and below the middle of the alphabet, and serial correlation
+at distance one. A candidate stays unless the smallest of the four p-values, times four, is under ``REJECT``.
 
 Randomness alone does not tell a short key from a word, so the second condition controls false
 discoveries. In ordinary text neighbouring characters change class with a probability of at most
@@ -30,6 +31,8 @@ MIN_TOKEN = 20
 REJECT = 0.001
 TEXT_CHANGE = 0.1
 FALSE_SHARE = 0.01
+#: A part of a find is reported in its place if its p-value is under this share of the whole's: the rest is text.
+PART_SHARE = 0.05
 
 #: Fixed patterns: kind, pattern, smallest length of the group, group.
 ASSIGN = r"""((?i)password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -42,14 +45,28 @@ KINDS = (
 _BASE = ("assign", "access", "hex")
 _LOWER = "abcdefghijklmnopqrstuvwxyz"
 _DIGITS = "0123456789"
-#: Alphabets in the order of their values, narrowest first, with the pattern of the tokens they fit.
+_UPPER = _LOWER.upper()
+_SIGNS = "+/-_"
+#: Name, alphabet in the order of its values and pattern of the tokens that fit; narrowest first.
 ENCODINGS = (
     ("hex", _DIGITS + "abcdef", r"^[0-9a-f]+$"),
     ("HEX", _DIGITS + "ABCDEF", r"^[0-9A-F]+$"),
-    ("base32", _LOWER.upper() + "234567", r"^[A-Z2-7]+$"),
-    ("base62", _LOWER.upper() + _LOWER + _DIGITS, r"^[A-Za-z0-9]+$"),
-    ("base64", _LOWER.upper() + _LOWER + _DIGITS + "+/", r"^[A-Za-z0-9+/]+$"),
-    ("base64url", _LOWER.upper() + _LOWER + _DIGITS + "-_", r"^[A-Za-z0-9_-]+$"),
+    ("lower", _LOWER, r"^[a-z]+$"),
+    ("upper", _UPPER, r"^[A-Z]+$"),
+    ("base32", _UPPER + "234567", r"^[A-Z2-7]+$"),
+    ("base32lower", _LOWER + "234567", r"^[a-z2-7]+$"),
+    ("base36", _DIGITS + _LOWER, r"^[0-9a-z]+$"),
+    ("BASE36", _DIGITS + _UPPER, r"^[0-9A-Z]+$"),
+    ("letters", _UPPER + _LOWER, r"^[A-Za-z]+$"),
+    ("base62", _UPPER + _LOWER + _DIGITS, r"^[A-Za-z0-9]+$"),
+    ("base64", _UPPER + _LOWER + _DIGITS + "+/", r"^[A-Za-z0-9+/]+$"),
+    ("base64url", _UPPER + _LOWER + _DIGITS + "-_", r"^[A-Za-z0-9_-]+$"),
+)
+#: Candidates inside a run of key characters: pattern, and the signs one of which a candidate must hold.
+CUTS = (
+    (rf"[A-Za-z0-9]{{{MIN_TOKEN},}}", ""),
+    (rf"[A-Za-z0-9+/]{{{MIN_TOKEN},}}", "[+/]"),
+    (rf"[A-Za-z0-9_-]{{{MIN_TOKEN},}}", "[_-]"),
 )
 
 
@@ -84,6 +101,39 @@ def _numbered(k: int):
     return lambda x, i: F.struct(F.lit(k).alias("k"), i.alias("at"), x["gap"].alias("gap"), x["found"].alias("found"))
 
 
+def candidates(runs: DataFrame) -> DataFrame:
+    """(_row, run, start, end, found) of every candidate in the runs of ``raw_spans``; run is where its run starts."""
+    flat = None
+    for i, (pattern, sign) in enumerate(CUTS):
+        some = runs.filter(F.rlike("found", F.lit(sign))) if sign else runs
+        some = some.select("_row", F.col("start").alias("run"), F.lit(i).alias("cut"), F.posexplode(_matches(F.col("found"), pattern)).alias("at", "x"))
+        flat = some if flat is None else flat.unionByName(some)
+    flat = flat.select("_row", "run", "cut", "at", "x.*")
+    until = Window.partitionBy("_row", "run", "cut").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    end = F.col("run") + F.sum(F.col("gap") + F.length("found")).over(until)
+    flat = flat.select("_row", "run", "cut", "found", end.alias("end"))
+    held = F.lit(True)
+    for i, (_, sign) in enumerate(CUTS):
+        held = F.when(F.col("cut") == i, F.rlike("found", F.lit(sign))).otherwise(held)
+    return flat.filter(held).select("_row", "run", (F.col("end") - F.length("found")).alias("start"), "end", "found")
+
+
+def outer(picked: DataFrame) -> DataFrame:
+    """(_row, start, end) of discoveries: one with signs takes the place of its parts, unless a part is by far the stronger find."""
+    wide = F.rlike("found", F.lit("[^A-Za-z0-9]"))
+    runs = picked.groupBy("_row", "run").agg(F.collect_list(F.struct("start", "end", "p_text", wide.alias("wide"))).alias("x"))
+
+    def inside(a: Column, b: Column) -> Column:
+        return (a["start"] >= b["start"]) & (a["end"] <= b["end"])
+
+    def parts(w: Column) -> Column:
+        return F.exists("x", lambda p: ~p["wide"] & inside(p, w) & (p["p_text"] < PART_SHARE * w["p_text"]))
+
+    runs = runs.withColumn("w", F.filter("x", lambda w: w["wide"] & ~parts(w)))
+    runs = runs.withColumn("p", F.filter("x", lambda p: ~p["wide"] & ~F.exists("w", lambda w: inside(p, w))))
+    return runs.select("_row", F.explode(F.concat("w", "p")).alias("x")).select("_row", "x.start", "x.end")
+
+
 def _two_sided(z: Column) -> Column:
     """P(|normal| >= |z|), by a polynomial of the error function and, far out, by the tail's leading term."""
     x = F.abs(z) / math.sqrt(2)
@@ -104,16 +154,15 @@ def randomness(tokens: DataFrame, token: str = "found") -> DataFrame:
     stored on the way, dealt out evenly: a few bytes of input mean much work here.
     """
     name, size, values = F.lit(None).cast("string"), F.lit(None).cast("int"), F.lit(None).cast("array<int>")
-    squares = F.lit(None).cast("bigint")
     for label, alphabet, pattern in reversed(ENCODINGS):
         fits = F.rlike(token, F.lit(pattern))
         code = F.transform(F.split(token, ""), _place_in(alphabet))
-        letters = F.array(*[F.lit(c) for c in alphabet])
-        counts = F.aggregate(
-            letters, F.lit(0).cast("bigint"), lambda s, c: s + F.pow(F.length(token) - F.length(F.replace(F.col(token), c, F.lit(""))), 2).cast("bigint")
-        )
         name, size = F.when(fits, F.lit(label)).otherwise(name), F.when(fits, F.lit(len(alphabet))).otherwise(size)
-        values, squares = F.when(fits, code).otherwise(values), F.when(fits, counts).otherwise(squares)
+        values = F.when(fits, code).otherwise(values)
+    squares = F.aggregate(
+        F.array_distinct(F.split(token, "")), F.lit(0).cast("bigint"),
+        lambda s, c: s + F.pow(F.length(token) - F.length(F.replace(F.col(token), c, F.lit(""))), 2).cast("bigint"),
+    )
     tokens = tokens.repartition(int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     df = materialise(tokens.withColumns({"encoding": name, "_k": size, "_v": values, "_sq": squares, "_n": F.greatest(F.length(token), F.lit(2)).cast("double")}))
     k, n = F.col("_k").cast("double"), F.col("_n")
@@ -123,15 +172,13 @@ def randomness(tokens: DataFrame, token: str = "found") -> DataFrame:
         return F.length(F.regexp_replace(F.col(token), pattern, "")).cast("double")
 
     digits, small, capital, signs = of("[^0-9]"), of("[^a-z]"), of("[^A-Z]"), of(r"[^+/_-]")
-    share = {
-        "hex": (10, 6, 0, 0), "HEX": (10, 0, 6, 0), "base32": (6, 0, 26, 0), "base62": (10, 26, 26, 0),
-        "base64": (10, 26, 26, 2), "base64url": (10, 26, 26, 2),
-    }
     classes = F.lit(None).cast("double")
-    for label, shares in share.items():
-        total, used = sum(shares), [(c, s) for c, s in zip((digits, small, capital, signs), shares, strict=True) if s]
+    for label, alphabet, _ in ENCODINGS:
+        shares = [sum(c in kind for c in alphabet) for kind in (_DIGITS, _LOWER, _UPPER, _SIGNS)]
+        total, used = len(alphabet), [(c, s) for c, s in zip((digits, small, capital, signs), shares, strict=True) if s]
         chi = sum(((c - n * s / total) * (c - n * s / total) / (n * s / total) for c, s in used), F.lit(0.0))
-        classes = F.when(F.col("encoding") == label, (chi - (len(used) - 1)) / math.sqrt(2 * (len(used) - 1))).otherwise(classes)
+        z = (chi - (len(used) - 1)) / math.sqrt(2 * (len(used) - 1)) if len(used) > 1 else F.lit(0.0)
+        classes = F.when(F.col("encoding") == label, z).otherwise(classes)
     df = df.withColumns({"_z1": z_symbols, "_z2": classes})
     # runs above and below the middle, and serial correlation, from neighbouring values
     pairs = F.zip_with(F.slice("_v", 1, F.size("_v") - 1), F.slice("_v", 2, F.size("_v") - 1), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
@@ -196,8 +243,8 @@ def scan(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",
     found = materialise(docs.select(*[F.col(c).alias(n) for c, n in zip(keep, names, strict=True)], F.monotonically_increasing_id().alias("_row"), *cells))
     spans = materialise(raw_spans(found))
     last = len(KINDS) - 1
-    tested = materialise(randomness(spans.filter(F.col("k") == last)))
-    picked = discoveries(tested).select("_row", "k", "start", "end")
+    tested = materialise(randomness(candidates(spans.filter(F.col("k") == last))))
+    picked = outer(discoveries(tested)).select("_row", F.lit(last).alias("k"), "start", "end")
     every = spans.filter(F.col("k") < last).select("_row", "k", "start", "end").unionByName(picked)
     first = F.min("k").over(Window.partitionBy("_row", "start", "end"))
     every = every.withColumn("_first", first).filter((F.col("k") < last) | (F.col("_first") == last))

@@ -225,3 +225,26 @@ def test_pipeline(spark):
     leaked = {r["doc_id"] for r in decontam.contained_items(second, spark.read.parquet(f"{SF}/benchmark.parquet")).collect()}
     assert {r["doc_id"] for r in third.collect()} == {r["doc_id"] for r in second.collect()} - leaked
     assert pipeline.run(spark, SF).count() == pipeline.source_mix(spark, third, SF).count()
+
+
+_SMALL, _LARGE, _FIGURES = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+ALPHABETS = {
+    "hex": _FIGURES + "abcdef", "HEX": _FIGURES + "ABCDEF", "lower": _SMALL, "upper": _LARGE, "base32": _LARGE + "234567", "base32lower": _SMALL + "234567",
+    "base36": _SMALL + _FIGURES, "BASE36": _LARGE + _FIGURES, "letters": _SMALL + _LARGE, "base62": _SMALL + _LARGE + _FIGURES,
+    "base64": _SMALL + _LARGE + _FIGURES + "+/", "base64url": _SMALL + _LARGE + _FIGURES + "-_",
+}
+
+
+def test_keys_of_every_alphabet_pass_the_battery(spark):
+    rng = random.Random(11)
+    keys = [(name, "".join(rng.choices(alphabet, k=40))) for name, alphabet in ALPHABETS.items() for _ in range(40)]
+    rows = secretscan.randomness(spark.createDataFrame(keys, "alphabet string, found string")).collect()
+    for name in ALPHABETS:
+        assert sum(r["p_random"] >= secretscan.REJECT for r in rows if r["alphabet"] == name) >= 34, name
+
+
+def test_every_part_of_a_run_that_fits_an_alphabet_is_a_candidate(spark):
+    runs = spark.createDataFrame([(1, 5, "ab-" + "x" * 20 + "/" + "y" * 20)], "_row bigint, start bigint, found string")
+    found = {(r["start"], r["end"], r["found"]) for r in secretscan.candidates(runs).collect()}
+    x, y = "x" * 20, "y" * 20
+    assert found == {(8, 28, x), (29, 49, y), (8, 49, f"{x}/{y}"), (5, 28, f"ab-{x}")}
