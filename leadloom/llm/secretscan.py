@@ -8,10 +8,11 @@ and capital letters, signs), the number of runs above and below the middle of th
 at distance one. A candidate stays unless the smallest of the four p-values, times four, is under ``REJECT``.
 
 Randomness alone does not tell a short key from a word, so the second condition controls false
-discoveries. In ordinary text neighbouring characters change class with a probability of at most
-``TEXT_CHANGE``; the Chernoff bound on the changes seen is a p-value that falls with the length. Within
-each length class (powers of the square root of two), the Benjamini-Hochberg procedure at level
-``FALSE_SHARE`` over all candidates of the corpus sets the limit.
+discoveries. The null is text: a Markov chain over vowels, consonants, digits and signs, with the frequencies of
+letters and a share of repeated characters (``text_chance``). The ratio of a token's chance as random symbols
+to its chance as text has a mean of at most one over text, so its inverse (times the number of encodings to
+choose from) is a p-value by Markov's inequality. Within each length class (powers of the square root of
+two), the Benjamini-Hochberg procedure at level ``FALSE_SHARE`` over all candidates of the corpus sets the limit.
 
 All steps are column functions, windows, joins and aggregations.
 """
@@ -29,7 +30,6 @@ from leadloom.session import materialise
 
 MIN_TOKEN = 20
 REJECT = 0.001
-TEXT_CHANGE = 0.1
 FALSE_SHARE = 0.01
 #: A part of a find is reported in its place if its p-value is under this share of the whole's: the rest is text.
 PART_SHARE = 0.05
@@ -69,6 +69,56 @@ CUTS = (
     (rf"[A-Za-z0-9_-]{{{MIN_TOKEN},}}", "[_-]"),
 )
 
+#: Text as a Markov chain: kinds of characters, and the chance of each kind (columns) after each (rows).
+_KINDS_OF_TEXT = ("aeiouy", "bcdfghjklmnpqrstvwxz", "AEIOUY", "BCDFGHJKLMNPQRSTVWXZ", _DIGITS, _SIGNS)
+_AFTER = (
+    (0.15, 0.75, 0.005, 0.015, 0.03, 0.05),
+    (0.50, 0.40, 0.005, 0.015, 0.03, 0.05),
+    (0.02, 0.08, 0.13, 0.65, 0.05, 0.07),
+    (0.13, 0.07, 0.40, 0.30, 0.04, 0.06),
+    (0.015, 0.025, 0.015, 0.025, 0.85, 0.07),
+    (0.22, 0.42, 0.07, 0.13, 0.12, 0.04),
+)
+#: Parts in a thousand of letters in text of languages with Latin letters, of all vowels and of all consonants.
+_VOWELS = dict(zip("aeiouy", (200, 340, 200, 160, 80, 20), strict=True))
+_CONSONANTS = dict(zip("ntsrldhcmgpfbvwkzjxq", (130, 140, 115, 115, 70, 70, 60, 60, 45, 35, 35, 30, 30, 20, 15, 15, 6, 3, 3, 3), strict=True))
+#: Chance that a character of a text repeats the one before for its own sake (rules, padding).
+_REPEAT = 0.08
+
+
+def _share_of(c: str) -> float:
+    """The chance of a character among those of its kind."""
+    if c.lower() in _VOWELS:
+        return _VOWELS[c.lower()] / sum(_VOWELS.values())
+    if c.lower() in _CONSONANTS:
+        return _CONSONANTS[c.lower()] / sum(_CONSONANTS.values())
+    return 1 / len(_DIGITS if c in _DIGITS else _SIGNS)
+
+
+def _table(values) -> Column:
+    return F.array(*[F.lit(v) for v in values])
+
+
+def text_chance(chars: Column) -> Column:
+    """The logarithm of the chance of an array of key characters as text; the first follows a sign."""
+    every = "".join(_KINDS_OF_TEXT)
+    kind = _table([i for i, kind in enumerate(_KINDS_OF_TEXT) for _ in kind])
+    share, after = _table([_share_of(c) for c in every]), _table([x for row in _AFTER for x in row])
+    width, signs = len(_KINDS_OF_TEXT), len(_KINDS_OF_TEXT) - 1
+
+    def coded(c: Column) -> Column:
+        at = F.instr(F.lit(every), c) - 1
+        return F.struct(at.alias("c"), F.get(kind, at).alias("kind"), F.get(share, at).alias("share"))
+
+    codes = F.transform(chars, coded)
+    first = F.get(codes, F.lit(0))
+    start = F.log(F.get(after, F.lit(width * signs) + first["kind"]) * first["share"])
+    each = F.zip_with(
+        F.slice(codes, 1, F.size(codes) - 1), F.slice(codes, 2, F.size(codes) - 1),
+        lambda a, b: F.log((1 - _REPEAT) * F.get(after, a["kind"] * width + b["kind"]) * b["share"] + F.when(a["c"] == b["c"], _REPEAT).otherwise(0.0)),
+    )
+    return start + F.aggregate(each, F.lit(0.0), lambda s, x: s + x)
+
 
 def _matches(text: Column, pattern: str) -> Column:
     """Each match with the number of code points between it and the match before."""
@@ -148,7 +198,7 @@ def _place_in(alphabet: str):
 
 
 def randomness(tokens: DataFrame, token: str = "found") -> DataFrame:
-    """``tokens`` with encoding, p_random (battery) and p_text (class changes); tokens that fit no encoding get nulls.
+    """``tokens`` with encoding, p_random (battery) and p_text (against text); tokens that fit no encoding get nulls.
 
     Built row by row from column functions over the token's characters. The tokens with their values are
     stored on the way, dealt out evenly: a few bytes of input mean much work here.
@@ -188,27 +238,16 @@ def randomness(tokens: DataFrame, token: str = "found") -> DataFrame:
     runs = F.aggregate("_pairs", F.lit(1.0), lambda s, p: s + F.when((p["a"] * 2 >= F.col("_k")) != (p["b"] * 2 >= F.col("_k")), 1.0).otherwise(0.0))
     cov = F.aggregate("_pairs", F.lit(0.0), lambda s, p: s + (p["a"] - F.col("_mean")) * (p["b"] - F.col("_mean")))
     var = F.aggregate("_v", F.lit(0.0), lambda s, x: s + (x - F.col("_mean")) * (x - F.col("_mean")))
-    text = F.col(token)
-    kinds = F.transform(
-        F.split(text, ""),
-        lambda c: F.when(F.rlike(c, F.lit("[0-9]")), 0).when(F.rlike(c, F.lit("[a-z]")), 1).when(F.rlike(c, F.lit("[A-Z]")), 2).otherwise(3),
-    )
-    df = df.withColumns({"_runs": runs, "_cov": cov, "_var": var, "_c": kinds})
-    changes = F.aggregate(
-        F.zip_with(F.slice("_c", 1, F.size("_c") - 1), F.slice("_c", 2, F.size("_c") - 1), lambda a, b: F.when(a != b, 1.0).otherwise(0.0)),
-        F.lit(0.0), lambda s, x: s + x,
-    )
+    df = df.withColumns({"_runs": runs, "_cov": cov, "_var": var, "_text": text_chance(F.split(token, ""))})
     both = 2 * F.col("_high") * (n - F.col("_high"))
     z_runs = F.when(both > n, (F.col("_runs") - both / n - 1) / F.sqrt(both * (both - n) / (n * n * (n - 1)))).otherwise(F.sqrt(n))
     z_serial = F.when(F.col("_var") > 0, (F.col("_cov") / F.col("_var") + 1 / n) * F.sqrt(n)).otherwise(F.sqrt(n))
-    df = df.withColumns({"_z3": z_runs, "_z4": z_serial, "_f": changes / (n - 1)})
+    df = df.withColumns({"_z3": z_runs, "_z4": z_serial})
     least = F.least(*[_two_sided(F.col(f"_z{i}")) for i in range(1, 5)])
-    f, q = F.col("_f"), TEXT_CHANGE
-    apart = F.when(f > 0, f * F.log(f / q)).otherwise(0.0) + F.when(f < 1, (1 - f) * F.log((1 - f) / (1 - q))).otherwise(0.0)
-    p_text = F.when(f > q, F.exp(-(n - 1) * apart)).otherwise(F.lit(1.0))
+    p_text = F.least(F.lit(1.0), len(ENCODINGS) * F.exp(F.col("_text") + F.length(token) * F.log(k)))
     known = F.col("encoding").isNotNull()
     df = df.withColumns({"p_random": F.when(known, F.least(F.lit(1.0), 4 * least)), "p_text": F.when(known, p_text)})
-    return df.drop("_k", "_v", "_sq", "_n", "_pairs", "_high", "_mean", "_runs", "_cov", "_var", "_c", "_f", "_z1", "_z2", "_z3", "_z4")
+    return df.drop("_k", "_v", "_sq", "_n", "_pairs", "_high", "_mean", "_runs", "_cov", "_var", "_text", "_z1", "_z2", "_z3", "_z4")
 
 
 def discoveries(tested: DataFrame, reject: float = REJECT, level: float = FALSE_SHARE) -> DataFrame:

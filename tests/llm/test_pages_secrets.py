@@ -248,3 +248,36 @@ def test_every_part_of_a_run_that_fits_an_alphabet_is_a_candidate(spark):
     found = {(r["start"], r["end"], r["found"]) for r in secretscan.candidates(runs).collect()}
     x, y = "x" * 20, "y" * 20
     assert found == {(8, 28, x), (29, 49, y), (8, 49, f"{x}/{y}"), (5, 28, f"ab-{x}")}
+
+
+def wordy(rng, n):
+    """Long words, paths and names of code, as common as in a large corpus."""
+    parts = ("inter", "national", "user", "data", "config", "value", "tion", "schaft", "ment", "files", "handler", "connection", "over", "time", "index", "2024")
+    joins = ("", "/", "-", "_")
+    return [rng.choice((str, str.upper, str))(rng.choice(joins).join(rng.choices(parts, k=6))) for _ in range(n)]
+
+
+def test_keys_of_every_alphabet_are_found_among_words(spark):
+    rng = random.Random(11)
+    keys = [(name, n, "".join(rng.choices(alphabet, k=n))) for name, alphabet in ALPHABETS.items() for n in (24, 32, 40) for _ in range(15)]
+    words = wordy(rng, 3000)
+    rows = [(i, f"here is {key} then") for i, (*_, key) in enumerate(keys)] + [(-1 - i, f"see {w} there") for i, w in enumerate(words)]
+    got = {r["doc_id"]: r for r in secretscan.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    for name in ALPHABETS:
+        own = [i for i, key in enumerate(keys) if key[0] == name]
+        assert sum(f":8:{8 + keys[i][1]}" in got[i]["spans"] for i in own) >= 0.85 * len(own), name
+    assert sum(got[-1 - i]["n_random"] for i in range(len(words))) <= 5
+
+
+def test_keys_inside_paths_are_found_where_they_are(spark):
+    rng = random.Random(3)
+    keys = ["".join(rng.choices(ALPHABETS["base62"], k=40)) for _ in range(20)]
+    rows = [(i, f"files/user-data/{key}") for i, key in enumerate(keys)] + [(100 + i, f"a_b+c 😀 docs/old_files+{key}-en") for i, key in enumerate(keys)]
+    rows += [(200, "-/_+" * 5000), (201, "files/user-data/inter-national/over_time+value/connection-handler")]
+    got = {r["doc_id"]: r["spans"] for r in secretscan.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got[200] == got[201] == ""
+    for before, first in ((0, len("files/user-data/")), (100, len("a_b+c x docs/old_files+"))):
+        spans = [got[before + i].split(",") for i in range(20)]
+        assert all(len(s) == 1 for s in spans)
+        places = [tuple(map(int, s[0].split(":")[1:])) for s in spans if s[0]]
+        assert len(places) >= 18 and all(a <= first and b >= first + 40 for a, b in places)
