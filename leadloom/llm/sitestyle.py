@@ -1,13 +1,14 @@
 """Main text of web pages by site style trees.
 
-The pages of one host are merged into a style tree: elements with the same chain of tags and classes are one node. A
-node has two importances, both from entropies over the m pages that have it. Presentation: the entropy
+The pages of one host are merged into a style tree: elements with the same chain of tags and classes are one node.
+Equal pages of a host are one page of it: each of c copies weighs 1 / c. A node has two importances, both from entropies over the m pages that have it. Presentation: the entropy
 of its sequences of children, in units of log m; a node that always looks alike tells nothing. Content: one less
 the mean of log(k) / log(m) over the texts below it, where k pages share a text; text that all pages
 repeat tells nothing. With l different presentations, the composite importance is ``(1 - G**l)`` of the
 first and ``G**l`` of the second, G = 0.9. Branches of low importance leave each page.
 
-A branch is never cut if it holds the page's article, and a site needs ``MIN_PAGES`` pages with a node to
+A branch is never cut if it holds the page's article or most of its text (without an article, of the text outside low
+branches), and a site needs ``MIN_PAGES`` pages with a node to
 judge it. What elements say of themselves (tag, role, class, id) removes navigation, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles and comments on small sites too.
 """
@@ -187,12 +188,27 @@ class Page:
         """Blocks of the main element outside noise and branches of low importance."""
         root = self.article()
         paths = self.paths() if low else []
+        held = self._held(root, [p in low for p in paths]) if low else []
         gone = [root != 0]
         for e in range(1, len(self.tag)):
             poor = bool(low) and paths[e] in low and self.tag[e] not in ("html", "body") and not (root and self.tag[e] in _PLAIN)
+            poor = poor and 2 * held[e] <= held[root]
             gone.append(e != root and (gone[self.parent[e]] or self.noisy[e] or self.hidden[e] or poor))
         return "\n".join(line for e, line in self.blocks if not gone[e])
 
+    def _held(self, root: int, low: list[bool]) -> list[int]:
+        """Characters of the main element's text outside noise below each element; of a page without one, only outside low branches."""
+        out = [root != 0]
+        for e in range(1, len(self.tag)):
+            out.append(e != root and (out[self.parent[e]] or self.noisy[e] or self.hidden[e]))
+        held = [0] * len(self.tag)
+        for e, line in self.blocks:
+            if not out[e] and (root or not low[e]):
+                held[e] += len(line)
+        for e in range(len(self.tag) - 1, 0, -1):
+            held[self.parent[e]] += held[e]
+        return held
+
     def nodes(self) -> list[tuple[int, int, list[int]]]:
         """(path, presentation, texts below) for every node of the page, nodes of the same path together."""
         paths = self.paths()
@@ -210,33 +226,51 @@ class Page:
 
 
 def style_nodes(pages: DataFrame) -> DataFrame:
-    """(host, html) -> (host, node, style, texts), one row for each page and node."""
+    """(host, html, copies) -> (host, node, style, texts, weight), one row for each page and node; weight is 1 / copies."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [(host, *node) for host, source in zip(batch["host"], batch["html"], strict=True) if source for node in Page(source).nodes()]
+            cells = zip(batch["host"], batch["html"], batch["copies"], strict=True)
+            rows = [(host, *node, 1 / copies) for host, source, copies in cells if source for node in Page(source).nodes()]
             if rows:
-                yield pd.DataFrame(rows, columns=["host", "node", "style", "texts"])
+                yield pd.DataFrame(rows, columns=["host", "node", "style", "texts", "weight"])
 
-    return pages.select("host", F.coalesce("html", F.lit("")).alias("html")).mapInPandas(run, "host string, node bigint, style bigint, texts array<bigint>")
+    columns = pages.select("host", F.coalesce("html", F.lit("")).alias("html"), "copies")
+    return columns.mapInPandas(run, "host string, node bigint, style bigint, texts array<bigint>, weight double")
+
+
+def with_copies(pages: DataFrame) -> DataFrame:
+    """(host, html) with ``copies``, the number of rows of the host with the same html.
+
+    Only hashes of host and html are grouped; the list of those with copies is joined: broadcast if Spark finds it small.
+    """
+    marked = pages.select("host", "html", F.xxhash64("host", F.col("host").isNull(), "html").alias("_page"))
+    again = materialise(marked.groupBy("_page").agg(F.count("*").alias("copies")).filter("copies > 1"))
+    return marked.join(again, "_page", "left").select("host", "html", F.coalesce("copies", F.lit(1)).alias("copies"))
 
 
 def node_importance(nodes: DataFrame, damping: float = DAMPING) -> DataFrame:
-    """(host, node) -> pages, presentation, content and importance, from entropies; all sums are partial before the shuffle."""
-    styles = nodes.groupBy("host", "node", "style").agg(F.count("*").alias("c"))
+    """(host, node) -> pages, presentation, content and importance, from entropies; all sums are partial before the shuffle.
+
+    Pages are counted by the column ``weight`` if there is one. The copies of a page have equal rows, so sums of weights are whole
+    but for rounding.
+    """
+    count = F.round(F.sum("weight")).cast("bigint") if "weight" in nodes.columns else F.count("*")
+    styles = nodes.groupBy("host", "node", "style").agg(count.alias("c"))
     looks = styles.groupBy("host", "node").agg(
         F.sum("c").alias("pages"), F.count("*").alias("styles"), F.sum(F.col("c") * F.log("c")).alias("s")
     )
     m = F.col("pages").cast("double")
     shown = F.when(F.col("pages") > 1, (F.log(m) - F.col("s") / m) / F.log(m)).otherwise(1.0)
     looks = looks.select("host", "node", "pages", "styles", shown.alias("presentation"))
-    texts = nodes.select("host", "node", F.explode("texts").alias("t")).groupBy("host", "node", "t").agg(F.count("*").alias("k"))
+    weight = ["weight"] if "weight" in nodes.columns else []
+    texts = nodes.select("host", "node", *weight, F.explode("texts").alias("t")).groupBy("host", "node", "t").agg(count.alias("k"))
     said = texts.groupBy("host", "node").agg(F.sum("k").alias("all"), F.sum(F.col("k") * F.log("k")).alias("w"))
     both = looks.join(said, same(looks, said, ["host", "node"]), "left").select(looks["*"], "all", "w")
     content = F.when(F.col("pages") > 1, F.coalesce(1 - F.col("w") / F.col("all") / F.log(m), F.lit(0.0))).otherwise(1.0)
-    weight = F.pow(F.lit(damping), F.col("styles"))
+    damped = F.pow(F.lit(damping), F.col("styles"))
     both = both.withColumn("content", content)
-    return both.select("host", "node", "pages", "presentation", "content", ((1 - weight) * F.col("presentation") + weight * F.col("content")).alias("importance"))
+    return both.select("host", "node", "pages", "presentation", "content", ((1 - damped) * F.col("presentation") + damped * F.col("content")).alias("importance"))
 
 
 def main_text(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url"), min_pages: int = MIN_PAGES, min_importance: float = MIN_IMPORTANCE) -> DataFrame:
@@ -248,7 +282,7 @@ def main_text(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url"), min_
     branches is joined by host: broadcast if Spark finds it small, split where a host is skewed.
     """
     hosted = pages.select(*keep, host_of("url").alias("host"), "html")
-    judged = node_importance(style_nodes(hosted.select("host", "html")))
+    judged = node_importance(style_nodes(with_copies(hosted)))
     low = judged.filter((F.col("pages") >= min_pages) & (F.col("importance") < min_importance))
     by_host = materialise(low.groupBy("host").agg(F.collect_list("node").alias("low")))
     joined = hosted.join(by_host, "host", "left").select(*keep, "html", "low")

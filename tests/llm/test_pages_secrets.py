@@ -281,3 +281,37 @@ def test_keys_inside_paths_are_found_where_they_are(spark):
         assert all(len(s) == 1 for s in spans)
         places = [tuple(map(int, s[0].split(":")[1:])) for s in spans if s[0]]
         assert len(places) >= 18 and all(a <= first and b >= first + 40 for a, b in places)
+
+
+def test_copies_of_a_page_are_one_page_of_its_site(spark):
+    def page(i):
+        return f"<div class=box><article><div class=entry><p>Story {i} has words.</p><p>More of {i}.</p></div></article></div>"
+
+    def bare(i):
+        return f"<div><ul><li>Home<li>News</ul></div><section><div class=entry><p>Story {i} has its own words.</p></div></section>"
+
+    rows = [(i, "http://hot.example/a", page(0)) for i in range(40)] + [(40 + i, f"http://hot.example/{i}", page(i)) for i in range(1, 4)]
+    rows += [(100 + i, "http://bare.example/a", bare(0)) for i in range(60)] + [(200 + i, f"http://bare.example/{i}", bare(i)) for i in range(1, 7)]
+    rows += [(300 + i, "http://one.example/", page(9)) for i in range(20)] + [(400 + i, "http://one.example/", bare(9)) for i in range(20)]
+    got = {r["page_id"]: r["text"] for r in sitestyle.main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    for i in range(40):
+        assert got[i] == "Story 0 has words.\nMore of 0."
+    for i in range(1, 4):
+        assert got[40 + i] == f"Story {i} has words.\nMore of {i}."
+    for i in range(60):
+        assert got[100 + i] == "Story 0 has its own words."
+    for i in range(1, 7):
+        assert got[200 + i] == f"Story {i} has its own words."
+    for i in range(20):
+        assert got[300 + i] == "Story 9 has words.\nMore of 9." and "Story 9 has its own words." in got[400 + i]
+
+
+def test_most_of_an_article_is_never_cut():
+    source = "<article><div class=entry><p>long text of the article</p></div><div class=rest><p>again</p></div></article>"
+    page = sitestyle.Page(source)
+    paths = page.paths()
+    assert page.text(set(paths)) == "long text of the article"
+    source = "<div class=wrap><ul><li>Home, news and all the rest</ul><p>story</p></div>"
+    page = sitestyle.Page(source)
+    low = {p for e, p in enumerate(page.paths()) if page.tag[e] != "p"}
+    assert page.text(low) == "story"
