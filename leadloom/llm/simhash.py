@@ -81,25 +81,32 @@ def near_duplicates(docs: DataFrame, text: str = "text", shingle: int = SHINGLE,
     component; a component without any doc_id has a null id; an empty table gives no rows. Only
     fingerprints are shuffled, never texts. ``keep`` must include doc_id.
     """
+    placed = _rooted(docs, text, shingle, max_bits, keep)
+    return placed.select(*keep, "fp", "component_id")
+
+
+def _rooted(docs: DataFrame, text: str, shingle: int, max_bits: int, keep: tuple[str, ...]) -> DataFrame:
+    """``near_duplicates`` with ``_root``, the smallest fingerprint of the component: components may share a component_id."""
     stored = materialise(fingerprints(docs, text, shingle, keep))
     distinct = materialise(stored.groupBy("fp").agg(F.min("doc_id").alias("least")))
     found = connected(links(distinct.select("fp"), max_bits))
     rooted = distinct.join(found, distinct["fp"] == found["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     linked = rooted.filter(F.col("root").isNotNull())
     roots = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = materialise(linked.join(roots, "root").select("fp", "component_id"))
-    return stored.join(named, same(stored, named, ["fp"])).select(stored["*"], "component_id")
+    named = materialise(linked.join(roots, "root").select("fp", "component_id", F.col("root").alias("_root")))
+    return stored.join(named, same(stored, named, ["fp"])).select(stored["*"], "component_id", "_root")
 
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """One document of each component, the one with the smallest doc_id, with the columns of ``docs``.
+    """One document of each component, the one with the smallest doc_id (none if all are null), with the columns of ``docs``.
 
-    Of rows that share that doc_id one stays, the one with the smallest hash of all columns.
+    Of rows that share that doc_id one stays, the one with the smallest hash of all columns. Components are told apart by
+    their fingerprints, not by the document ids, which unrelated texts may share.
     """
     names = docs.columns
-    marked = docs.withColumn("_row", F.xxhash64(*names))
-    placed = near_duplicates(marked, shingle=shingle, max_bits=max_bits, keep=("doc_id", "_row"))
-    first = placed.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    first = first.groupBy("component_id").agg(F.min("_row").alias("_row")).withColumnRenamed("component_id", "doc_id")
+    marked = docs.withColumn("_row", F.xxhash64(*names, *[F.col(f"`{c}`").isNull() for c in names]))
+    placed = _rooted(marked, "text", shingle, max_bits, ("doc_id", "_row"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")
+    first = placed.groupBy("_root").agg(F.min(order).alias("x")).select("x.doc_id", "x._row").distinct()
     found = marked.join(first, same(marked, first, ["doc_id", "_row"]), "left_semi")
     return found.dropDuplicates(["doc_id", "_row"]).select(*names)

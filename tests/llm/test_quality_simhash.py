@@ -131,3 +131,21 @@ def test_one_of_each(spark):
     parts = {r["component_id"] for r in simhash.near_duplicates(docs).collect()}
     assert kept.count() == len(parts)
     assert simhash.one_of_each(edges.empty(spark)).count() == 0
+
+
+def test_one_of_each_component_of_fingerprints(spark):
+    docs = edges.documents(spark)
+    more = [(None, "a clean text that no other row has", "en", "a", 1), (None, "second clean text, not like any other here", "en", "a", 2), (5, "one id for two long unrelated pieces", "en", "a", 3)]
+    docs = docs.unionByName(spark.createDataFrame(more, edges.DOCUMENT))
+    prints = [(r["doc_id"], r["text"], simhash.fingerprint(r["text"])) for r in docs.collect()]
+    root = {fp: fp for _, _, fp in prints}
+    for _ in root:
+        for a in root:
+            root[a] = min(root[b] for b in root if bin((a ^ b) & (2**64 - 1)).count("1") <= simhash.MAX_BITS)
+    want = []
+    for one in set(root.values()):
+        ids = [d for d, _, fp in prints if root[fp] == one]
+        want.append((min((d for d in ids if d is not None), default=None), one))
+    got = [(r["doc_id"], root[simhash.fingerprint(r["text"])]) for r in simhash.one_of_each(docs).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    assert len(got) == len({fp for _, fp in got}) == len(set(root.values()))
