@@ -10,7 +10,9 @@ first and ``G**l`` of the second, G = 0.9. Branches of low importance leave each
 A branch is never cut if it holds the page's article or most of its text (without an article, of the text outside low
 branches), and a site needs ``MIN_PAGES`` pages with a node to
 judge it. What elements say of themselves (tag, role, class, id) removes navigation, headers, footers, sidebars,
-notices, adverts, forms, scripts, styles and comments on small sites too.
+notices, adverts, forms, scripts, styles and comments on small sites too. A class or id alone condemns neither an article or
+main element, unless it names another kind of text (comments, adverts, related pages), nor an element that holds most of
+the text of its page or article.
 """
 
 from __future__ import annotations
@@ -51,6 +53,10 @@ _NOISE_WORDS = re.compile(
 )
 #: Class names that tell how a container is laid out, not what it is.
 _LAYOUT = re.compile(r"(?:has|with|without|no|is|js)[_-]")
+#: Words for texts of another kind than the page's; the other noise words may also tell the layout around its text.
+_OTHER_TEXT = re.compile(
+    r"(?:ads?|adverts?|advert\w+|adsense|sponsor\w*|promo\w*|cookies?|consent|gdpr|related|recommended|comments?|commentlist|disqus|replies|respond|copyright|disclaimer)"
+)
 _HEADER_WORDS = frozenset(("header", "head", "hdr"))
 
 
@@ -69,8 +75,10 @@ class Page:
         self.parent, self.tag, self.words, self.noisy, self.main, self.hidden = [-1], [""], [()], [False], [False], [False]
         self.children: list[list[str]] = [[]]
         self.blocks: list[tuple[int, str]] = []
+        self._named, self._other = set(), set()  # noise by class or id alone; of these, other kinds of text
         self._stack, self._text = [0], []
         self._read(source)
+        self._pardon()
 
     def _flush(self) -> None:
         if self._text:
@@ -98,14 +106,20 @@ class Page:
         self.parent.append(self._stack[-1])
         self.tag.append(tag)
         self.words.append(tuple(w for w in small if not any(c.isdigit() for c in w)))
-        self.main.append(own and not any(_NOISE_WORDS.fullmatch(w) for w in small))
+        other = any(_OTHER_TEXT.fullmatch(w) for w in small)
+        self.main.append(own and not other)
         hides = "hidden" in rest.lower().split() or re.search(r"display\s*:\s*none", found.get("style", "")) is not None
         self.hidden.append(hides or found.get("aria-hidden", "").lower() == "true")
-        named = any(_NOISE_WORDS.fullmatch(w) for w in small)
-        header = tag == "header" or (tag not in ("h1", "h2", "h3", "h4", "h5", "h6") and any(w in _HEADER_WORDS for w in small))
+        named = tag not in ("html", "body") and any(_NOISE_WORDS.fullmatch(w) for w in small)
         inside = any(self.main[e] for e in self._stack)
-        named = named and tag not in ("html", "body")
-        self.noisy.append(tag in _NOISE_TAGS or role in _NOISE_ROLES or named or (header and not inside))
+        headed = tag not in ("h1", "h2", "h3", "h4", "h5", "h6") and any(w in _HEADER_WORDS for w in small) and not inside
+        sure = tag in _NOISE_TAGS or role in _NOISE_ROLES or (tag == "header" and not inside)
+        worded = (named or headed) and not self.main[here]
+        self.noisy.append(sure or worded)
+        if worded and not sure:
+            self._named.add(here)
+            if other:
+                self._other.add(here)
         self.children[self._stack[-1]].append(self.name(here))
         self.children.append([])
         self._stack.append(here)
@@ -155,6 +169,30 @@ class Page:
             self._open(tag, m[3])
         self._flush()
 
+    def _pardon(self) -> None:
+        """Elements that are noise by class or id only, and hold most of the text of the page or their article, are no noise.
+
+        Text in what is noise for another reason doesn't count. Other kinds of text are pardoned only if there is no text besides.
+        """
+        if not self._named:
+            return
+        size = len(self.tag)
+        own = [0] * size
+        for e, line in self.blocks:
+            own[e] += len(line)
+        clean, every = own[:], own[:]  # below each element: outside all noise, and outside noise for other reasons
+        for e in range(size - 1, 0, -1):
+            sure = self.hidden[e] or (self.noisy[e] and e not in self._named)
+            every[self.parent[e]] += 0 if sure else every[e]
+            clean[self.parent[e]] += 0 if sure or self.noisy[e] else clean[e]
+        home = [0] * size  # the innermost main element around each
+        for e in range(1, size):
+            up = self.parent[e]
+            home[e] = up if self.main[up] else home[up]
+        for e in self._named:
+            if any(2 * every[e] > every[a] and (e not in self._other or not clean[a]) for a in {0, home[e]}):
+                self.noisy[e] = False
+
     def paths(self) -> list[int]:
         """A 64-bit signed hash of every element's chain of names."""
         chain = [0]

@@ -315,3 +315,19 @@ def test_most_of_an_article_is_never_cut():
     page = sitestyle.Page(source)
     low = {p for e, p in enumerate(page.paths()) if page.tag[e] != "p"}
     assert page.text(low) == "story"
+
+
+@pytest.mark.parametrize(
+    ("source", "want"),
+    [
+        ("<main class='content-sidebar'><p>the story</p></main><aside>z</aside>", "the story"),
+        ("<article class='post-widget'><p>the story</p><div class=share>s</div></article><footer>f</footer>", "the story"),
+        ("<div class='page-with-sidebar'><div class='layout-sidebar-right'><p>a story of some length</p><div class=sidebar>links</div></div></div>", "a story of some length"),
+        ("<div id='main-nav-layout'><ul class=menu><li>m</ul><div class='elementor-widget hidden-xs'><p>a story of some length</p></div></div>", "a story of some length"),
+        ("<article><div class='entry-widget'><p>the story</p></div></article><div class=box>a longer text beside the story</div>", "the story"),
+        ("<div class=story>short</div><div id=comments>many long comments of readers</div>", "short"),
+        ("<div class=story>a story of some length</div><article class=comment>c</article><div class=sidebar>links</div>", "a story of some length"),
+    ],
+)
+def test_layout_words_do_not_condemn_the_article(source, want):
+    assert text_of(source) == want
