@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from leadloom.llm import decontam, linefreq, mixing, quality, secretscan, simhash, sitestyle, tokenstore, toxicity, warc
-from leadloom.llm.tables import read
+from leadloom.llm import decontam, dialogue, linefreq, mixing, quality, secretscan, simhash, sitestyle, tokenstore, toxicity, warc
+from leadloom.llm.tables import read, same
+from leadloom.session import materialise
 
 
 def op1_secrets(spark, d):
@@ -90,6 +91,29 @@ def op10_mixing(spark, d):
     return mixing.mix_plan(read(spark, d, "documents").select("doc_id", "source", "text")).drop("source", "rate", "copies")
 
 
+def damaged_turns(turns):
+    """``turns`` with one of five faults in a quarter of the rows, drawn by a checksum of conversation and turn."""
+    spaced = {c: F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text")}
+    kind = F.crc32(F.concat(spaced["conv_id"], F.lit(":"), spaced["turn"])) % 20
+    role = F.when(F.col("kind") == 4, F.lit("user")).otherwise(spaced["role"])
+    text = F.when(F.col("kind") == 1, F.lit("")).when(F.col("kind") == 2, F.translate(spaced["text"], ".!?", "")).otherwise(spaced["text"])
+    times = F.when(F.col("kind") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    drawn = turns.select("conv_id", "turn", "role", "text", kind.alias("kind")).filter("kind <> 0")
+    return drawn.select("conv_id", "turn", role.alias("role"), text.alias("text"), F.explode(times).alias("again")).drop("again")
+
+
+def op13_conversation_repair(spark, d):
+    turns = read(spark, d, "conversations").select("conv_id", "turn", "role", "text")
+    damaged = damaged_turns(turns)
+    plan = materialise(dialogue.repair_plan(damaged))
+    named = dialogue.digests(dialogue.repaired_turns(damaged, plan))
+    every = turns.select("conv_id").distinct()
+    found = every.join(plan, same(every, plan, ["conv_id"]), "left").select(every["conv_id"], *[plan[c] for c in plan.columns[1:]])
+    joined = found.join(named, same(found, named, ["conv_id"]), "left").select(found["*"], "sha256")
+    filled = joined.fillna(0, subset=plan.columns[1:-1]).fillna("", subset=["audit"])
+    return filled.withColumn("repaired_sha256", F.coalesce("sha256", F.sha2(F.lit(""), 256))).drop("sha256")
+
+
 QUERIES = {
     "op1_secrets": (op1_secrets, None),
     "op2_warc": (op2_warc, None),
@@ -101,4 +125,5 @@ QUERIES = {
     "op8_quality": (op8_quality, None),
     "op9_decontamination": (op9_decontamination, DECONTAMINATION_SQL),
     "op10_mixing": (op10_mixing, None),
+    "op13_conversation_repair": (op13_conversation_repair, None),
 }
