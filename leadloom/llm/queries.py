@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from leadloom.llm import decontam, dialogue, linefreq, mixing, quality, secretscan, simhash, sitestyle, tokenstore, toxicity, warc
+from leadloom.llm import decontam, dialogue, hardneg, linefreq, mixing, quality, secretscan, simhash, sitestyle, tokenstore, toxicity, warc
 from leadloom.llm.tables import read, same
 from leadloom.session import materialise
 
@@ -91,6 +91,27 @@ def op10_mixing(spark, d):
     return mixing.mix_plan(read(spark, d, "documents").select("doc_id", "source", "text")).drop("source", "rate", "copies")
 
 
+def op12_hard_negatives(spark, d):
+    rows = read(spark, d, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = rows.select(F.col("vec_id").alias("key"), label.alias("label"), F.col("embedding").alias("vector"))
+    return hardneg.hard_negatives(rows, rows.filter(F.col("key") % 100 == 0))
+
+
+HARD_NEGATIVES_SQL = """WITH rows_ AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(CAST(256 AS DOUBLE) * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS alike, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM rows_ a JOIN rows_ b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (SELECT * FROM scored WHERE alike QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank,
+  n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.alike AND 80 * p.score <= 100 * n.score AND n.score <= p.score
+QUALIFY rank <= 5"""
+
+
 def damaged_turns(turns):
     """``turns`` with one of five faults in a quarter of the rows, drawn by a checksum of conversation and turn."""
     spaced = {c: F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text")}
@@ -125,5 +146,6 @@ QUERIES = {
     "op8_quality": (op8_quality, None),
     "op9_decontamination": (op9_decontamination, DECONTAMINATION_SQL),
     "op10_mixing": (op10_mixing, None),
+    "op12_hard_negatives": (op12_hard_negatives, HARD_NEGATIVES_SQL),
     "op13_conversation_repair": (op13_conversation_repair, None),
 }
