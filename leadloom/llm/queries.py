@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from leadloom.llm import decontam, dialogue, hardneg, linefreq, mixing, quality, secretscan, simhash, sitestyle, tokenstore, toxicity, warc
+from leadloom.llm import decontam, dialogue, edits, hardneg, linefreq, mixing, quality, secretscan, simhash, sitestyle, tokenstore, toxicity, warc
 from leadloom.llm.tables import read, same
 from leadloom.session import materialise
 
@@ -91,6 +91,10 @@ def op10_mixing(spark, d):
     return mixing.mix_plan(read(spark, d, "documents").select("doc_id", "source", "text")).drop("source", "rate", "copies")
 
 
+def op11_fingerprints(spark, d):
+    return edits.with_edits(read(spark, d, "documents").select("doc_id", "text"))
+
+
 def op12_hard_negatives(spark, d):
     rows = read(spark, d, "embeddings")
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -146,6 +150,7 @@ QUERIES = {
     "op8_quality": (op8_quality, None),
     "op9_decontamination": (op9_decontamination, DECONTAMINATION_SQL),
     "op10_mixing": (op10_mixing, None),
+    "op11_fingerprints": (op11_fingerprints, None),
     "op12_hard_negatives": (op12_hard_negatives, HARD_NEGATIVES_SQL),
     "op13_conversation_repair": (op13_conversation_repair, None),
 }
