@@ -6,17 +6,16 @@ shingles is its ``q - ceil(0.8 q) + 1`` smallest hashes: a document that holds t
 of them, so the search loses nothing. Items are partitioned by size (powers of two). Each partition has
 the largest hash of its sketches as its bound, and the fewest shingles a document needs for it; a
 document is sketched by its hashes up to the largest bound among the partitions it is long enough
-for. Sketches meet in an equi-join, and every document met is verified by counting the item's
-shingles, compared as text.
+for. Sketches meet in an equi-join; of every document met all shingle hashes are counted against the items,
+and what holds enough of them is verified by the shingles themselves, compared as text.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from leadloom.llm.tables import same
+from leadloom.llm.tables import unused
 from leadloom.session import materialise
 
 SHINGLE = 5
@@ -52,47 +51,70 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if size * 4 <= BROADCAST_BYTES else df
 
 
-def contained_items(docs: DataFrame, items: DataFrame, text: str = "text", k: int = SHINGLE, share: float = CONTAINMENT) -> DataFrame:
-    """Pairs of documents and the items inside them: doc_id, _text (XXH64 of the text), item_id, n_shared, n_shingles, containment.
+def _item_texts(items: DataFrame, text: str, k: int, share: float) -> tuple[DataFrame, DataFrame]:
+    """(item_id, item) and, for each different item text, (item, words, hashes, q, need); both stored."""
+    named = items.select("item_id", words_of(F.col(text)).alias("words")).filter("size(words) > 0")
+    named = named.withColumn("item", F.array(F.xxhash64("words"), F.xxhash64(F.lit(1), "words")))
+    names = materialise(named.select("item_id", "item").distinct())
+    single = named.groupBy("item").agg(F.first("words").alias("words"))
+    sized = single.withColumn("q", F.size(shingle_texts("words", k)).cast("bigint"))
+    hashes = F.sort_array(F.array_distinct(shingle_hashes("words", k)))
+    return names, materialise(sized.select("item", "words", hashes.alias("hashes"), "q", F.ceil(F.col("q") * F.lit(share)).alias("need")))
+
 
-    Repeated rows of a document give one pair; a document id used for different texts gives one for each.
-    Null and empty texts hold nothing and are no items; a text of fewer than five words is one shingle of
-    all its words; equal items each give a pair; empty tables give no pairs. Other columns are not read.
+def _contained_texts(docs: DataFrame, theirs: DataFrame, text: str, k: int) -> DataFrame:
+    """(body, item, n_shared, q) for each different document text and each different item text inside it.
+
+    Only hashes are counted and moved; the texts of the few pairs that hold enough of them are compared in the end.
     """
-    named = items.select("item_id", words_of(F.col(text)).alias("words")).filter("size(words) > 0")
-    cut = named.select("item_id", F.explode(shingle_texts("words", k)).alias("shingle")).distinct()
-    sizes = cut.groupBy("item_id").agg(F.count("*").alias("q"))
-    need = F.ceil(F.col("q") * F.lit(share)).alias("need")
-    sizes = materialise(sizes.select("item_id", "q", need))
-    whole = cut.join(sizes, same(cut, sizes, ["item_id"])).select(cut["item_id"], "shingle", "q", "need")
-    # the hash of a shingle's words, as documents have it
-    hashed = F.element_at(shingle_hashes("w", k), 1)
-    whole = materialise(whole.withColumn("w", F.split("shingle", " ")).withColumn("h", hashed).drop("w"))
-    place = F.row_number().over(Window.partitionBy("item_id").orderBy("h", "shingle"))
-    sketch = whole.withColumn("r", place).filter("r <= q - need + 1").select("item_id", "q", "need", "h")
-    sketch = materialise(sketch.withColumn("part", F.floor(F.log2("q")).cast("int")))
+    sketch = materialise(theirs.select("item", "need", F.floor(F.log2("q")).cast("int").alias("part"), F.explode(F.expr("slice(hashes, 1, cast(q - need + 1 as int))")).alias("h")))
     bounds = sketch.groupBy("part").agg(F.max("h").alias("bound"), F.min("need").alias("least")).collect()  # at most 63 partitions
     bound = F.lit(None).cast("bigint")
     for least in sorted({b["least"] for b in bounds}):
         most = max(b["bound"] for b in bounds if b["least"] <= least)
         bound = F.when(F.size("hashes") >= least, F.lit(most)).otherwise(bound)
 
-    marked = docs.select("doc_id", F.xxhash64(text).alias("_text"), F.col(text).alias("_body"))
-    sized = marked.select("doc_id", "_text", words_of("_body").alias("words")).select("doc_id", "_text", shingle_hashes("words", k).alias("hashes"))
-    low = sized.select("doc_id", "_text", "hashes", bound.alias("bound")).select("doc_id", "_text", F.explode(F.expr("filter(hashes, h -> h <= bound)")).alias("h"))
+    marked = docs.select(_body(text).alias("body"), F.col(text).alias("text"))
+    hashed = marked.select("body", words_of("text").alias("words")).select("body", shingle_hashes("words", k).alias("hashes"))
+    low = hashed.select("body", "hashes", bound.alias("bound")).select("body", F.explode(F.expr("filter(hashes, h -> h <= bound)")).alias("h"))
     keys = materialise(sketch.select("h").distinct())
-    met = materialise(low.join(_small(keys), "h").select("doc_id", "_text").distinct())
-    found = marked.join(met, same(marked, met, ["doc_id", "_text"]), "left_semi")
-    theirs = found.select("doc_id", "_text", words_of("_body").alias("words")).select("doc_id", "_text", F.explode(shingle_texts("words", k)).alias("shingle"))
-    hits = theirs.join(_small(whole), "shingle").select("doc_id", "_text", "item_id", "q", "need", "shingle")
-    counted = hits.groupBy("doc_id", "_text", "item_id", "q", "need").agg(F.count_distinct("shingle").alias("n_shared"))
-    return counted.filter("n_shared >= need").select(
-        "doc_id", "_text", "item_id", "n_shared", F.col("q").alias("n_shingles"), (F.col("n_shared") / F.col("q")).alias("containment")
-    )
+    met = materialise(low.join(_small(keys), "h").select("body").distinct())
+    single = marked.join(met, "body", "left_semi").groupBy("body").agg(F.first("text").alias("text"))
+    whole = materialise(theirs.select("item", F.explode("hashes").alias("h")))
+    ours = single.select("body", words_of("text").alias("words")).select("body", F.explode(F.array_distinct(shingle_hashes("words", k))).alias("h"))
+    counted = ours.join(_small(whole), "h").groupBy("body", "item").agg(F.count("*").alias("n"))
+    needs = theirs.select("item", "need")
+    near = materialise(counted.join(needs, "item").filter("n >= need").select("body", "item"))
+    texts = marked.join(near.select("body").distinct(), "body", "left_semi").groupBy("body").agg(F.first("text").alias("text"))
+    pairs = near.join(texts, "body").join(theirs.select("item", F.col("words").alias("own"), "q", "need"), "item").withColumn("words", words_of("text"))
+    shared = F.size(F.array_intersect(shingle_texts("words", k), shingle_texts("own", k))).cast("bigint")
+    verified = materialise(pairs.select("body", "item", shared.alias("n_shared"), "q", "need"))  # stored, or the filter would cut the words anew for each shingle
+    return verified.filter("n_shared >= need").drop("need")
+
+
+def _body(text: str) -> Column:
+    """128 bits that stand for a text."""
+    return F.array(F.xxhash64(text), F.xxhash64(F.lit(1), text))
+
+
+def contained_items(docs: DataFrame, items: DataFrame, text: str = "text", k: int = SHINGLE, share: float = CONTAINMENT) -> DataFrame:
+    """Pairs of documents and the items inside them: doc_id, item_id, n_shared, n_shingles, containment.
+
+    Equal item texts are one search, equal document texts are searched and verified once, and ids are attached
+    in the end. Repeated rows of a document give one pair; an id used for different texts, of documents or of items, gives one for
+    each. Null and empty texts hold nothing and are no items; a text of fewer than five words is one shingle
+    of all its words; equal items each give a pair; empty tables give no pairs. Other columns are not read.
+    """
+    names, theirs = _item_texts(items, text, k, share)
+    found = _contained_texts(docs, theirs, text, k)
+    ids = docs.select("doc_id", _body(text).alias("body")).join(found.select("body").distinct(), "body", "left_semi").distinct()
+    pairs = ids.join(found, "body").join(names, "item")
+    return pairs.select("doc_id", "item_id", "n_shared", F.col("q").alias("n_shingles"), (F.col("n_shared") / F.col("q")).alias("containment"))
 
 
 def without_items(docs: DataFrame, items: DataFrame, k: int = SHINGLE, share: float = CONTAINMENT) -> DataFrame:
-    """The documents that hold no test item, with the columns of ``docs``."""
-    pairs = contained_items(docs, items, k=k, share=share).select("doc_id", "_text").distinct()
-    marked = docs.withColumn("_text", F.xxhash64("text"))
-    return marked.join(pairs, same(marked, pairs, ["doc_id", "_text"]), "left_anti").select(*docs.columns)
+    """The documents that hold no test item, with the columns of ``docs``, whatever they are called."""
+    _, theirs = _item_texts(items, "text", k, share)
+    leaked = _contained_texts(docs, theirs, "text", k).select("body").distinct()
+    key = unused("body", docs.columns)
+    return docs.withColumn(key, _body("text")).join(leaked.withColumnRenamed("body", key), key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

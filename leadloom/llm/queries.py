@@ -71,8 +71,7 @@ def op8_quality(spark, d):
 
 
 def op9_decontamination(spark, d):
-    found = decontam.contained_items(read(spark, d, "documents").select("doc_id", "text"), read(spark, d, "benchmark"))
-    return found.drop("_text")
+    return decontam.contained_items(read(spark, d, "documents").select("doc_id", "text"), read(spark, d, "benchmark"))
 
 
 _SHINGLES = """

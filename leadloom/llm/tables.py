@@ -21,6 +21,14 @@ def word_count(text: Column | str) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)).cast("bigint"), F.lit(0).cast("bigint"))
 
 
+def unused(name: str, taken: list[str]) -> str:
+    """``name``, lengthened until no column has it; names are compared without regard to case."""
+    lower = {c.lower() for c in taken}
+    while name.lower() in lower:
+        name += "_"
+    return name
+
+
 def same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
     """Null-safe equality of equally named columns."""
     condition = F.lit(True)

@@ -31,5 +31,5 @@ def clashing(df):
     """Extra columns named like results and helpers of the operators."""
     from pyspark.sql import functions as F
 
-    names = ("size", "kept", "n_words", "rate", "copies", "target", "fp", "root", "node", "words", "h", "_text", "host", "start", "n_tokens", "k", "found")
+    names = ("size", "kept", "n_words", "rate", "copies", "target", "fp", "root", "node", "words", "h", "_text", "host", "start", "n_tokens", "k", "found", "body", "item", "_row", "_key", "_alike", "_copies", "_rows", "_copy", "passes")
     return df.withColumns({n: F.lit("clash") for n in names})

@@ -121,8 +121,11 @@ def test_containment_of_edge_rows(spark):
     docs = spark.createDataFrame(texts, "doc_id bigint, text string")
     items = [(10, " ".join(words)), (11, None), (12, "..."), (13, "too short really"), (None, " ".join(words)), (10, " ".join(words))]
     bench = spark.createDataFrame(items, "item_id bigint, text string")
-    got = {(r["doc_id"], r["item_id"]) for r in decontam.contained_items(edges.clashing(docs).drop("_text"), edges.clashing(bench)).collect()}
+    got = {(r["doc_id"], r["item_id"]) for r in decontam.contained_items(edges.clashing(docs), edges.clashing(bench)).collect()}
     assert got == {(1, 10), (2, 10), (None, 10), (6, 13), (1, None), (2, None), (None, None)}
+    clash = edges.clashing(docs)
+    kept = decontam.without_items(clash, bench)
+    assert kept.columns == clash.columns and {r["body"] for r in kept.collect()} == {"clash"} == {r["h"] for r in kept.collect()}
     left = decontam.without_items(docs, bench)
     assert sorted(r["doc_id"] for r in left.collect()) == [3, 4, 5]
     none = spark.createDataFrame([], "item_id bigint, text string")
@@ -130,6 +133,18 @@ def test_containment_of_edge_rows(spark):
     assert decontam.contained_items(docs.limit(0), bench).count() == 0
 
 
+def test_one_passage_under_many_items_in_many_copies(spark):
+    """One text under 60 item ids and in 20,000 documents, most of them copies: one search for each different text."""
+    words = " ".join(f"v{i}" for i in range(60))
+    copies = spark.range(20_000).select(F.col("id").alias("doc_id"), F.concat(F.lit(f"{words} tail "), F.pmod("id", F.lit(50)).cast("string")).alias("text"))
+    items = spark.range(60).select(F.col("id").alias("item_id"), F.lit(words).alias("text"))
+    found = decontam.contained_items(copies, items)
+    assert found.agg(F.count("*"), F.count_distinct("doc_id"), F.count_distinct("item_id"), F.min("containment")).first() == (1_200_000, 20_000, 60, 1.0)
+    names, theirs = decontam._item_texts(items, "text", decontam.SHINGLE, decontam.CONTAINMENT)
+    assert names.count() == 60 and theirs.count() == 1
+    assert decontam._contained_texts(copies, theirs, "text", decontam.SHINGLE).count() == 50
+
+
 def test_joins_agree_beyond_the_broadcast_bound(spark, monkeypatch):
     docs, items = (spark.read.parquet(f"{SF}/{n}.parquet") for n in ("documents", "benchmark"))
     first = sorted(tuple(r) for r in decontam.contained_items(docs, items).collect())
