@@ -79,14 +79,13 @@ def _contained_texts(docs: DataFrame, theirs: DataFrame, text: str, k: int) -> D
     low = hashed.select("body", "hashes", bound.alias("bound")).select("body", F.explode(F.expr("filter(hashes, h -> h <= bound)")).alias("h"))
     keys = materialise(sketch.select("h").distinct())
     met = materialise(low.join(_small(keys), "h").select("body").distinct())
-    single = marked.join(met, "body", "left_semi").groupBy("body").agg(F.first("text").alias("text"))
+    single = materialise(marked.join(_small(met), "body", "left_semi").groupBy("body").agg(F.first("text").alias("text")))
     whole = materialise(theirs.select("item", F.explode("hashes").alias("h")))
     ours = single.select("body", words_of("text").alias("words")).select("body", F.explode(F.array_distinct(shingle_hashes("words", k))).alias("h"))
     counted = ours.join(_small(whole), "h").groupBy("body", "item").agg(F.count("*").alias("n"))
     needs = theirs.select("item", "need")
     near = materialise(counted.join(needs, "item").filter("n >= need").select("body", "item"))
-    texts = marked.join(near.select("body").distinct(), "body", "left_semi").groupBy("body").agg(F.first("text").alias("text"))
-    pairs = near.join(texts, "body").join(theirs.select("item", F.col("words").alias("own"), "q", "need"), "item").withColumn("words", words_of("text"))
+    pairs = near.join(single, "body").join(theirs.select("item", F.col("words").alias("own"), "q", "need"), "item").withColumn("words", words_of("text"))
     shared = F.size(F.array_intersect(shingle_texts("words", k), shingle_texts("own", k))).cast("bigint")
     verified = materialise(pairs.select("body", "item", shared.alias("n_shared"), "q", "need"))  # stored, or the filter would cut the words anew for each shingle
     return verified.filter("n_shared >= need").drop("need")
@@ -107,7 +106,7 @@ def contained_items(docs: DataFrame, items: DataFrame, text: str = "text", k: in
     """
     names, theirs = _item_texts(items, text, k, share)
     found = _contained_texts(docs, theirs, text, k)
-    ids = docs.select("doc_id", _body(text).alias("body")).join(found.select("body").distinct(), "body", "left_semi").distinct()
+    ids = docs.select("doc_id", _body(text).alias("body")).join(_small(found.select("body").distinct()), "body", "left_semi").distinct()
     pairs = ids.join(found, "body").join(names, "item")
     return pairs.select("doc_id", "item_id", "n_shared", F.col("q").alias("n_shingles"), (F.col("n_shared") / F.col("q")).alias("containment"))
 
@@ -117,4 +116,4 @@ def without_items(docs: DataFrame, items: DataFrame, k: int = SHINGLE, share: fl
     _, theirs = _item_texts(items, "text", k, share)
     leaked = _contained_texts(docs, theirs, "text", k).select("body").distinct()
     key = unused("body", docs.columns)
-    return docs.withColumn(key, _body("text")).join(leaked.withColumnRenamed("body", key), key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.withColumn(key, _body("text")).join(_small(leaked.withColumnRenamed("body", key)), key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
