@@ -15,11 +15,13 @@ from __future__ import annotations
 
 import gc
 import hashlib
+import json
 import os
 import re
 import struct
 import zlib
 from collections.abc import Iterator, Sequence
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -40,14 +42,25 @@ SAMPLE_CHARS = 1 << 16
 FILE_BYTES = 64 << 20
 _LEVEL = 3
 _MAGIC = b"LTID\x01"
-_CACHE = 700_000
+_CACHE = 900_000
 _SHORT = 9
 _JOINT = 100
+_MARKS = ".,;:!?"
+
+
+def _shown() -> dict[int, str]:
+    """The sign that byte-level tokenizers show for each byte: itself if it can be seen, else the next one from 256 on."""
+    seen = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in seen]
+    return {b: chr(b) if b in seen else chr(256 + hidden.index(b)) for b in range(256)}
+
+
+_SHOWN = _shown()
 _WHOLE = re.compile(r"\s\s|<\|")
 
 
 class Encoder:
-    """Ids of texts as little-endian unsigned 32-bit bytes, with a bounded memory of words."""
+    """Ids of texts as little-endian unsigned numbers of ``width`` bytes, with a bounded memory of words."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -56,28 +69,50 @@ class Encoder:
 
         self._library = Tokenizer.from_file(path)
         self.width = 2 if self._library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
+        self._kind = f"<u{self.width}"
         self._known: dict[str, bytes] = {}
+        self._first: dict[str, bytes] = {}  # words without a blank before them
         split = self._ids("a\n b")
         self._line = int(split[1]) if len(split) == 3 else -1
         # words may be taken apart only if the blank belongs to the word after it
         self._apart = len(split) == 3 and self._ids("a b").tolist() == [split[0], split[2]]
+        # the usual expression of byte-level tokenizers keeps a word of letters whole, apart from the mark behind it
+        parts = json.loads(self._library.to_str())
+        before = parts.get("pre_tokenizer") or {}
+        regular = before.get("type") == "ByteLevel" and before.get("use_regex") is True and not before.get("add_prefix_space") and not parts.get("normalizer")
+        regular = regular and not any(x["content"].strip().isalpha() for x in parts.get("added_tokens", ()))
+        self._marks = {m: self._ids(m).tobytes() for m in _MARKS} if regular else {}
+        self._model = self._library.model if regular else None
 
     def _ids(self, text: str) -> np.ndarray:
-        return np.array(self._library.encode(text, add_special_tokens=False).ids, dtype="<u4")
+        return np.array(self._library.encode(text, add_special_tokens=False).ids, dtype=self._kind)
+
+    def _each(self, texts: list[str]) -> list[bytes]:
+        """Ids of some texts, one by one."""
+        return [np.array(x.ids, dtype=self._kind).tobytes() for x in self._library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, words: list[str]) -> None:
+    def _learn(self, words: set[str]) -> None:
         """Ask for new words, many in one call: a line end between words is an id of its own."""
+        known, marks = self._known, self._marks
         lines = [w for w in words if w[:1] == "\n"]
-        self._known.update((w, self._ids(w).tobytes()) for w in lines)
-        plain = [w for w in words if w[:1] != "\n"]
+        known.update(zip(lines, self._each(lines), strict=True))
+        marked = [w for w in words if w[-1:] in marks and w[:-1].isalpha()]
+        rest = words.difference(lines, marked).union(w[:-1] for w in marked if w[:-1] not in known)
+        if self._model is not None:  # words of letters need no more than the merges of the model
+            pieces, kind, width = self._model.tokenize, "little", self.width
+            for w in filter(str.isalpha, rest):
+                known[w] = b"".join([x.id.to_bytes(width, kind) for x in pieces((" " + w).encode().decode("latin-1").translate(_SHOWN))])
+            rest = {w for w in rest if not w.isalpha()}
+        plain = sorted(rest)
         parts = [plain[at : at + _JOINT] for at in range(0, len(plain), _JOINT)]
         asked = self._library.encode_batch_fast([" " + "\n ".join(part) for part in parts], add_special_tokens=False)
         for part, got in zip(parts, asked, strict=True):
-            ids = np.array(got.ids, dtype="<u4")
-            cut = np.flatnonzero(ids == self._line)
+            ids = np.array(got.ids, dtype=self._kind)
+            cut = np.flatnonzero(ids == self._line) * self.width
             data = ids.tobytes()
-            starts, stops = [0, *(4 * (cut + 1)).tolist()], [*(4 * cut).tolist(), len(data)]
-            self._known.update(zip(part, map(data.__getitem__, map(slice, starts, stops)), strict=True))
+            starts, stops = [0, *(cut + self.width).tolist()], [*cut.tolist(), len(data)]
+            known.update(zip(part, map(data.__getitem__, map(slice, starts, stops)), strict=True))
+        known.update([(w, known[w[:-1]] + marks[w[-1]]) for w in marked])
 
     def _forget(self) -> None:
         """Make room: the older half goes, except for short words, which come again."""
@@ -91,15 +126,28 @@ class Encoder:
             cut = [None if not t or not self._apart or _WHOLE.search(t) else t.replace("\n", " \n").split(" ") for t in block]
             if len(self._known) > _CACHE:
                 self._forget()
-            known = self._known
-            fresh = {w for words in cut if words for w in words[1:] if w not in known}
-            if fresh:
-                self._learn(sorted(fresh))
-            for text, words in zip(block, cut, strict=True):
-                if words is None:
-                    yield self._ids(text).tobytes()
+            if len(self._first) > _CACHE // 8:
+                self._first = {}
+            known, first = self._known, self._first
+            fresh = list({words[0] for words in cut if words and words[0] not in first})
+            first.update(zip(fresh, self._each(fresh), strict=True))
+            words = [w for one in cut if one for w in one]
+            ids = list(map(known.get, words))  # one look-up for each word; the first ones are not asked for
+            starts = list(accumulate([len(one) for one in cut if one], initial=0))
+            for start in starts[:-1]:
+                ids[start] = first[words[start]]
+            missing = [i for i, x in enumerate(ids) if x is None]
+            if missing:
+                self._learn({words[i] for i in missing})
+                for i in missing:
+                    ids[i] = known[words[i]]
+            spans = iter(zip(starts, starts[1:], strict=False))
+            for text, one in zip(block, cut, strict=True):
+                if one:
+                    start, stop = next(spans)
+                    yield b"".join(ids[start:stop])
                 else:
-                    yield self._ids(words[0]).tobytes() + b"".join(map(known.__getitem__, words[1:]))
+                    yield self._ids(text).tobytes()
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -112,10 +160,6 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def _narrow(ids: bytes, width: int) -> bytes:
-    return ids if width == 4 else np.frombuffer(ids, dtype="<u4").astype("<u2").tobytes()
-
-
 def _wide(data: bytes, width: int) -> bytes:
     return data if width == 4 else np.frombuffer(data, dtype="<u2").astype("<u4").tobytes()
 
@@ -132,7 +176,7 @@ def train_dictionary(docs: DataFrame, tokenizer: str, text: str = "text", rows:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         code = encoder(tokenizer)
         for batch in batches:
-            yield pd.DataFrame({"ids": [_narrow(x, code.width) for x in code.encode(list(batch["text"]))]})
+            yield pd.DataFrame({"ids": list(code.encode(list(batch["text"])))})
 
     short = docs.select(F.col(text).alias("text")).filter(F.length("text").between(1, SAMPLE_CHARS))
     drawn = short.sample(fraction=min(1.0, rows / total), seed=11)
@@ -158,7 +202,7 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, text: str = "text",
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         code = encoder(tokenizer)
         packer = zstandard.ZstdCompressor(level=_LEVEL, dict_data=zstandard.ZstdCompressionDict(trained) if trained else None)
-        end = struct.pack("<I", end_id)
+        end = end_id.to_bytes(code.width, "little")
         at, index = 0, []
         for batch in batches:
             frames = []
@@ -166,9 +210,9 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, text: str = "text",
                 frames.append(skippable(_MAGIC + bytes([code.width]) + hashlib.sha256(trained).digest()))
                 at = len(frames[0])
             for key, ids in zip(batch["doc_id"], code.encode(list(batch["text"])), strict=True):
-                frame = packer.compress(_narrow(ids + end, code.width))
+                frame = packer.compress(ids + end)
                 missing = pd.isna(key)
-                index.append((0 if missing else int(key), missing, at, len(frame), len(ids) // 4 + 1))
+                index.append((0 if missing else int(key), missing, at, len(frame), len(ids) // code.width + 1))
                 frames.append(frame)
                 at += len(frame)
             at += len(SEPARATOR)

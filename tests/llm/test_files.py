@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import random
 import zlib
 
 import numpy as np
@@ -28,9 +29,10 @@ TEXTS = [
 
 
 def test_encoder_equals_the_library(library):
-    for text, got in zip(TEXTS * 2, tokenstore.Encoder(queries.tokenizer_path()).encode(TEXTS * 2), strict=True):
+    code = tokenstore.Encoder(queries.tokenizer_path())
+    for text, got in zip(TEXTS * 2, code.encode(TEXTS * 2), strict=True):
         want = library.encode(text or "", add_special_tokens=False).ids
-        assert np.frombuffer(got, dtype="<u4").tolist() == want, repr(text)
+        assert np.frombuffer(got, dtype=f"<u{code.width}").tolist() == want, repr(text)
 
 
 def test_encoder_forgets_and_learns_again(library, monkeypatch):
@@ -38,7 +40,18 @@ def test_encoder_forgets_and_learns_again(library, monkeypatch):
     texts = [" ".join(f"word{i}{k} longerword{i * k}" for i in range(90)) for k in range(6)] * 60
     code = tokenstore.Encoder(queries.tokenizer_path())
     for text, got in zip(texts, code.encode(texts), strict=True):
-        assert np.frombuffer(got, dtype="<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(got, dtype=f"<u{code.width}").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_encoder_on_drawn_words(library):
+    """Letters of many scripts, digits and marks in every order, so that each way of learning a word is taken."""
+    drawn = random.Random(4)
+    signs = ["a", "Z", "é", "ß", "日", "я", "𝒳", "ª", "̈", "'s", "7", "½", ".", ",", "!", "?", "#", "_", "\u200b"]
+    texts = ["".join(drawn.choice([" ", "\n", " ", *signs, *signs]) for _ in range(drawn.randint(1, 60))) for _ in range(3000)]
+    texts += [" ".join(drawn.choice(signs[:8]) * 2 + drawn.choice(["", ".", ",", ".,", "!?"]) for _ in range(40)) for _ in range(300)]
+    code = tokenstore.Encoder(queries.tokenizer_path())
+    for text, got in zip(texts, code.encode(texts), strict=True):
+        assert np.frombuffer(got, dtype=f"<u{code.width}").tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
 def plain_layout(rows, library):
