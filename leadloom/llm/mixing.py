@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leadloom.llm.tables import running_total, same, word_count
+from leadloom.llm.tables import running_total, same, unused, word_count
 from leadloom.session import materialise
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -157,14 +157,17 @@ def _copies(phase: Column) -> Column:
 
 
 def mixed(docs: DataFrame, weights: Sequence[float] = WEIGHTS, cap: int = CAP) -> DataFrame:
-    """The documents, each as often as the mix takes it, with the columns of ``docs``.
+    """The documents, each as often as the mix takes it, with the columns of ``docs``, whatever they are called.
 
-    Equal rows are told apart by nothing, so the copies of all of them are summed and given to one.
+    Rows are told apart by two hashes of all their values and of which are null. Equal rows are told apart by
+    nothing, so the copies of all of them are summed and given to one.
     """
-    names = docs.columns
-    keyed = docs.withColumns({"_key": F.xxhash64(*names), "_alike": F.xxhash64(F.lit(1), *names)})
-    plan = mix_plan(keyed, weights, cap, keep=("doc_id", "_key", "_alike"))
-    totals = plan.groupBy("doc_id", "_key", "_alike").agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows")).filter("_copies > 0")
-    found = keyed.join(totals, same(keyed, totals, ["doc_id", "_key", "_alike"])).select(keyed["*"], "_copies", "_rows")
-    once = found.filter("_rows = 1").unionByName(found.filter("_rows > 1").dropDuplicates(["doc_id", "_key", "_alike"]))
-    return once.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies")))).select(*names)
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    key, alike, copies, n, copy = (unused(c, docs.columns) for c in ("key", "alike", "copies", "rows", "copy"))
+    values = [*names, *[c.isNull() for c in names]]
+    keyed = docs.withColumns({key: F.xxhash64(*values), alike: F.xxhash64(F.lit(1), *values)})
+    plan = mix_plan(keyed.select("source", "text", F.col(key).alias("key"), F.col(alike).alias("alike")), weights, cap, keep=("key", "alike"))
+    totals = plan.groupBy(F.col("key").alias(key), F.col("alike").alias(alike)).agg(F.sum("copies").alias(copies), F.count("*").alias(n)).filter(F.col(copies) > 0)
+    found = keyed.join(totals, [key, alike])
+    once = found.filter(F.col(n) == 1).unionByName(found.filter(F.col(n) > 1).dropDuplicates([key, alike]))
+    return once.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(copies)))).select(*names)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadloom.llm.components import connected
-from leadloom.llm.tables import same
+from leadloom.llm.tables import same, unused
 from leadloom.session import materialise
 
 SHINGLE = 3
@@ -103,10 +103,11 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BIT
     Of rows that share that doc_id one stays, the one with the smallest hash of all columns. Components are told apart by
     their fingerprints, not by the document ids, which unrelated texts may share.
     """
-    names = docs.columns
-    marked = docs.withColumn("_row", F.xxhash64(*names, *[F.col(f"`{c}`").isNull() for c in names]))
-    placed = _rooted(marked, "text", shingle, max_bits, ("doc_id", "_row"))
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")
-    first = placed.groupBy("_root").agg(F.min(order).alias("x")).select("x.doc_id", "x._row").distinct()
-    found = marked.join(first, same(marked, first, ["doc_id", "_row"]), "left_semi")
-    return found.dropDuplicates(["doc_id", "_row"]).select(*names)
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    row = unused("row", docs.columns)
+    marked = docs.withColumn(row, F.xxhash64(*names, *[c.isNull() for c in names]))
+    placed = _rooted(marked.select("doc_id", "text", F.col(row).alias("row")), "text", shingle, max_bits, ("doc_id", "row"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
+    first = placed.groupBy("_root").agg(F.min(order).alias("x")).select("x.doc_id", F.col("x.row").alias(row)).distinct()
+    found = marked.join(first, same(marked, first, ["doc_id", row]), "left_semi")
+    return found.dropDuplicates(["doc_id", row]).select(*names)

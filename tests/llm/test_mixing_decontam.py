@@ -73,6 +73,15 @@ def test_mixed_rows_and_empty_table(spark):
     assert mixing.mixed(edges.empty(spark)).count() == 0 and mixing.mix_plan(edges.empty(spark)).count() == 0
 
 
+def test_mixed_tells_nulls_apart(spark):
+    """Rows that differ only in the column that holds a value are different documents, under any column names."""
+    rows = [(7, "one two three four", "a", None, 1), (7, "one two three four", None, "a", 1)]
+    docs = edges.clashing(spark.createDataFrame(rows, edges.DOCUMENT)).withColumns({n: F.lit("clash") for n in ("key", "alike", "rows", "copy")})
+    got = mixing.mixed(docs, weights=(1.0, 1.0))
+    assert got.columns == docs.columns
+    assert sorted((r["lang"] or "", r["source"] or "", r["key"]) for r in got.collect()) == [("", "a", "clash"), ("a", "", "clash")]
+
+
 def test_running_total_of_a_hot_group(spark):
     rows = [(("hot" if i % 3 else None), i % 5, i) for i in range(300)]
     df = spark.createDataFrame(rows, "g string, o int, v bigint")

@@ -215,6 +215,11 @@ def test_pipeline(spark):
     assert pipeline.token_files(spark, docs, SF).count() == docs.count()
     for name, stage in pipeline.STAGES:
         assert stage(spark, edges.empty(spark), SF).count() == 0, name
+    clash = edges.clashing(edges.documents(spark))
+    for name, stage in pipeline.STAGES[:-1]:
+        out = stage(spark, clash, SF)
+        assert out.columns == clash.columns and {r["body"] for r in out.select("body").collect()} <= {"clash"}, name
+    assert pipeline.token_files(spark, clash, SF).count() == clash.count()
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     good = {r["doc_id"] for r in docs.collect() if quality.judged(quality.measure(r["text"]))["kept"]}
     first = pipeline.quality_rules(spark, docs, SF)
