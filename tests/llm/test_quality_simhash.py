@@ -66,7 +66,7 @@ def test_coverage_decides_what_the_base_rule_passes(spark):
     assert not quality.judged(quality.measure("\n".join([*lines, lines[3], lines[5]])))["kept"]
     rows = quality.quality_measures(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text"))
     base, rejected = rows.agg(F.count_if(F.expr("NOT base_failed")), F.count_if(F.expr("NOT base_failed AND NOT kept"))).first()
-    assert 0 < rejected <= 0.005 * base
+    assert 0 < rejected <= 0.01 * base
 
 
 def test_empty_table_and_clashing_columns(spark):
