@@ -18,6 +18,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leadloom.operators.boosting import Boosting
 from leadloom.operators.encoding import fit_top_values
 from leadloom.operators.frames import quoted
 from leadloom.session import fits_at_once
@@ -114,10 +115,8 @@ def propensity_pipeline(
 class PatientFit:
     """Boosted trees up to the one with the lowest loss on the rows of ``eval_col``.
 
-    Growing ends ``patience`` trees after the best one, or at ``maxIter``. Spark cannot go on with a
-    finished fit, so a fit that has not ended is repeated with twice the trees: a tree depends on those
-    before it and on the seed only, so the longer fit begins with the same trees. Without rows to
-    hold out all ``maxIter`` trees stay.
+    Growing ends ``patience`` trees after the best one, or at ``maxIter``; each tree is grown once (see
+    ``Boosting``). Without rows to hold out all ``maxIter`` trees stay.
     """
 
     pos_weight: float
@@ -127,36 +126,19 @@ class PatientFit:
     params: Mapping
 
     def fit(self, df: DataFrame) -> PipelineModel:
-        held = df.filter(F.col(self.eval_col))
-        grown = df.filter(~F.coalesce(F.col(self.eval_col), F.lit(False)))
-        most = self.params.get("maxIter", 20)
-        stops = not held.isEmpty()
-        size = min(most, 2 * self.patience) if stops else most
-        while True:
-            sized = {**self.params, "maxIter": size}
-            model = propensity_pipeline(self.pos_weight, seed=self.seed, **sized).fit(grown)
-            if not stops:
-                return model
-            kept, ended = best_trees(held_out_losses(model, held), self.patience)
-            if ended or size == most:
-                return first_trees(model, kept)
-            size = min(most, 2 * size)
+        weigh = SQLTransformer(statement=weight_statement(self.pos_weight))
+        grown = Boosting.begin(weigh.transform(df), self.params, F.col(self.eval_col), self.seed)
+        kept = grown.grow_until(self.params.get("maxIter", 20), self.patience)
+        return PipelineModel([weigh, grown.model(kept)])
 
 
 def held_out_losses(model: PipelineModel, held: DataFrame) -> list[float]:
     """Loss on the given rows after each tree; one job."""
-    return trees_of(model).evaluateEachIteration(model.stages[0].transform(held))
-
-
-def best_trees(losses: Sequence[float], patience: int) -> tuple[int, bool]:
-    """Trees up to the lowest loss, and whether ``patience`` trees without a lower one followed."""
-    best = 0
-    for i, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = i
-        elif i - best >= patience:
-            return best + 1, True
-    return best + 1, False
+    return held_out_losses_of(trees_of(model), model.stages[0].transform(held))
+
+
+def held_out_losses_of(trees: GBTClassificationModel, weighed: DataFrame) -> list[float]:
+    return trees.evaluateEachIteration(weighed)
 
 
 def first_trees(model: PipelineModel, n: int) -> PipelineModel:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from leadloom.operators import clustering as C
 from leadloom.operators import explain as P
 from leadloom.operators import modelling as M
+from leadloom.operators.boosting import Boosting, best_trees
 from leadloom.operators import outliers as O
 from leadloom.operators import ranking as K
 from leadloom.session import materialise
@@ -117,10 +118,10 @@ def test_search_is_reproducible_and_reports_every_trial(spark, table):
 
 
 def test_the_best_trees_are_found_with_patience():
-    assert M.best_trees([3.0, 2.0, 2.5, 1.0, 1.5, 1.2], 2) == (4, True)
-    assert M.best_trees([3.0, 2.0, 2.5, 2.5, 1.0], 2) == (2, True)
-    assert M.best_trees([3.0, 2.0, 2.0], 2) == (2, False)
-    assert M.best_trees([1.0], 5) == (1, False)
+    assert best_trees([3.0, 2.0, 2.5, 1.0, 1.5, 1.2], 2) == (4, True)
+    assert best_trees([3.0, 2.0, 2.5, 2.5, 1.0], 2) == (2, True)
+    assert best_trees([3.0, 2.0, 2.0], 2) == (2, False)
+    assert best_trees([1.0], 5) == (1, False)
 
 
 @pytest.mark.parametrize("patience", [2, 4, 50])
@@ -132,7 +133,7 @@ def test_early_stopping_keeps_the_trees_up_to_the_lowest_loss(spark, table, pati
     whole = M.propensity_pipeline(pos_weight=1.5, **params).fit(marked.filter("NOT is_eval"))
     losses = M.held_out_losses(whole, marked.filter("is_eval"))
     kept = M.trees_of(model).getNumTrees
-    assert kept == M.best_trees(losses, patience)[0] < 24
+    assert kept == best_trees(losses, patience)[0] < 24
     assert losses[kept - 1] == min(losses[: kept + patience])
     same = M.propensity_pipeline(pos_weight=1.5, **{**params, "maxIter": kept}).fit(marked.filter("NOT is_eval"))
     a = {r["id"]: r["probability"] for r in M.score(df, model).collect()}
@@ -141,6 +142,22 @@ def test_early_stopping_keeps_the_trees_up_to_the_lowest_loss(spark, table, pati
     assert len(weights) == 4 and sum(weights) == pytest.approx(1.0)
 
 
+def test_a_fit_goes_on_where_it_stopped(spark, table):
+    """Trees grown in two parts and in blocks of any length are those of one long fit of Spark's own."""
+    _, df = table
+    params = {"maxDepth": 3, "stepSize": 0.3, "maxIter": 7}
+    weighed = df.withColumn("weight", F.lit(1.0))
+    parts = Boosting.begin(weighed, params, F.col("id") % 4 == 0, block=3)
+    parts.grow(2)
+    parts.grow(5)
+    long = M.trees_of(M.propensity_pipeline(**params).fit(df.filter("id % 4 <> 0")))
+    assert len(parts.trees) == 7 and parts.weights == long.treeWeights
+    for ours, theirs in zip(parts.trees, long.trees, strict=True):
+        a, b = ([r["x"] for r in t.setPredictionCol("x").transform(df.select("id", "features")).orderBy("id").collect()] for t in (ours, theirs))
+        assert a == pytest.approx(b, abs=1e-9) and ours.numNodes == theirs.numNodes
+    assert parts.losses == pytest.approx(M.held_out_losses_of(long, weighed.filter("id % 4 = 0")))
+
+
 def test_without_rows_to_hold_out_all_trees_stay(spark, table):
     _, df = table
     fitted = M.propensity_pipeline(eval_col="none", maxIter=3, maxDepth=2).fit(df.withColumn("none", F.lit(False)))
