@@ -22,17 +22,15 @@ from leadloom.operators import frames as R
 from leadloom.operators import modelling as M
 from leadloom.operators import outliers as O
 from leadloom.operators import ranking as K
+from leadloom.operators import search
+from leadloom.operators.boosting import best_trees
 from leadloom.plans import conversion, lead, topup
 from leadloom.plans.jobs import prepared
 from leadloom.session import materialise, shared_dir, spread, steps_dir, training_table
 
 AS_OF = datetime(2001, 8, 2)
-SMALL_SPACE = {
-    "maxIter": (3, 6, "int"),
-    "stepSize": (0.05, 0.3, "log"),
-    "maxDepth": (2, 3, "int"),
-    "pos_weight": (1.0, 3.0, "linear"),
-}
+#: All eight ranges of the search; only the number of trees is cut, because a fit at the full number takes minutes.
+QUICK_SPACE = {**M.SEARCH_SPACE, "maxIter": (4, 8, "int")}
 
 
 # --- segments and outliers -----------------------------------------------------------
@@ -165,12 +163,55 @@ def oof_coverage(spark, d):
 
 
 def search_trials(spark, d):
-    """Every trial is complete, draws inside the space and has an area under the curve."""
+    """Every trial draws all eight parameters inside their ranges, and is complete exactly if it was judged on all folds."""
     _, table = _documents(spark, d)
     drawn = F.col("value").between(0.0, 1.0) & (F.col("std") >= 0)
-    for name, (low, high, _) in SMALL_SPACE.items():
+    for name, (low, high, _) in M.SEARCH_SPACE.items():
+        low, high = QUICK_SPACE[name][:2] if name == "maxIter" else (low, high)
         drawn = drawn & F.col(f"params_{name}").between(low, high)
-    return B.whole(M.search(table, SMALL_SPACE, trials=2).trials.select("number", "state", drawn.alias("in_range")))
+    rows = M.search(table, QUICK_SPACE, trials=4, batch=2, startup=2).trials
+    judged = (F.col("state") == "COMPLETE") == (F.col("folds") == 5)
+    return B.whole(rows.select("number", drawn.alias("in_range"), judged.alias("by_state")))
+
+
+def adaptive_search(spark, d):
+    """The sampler on an objective that is cheap to judge: which discount and quantity limits hold a quarter of the revenue.
+
+    A second run gives the same trials, later trials lie in the better region, and halving ends some of them.
+    """
+    lines = B.table(spark, d, "lineitem")
+    cells = lines.groupBy(F.col("l_quantity").cast("double").alias("q"), F.col("l_discount").cast("double").alias("x")).agg(F.sum("l_extendedprice").cast("double").alias("v"))
+    found = cells.collect()  # 50 quantities by 11 discounts
+    total = sum(r["v"] for r in found)
+
+    def scores(jobs):
+        return [-abs(sum(r["v"] for r in found if r["q"] <= p["q"] + 0.5 * rung and r["x"] <= p["x"]) / total - 0.25) for p, rung in jobs]
+
+    space = {"q": (1.0, 50.0, "linear"), "x": (0.001, 0.1, "log")}
+    runs = [search.optimise(scores, space, trials=60, rungs=3, seed=7) for _ in range(2)]
+    first, later = ([t.scores[0] for t in runs[0][i : i + 20]] for i in (0, 40))
+    plain = [(t.number, t.params, t.scores, t.state) for t in runs[0]]
+    rows = [
+        ("same_again", plain == [(t.number, t.params, t.scores, t.state) for t in runs[1]]),
+        ("later_better", sum(later) > sum(first)),
+        ("halved", 0 < sum(t.state == search.ENDED for t in runs[0]) < 60),
+        ("near_target", search.best_of(runs[0]).value > -0.05),
+    ]
+    return spark.createDataFrame(rows, "property string, holds boolean")
+
+
+def early_stopping(spark, d):
+    """Trees kept are those up to the lowest held-out loss, with patience, of one long fit; the scores are equal."""
+    _, table = _documents(spark, d)
+    held = materialise(M.eval_slice(table, "doc_id", 0.25))
+    params = {"maxDepth": 3, "stepSize": 0.3, "maxIter": 12}
+    model = M.propensity_pipeline(eval_col="is_eval", patience=2, **params).fit(held)
+    whole = M.propensity_pipeline(**params).fit(held.filter("NOT is_eval"))
+    kept = M.trees_of(model).getNumTrees
+    right = kept == best_trees(M.held_out_losses(whole, held.filter("is_eval")), 2)[0]
+    same = M.score(held, M.first_trees(whole, kept)).select("doc_id", F.col("probability").alias("p"))
+    joined = M.score(held, model).join(same, "doc_id")
+    return joined.select("doc_id", (F.abs(F.col("probability") - F.col("p")) < 1e-9).alias("same"), F.lit(right).alias("up_to_lowest"))
 
 
 def fold_importance(spark, d):
@@ -378,7 +419,7 @@ FROM b LEFT JOIN m USING (contact_id) LEFT JOIN k USING (contact_id) LEFT JOIN m
 def lead_predictions(spark, d):
     """The whole lead plan: clustered notes, search, out-of-fold predictions."""
     features = materialise(_lead_features(spark, d, segmented=False))
-    found = lead.lead_scores(features, AS_OF, "contact_id", SMALL_SPACE, trials=2)
+    found = lead.lead_scores(features, AS_OF, "contact_id", QUICK_SPACE, trials=2)
     valid = F.col("probability").between(0.0, 1.0) & (F.col("y_pred") == (F.col("probability") > 0.5).cast("int"))
     return B.whole(found.predictions.select("contact_id", "y_true", valid.alias("valid"), "prediction_date"))
 
@@ -386,7 +427,7 @@ def lead_predictions(spark, d):
 def conversion_predictions(spark, d):
     """The whole conversion plan: clustered notes, search, in-sample and out-of-fold scores."""
     features = materialise(_conversion_features(spark, d, segmented=False))
-    found = conversion.conversion_scores(features, AS_OF, "contact_id", SMALL_SPACE, trials=2)
+    found = conversion.conversion_scores(features, AS_OF, "contact_id", QUICK_SPACE, trials=2)
     valid = F.col("probability").between(0.0, 1.0) & (F.col("y_pred") == (F.col("probability") > 0.5).cast("int"))
     held = F.col("oof_probability").isNull() | F.col("oof_probability").between(0.0, 1.0)
     return B.whole(
@@ -532,7 +573,9 @@ QUERIES = {
         """SELECT doc_id, CAST(1 AS BIGINT) AS n_scores, (row_number() OVER (PARTITION BY quality
         ORDER BY md5(concat_ws('|', doc_id, '42')), doc_id) - 1) % 5 AS fold, true AS consistent FROM labels""",
     ),
-    "search_trials": (search_trials, "SELECT i AS number, 'COMPLETE' AS state, true AS in_range FROM range(2) t(i)"),
+    "search_trials": (search_trials, "SELECT i AS number, true AS in_range, true AS by_state FROM range(4) t(i)"),
+    "adaptive_search": (adaptive_search, "SELECT unnest(['same_again', 'later_better', 'halved', 'near_target']) AS property, true AS holds"),
+    "early_stopping": (early_stopping, "SELECT doc_id, true AS same, true AS up_to_lowest FROM labels"),
     "fold_importance": (fold_importance, f"SELECT unnest({_FEATURES}) AS feature, true AS mean_of_folds, true AS shares"),
     "shap_summary": (shap_summary, f"SELECT unnest({_FEATURES}) AS feature, true AS as_rows, true AS as_used"),
     "contribution_additivity": (contribution_additivity, "SELECT doc_id, true AS adds_up FROM labels"),

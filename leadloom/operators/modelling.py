@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
-from itertools import product
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
@@ -21,6 +19,7 @@ from pyspark.sql import functions as F
 from leadloom.operators.boosting import Boosting
 from leadloom.operators.encoding import fit_top_values
 from leadloom.operators.frames import quoted
+from leadloom.operators.search import BATCH, STARTUP, Trial, best_of, optimise
 from leadloom.session import fits_at_once
 
 # --- fixed values: search ranges (low, high, scale) -----------------------------------
@@ -160,23 +159,6 @@ def eval_slice(df: DataFrame, id_col: str, fraction: float = 0.1, seed: int = 42
     return df.withColumn(out, share)
 
 
-def draw_params(space: Mapping[str, tuple], trials: int, seed: int = 42) -> list[dict]:
-    """Independent seeded draws, log-uniform where the range says so."""
-    rng = np.random.default_rng(seed)
-    draws = []
-    for _ in range(trials):
-        one = {}
-        for name, (low, high, scale) in space.items():
-            if scale == "int":
-                one[name] = int(rng.integers(low, high + 1))
-            elif scale == "log":
-                one[name] = float(math.exp(rng.uniform(math.log(low), math.log(high))))
-            else:
-                one[name] = float(rng.uniform(low, high))
-        draws.append(one)
-    return draws
-
-
 @dataclass(frozen=True)
 class SearchResult:
     best_params: dict
@@ -195,41 +177,40 @@ def search(
     eval_col: str | None = None,
     fixed: Mapping | None = None,
     patience: int = SEARCH_PATIENCE,
+    batch: int = BATCH,
+    halving: bool = True,
+    startup: int = STARTUP,
 ) -> SearchResult:
-    """Random search by mean area under the ROC curve over the given folds.
+    """Adaptive search by mean area under the ROC curve over the given folds (see ``operators.search``).
 
     Pass a stored table (``training_table``): every fit reads it. ``fixed`` holds parameters that all
-    trials share. The fits of all trials and folds share one pool, and nothing is fitted beyond them.
+    trials share. A fold is a rung: the fits of a batch on one fold share a pool, and trials that fall
+    behind end before the next. Nothing is fitted beyond them.
     """
     spark = df.sparkSession
-    draws = draw_params(space, trials, seed)
     judge = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction", numBins=0)
-    pool = ThreadPool(min(parallelism or fits_at_once(df), trials * k))
+    pool = ThreadPool(parallelism or fits_at_once(df))
 
     @inheritable_thread_target(spark)
-    def auc(job: tuple[int, int]) -> float:
-        trial, f = job
-        chosen = {**(fixed or {}), **draws[trial]}
-        model = propensity_pipeline(eval_col=eval_col, seed=seed, patience=patience, **chosen).fit(df.filter(F.col(fold) != f))
+    def auc(job: tuple[dict, int]) -> float:
+        params, f = job
+        model = propensity_pipeline(eval_col=eval_col, seed=seed, patience=patience, **{**(fixed or {}), **params}).fit(df.filter(F.col(fold) != f))
         return judge.evaluate(model.transform(df.filter(F.col(fold) == f)))
 
     try:
-        found = np.array(pool.map(auc, product(range(trials), range(k)), chunksize=1)).reshape(trials, k)
+        done = optimise(lambda jobs: pool.map(auc, jobs, chunksize=1), space, trials, k, seed, batch, halving, startup)
     finally:
         pool.close()
-    means = found.mean(axis=1)
-    best = int(np.argmax(means))
-    return SearchResult(draws[best], float(means[best]), trials_table(spark, draws, means, found.std(axis=1)))
+    best = best_of(done)
+    return SearchResult(best.params, best.value, trials_table(spark, done))
 
 
-def trials_table(spark: SparkSession, draws: Sequence[Mapping], means: Sequence[float], stds: Sequence[float]) -> DataFrame:
-    """One row per trial: number, value, spread over folds and the parameters."""
-    names = list(draws[0])
-    rows = [
-        (i, float(means[i]), float(stds[i]), *[float(d[n]) for n in names], "COMPLETE") for i, d in enumerate(draws)
-    ]
+def trials_table(spark: SparkSession, trials: Sequence[Trial]) -> DataFrame:
+    """One row per trial: number, mean and spread over the folds it reached, their number, parameters and state."""
+    names = list(trials[0].params)
+    rows = [(t.number, t.value, float(np.std(t.scores)), len(t.scores), *[float(t.params[n]) for n in names], t.state) for t in trials]
     columns = ", ".join(f"params_{n} double" for n in names)
-    return spark.createDataFrame(rows, f"number int, value double, std double, {columns}, state string")
+    return spark.createDataFrame(rows, f"number int, value double, std double, folds int, {columns}, state string")
 
 
 def score(df: DataFrame, model: PipelineModel, probability: str = "probability", pred: str = "y_pred") -> DataFrame:
