@@ -23,6 +23,7 @@ from leadloom.operators import modelling as M
 from leadloom.operators import outliers as O
 from leadloom.operators import ranking as K
 from leadloom.operators import search
+from leadloom.operators import target_stats as T
 from leadloom.operators.boosting import best_trees
 from leadloom.plans import conversion, lead, topup
 from leadloom.plans.jobs import prepared
@@ -200,6 +201,28 @@ def adaptive_search(spark, d):
     return spark.createDataFrame(rows, "property string, holds boolean")
 
 
+def ordered_target_statistics(spark, d):
+    """Shares of good documents by language, source and length (a nearly unique column): ordered where there is a label."""
+    docs = B.table(spark, d, "documents").select("doc_id", "lang", "source", "n_chars")
+    rows = docs.join(B.table(spark, d, "labels").select("doc_id", "quality"), "doc_id", "left")
+    found = T.target_statistics(rows, "doc_id", ["lang", "source", "n_chars"], "quality")
+    return found.select("doc_id", *[F.round(f"{c}_target", 9).alias(f"{c}_target") for c in ("lang", "source", "n_chars")])
+
+
+def _target_sql(column: str) -> str:
+    value = f"coalesce(CAST({column} AS VARCHAR), '')"
+    order = "ORDER BY md5(concat_ws('|', doc_id, '42')), doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    before = f"OVER (PARTITION BY {value}, quality IS NULL {order})"
+    whole = f"OVER (PARTITION BY {value})"
+    ordered = f"(coalesce(sum(quality) {before}, 0) + p) / (count(quality) {before} + 1)"
+    return f"round(CASE WHEN quality IS NULL THEN (coalesce(sum(quality) {whole}, 0) + p) / (count(quality) {whole} + 1) ELSE {ordered} END, 9) AS {column}_target"
+
+
+ORDERED_TARGET_SQL = f"""WITH r AS (SELECT d.doc_id, lang, source, n_chars, quality FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id),
+o AS (SELECT avg(CAST(quality AS DOUBLE)) AS p FROM r)
+SELECT doc_id, {_target_sql('lang')}, {_target_sql('source')}, {_target_sql('n_chars')} FROM r, o"""
+
+
 def early_stopping(spark, d):
     """Trees kept are those up to the lowest held-out loss, with patience, of one long fit; the scores are equal."""
     _, table = _documents(spark, d)
@@ -575,6 +598,7 @@ QUERIES = {
     ),
     "search_trials": (search_trials, "SELECT i AS number, true AS in_range, true AS by_state FROM range(4) t(i)"),
     "adaptive_search": (adaptive_search, "SELECT unnest(['same_again', 'later_better', 'halved', 'near_target']) AS property, true AS holds"),
+    "ordered_target_statistics": (ordered_target_statistics, ORDERED_TARGET_SQL),
     "early_stopping": (early_stopping, "SELECT doc_id, true AS same, true AS up_to_lowest FROM labels"),
     "fold_importance": (fold_importance, f"SELECT unnest({_FEATURES}) AS feature, true AS mean_of_folds, true AS shares"),
     "shap_summary": (shap_summary, f"SELECT unnest({_FEATURES}) AS feature, true AS as_rows, true AS as_used"),

@@ -48,6 +48,9 @@ TOPUP_PARAMS = {
 PATIENCE = 100
 SEARCH_PATIENCE = 50
 
+#: Values of a category that may become bins of a tree.
+MAX_CATEGORIES = 5000
+
 
 @dataclass(frozen=True)
 class FeaturePlan:
@@ -84,9 +87,16 @@ class FeaturePlan:
 
 
 def fit_features(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = (), max_values: int | None = None) -> FeaturePlan:
-    """Learn the values of every categorical column in one pass: all, or the ``max_values`` most frequent."""
+    """Learn the values of every categorical column in one pass: all, or the ``max_values`` most frequent.
+
+    Every value is a bin of every tree, so a column of more than ``MAX_CATEGORIES`` values is an error unless
+    ``max_values`` is given: turn it into a number first (``target_stats.target_statistics``).
+    """
     filled = df.select(*[F.coalesce(F.col(quoted(c)).cast("string"), F.lit("")).alias(c) for c in categorical])
-    top = fit_top_values(filled, list(categorical), max_values or (1 << 31) - 1) if categorical else {}
+    top = fit_top_values(filled, list(categorical), max_values or MAX_CATEGORIES + 1) if categorical else {}
+    wide = [] if max_values else [c for c, v in top.items() if len(v) > MAX_CATEGORIES]
+    if wide:
+        raise ValueError(f"more than {MAX_CATEGORIES} values in {wide}; use target statistics")
     return FeaturePlan(tuple(numeric), {c: tuple(sorted(v)) for c, v in top.items()})
 
 

@@ -19,6 +19,7 @@ from leadloom.operators import explain as P
 from leadloom.operators import frames as R
 from leadloom.operators import modelling as M
 from leadloom.operators import ranking as K
+from leadloom.operators import target_stats as T
 from leadloom.plans.contacts import clean_contacts, known_events, note_order, with_segments
 from leadloom.session import materialise, training_table
 from leadloom.sources.tables import run_metadata, widen_large_ints
@@ -116,18 +117,23 @@ def conversion_scores(
     open_only: bool = False,
     max_values: int | None = None,
     explain_rows: int | None = None,
+    max_categories: int = 1000,
 ) -> ConversionResult:
     """Search, out-of-fold scores and evaluation, production model, importances, action list.
 
     Rows without a target are not trained on but do get a production score. The action list
     uses the out-of-fold score unless ``action_score`` says ``probability``; ``open_only``
     leaves out rows that are clients already. Categories enter with all their values, or with the
-    ``max_values`` most frequent; ``explain_rows`` limits the contribution summary to a seeded sample.
+    ``max_values`` most frequent; those with more than ``max_categories`` values enter as ordered target statistics
+    (of the labelled rows, over all folds). ``explain_rows`` limits the contribution summary to a seeded sample.
     """
     spark = features.sparkSession
     barred = [key, *vocab.CONVERSION_NON_FEATURES]
     numeric = R.feature_columns(features, barred, "Target")
     texts = R.feature_columns(features, barred, "Target", kind="text")
+    wide = [] if max_values else T.wide_columns(features, texts, max_categories)
+    features = T.with_target_statistics(features, key, wide, "Target", seed=seed)
+    numeric, texts = [*numeric, *[f"{c}_target" for c in wide]], [c for c in texts if c not in wide]
     plan = M.fit_features(features, numeric, texts, max_values)
     table = plan.apply(features).select(key, F.col("Target").cast("int").alias("label"), "features")
     table = training_table(M.eval_slice(K.stratified_folds(table, key, "label", 5, seed), key, seed=seed))
