@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog import base as B
+from leadloom.operators import enrichment
 from leadloom.operators import evaluation as V
 from leadloom.operators import explain as P
 from leadloom.operators import frames as R
 from leadloom.operators import ranking as K
+from leadloom.session import run_folder, spread
+from leadloom.sources import tables
 
 
 def stratified_folds(spark, d):
@@ -163,6 +166,56 @@ def enrichment_errors(spark, d):
     return P.enrichment_errors(B.contacts(spark, d), ["LeadStageNew", "PreferredLanguage"])
 
 
+def _opening(row: dict) -> str | None:
+    """A stand-in for a text service: no answer, an error or a line about the document."""
+    if row["doc_id"] % 97 == 0:
+        raise RuntimeError("service refused")
+    return None if row["doc_id"] % 89 == 0 else f"{row['lang']}: {row['n_chars']} characters from {row['source']}"
+
+
+def guarded_enrichment(spark, d):
+    """One guarded call for each document; planted ids fail on every attempt and the run goes on."""
+    docs = B.table(spark, d, "documents").select("doc_id", "lang", "source", "n_chars")
+    rows = enrichment.enriched(spread(docs), _opening, ["doc_id", "lang", "source", "n_chars"], retries=1)
+    return rows.select("doc_id", "pitch", F.substring_index("pitch_error", ":", 1).alias("error"), "pitch_attempts")
+
+
+def enrichment_counts(spark, d):
+    """The counts that the same pass observes."""
+    docs = B.table(spark, d, "documents").select("doc_id", "lang", "source", "n_chars")
+    _, counts = enrichment.enrich(spread(docs), _opening, ["doc_id", "lang", "source", "n_chars"], retries=1)
+    return spark.createDataFrame([(counts["rows"], counts["failed"], counts["attempts"])], "n_rows bigint, n_failed bigint, n_attempts bigint")
+
+
+def action_preview(spark, d):
+    """The first ten rows of the action list."""
+    return action_list(spark, d).filter(F.col("rank") <= 10)
+
+
+def staged_replacement(spark, d):
+    """A written table, the same table after a write that fails halfway, and after an empty result has replaced it."""
+    customers = B.table(spark, d, "customer").select("c_custkey", "c_name")
+    with run_folder(spark) as folder:
+        target = {"format": "parquet", "path": folder}
+
+        def held(step: str) -> tuple:
+            return step, tables.read_table(spark, target, "customers").count()
+
+        tables.write_table(customers, target, "customers")
+        steps = [held("written")]
+        broken = customers.withColumn("c_name", F.when(F.col("c_custkey") % 50 == 7, F.raise_error(F.lit("planted"))).otherwise(F.col("c_name")))
+        try:
+            tables.write_table(broken, target, "customers")
+        except Exception:
+            steps.append(held("failed"))
+        tables.write_table(customers.filter("c_custkey < 0"), target, "customers")
+        steps.append(held("emptied"))
+    return spark.createDataFrame(steps, "step string, n_rows bigint")
+
+
+_ENRICHED = "SELECT *, doc_id % 97 = 0 AS refused, doc_id % 89 = 0 AS silent FROM documents"
+
+
 QUERIES = {
     "stratified_folds": (stratified_folds, _folds_sql("labels", "doc_id", "quality", 5, 42).format(t="BIGINT")),
     "order_folds": (order_folds, _folds_sql("orders", "o_orderkey", "o_orderstatus", 7, 3).format(t="VARCHAR")),
@@ -218,4 +271,21 @@ QUERIES = {
         f"""WITH {B.CONTACTS_SQL} SELECT count(*) AS n_rows,
         count(*) FILTER (WHERE "LeadStageNew" IS NULL OR "PreferredLanguage" IS NULL) AS n_empty FROM contacts""",
     ),
+    "guarded_enrichment": (
+        guarded_enrichment,
+        f"""SELECT doc_id, CASE WHEN refused OR silent THEN '' ELSE concat(lang, ': ', n_chars, ' characters from ', source) END AS pitch,
+        CASE WHEN refused THEN 'RuntimeError' WHEN silent THEN 'ValueError' END AS error,
+        CAST(CASE WHEN refused OR silent THEN 2 ELSE 1 END AS INTEGER) AS pitch_attempts FROM ({_ENRICHED})""",
+    ),
+    "enrichment_counts": (
+        enrichment_counts,
+        f"""SELECT count(*) AS n_rows, count(*) FILTER (WHERE refused OR silent) AS n_failed,
+        count(*) + count(*) FILTER (WHERE refused OR silent) AS n_attempts FROM ({_ENRICHED})""",
+    ),
+    "action_preview": (action_preview, f"SELECT * FROM ({ACTION_SQL}) WHERE rank <= 10"),
+    "staged_replacement": (
+        staged_replacement,
+        """SELECT 'written' AS step, count(*) AS n_rows FROM customer UNION ALL SELECT 'failed', count(*) FROM customer
+        UNION ALL SELECT 'emptied', 0""",
+    ),
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -19,6 +19,7 @@ from leadloom.operators import notes as N
 from leadloom.operators import outliers as O
 from leadloom.operators import ranking as K
 from leadloom.operators.clustering import segment_entities
+from leadloom.operators.enrichment import enrich
 from leadloom.session import training_table
 
 SCORE = "TOPUP_PROBABILITY_THIS_MONTH"
@@ -56,11 +57,14 @@ def topup_scores(
     model_path: str = "",
     metadata_columns: Sequence[str] = vocab.TOPUP_METADATA,
     early_stop: bool = True,
+    pitch: Callable[[dict], str | None] | None = None,
+    pitch_options: Mapping | None = None,
 ) -> TopupResult:
     """Fit on inliers, score every client, explain and phrase the action list.
 
-    The action list carries the full explanation of each row and the request body for a
-    text service; calling that service is left to the consumer.
+    The action list carries the full explanation of each row and the request body for a text service. With
+    ``pitch``, a function of a dict with ``key`` and ``pitch_request``, each explained row also gets its answer, or an empty
+    text and the error (see ``operators.enrichment``); the run goes on either way.
     """
     spark = features.sparkSession
     data = C.topup_target(R.normalise_id(features, ID_ALIASES, key))
@@ -102,7 +106,13 @@ def topup_scores(
     )
     actions = actions.withColumn(
         "pitch_request", F.when(F.col("explain") == "", F.lit("")).otherwise(F.col("pitch_request"))
-    ).orderBy("rank")
+    )
+    blanks = ["explain", "pitch_request"]
+    if pitch is not None:
+        asked = lambda row: pitch(row) if row["pitch_request"] else None
+        actions, _ = enrich(actions, asked, [key, "pitch_request"], **{"out": "pitch", **(pitch_options or {})})
+        blanks.append("pitch")
+    actions = actions.orderBy("rank")
     if model_path:
         M.save_model(model, model_path)
     return TopupResult(
@@ -111,7 +121,7 @@ def topup_scores(
         importance=M.importance_table(spark, model, plan.names),
         evaluation=V.classification_report(inliers, "label", "y_pred"),
         train_auc=V.roc_auc(inliers, "label", SCORE),
-        enrichment=P.enrichment_errors(actions, ["explain", "pitch_request"]),
+        enrichment=P.enrichment_errors(actions, blanks),
         model=model,
     )
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,7 +86,7 @@ def write_table(
     column_types: str | None = None,
     partition_by: Sequence[str] = (),
 ) -> None:
-    """Write a result table; an empty one replaces the previous run like any other.
+    """Write a result table; an empty one replaces the previous run like any other, a failed write leaves it.
 
     ``clean`` makes names and values table-safe first. A JDBC table gets the column types of the
     frame's width profile, or those of ``column_types`` (see ``ddl_string``). ``partition_by`` (run id, date)
@@ -97,15 +98,83 @@ def write_table(
     if kind == "jdbc" and mode == "overwrite" and column_types is None:
         df = materialise(df)  # profiled and written
         column_types = ddl_string(width_profile(df))
-    writer = df.write.format(kind).mode(mode)
+    options = {k: str(v) for k, v in target.items() if k not in ("format", "path")}
     if kind == "jdbc":
-        writer.options(**jdbc_write_options(target, table, mode, batch, column_types)).save()
+        df.write.format(kind).mode(mode).options(**jdbc_write_options(target, table, mode, batch, column_types)).save()
+    elif kind == "catalog" and mode == "overwrite":
+        replace_catalog_table(df, table, partition_by)
     elif kind == "catalog":
         df.write.mode(mode).partitionBy(*partition_by).saveAsTable(table)
+    elif mode == "overwrite":
+        replace_files(df, kind, f"{target['path'].rstrip('/')}/{table}", options, partition_by)
     else:
-        writer = writer.partitionBy(*partition_by)
-        options = {k: str(v) for k, v in target.items() if k not in ("format", "path")}
-        writer.options(**options).save(f"{target['path'].rstrip('/')}/{table}")
+        df.write.format(kind).mode(mode).partitionBy(*partition_by).options(**options).save(f"{target['path'].rstrip('/')}/{table}")
+
+
+class IncompleteWrite(RuntimeError):
+    """The staged copy does not hold the rows that were written."""
+
+
+def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    seen = Observation(f"rows-{uuid.uuid4().hex}")
+    return df.observe(seen, F.count("*").alias("n")), seen
+
+
+def _verify(found: int, seen: Observation, name: str) -> None:
+    if found != seen.get["n"]:
+        raise IncompleteWrite(f"{name}: {found} rows in the staged copy, {seen.get['n']} written")
+
+
+def replace_files(df: DataFrame, kind: str, path: str, options: Mapping[str, str], partition_by: Sequence[str] = ()) -> None:
+    """Replace the table at ``path``: write beside it, count the rows, then swap the folders.
+
+    Until the swap the old table stays as it is, so a failed run leaves it, and ``df`` may read from it. An
+    empty result replaces it like any other. The swap is two renames; if the second fails the old table is put back.
+    """
+    spark = df.sparkSession
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    mark = uuid.uuid4().hex[:12]
+    here, staged, before = Path(path), Path(f"{path}__staged_{mark}"), Path(f"{path}__before_{mark}")
+    fs = here.getFileSystem(spark._jsc.hadoopConfiguration())
+    rows, seen = _counted(df)
+    try:
+        rows.write.format(kind).partitionBy(*partition_by).options(**options).save(staged.toString())
+        _verify(spark.read.format(kind).options(**options).schema(df.schema).load(staged.toString()).count(), seen, path)
+        existed = fs.exists(here)
+        if existed and not fs.rename(here, before):
+            raise OSError(f"cannot set {path} aside")
+        if not fs.rename(staged, here):
+            if existed:
+                fs.rename(before, here)
+            raise OSError(f"cannot move the staged copy to {path}")
+    finally:
+        fs.delete(staged, True)
+    if existed:
+        fs.delete(before, True)
+
+
+def replace_catalog_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
+    """``replace_files`` for a table of the catalog: a staged table is counted and takes over the name."""
+    spark = df.sparkSession
+    mark = uuid.uuid4().hex[:12]
+    staged, before = f"{table}__staged_{mark}", f"{table}__before_{mark}"
+    rows, seen = _counted(df)
+    try:
+        rows.write.partitionBy(*partition_by).saveAsTable(staged)
+        _verify(spark.table(staged).count(), seen, table)
+        existed = spark.catalog.tableExists(table)
+        if existed:
+            spark.sql(f"ALTER TABLE {table} RENAME TO {before}")
+        try:
+            spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
+        except Exception:
+            if existed:
+                spark.sql(f"ALTER TABLE {before} RENAME TO {table}")
+            raise
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {staged}")
+    if existed:
+        spark.sql(f"DROP TABLE IF EXISTS {before}")
 
 
 def widen_large_ints(df: DataFrame, limit: int = 10**14) -> DataFrame:

@@ -86,3 +86,48 @@ def test_jdbc_table_gets_profiled_types_where_it_is_made_anew(spark):
     made = T.jdbc_write_options(target, "t", "overwrite", 500, types)
     assert made == {"url": "jdbc:x", "user": "u", "dbtable": "t", "batchsize": "500", "createTableColumnTypes": "`v` VARCHAR(60)"}
     assert "createTableColumnTypes" not in T.jdbc_write_options(target, "t", "append", 500, types)
+
+
+def test_a_failed_write_leaves_the_old_table(spark, tmp_path):
+    target = {"format": "parquet", "path": str(tmp_path)}
+    df = spark.range(200).selectExpr("id", "cast(id as string) AS s")
+    T.write_table(df, target, "t")
+    broken = df.selectExpr("id", "if(id = 150, raise_error('planted'), s) AS s")
+    with pytest.raises(Exception, match="planted"):
+        T.write_table(broken, target, "t")
+    assert T.read_table(spark, target, "t").count() == 200
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["t"]  # no staged copy stays
+
+
+def test_a_table_may_be_replaced_from_itself(spark, tmp_path):
+    target = {"format": "parquet", "path": str(tmp_path)}
+    T.write_table(spark.range(10).selectExpr("id"), target, "t")
+    T.write_table(T.read_table(spark, target, "t").filter("id < 4"), target, "t")
+    assert T.read_table(spark, target, "t").count() == 4
+
+
+def test_an_incomplete_copy_is_not_swapped_in(spark, tmp_path, monkeypatch):
+    target = {"format": "parquet", "path": str(tmp_path)}
+    T.write_table(spark.range(10).selectExpr("id"), target, "t")
+    real = T._verify
+    monkeypatch.setattr(T, "_verify", lambda found, seen, name: real(found - 1, seen, name))
+    with pytest.raises(T.IncompleteWrite):
+        T.write_table(spark.range(3).selectExpr("id"), target, "t")
+    monkeypatch.undo()
+    assert T.read_table(spark, target, "t").count() == 10
+
+
+def test_catalog_tables_are_replaced_alike(spark):
+    target, name = {"format": "catalog"}, "staged_orders"
+    try:
+        T.write_table(spark.range(5).selectExpr("id"), target, name)
+        T.write_table(spark.range(5).selectExpr("id"), target, name, mode="append")
+        assert spark.table(name).count() == 10
+        with pytest.raises(Exception, match="planted"):
+            T.write_table(spark.range(5).selectExpr("if(id = 3, raise_error('planted'), id) AS id"), target, name)
+        assert spark.table(name).count() == 10
+        T.write_table(spark.range(0).selectExpr("id"), target, name)
+        assert spark.table(name).count() == 0
+        assert [t.name for t in spark.catalog.listTables() if t.name.startswith(name)] == [name]
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
