@@ -22,10 +22,15 @@ MAX_SHARE = 0.25
 MIN_PAGES = 3
 
 #: Parts of a page without text, tags that end a line, and character references of common signs.
-HIDDEN = (r"(?is)<!--.*?-->", *(rf"(?is)<{t}\b.*?</{t}\s*>" for t in ("script", "style", "head", "noscript", "template")))
+#: What never ends goes to the end of the page (a head to the body's tag), so that no pattern is tried anew at each of its beginnings.
+HIDDEN = (
+    r"(?is)<!--.*?(?:-->|\z)", *(rf"(?is)<{t}\b.*?(?:</{t}\s*>|\z)" for t in ("script", "style", "noscript", "template")),
+    r"(?is)<head\b.*?(?:</head\s*>|<body\b[^>]*(?:>|\z)|\z)",
+)
+TAGS = r"<[A-Za-z/!?][^>]*(?:>|\z)"
 BREAKS = (
     r"(?i)</?(?:address|article|aside|blockquote|body|br|button|dd|details|dialog|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]"
-    r"|header|hr|html|label|legend|li|main|menu|nav|ol|option|p|pre|section|select|summary|table|tbody|td|tfoot|th|thead|tr|ul)\b[^>]*>"
+    r"|header|hr|html|label|legend|li|main|menu|nav|ol|option|p|pre|section|select|summary|table|tbody|td|tfoot|th|thead|tr|ul)\b[^>]*(?:>|\z)"
 )
 SIGNS = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
@@ -41,7 +46,7 @@ def html_lines(html: Column | str) -> Column:
     text = F.regexp_replace(F.coalesce(html, F.lit("")), r"[\x20\x09-\x0D]+", " ")
     for pattern in HIDDEN:
         text = F.regexp_replace(text, pattern, "\n")
-    text = F.regexp_replace(F.regexp_replace(text, BREAKS, "\n"), r"<[A-Za-z/!?][^>]*>", "")
+    text = F.regexp_replace(F.regexp_replace(text, BREAKS, "\n"), TAGS, "")
     for name, sign in SIGNS:
         text = F.replace(text, F.lit(name), F.lit(sign))
     text = F.regexp_replace(text, " +", " ")

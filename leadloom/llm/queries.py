@@ -46,7 +46,7 @@ def _lines_sql() -> str:
     text = r"regexp_replace(coalesce(html, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
     for pattern in linefreq.HIDDEN:
         text = f"regexp_replace({text}, '{pattern}', chr(10), 'g')"
-    text = f"regexp_replace(regexp_replace({text}, '{linefreq.BREAKS}', chr(10), 'g'), '<[A-Za-z/!?][^>]*>', '', 'g')"
+    text = f"regexp_replace(regexp_replace({text}, '{linefreq.BREAKS}', chr(10), 'g'), '{linefreq.TAGS}', '', 'g')"
     for name, sign in linefreq.SIGNS:
         text = f"replace({text}, '{name}', '{sign.replace(chr(39), chr(39) * 2)}')"
     return f"list_filter(list_transform(string_split(regexp_replace({text}, ' +', ' ', 'g'), chr(10)), lambda x: trim(x)), lambda x: x <> '')"
