@@ -27,15 +27,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadloom.llm.linefreq import host_of
-from leadloom.llm.tables import same
 from leadloom.session import materialise
 
 MIN_PAGES = 5
 MIN_IMPORTANCE = 0.25
 DAMPING = 0.9
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+_BEGIN = re.compile(r"<(?:!--|!\[CDATA\[|[!?]|(/?)([a-zA-Z][^\s/>]*))")
+_STOP = re.compile(r"[>\"']")
+_SIMPLE = re.compile(r"[^<>]*>")
+#: Elements nested deeper become siblings at this depth.
+_DEEPEST = 128
+_ATTRIBUTE = re.compile(r"(?<![a-zA-Z-])([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 #: Elements whose content is not text of the page.
 _SKIPPED = frozenset("script style noscript template iframe svg math canvas object video audio head title textarea select datalist map".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -58,6 +61,12 @@ _OTHER_TEXT = re.compile(
     r"(?:ads?|adverts?|advert\w+|adsense|sponsor\w*|promo\w*|cookies?|consent|gdpr|related|recommended|comments?|commentlist|disqus|replies|respond|copyright|disclaimer)"
 )
 _HEADER_WORDS = frozenset(("header", "head", "hdr"))
+#: Words that go with a noise word in a name that is noise as a whole; inside an article other names tell what a part is about.
+_HELPERS = re.compile(r"(?:posts?|lists?|items?|box|block|section|area|wrap(?:per)?|container|links?|articles?|stories|content|bar|buttons?|form|site|main|page|top|bottom|left|right|inner|outer|unit|slot|\d+)")
+#: Of several articles side by side, those with this share of the largest one's text are its parts.
+_PART = 0.25
+#: An article or main element with less than this share of the text outside noise around it is a teaser.
+_TEASER = 0.2
 
 
 #: Inside an article, such elements are text and are never judged by their site.
@@ -68,6 +77,23 @@ def _hash(text: str) -> int:
     return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
+def _tag_end(source: str, at: int) -> int:
+    """Place of the first ``>`` outside quotes, -1 if there is none."""
+    while (m := _STOP.search(source, at)) is not None:
+        if m[0] == ">":
+            return m.start()
+        at = source.find(m[0], m.end()) + 1
+        if not at:
+            return -1
+    return -1
+
+
+def _all_noise(name: str) -> bool:
+    """Whether a class or id consists of noise words and words that go with them."""
+    words = [w.lower() for w in re.split(r"[_-]+|(?<=[a-z])(?=[A-Z])", name) if w]
+    return any(map(_NOISE_WORDS.fullmatch, words)) and all(_NOISE_WORDS.fullmatch(w) or _HELPERS.fullmatch(w) for w in words)
+
+
 class Page:
     """Elements and text blocks of one page; inline elements are part of their block."""
 
@@ -77,6 +103,8 @@ class Page:
         self.blocks: list[tuple[int, str]] = []
         self._named, self._other = set(), set()  # noise by class or id alone; of these, other kinds of text
         self._stack, self._text = [0], []
+        self._open_tags: dict[str, int] = {}
+        self._within = [False]  # whether a main element is around each
         self._read(source)
         self._pardon()
 
@@ -89,14 +117,20 @@ class Page:
 
     def _pop(self, names: tuple[str, ...], stop: frozenset[str] = frozenset()) -> None:
         """Close the innermost open element of the given names, unless one of ``stop`` is inside out before it."""
+        if not any(self._open_tags.get(n) for n in names):
+            return
         for depth in range(len(self._stack) - 1, 0, -1):
             if self.tag[self._stack[depth]] in names:
+                for e in self._stack[depth:]:
+                    self._open_tags[self.tag[e]] -= 1
                 del self._stack[depth:]
                 return
             if self.tag[self._stack[depth]] in stop:
                 return
 
     def _open(self, tag: str, rest: str) -> None:
+        if len(self._stack) > _DEEPEST:
+            self._open_tags[self.tag[self._stack.pop()]] -= 1
         found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(rest)} if rest and "=" in rest else {}
         names = [x for name in ("class", "id") for x in found.get(name, "").split() if not _LAYOUT.match(x)]
         small = sorted({w.lower() for x in names for w in re.split(r"[_-]+|(?<=[a-z])(?=[A-Z])", x) if w})
@@ -110,8 +144,9 @@ class Page:
         self.main.append(own and not other)
         hides = "hidden" in rest.lower().split() or re.search(r"display\s*:\s*none", found.get("style", "")) is not None
         self.hidden.append(hides or found.get("aria-hidden", "").lower() == "true")
-        named = tag not in ("html", "body") and any(_NOISE_WORDS.fullmatch(w) for w in small)
-        inside = any(self.main[e] for e in self._stack)
+        inside = self._within[self._stack[-1]] or self.main[self._stack[-1]]
+        self._within.append(inside)
+        named = tag not in ("html", "body") and any(_NOISE_WORDS.fullmatch(w) for w in small) and (not inside or any(map(_all_noise, names)))
         headed = tag not in ("h1", "h2", "h3", "h4", "h5", "h6") and any(w in _HEADER_WORDS for w in small) and not inside
         sure = tag in _NOISE_TAGS or role in _NOISE_ROLES or (tag == "header" and not inside)
         worded = (named or headed) and not self.main[here]
@@ -123,32 +158,52 @@ class Page:
         self.children[self._stack[-1]].append(self.name(here))
         self.children.append([])
         self._stack.append(here)
+        self._open_tags[tag] = self._open_tags.get(tag, 0) + 1
 
     def name(self, e: int) -> str:
         return ".".join((self.tag[e], *self.words[e]))
 
     def _read(self, source: str) -> None:
         at, end = 0, len(source)
+        quoted, unclosed = True, set()  # whether quotes are heeded; skipped elements that end nowhere below
         stop_p = frozenset(("article", "main", "section", "div", "td", "body", "li", "blockquote"))
         stop_list = {"li": frozenset(("ul", "ol", "menu")), "dt": frozenset(("dl",)), "dd": frozenset(("dl",))}
         while at < end:
-            m = _TOKEN.search(source, at)
+            m = _BEGIN.search(source, at)
             if m is None:
                 self._text.append(source[at:])
                 break
             if m.start() > at:
                 self._text.append(source[at : m.start()])
-            at = m.end()
             if m[2] is None:
+                close = {"<!--": "-->", "<![CDATA[": "]]>"}.get(m[0], ">")
+                stop = source.find(close, m.end())
+                if stop < 0 and close == ">":  # no tag ends below
+                    self._text.append(source[m.start() :])
+                    break
+                at = end if stop < 0 else stop + len(close)
                 continue
+            stop = _tag_end(source, m.end()) if quoted else -1
+            if stop < 0:
+                # a quote that swallows all that follows: from here on quotes mean nothing, so that no tag is read to the end again
+                simple = None if quoted else _SIMPLE.match(source, m.end())
+                quoted = False
+                if simple is None:
+                    self._text.append("<")
+                    at = m.start() + 1
+                    continue
+                stop = simple.end() - 1
+            rest, at = source[m.end() : stop], stop + 1
             tag, closing = m[2].lower(), bool(m[1])
             if tag in _SKIPPED:
-                if not closing and not m[3].rstrip().endswith("/"):
-                    close = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(source, at)
+                if not closing and not rest.rstrip().endswith("/"):
+                    close = None if tag in unclosed else re.compile(rf"</{re.escape(tag)}\b[^<>]*>", re.I).search(source, at)
                     if close is not None:
                         at = close.end()
                     elif tag not in ("head", "title"):
                         at = end
+                    else:
+                        unclosed.add(tag)
                 self._text.append(" ")
                 continue
             if tag in _INLINE:
@@ -166,7 +221,7 @@ class Page:
             self._pop(("p",), stop_p)
             if tag in _CLOSES:
                 self._pop(_CLOSES[tag], stop_list.get(tag, frozenset(("table",))))
-            self._open(tag, m[3])
+            self._open(tag, rest)
         self._flush()
 
     def _pardon(self) -> None:
@@ -200,21 +255,31 @@ class Page:
             chain.append(_hash(f"{chain[self.parent[e]]}/{self.name(e)}"))
         return chain
 
-    def article(self) -> int:
-        """The main element: the one with most text, an article before a main before the whole page."""
+    def article(self) -> tuple[int, ...]:
+        """The main elements: the article with most text and its parts beside it, else a main element, else the page.
+
+        An article or main element that holds a small share of the text around it is a teaser, not the page's text.
+        """
         length = [0] * len(self.tag)
         for e, line in self.blocks:
-            while e >= 0 and not (self.noisy[e] and not self.main[e]) and not self.hidden[e]:
-                length[e] += len(line)
-                e = self.parent[e]
-        best = 0
+            length[e] += len(line)
+        for e in range(len(self.tag) - 1, 0, -1):
+            if self.hidden[e] or (self.noisy[e] and not self.main[e]):
+                length[e] = 0
+            length[self.parent[e]] += length[e]
+        home = [0] * len(self.tag)  # the outermost main element around each, or the page
+        for e in range(1, len(self.tag)):
+            up = self.parent[e]
+            home[e] = home[up] or (up if self.main[up] and self.tag[up] != "article" else 0)
         for kind in ("article", "main"):
             found = [e for e in range(1, len(self.tag)) if self.main[e] and length[e] and (self.tag[e] == kind or kind == "main")]
-            found = [e for e in found if not any(self.main[a] and self.tag[a] == kind for a in self._above(e))] or found
+            found = [e for e in found if not self._within[e] or not any(self.main[a] and self.tag[a] == kind for a in self._above(e))] or found
+            found = [e for e in found if length[e] >= _TEASER * length[home[e]] and length[e] >= _TEASER * length[0]]
             if found:
                 best = max(found, key=lambda e: (length[e], -e))
-                break
-        return best
+                parts = [e for e in found if self.parent[e] == self.parent[best] and self.tag[e] == "article" and length[e] >= _PART * length[best]]
+                return tuple(parts) if self.tag[best] == "article" and len(parts) > 1 else (best,)
+        return (0,)
 
     def _above(self, e: int) -> Iterator[int]:
         e = self.parent[e]
@@ -224,38 +289,49 @@ class Page:
 
     def text(self, low: set[int]) -> str:
         """Blocks of the main element outside noise and branches of low importance."""
-        root = self.article()
+        roots = set(self.article())
+        whole = 0 in roots
         paths = self.paths() if low else []
-        held = self._held(root, [p in low for p in paths]) if low else []
-        gone = [root != 0]
+        held, total = self._held(roots, [p in low for p in paths]) if low else ([], 0)
+        gone = [not whole]
         for e in range(1, len(self.tag)):
-            poor = bool(low) and paths[e] in low and self.tag[e] not in ("html", "body") and not (root and self.tag[e] in _PLAIN)
-            poor = poor and 2 * held[e] <= held[root]
-            gone.append(e != root and (gone[self.parent[e]] or self.noisy[e] or self.hidden[e] or poor))
+            poor = bool(low) and paths[e] in low and self.tag[e] not in ("html", "body") and not (not whole and self.tag[e] in _PLAIN)
+            poor = poor and 2 * held[e] <= total
+            gone.append(e not in roots and (gone[self.parent[e]] or self.noisy[e] or self.hidden[e] or poor))
         return "\n".join(line for e, line in self.blocks if not gone[e])
 
-    def _held(self, root: int, low: list[bool]) -> list[int]:
-        """Characters of the main element's text outside noise below each element; of a page without one, only outside low branches."""
-        out = [root != 0]
+    def _held(self, roots: set[int], low: list[bool]) -> tuple[list[int], int]:
+        """Characters of the main elements' text outside noise below each element, and of all of it; of a page without one, only outside low branches."""
+        whole = 0 in roots
+        out = [not whole]
         for e in range(1, len(self.tag)):
-            out.append(e != root and (out[self.parent[e]] or self.noisy[e] or self.hidden[e]))
-        held = [0] * len(self.tag)
+            out.append(e not in roots and (out[self.parent[e]] or self.noisy[e] or self.hidden[e]))
+        held, total = [0] * len(self.tag), 0
         for e, line in self.blocks:
-            if not out[e] and (root or not low[e]):
+            if not out[e] and (not whole or not low[e]):
                 held[e] += len(line)
+                total += len(line)
         for e in range(len(self.tag) - 1, 0, -1):
             held[self.parent[e]] += held[e]
-        return held
+        return held, total
 
     def nodes(self) -> list[tuple[int, int, list[int]]]:
         """(path, presentation, texts below) for every node of the page, nodes of the same path together."""
         paths = self.paths()
         texts: dict[int, set[int]] = {}
+        below: list[set[int] | None] = [None] * len(paths)
         for e, line in self.blocks:
-            code = _hash(line)
-            while e >= 0:
-                texts.setdefault(paths[e], set()).add(code)
-                e = self.parent[e]
+            below[e] = below[e] or set()
+            below[e].add(_hash(line))
+        for e in range(len(paths) - 1, -1, -1):
+            some, below[e] = below[e], None
+            if some:
+                up = self.parent[e]
+                texts.setdefault(paths[e], set()).update(some)
+                if e and below[up] is None:
+                    below[up] = some
+                elif e:
+                    below[up] |= some
         looks: dict[int, set[str]] = {}
         for e, path in enumerate(paths):
             row = self.children[e]
@@ -294,17 +370,18 @@ def node_importance(nodes: DataFrame, damping: float = DAMPING) -> DataFrame:
     but for rounding.
     """
     count = F.round(F.sum("weight")).cast("bigint") if "weight" in nodes.columns else F.count("*")
-    styles = nodes.groupBy("host", "node", "style").agg(count.alias("c"))
-    looks = styles.groupBy("host", "node").agg(
-        F.sum("c").alias("pages"), F.count("*").alias("styles"), F.sum(F.col("c") * F.log("c")).alias("s")
+    weight = ["weight"] if "weight" in nodes.columns else []
+    entry = lambda text, key: F.struct(F.lit(text).alias("text"), key.alias("key"))
+    entries = F.concat(F.array(entry(False, F.col("style"))), F.transform("texts", lambda t: entry(True, t)))
+    seen = nodes.select("host", "node", *weight, F.inline(entries)).groupBy("host", "node", "text", "key").agg(count.alias("c"))
+    n, look = F.col("c"), ~F.col("text")
+    looks = seen.groupBy("host", "node").agg(
+        F.sum(F.when(look, n)).alias("pages"), F.count_if(look).alias("styles"), F.sum(F.when(look, n * F.log(n))).alias("s"),
+        F.sum(F.when(F.col("text"), n)).alias("all"), F.sum(F.when(F.col("text"), n * F.log(n))).alias("w"),
     )
     m = F.col("pages").cast("double")
     shown = F.when(F.col("pages") > 1, (F.log(m) - F.col("s") / m) / F.log(m)).otherwise(1.0)
-    looks = looks.select("host", "node", "pages", "styles", shown.alias("presentation"))
-    weight = ["weight"] if "weight" in nodes.columns else []
-    texts = nodes.select("host", "node", *weight, F.explode("texts").alias("t")).groupBy("host", "node", "t").agg(count.alias("k"))
-    said = texts.groupBy("host", "node").agg(F.sum("k").alias("all"), F.sum(F.col("k") * F.log("k")).alias("w"))
-    both = looks.join(said, same(looks, said, ["host", "node"]), "left").select(looks["*"], "all", "w")
+    both = looks.withColumn("presentation", shown)
     content = F.when(F.col("pages") > 1, F.coalesce(1 - F.col("w") / F.col("all") / F.log(m), F.lit(0.0))).otherwise(1.0)
     damped = F.pow(F.lit(damping), F.col("styles"))
     both = both.withColumn("content", content)

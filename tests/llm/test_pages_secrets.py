@@ -4,6 +4,7 @@ import hashlib
 import html as entities
 import random
 import re
+import time
 
 import duckdb
 import numpy as np
@@ -45,6 +46,51 @@ def test_deep_and_broken_markup():
     assert text_of("<p>unclosed <a href='x>text<p>more") in ("unclosed <a href='x>text\nmore", "unclosed")
 
 
+BROKEN = {
+    "open tags": "<a " * 350_000, "open quotes": '<a "' * 250_000, "quoted ends": '<a ">" ' * 150_000, "comments": "<!--" * 250_000, "styles": "<style " * 150_000,
+    "titles": "<title>" * 150_000, "declarations": "<!x" * 300_000, "nested": "<div>x" * 100_000, "closed": "<div>" * 50_000 + "</zz>" * 50_000, "names": "<p " + "a" * 1_000_000 + "=x>z",
+}
+
+
+@pytest.mark.parametrize("what", BROKEN)
+def test_broken_pages_take_linear_time(what):
+    """Twice the page takes about twice the time: no mark without an end is looked for again and again."""
+    took = []
+    for source in (BROKEN[what][: len(BROKEN[what]) // 4], BROKEN[what]):
+        start = time.process_time()
+        page = sitestyle.Page(source)
+        page.text(set())
+        page.nodes()
+        took.append(time.process_time() - start)
+    assert took[1] < 10 * took[0] + 0.5 and took[1] < 12
+
+
+def test_lines_of_broken_pages_take_linear_time(spark):
+    for source in ("<!--" * 100_000, "<style " * 60_000, "<head " * 60_000, "<div " * 60_000, "<b " * 60_000):
+        start = time.time()
+        spark.createDataFrame([(source,)], "html string").select(linefreq.html_lines("html").alias("x")).collect()
+        assert time.time() - start < 10, source[:8]
+
+
+LONG_TEXT = " ".join(f"word{i}" for i in range(120))
+
+
+@pytest.mark.parametrize(
+    ("source", "want"),
+    [
+        (f"<main><div>{LONG_TEXT}</div><article class=card>short teaser</article></main>", f"{LONG_TEXT}\nshort teaser"),
+        (f"<div class=content>{LONG_TEXT}</div><article>short teaser</article>", f"{LONG_TEXT}\nshort teaser"),
+        (f"<main><article>{LONG_TEXT}</article><article>{LONG_TEXT} {LONG_TEXT}</article></main>", f"{LONG_TEXT}\n{LONG_TEXT} {LONG_TEXT}"),
+        ("<article><p>a b c d e</p><section class=related-work>one</section><section class=copyright-law>two</section><section id=alerts-api>three</section>"
+         "<div class=overlay-network>four</div><div class=related-posts>five</div><div class='share-buttons'>six</div><div class=comments-area>seven</div></article>",
+         "a b c d e\none\ntwo\nthree\nfour"),
+        ("<div>" * 400 + "deep" + "</div>" * 400 + "<p>after", "deep\nafter"),
+    ],
+)
+def test_the_article_is_chosen_by_its_size(source, want):
+    assert text_of(source) == want
+
+
 def test_site_branches_of_low_importance_go(spark):
     def page(i):
         return f"<div><ul><li>Home<li>News<li>About</ul></div><section><p>Story {i} has its own words {i * 7}.</p></section><section><b>All rights</b></section>"
@@ -100,7 +146,7 @@ def test_site_lines(spark):
 @pytest.mark.parametrize("name", [n for n, (_, sql) in queries.QUERIES.items() if sql])
 def test_queries_equal_their_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages", "benchmark"):
+    for table in ("documents", "pages", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     run, sql = queries.QUERIES[name]
     df, rel = run(spark, SF), con.execute(sql)
