@@ -9,7 +9,7 @@ from leadloom import vocab
 from leadloom.functions import text as X
 from leadloom.operators import clustering as K
 from leadloom.operators import notes as N
-from leadloom.session import materialise
+from leadloom.session import materialise, spread
 
 
 def clean_sql(col: str) -> str:
@@ -126,6 +126,19 @@ SELECT vec_id, CAST(label AS BIGINT) AS label, i AS nearest, round(sqrt(d), 4) A
   SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d, c) AS r FROM dist) JOIN ordered USING (c) WHERE r = 1"""
 
 
+def nearest_of_many(spark, d):
+    """Every order with the customer whose mean order (price in thousands, day of the year, weekday) is closest: a centre for each customer."""
+    point = F.array(F.col("o_totalprice") / 1000, F.dayofyear("o_orderdate"), F.dayofweek("o_orderdate")).cast("array<double>")
+    rows = materialise(B.table(spark, d, "orders").select("o_orderkey", "o_custkey", point.alias("x")))
+    placed = K.assign_nearest_of_many(spread(rows), "x", K.group_centres(rows, "o_custkey", "x"), "o_custkey")
+    return placed.select("o_orderkey", F.round("distance", 6).alias("distance"))
+
+
+MANY_SQL = """WITH r AS (SELECT o_orderkey, o_custkey, o_totalprice / 1000 AS a, dayofyear(o_orderdate) AS b, dayofweek(o_orderdate) + 1 AS c FROM orders),
+m AS (SELECT o_custkey, avg(a) AS a, avg(b) AS b, avg(c) AS c FROM r GROUP BY 1)
+SELECT o_orderkey, round(sqrt(min((r.a - m.a) ** 2 + (r.b - m.b) ** 2 + (r.c - m.c) ** 2)), 6) AS distance FROM r, m GROUP BY 1"""
+
+
 def prompt_payload(spark, d):
     orders = B.table(spark, d, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
         F.count("*").alias("n_orders"), F.max("o_orderpriority").alias("priority")
@@ -172,5 +185,6 @@ QUERIES = {
     ),
     "tfidf_top_terms": (tfidf_top_terms, TFIDF_SQL),
     "nearest_centroid": (nearest_centroid, NEAREST_SQL),
+    "nearest_of_many": (nearest_of_many, MANY_SQL),
     "prompt_payload": (prompt_payload, PROMPT_SQL),
 }

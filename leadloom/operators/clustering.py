@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -192,3 +195,102 @@ def group_centroids(df: DataFrame, group: str, vector: str, max_groups: int = 10
         raise ValueError(f"{found} groups in {group}, at most {max_groups} expected")
     means = means.orderBy(group)
     return [row["__m"].toArray().tolist() for row in means.collect()]
+
+
+#: Bytes of centres that one pass over the rows holds in a broadcast.
+PASS_BYTES = 64 << 20
+_CENTRES = 2048  # centres compared at once
+
+
+def group_centres(df: DataFrame, group: str, vector: str) -> DataFrame:
+    """(group, centre) with the mean vector of each group; any number of groups, none reaches the driver."""
+    vectors = df.select(group, array_to_vector(F.col(vector).cast("array<double>")).alias("__v"))
+    means = vectors.groupBy(group).agg(Summarizer.mean(F.col("__v")).alias("__m"))
+    return means.select(group, vector_to_array("__m").alias("centre"))
+
+
+def nearest_in_block(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place and squared distance of each row's nearest centre, the first of equally near ones.
+
+    Matrix products tell which centres can be nearest; those few are compared by their differences, so that
+    rounding does not decide.
+    """
+    place, least = np.zeros(len(x), dtype=np.int64), np.full(len(x), np.inf)
+    norms = np.einsum("ij,ij->i", x, x)
+    for first in range(0, len(centres), _CENTRES):
+        some = centres[first : first + _CENTRES]
+        sizes = np.einsum("ij,ij->i", some, some)
+        rough = norms[:, None] - 2.0 * (x @ some.T) + sizes
+        slack = 1e-9 * (norms + sizes.max(initial=0.0)) + 1e-300
+        row, col = np.nonzero(rough <= (rough.min(axis=1) + slack)[:, None])
+        exact = ((x[row] - some[col]) ** 2).sum(axis=1)
+        order = np.lexsort((col, exact, row))
+        head = order[np.flatnonzero(np.diff(row[order], prepend=-1))]
+        better = exact[head] < least[row[head]]
+        at = row[head][better]
+        least[at], place[at] = exact[head][better], col[head][better] + first
+    return place, least
+
+
+def _nearer(shared, kind: str):
+    """Column function: (vector, distance so far, group so far) -> the nearer of that and the centres of a broadcast (matrix, groups)."""
+
+    @F.pandas_udf(f"d double, g {kind}")
+    def nearer(vectors: pd.Series, d: pd.Series, g: pd.Series) -> pd.DataFrame:
+        matrix, names = shared.value
+        known = vectors.notna().to_numpy()
+        best_d, best_g = d.to_numpy(dtype=float, na_value=np.nan).copy(), g.astype(object).where(g.notna(), None).to_numpy().copy()
+        rows = np.flatnonzero(known)
+        if rows.size:
+            place, least = nearest_in_block(np.vstack(vectors[known].to_numpy()).astype(float), matrix)
+            near = np.sqrt(least)
+            better = np.isnan(best_d[rows]) | (near < best_d[rows])
+            best_d[rows[better]] = near[better]
+            best_g[rows[better]] = [names[i] for i in place[better]]
+        return pd.DataFrame({"d": pd.Series(best_d).astype(object).where(~np.isnan(best_d), None), "g": pd.Series(best_g, dtype=object)})
+
+    return nearer
+
+
+def assign_nearest_of_many(df: DataFrame, vector: str, centres: DataFrame, group: str, out: str = "nearest", distance: str = "distance", pass_bytes: int = PASS_BYTES) -> DataFrame:
+    """``df`` with the group of the nearest centre (the smallest group of equally near ones) and its distance.
+
+    ``centres`` has ``group`` and centre, any number of them, all as long as the vectors. They are taken in blocks of at most
+    ``pass_bytes``; each block is a broadcast of that size and one pass over the rows, which keeps the nearest so far
+    in a stored column. Rows with a null vector get nulls; a null group is no centre; an empty table of centres gives nulls.
+    """
+    spark = df.sparkSession
+    listed = materialise(centres.select(F.col(group).alias("g"), F.col("centre").cast("array<double>").alias("c")).filter(F.col("c").isNotNull() & F.col("g").isNotNull()))
+    kind = listed.schema["g"].dataType.simpleString()
+    total, width = listed.agg(F.count("*"), F.max(F.size("c"))).first()
+    found = df.withColumns({"__d": F.lit(None).cast("double"), "__g": F.lit(None).cast(kind)})
+    if not total:
+        return found.withColumnsRenamed({"__g": out, "__d": distance})
+    per_pass = max(1, pass_bytes // (8 * max(1, width)))
+    # blocks by ranges of the group, so that an earlier block wins a tie
+    cuts = [] if total <= per_pass else _range_cuts(listed, math.ceil(total / per_pass))
+    bounds = list(zip([None, *cuts], [*cuts, None], strict=True))
+    for low, high in bounds:
+        inside = F.lit(True)
+        if low is not None:
+            inside = inside & (F.col("g") > F.lit(low))
+        if high is not None:
+            inside = inside & (F.col("g") <= F.lit(high))
+        block = listed.filter(inside).orderBy("g").collect()
+        if not block:
+            continue
+        shared = spark.sparkContext.broadcast((np.array([r["c"] for r in block], dtype=float), [r["g"] for r in block]))
+
+        nearer = _nearer(shared, kind)
+        step = found.withColumn("__n", nearer(F.col(vector).cast("array<double>"), F.col("__d"), F.col("__g")))
+        found = step.withColumns({"__d": F.col("__n.d"), "__g": F.col("__n.g")}).drop("__n")
+        if len(bounds) > 1:
+            found = materialise(found)
+    return found.withColumnsRenamed({"__g": out, "__d": distance})
+
+
+def _range_cuts(listed: DataFrame, parts: int) -> list:
+    """Groups that cut the table into about equal ranges: the largest of each range but the last."""
+    ranged = listed.select("g").repartitionByRange(parts, "g").withColumn("__p", F.spark_partition_id())
+    rows = ranged.groupBy("__p").agg(F.max("g").alias("g")).collect()
+    return sorted(r["g"] for r in rows)[:-1]

@@ -1,9 +1,11 @@
 import itertools
 import json
+import math
 import random
 from math import factorial
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -232,6 +234,38 @@ def test_nearest_centroid_breaks_ties_by_number(spark):
     assert [(r["nearest"], r["d"]) for r in got] == [(0, 1.0), (0, 0.4)]
 
 
+@pytest.mark.parametrize("pass_bytes", [C.PASS_BYTES, 8 * 3 * 700])
+def test_nearest_of_five_thousand_groups(spark, pass_bytes):
+    """In one pass and in blocks: the same groups as comparing all centres, ties to the smallest."""
+    rng = np.random.default_rng(8)
+    centres = np.round(rng.normal(size=(5000, 3)), 2)
+    points = np.vstack([np.round(rng.normal(size=(300, 3)), 2), centres[:50]])
+    table = spark.createDataFrame([(f"g{i:04}", c.tolist()) for i, c in enumerate(centres)] + [(None, [0.0, 0.0, 0.0])], "g string, centre array<double>")
+    rows = spark.createDataFrame([(i, p.tolist(), "clash") for i, p in enumerate(points)] + [(999, None, "clash")], "i int, v array<double>, d string")
+    got = {r["i"]: r for r in C.assign_nearest_of_many(rows, "v", table, "g", pass_bytes=pass_bytes).collect()}
+    far = ((points[:, None, :] - centres[None]) ** 2).sum(axis=2)
+    for i in range(len(points)):
+        assert got[i]["nearest"] == f"g{int(np.argmin(far[i])):04}" and got[i]["distance"] == pytest.approx(math.sqrt(far[i].min()), abs=1e-12)
+    assert got[999]["nearest"] is None and got[999]["distance"] is None
+    assert {r["nearest"] for r in C.assign_nearest_of_many(rows, "v", table.limit(0), "g").collect()} == {None}
+
+
+def test_path_lengths_equal_a_walk_down_each_tree():
+    rng = np.random.default_rng(2)
+    grow, x = O._tree_grower(1, 8), rng.normal(size=(700, 3))
+    forest = pd.concat([grow(pd.DataFrame({"tree": t, "h": rng.permutation(200), "x": list(rng.normal(size=(200, 3)))})) for t in range(9)])
+    want = np.zeros(len(x))
+    for _, tree in forest.groupby("tree"):
+        nodes = tree.set_index("node")
+        for i, row in enumerate(x):
+            at, depth = 0, 0
+            while nodes.at[at, "feature"] >= 0:
+                at = nodes.at[at, "left"] if row[nodes.at[at, "feature"]] <= nodes.at[at, "threshold"] else nodes.at[at, "right"]
+                depth += 1
+            want[i] += depth + float(O._unsuccessful(nodes.at[at, "size"]))
+    assert O.path_lengths(O.flat_forest(forest), x) == pytest.approx(want)
+
+
 def test_outliers(spark):
     rng = random.Random(3)
     rows = [(i, rng.gauss(0, 1), rng.gauss(0, 1)) for i in range(400)] + [(1000 + i, 40.0 + i, -40.0) for i in range(5)]
