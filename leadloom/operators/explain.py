@@ -7,13 +7,14 @@ al. 2018): together with the base value they add up to the margin of the row.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from math import factorial
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,55 +22,59 @@ from pyspark.sql import types as T
 from leadloom.functions import text as X
 from leadloom.operators.frames import quoted
 from leadloom.operators.modelling import trees_of
-from leadloom.session import spread, steps_dir
+from leadloom.session import materialise, spread, steps_dir
 
 #: Rows worked at once, and tests (rows x leaves x tests of a leaf) held at once.
 _ROWS = 2048
 _CELLS = 1 << 21
+#: Nodes of a model that the driver may read and broadcast.
+MOST_NODES = 100_000
+#: Trees of a block and rows of a bucket beyond that.
+BLOCK_TREES = 50
+BUCKET_ROWS = 20_000
 
 
-def leaf_rules(df: DataFrame, model) -> list[tuple[float, list[tuple]]]:
-    """Every leaf as (value, [(feature, test, share)]), read from the saved node table.
-
-    ``test`` is an interval (low, high] or a set of categories; ``share`` is the part of the
-    training weight that meets it. The list is bounded by the size of the model.
-    """
+def node_table(df: DataFrame, model) -> DataFrame:
+    """(tree, weight, id, value, cover, left, right, feature, split, categories) of all nodes of a model, from its saved tables."""
     spark = df.sparkSession
-    trees = trees_of(model)
     path = f"{steps_dir(spark)}/model-{uuid.uuid4().hex}"
-    trees.write().overwrite().save(path)
+    trees_of(model).write().overwrite().save(path)
     n = F.col("nodeData")
-    rows = spark.read.parquet(f"{path}/data").select(
-        "treeID",
-        n["id"].alias("id"),
-        n["prediction"].alias("value"),
-        n["impurityStats"][0].alias("cover"),
-        n["leftChild"].alias("left"),
-        n["rightChild"].alias("right"),
-        n["split"].alias("split"),
+    nodes = spark.read.parquet(f"{path}/data").select(
+        F.col("treeID").alias("tree"), n["id"].alias("id"), n["prediction"].alias("value"), n["impurityStats"][0].alias("cover"),
+        n["leftChild"].alias("left"), n["rightChild"].alias("right"), n["split"]["featureIndex"].alias("feature"),
+        n["split"]["leftCategoriesOrThreshold"].alias("split"), n["split"]["numCategories"].alias("categories"),
     )
+    weights = spark.read.parquet(f"{path}/treesMetadata").toDF("tree", "metadata", "weight").drop("metadata")  # saved by position
+    return nodes.join(weights, "tree")
+
+
+def leaf_rules(rows: Iterable) -> list[tuple[float, list[tuple]]]:
+    """Every leaf of some trees as (value, [(feature, test, share)]), from the rows of ``node_table``.
+
+    ``test`` is an interval (low, high] or a set of categories; ``share`` is the part of the
+    training weight that meets it.
+    """
     nodes: dict[int, dict] = {}
-    for r in rows.collect():
-        nodes.setdefault(r["treeID"], {})[r["id"]] = r
-    weights = trees.treeWeights
+    for r in rows:
+        nodes.setdefault(r["tree"], {})[r["id"]] = r
     leaves = []
-    for tree, table in nodes.items():
+    for _, table in sorted(nodes.items()):
         stack = [(0, {})]
         while stack:
             at, path_tests = stack.pop()
             node = table[at]
             if node["left"] < 0:
                 rule = [(f, test, share) for f, (test, share) in path_tests.items()]
-                leaves.append((weights[tree] * node["value"], rule))
+                leaves.append((node["weight"] * node["value"], rule))
                 continue
-            split = node["split"]
-            f, values = split["featureIndex"], split["leftCategoriesOrThreshold"]
+            f, values = int(node["feature"]), list(node["split"])
             for child, is_left in ((node["left"], True), (node["right"], False)):
                 share = table[child]["cover"] / node["cover"]
                 old_test, old_share = path_tests.get(f, (None, 1.0))
-                if split["numCategories"] >= 0:
+                if node["categories"] >= 0:
                     chosen = frozenset(values) if is_left else frozenset(
-                        c for c in map(float, range(split["numCategories"])) if c not in values
+                        c for c in map(float, range(int(node["categories"]))) if c not in values
                     )
                     test = chosen if old_test is None else old_test & chosen
                 else:
@@ -186,9 +191,18 @@ def _shares(n_features: int, model):
     return contribute
 
 
-def contributions(df: DataFrame, model, n_features: int, features: str = "features", out: str = "contributions") -> DataFrame:
-    """Add an array with one contribution per feature and the base value at its end."""
-    leaves = df.sparkSession.sparkContext.broadcast(packed_leaves(leaf_rules(df, model)))
+def contributions(
+    df: DataFrame, model, n_features: int, features: str = "features", out: str = "contributions", most_nodes: int = MOST_NODES
+) -> DataFrame:
+    """Add an array with one contribution per feature and the base value at its end.
+
+    A model of at most ``most_nodes`` nodes is read by the driver and broadcast; beyond it the tasks read blocks of trees
+    themselves and the blocks' contributions are added up (``contributions_by_block``).
+    """
+    nodes = node_table(df, model)
+    if nodes.count() > most_nodes:
+        return contributions_by_block(df, nodes, n_features, features, out)
+    leaves = df.sparkSession.sparkContext.broadcast(packed_leaves(leaf_rules(nodes.collect())))
     contribute = _shares(n_features, leaves)
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
@@ -202,6 +216,44 @@ def contributions(df: DataFrame, model, n_features: int, features: str = "featur
     return spread(df).withColumn(out, explain(vector_to_array(F.col(features))))
 
 
+class _Here:
+    """A value that stands where a broadcast is expected."""
+
+    def __init__(self, value):
+        self.value = value
+
+
+def contributions_by_block(
+    df: DataFrame, nodes: DataFrame, n_features: int, features: str = "features", out: str = "contributions",
+    trees: int = BLOCK_TREES, rows: int = BUCKET_ROWS,
+) -> DataFrame:
+    """``contributions`` for a model of any size, from its ``node_table``: no node reaches the driver.
+
+    Contributions of trees add up. Rows are dealt out to buckets of about ``rows`` rows and trees to blocks of ``trees``; a
+    task holds one bucket and one block, and a row's partial sums are added by an aggregation. ``df`` is stored once.
+    """
+    stored = materialise(df.withColumn("__row", F.monotonically_increasing_id()))
+    buckets = max(1, -(-stored.count() // rows))
+    last = nodes.agg(F.max("tree")).first()[0]
+    every_block = F.explode(F.sequence(F.lit(0), F.lit(last // trees))).alias("block")
+    bucket = F.pmod(F.xxhash64("__row"), F.lit(buckets)).cast("int").alias("bucket")
+    left = stored.select("__row", bucket, vector_to_array(F.col(features)).alias("x"), every_block)
+    every = F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("bucket")
+    right = nodes.select("*", F.floor(F.col("tree") / trees).cast("int").alias("block"), every)
+
+    def run(mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
+        if not len(mine):
+            return pd.DataFrame({"__row": pd.Series(dtype="int64"), "part": pd.Series(dtype=object)})
+        contribute = _shares(n_features, _Here(packed_leaves(leaf_rules(theirs.to_dict("records")))))
+        x = np.vstack(mine["x"].to_numpy())
+        parts = np.vstack([contribute(x[at : at + _ROWS]) for at in range(0, len(x), _ROWS)])
+        return pd.DataFrame({"__row": mine["__row"].to_numpy(), "part": list(parts)})
+
+    pairs = left.groupBy("bucket", "block").cogroup(right.groupBy("bucket", "block")).applyInPandas(run, "__row bigint, part array<double>")
+    sums = pairs.groupBy("__row").agg(Summarizer.sum(array_to_vector("part")).alias("__sum"))
+    return stored.join(sums, "__row").withColumn(out, vector_to_array("__sum")).drop("__row", "__sum")
+
+
 def contribution_rows(df: DataFrame, id_col: str, names: Sequence[str], values: str = "contributions") -> DataFrame:
     """(id, feature, contribution), one row per entity and feature."""
     pairs = F.arrays_zip(F.lit(list(names)).alias("feature"), F.slice(values, 1, len(names)).alias("contribution"))

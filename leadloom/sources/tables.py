@@ -153,6 +153,13 @@ def replace_files(df: DataFrame, kind: str, path: str, options: Mapping[str, str
         fs.delete(before, True)
 
 
+def _delete_folder_of(spark: SparkSession, table: str) -> None:
+    """What a failed write of a managed table leaves in the warehouse."""
+    state = spark._jsparkSession.sessionState()
+    folder = spark._jvm.org.apache.hadoop.fs.Path(state.catalog().defaultTablePath(state.sqlParser().parseTableIdentifier(table)))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def replace_catalog_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
     """``replace_files`` for a table of the catalog: a staged table is counted and takes over the name."""
     spark = df.sparkSession
@@ -173,6 +180,7 @@ def replace_catalog_table(df: DataFrame, table: str, partition_by: Sequence[str]
             raise
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {staged}")
+        _delete_folder_of(spark, staged)
     if existed:
         spark.sql(f"DROP TABLE IF EXISTS {before}")
 

@@ -57,7 +57,7 @@ def test_oof_scores_cover_every_row_once(spark, table):
 def test_contributions_equal_brute_force_shapley_values(spark, table):
     plan, df = table
     model = make().fit(df)
-    leaves = P.leaf_rules(df, model)
+    leaves = P.leaf_rules(P.node_table(df, model).collect())
 
     def expectation(x, known):
         total = 0.0
@@ -294,6 +294,20 @@ def test_additivity_with_deep_trees(spark, table):
     assert got.agg(F.max(F.abs(total - vector_to_array("rawPrediction")[1]))).first()[0] < 1e-9
 
 
+def test_contributions_by_blocks_equal_those_of_a_broadcast(spark, table):
+    """Trees in blocks and rows in buckets: the same contributions, and the nodes stay with the tasks."""
+    _, df = table
+    model = M.propensity_pipeline(maxIter=11, maxDepth=5, maxBins=40).fit(df)
+    whole = {r["id"]: r["contributions"] for r in P.contributions(df, model, 3).collect()}
+    nodes = P.node_table(df, model)
+    parts = P.contributions_by_block(df, nodes, 3, trees=4, rows=70)
+    assert parts.columns == [*df.columns, "contributions"]
+    got = {r["id"]: r["contributions"] for r in parts.collect()}
+    assert set(got) == set(whole) and all(got[i] == pytest.approx(whole[i], abs=1e-9) for i in whole)
+    forced = P.contributions(df, model, 3, most_nodes=10)
+    assert {r["id"]: r["contributions"] for r in forced.collect()} == {i: pytest.approx(v, abs=1e-9) for i, v in whole.items()}
+
+
 def test_a_rare_category_among_many_decides(spark):
     rows = spark.range(3000).select(
         "id", F.rand(4).alias("a"), F.concat(F.lit("v"), F.pmod(F.xxhash64("id"), F.lit(500))).alias("c")

@@ -1,3 +1,4 @@
+import os
 from datetime import datetime
 
 import pytest
@@ -119,6 +120,8 @@ def test_an_incomplete_copy_is_not_swapped_in(spark, tmp_path, monkeypatch):
 
 def test_catalog_tables_are_replaced_alike(spark):
     target, name = {"format": "catalog"}, "staged_orders"
+    folder = spark.conf.get("spark.sql.warehouse.dir").removeprefix("file:")
+    before = os.listdir(folder) if os.path.isdir(folder) else []
     try:
         T.write_table(spark.range(5).selectExpr("id"), target, name)
         T.write_table(spark.range(5).selectExpr("id"), target, name, mode="append")
@@ -129,5 +132,6 @@ def test_catalog_tables_are_replaced_alike(spark):
         T.write_table(spark.range(0).selectExpr("id"), target, name)
         assert spark.table(name).count() == 0
         assert [t.name for t in spark.catalog.listTables() if t.name.startswith(name)] == [name]
+        assert [f for f in os.listdir(folder) if f.startswith(name) and f not in before] in ([], [name])
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
