@@ -91,6 +91,23 @@ def embedding_clusters(spark, d):
     return found.join(placed, "NoteSegment").select("vec_id", F.col("NoteSegment").between(0, 2).alias("clustered"), "by_size")
 
 
+def batch_clusters(spark, d):
+    """Mini-batch clusters of the embeddings: as good as full k-means but for a tenth of the cost, the same on another layout."""
+    rows = B.table(spark, d, "embeddings").select("vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("v"))
+    rows = materialise(rows)
+    found = C.fit_clusters_in_batches(rows, "v", 3, batch=256, batches=15)
+    again = C.fit_clusters_in_batches(rows.repartition(7), "v", 3, batch=256, batches=15)
+    full = C.fit_clusters(rows, "v", 3, restarts=3)
+
+    def cost(clusters):
+        near = C.assign_nearest(rows.withColumn("x", vector_to_array("v")), "x", clusters.centroids(), distance="d")
+        return near.agg(F.sum(F.col("d") * F.col("d"))).first()[0]
+
+    close = cost(found) <= 1.1 * cost(full)
+    same = found.centroids() == again.centroids()
+    return found.assign(rows, "segment").select("vec_id", F.col("segment").between(0, 2).alias("clustered"), F.lit(close).alias("close"), F.lit(same).alias("same"))
+
+
 def outlier_flags(spark, d):
     """Flagged are exactly the customers whose score is above the interpolated 95 % quantile of the scores."""
     rows = materialise(O.outlier_flags(_customer_numbers(spark, d), "c_custkey", ["c_acctbal", "n_orders", "spent", "largest"]))
@@ -596,6 +613,7 @@ QUERIES = {
         """SELECT doc_id, CAST(1 AS BIGINT) AS n_scores, (row_number() OVER (PARTITION BY quality
         ORDER BY md5(concat_ws('|', doc_id, '42')), doc_id) - 1) % 5 AS fold, true AS consistent FROM labels""",
     ),
+    "batch_clusters": (batch_clusters, 'SELECT vec_id, true AS clustered, true AS "close", true AS same FROM embeddings'),
     "search_trials": (search_trials, "SELECT i AS number, true AS in_range, true AS by_state FROM range(4) t(i)"),
     "adaptive_search": (adaptive_search, "SELECT unnest(['same_again', 'later_better', 'halved', 'near_target']) AS property, true AS holds"),
     "ordered_target_statistics": (ordered_target_statistics, ORDERED_TARGET_SQL),

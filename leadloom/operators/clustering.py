@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
@@ -14,13 +15,16 @@ from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadloom.operators import notes as N
 from leadloom.operators.frames import quoted
 from leadloom.functions import text as X
-from leadloom.session import fits_at_once, materialise
+from leadloom.session import fits_at_once, materialise, steps_dir
+
+#: Rows of a mini-batch and the most batches of a fit.
+BATCH_ROWS, BATCHES = 1024, 60
 
 
 @dataclass(frozen=True)
@@ -74,6 +78,64 @@ def fit_clusters(
     return Clusters(best, {old: new for new, old in enumerate(order)})
 
 
+def _model_of(centres: np.ndarray) -> KMeansModel:
+    """Spark's own model with the given centres."""
+    jvm = SparkSession.active().sparkContext._jvm
+    vectors = jvm.java.util.ArrayList()
+    for c in centres:
+        vectors.add(jvm.org.apache.spark.mllib.linalg.Vectors.parse(f"[{','.join(map(repr, c.tolist()))}]"))
+    parent = jvm.org.apache.spark.mllib.clustering.KMeansModel(vectors)
+    return KMeansModel(jvm.org.apache.spark.ml.clustering.KMeansModel(f"KMeans_{uuid.uuid4().hex[:12]}", parent))
+
+
+def fit_clusters_in_batches(
+    df: DataFrame, features: str, k: int, seed: int = 42, batch: int = BATCH_ROWS, batches: int = BATCHES, weight: str | None = None, tolerance: float = 1e-4
+) -> Clusters:
+    """Sequential mini-batch k-means (Sculley 2010): the cost of a fit is that of ``batches`` batches, not of the table.
+
+    Batches of about ``batch`` rows are drawn by a hash of the vector, so neither the order nor the partitions of the
+    table matter. The first three give the starting centres (k-means on a bounded sample); then each batch moves every centre
+    towards the mean of its rows, by their share of all rows the centre has seen. It ends early when no centre has
+    moved by more than ``tolerance`` of the vectors' spread in five batches. A small table is gone through several times.
+    Cluster numbers follow (size in the whole table descending, first coordinate).
+    """
+    k = different_vectors(df, features, k)
+    total = df.count()
+    parts = max(1, total // batch)
+    h = F.xxhash64(F.unwrap_udt(features), F.lit(seed))
+    w = F.col(weight).cast("double") if weight else F.lit(1.0)
+    drawn = df.select(F.col(features).alias("x"), w.alias("w"), h.alias("h"), F.pmod(h, F.lit(parts)).cast("int").alias("b"))
+    path = f"{steps_dir(df.sparkSession)}/{uuid.uuid4().hex}"
+    drawn.filter(F.col("b") < batches).repartition("b").write.partitionBy("b").parquet(path)
+    stored = df.sparkSession.read.parquet(path)
+
+    def of(numbers: list[int]) -> DataFrame:
+        return stored.filter(F.col("b").isin(numbers)).coalesce(1).sortWithinPartitions("h")
+
+    start = KMeans(k=k, seed=seed, maxIter=5, featuresCol="x", weightCol="w", predictionCol="c").fit(of(list(range(min(3, parts)))))
+    centres = np.array(start.clusterCenters())
+    spread = of([0]).agg(Summarizer.metrics("variance").summary(F.col("x"), F.col("w")).alias("s")).first()["s"]["variance"].toArray().sum()
+    seen, still = np.zeros(len(centres)), 0
+    for step in range(batches):
+        placed = _model_of(centres).setFeaturesCol("x").setPredictionCol("c").transform(of([step % min(parts, batches)]))
+        moved = np.zeros(len(centres))
+        mean, size = Summarizer.mean(F.col("x"), F.col("w")).alias("m"), F.sum("w").alias("n")
+        for row in placed.groupBy("c").agg(mean, size).collect():  # k rows
+            c = row["c"]
+            seen[c] += row["n"]
+            shift = (row["m"].toArray() - centres[c]) * (row["n"] / seen[c])
+            centres[c] += shift
+            moved[c] = (shift * shift).sum()
+        still = still + 1 if moved.max() <= tolerance * tolerance * max(spread, 1e-300) else 0
+        if still >= 5:
+            break
+    best = _model_of(centres).setFeaturesCol(features).setPredictionCol("__cluster")
+    n = F.sum(weight) if weight else F.count("*")
+    sizes = {r["__cluster"]: r["n"] for r in best.transform(df).groupBy("__cluster").agg(n.alias("n")).collect()}
+    order = sorted(range(len(centres)), key=lambda i: (-sizes.get(i, 0), centres[i][0]))
+    return Clusters(best, {old: new for new, old in enumerate(order)})
+
+
 def _distinct(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Distinct rows with their number in ``__w``, in an order that does not depend on the input.
 
@@ -111,13 +173,15 @@ def segment_notes_by_text(
     min_notes: int = 10,
     embedding: str | None = None,
     lemmas: DataFrame | None = None,
+    batch: int | None = None,
     **term_options,
 ) -> DataFrame:
     """Cluster the notes of an event table; rows without a usable note get -1.
 
     With an ``embedding`` column (array of numbers) those vectors are clustered, otherwise
     TF-IDF weights of the cleaned notes (their lemmas, with a table of them). Nothing is clustered unless there are more than
-    ``min_notes`` notes. Each row keeps its own label.
+    ``min_notes`` notes. Each row keeps its own label. With ``batch`` the clusters are fitted in mini-batches of so many
+    different notes (see ``fit_clusters_in_batches``) instead of the whole table.
     """
     valid = X.has_text(note)
     if embedding:
@@ -139,7 +203,7 @@ def segment_notes_by_text(
     if embedding:
         if different_vectors(training, "__v", 2) < 2:
             return _one_segment(marked, out)
-        clusters = fit_clusters(training, "__v", k, seed, weight="__w")
+        clusters = fit_clusters(training, "__v", k, seed, weight="__w") if batch is None else fit_clusters_in_batches(training, "__v", k, seed, batch, weight="__w")
         # Rows without a vector must not reach the model: it rejects other dimensions.
         blank = F.array_repeat(F.lit(0.0), len(clusters.centroids()[0]))
         vectors = marked.withColumn("__v", array_to_vector(F.when(F.col("__ok"), numbers).otherwise(blank)))
@@ -149,7 +213,7 @@ def segment_notes_by_text(
         training = materialise(weights.transform(points).select("__v", "__w"))
         if different_vectors(training, "__v", 2) < 2:
             return _one_segment(cleaned.drop("__text"), out)
-        clusters = fit_clusters(training, "__v", k, seed, weight="__w")
+        clusters = fit_clusters(training, "__v", k, seed, weight="__w") if batch is None else fit_clusters_in_batches(training, "__v", k, seed, batch, weight="__w")
         vectors = weights.transform(cleaned.withColumn("__grams", N.grams("__text"))).drop(
             "__tf", "__tfidf", "__grams", "__text"
         )

@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 import pytest
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from leadloom.operators import clustering as C
@@ -197,6 +198,22 @@ def test_clusters_are_numbered_by_size(spark):
     assert flat["SegmentClass"] == 0 and flat["SegmentClass_0"] == 1
 
 
+def test_mini_batches_find_the_clusters_of_the_whole_table(spark):
+    rng = np.random.default_rng(4)
+    at = np.array([[0.0, 0.0, 5.0], [6.0, 0.0, 0.0], [0.0, 7.0, 0.0]])
+    rows = [(Vectors.dense(at[i % 3] + rng.normal(0, 0.5, 3)), float(1 + i % 2)) for i in range(6000)]
+    df = materialise(spark.createDataFrame(rows, ["v", "w"]))
+    full = C.fit_clusters(df, "v", 3, restarts=3, weight="w")
+    made = [C.fit_clusters_in_batches(x, "v", 3, batch=200, batches=25, weight="w") for x in (df, df.repartition(9), df)]
+    assert made[0].centroids() == made[1].centroids() == made[2].centroids()
+    nearest = [min(np.linalg.norm(np.array(c) - f) for f in np.array(full.centroids())) for c in made[0].centroids()]
+    assert max(nearest) < 0.15
+    sizes = {r["s"]: r["n"] for r in made[0].assign(df, "s").groupBy("s").agg(F.sum("w").alias("n")).collect()}
+    assert sizes[0] >= sizes[1] >= sizes[2] and sum(sizes.values()) == 9000.0
+    few = C.fit_clusters_in_batches(spark.createDataFrame([(Vectors.dense([1.0]),), (Vectors.dense([4.0]),)] * 3, ["v"]), "v", 3)
+    assert sorted(few.centroids()) == [[1.0], [4.0]]
+
+
 def test_notes_keep_their_own_segment(spark):
     themes = ["pricing offer discount budget", "travel visit airport hotel", "contract signature lawyer clause"]
     notes = [(i, themes[i % 3]) for i in range(30)] + [(30, None), (31, " "), (32, "the a")]
