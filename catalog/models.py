@@ -32,6 +32,8 @@ from leadloom.session import materialise, shared_dir, spread, steps_dir, trainin
 AS_OF = datetime(2001, 8, 2)
 #: All eight ranges of the search; only the number of trees is cut, because a fit at the full number takes minutes.
 QUICK_SPACE = {**M.SEARCH_SPACE, "maxIter": (4, 8, "int")}
+#: For the whole plans, which fit a dozen models each.
+PLAN_SPACE = {**M.SEARCH_SPACE, "maxIter": (2, 3, "int")}
 
 
 # --- segments and outliers -----------------------------------------------------------
@@ -459,7 +461,7 @@ FROM b LEFT JOIN m USING (contact_id) LEFT JOIN k USING (contact_id) LEFT JOIN m
 def lead_predictions(spark, d):
     """The whole lead plan: clustered notes, search, out-of-fold predictions."""
     features = materialise(_lead_features(spark, d, segmented=False))
-    found = lead.lead_scores(features, AS_OF, "contact_id", QUICK_SPACE, trials=2)
+    found = lead.lead_scores(features, AS_OF, "contact_id", PLAN_SPACE, trials=2)
     valid = F.col("probability").between(0.0, 1.0) & (F.col("y_pred") == (F.col("probability") > 0.5).cast("int"))
     return B.whole(found.predictions.select("contact_id", "y_true", valid.alias("valid"), "prediction_date"))
 
@@ -467,7 +469,7 @@ def lead_predictions(spark, d):
 def conversion_predictions(spark, d):
     """The whole conversion plan: clustered notes, search, in-sample and out-of-fold scores."""
     features = materialise(_conversion_features(spark, d, segmented=False))
-    found = conversion.conversion_scores(features, AS_OF, "contact_id", QUICK_SPACE, trials=2)
+    found = conversion.conversion_scores(features, AS_OF, "contact_id", PLAN_SPACE, trials=2)
     valid = F.col("probability").between(0.0, 1.0) & (F.col("y_pred") == (F.col("probability") > 0.5).cast("int"))
     held = F.col("oof_probability").isNull() | F.col("oof_probability").between(0.0, 1.0)
     return B.whole(

@@ -16,7 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadloom.operators.boosting import Boosting
+from leadloom.operators.boosting import Boosting, best_trees
 from leadloom.operators.encoding import fit_top_values
 from leadloom.operators.frames import quoted
 from leadloom.operators.search import BATCH, STARTUP, Trial, best_of, optimise
@@ -135,9 +135,14 @@ class PatientFit:
     params: Mapping
 
     def fit(self, df: DataFrame) -> PipelineModel:
+        most = self.params.get("maxIter", 20)
+        if most <= self.patience:  # patience can't run out: one fit of Spark's own, and its first trees
+            held = df.filter(F.col(self.eval_col))
+            model = propensity_pipeline(self.pos_weight, seed=self.seed, **self.params).fit(df.filter(~F.coalesce(F.col(self.eval_col), F.lit(False))))
+            return model if held.isEmpty() else first_trees(model, best_trees(held_out_losses(model, held), self.patience)[0])
         weigh = SQLTransformer(statement=weight_statement(self.pos_weight))
         grown = Boosting.begin(weigh.transform(df), self.params, F.col(self.eval_col), self.seed)
-        kept = grown.grow_until(self.params.get("maxIter", 20), self.patience)
+        kept = grown.grow_until(most, self.patience)
         return PipelineModel([weigh, grown.model(kept)])
 
 

@@ -124,14 +124,16 @@ def conversion_scores(
     Rows without a target are not trained on but do get a production score. The action list
     uses the out-of-fold score unless ``action_score`` says ``probability``; ``open_only``
     leaves out rows that are clients already. Categories enter with all their values, or with the
-    ``max_values`` most frequent; those with more than ``max_categories`` values enter as ordered target statistics
+    ``max_values`` most frequent; those with more than ``max_categories`` values (or a third of the labelled rows) enter as ordered target statistics
     (of the labelled rows, over all folds). ``explain_rows`` limits the contribution summary to a seeded sample.
     """
     spark = features.sparkSession
     barred = [key, *vocab.CONVERSION_NON_FEATURES]
     numeric = R.feature_columns(features, barred, "Target")
     texts = R.feature_columns(features, barred, "Target", kind="text")
-    wide = [] if max_values else T.wide_columns(features, texts, max_categories)
+    # a tree has no more bins than rows to learn from
+    learnt = features.filter(F.col("Target").isNotNull()).count()
+    wide = [] if max_values else T.wide_columns(features, texts, min(max_categories, learnt // 3))
     features = T.with_target_statistics(features, key, wide, "Target", seed=seed)
     numeric, texts = [*numeric, *[f"{c}_target" for c in wide]], [c for c in texts if c not in wide]
     plan = M.fit_features(features, numeric, texts, max_values)
@@ -140,6 +142,9 @@ def conversion_scores(
     labelled = table.filter(F.col("label").isNotNull())
 
     bins = {"maxBins": plan.bins}
+    if "maxBins" in space:  # every value keeps a bin of its own
+        low, high, scale = space["maxBins"]
+        space = {**space, "maxBins": (max(low, plan.bins), max(high, plan.bins), scale)}
     found = M.search(labelled, space, trials, "fold", 5, seed, parallelism, eval_col="is_eval", fixed=bins)
     oof, models = M.oof_scores(
         labelled,

@@ -22,7 +22,7 @@ def wide(spark):
 
 def test_lead_plan(spark, wide, tmp_path):
     features = materialise(Q._lead_features(spark, wide, segmented=False))
-    found = lead.lead_scores(features, Q.AS_OF, "contact_id", Q.QUICK_SPACE, trials=1)
+    found = lead.lead_scores(features, Q.AS_OF, "contact_id", Q.PLAN_SPACE, trials=1)
     n = features.count()
     assert found.predictions.count() == n == found.predictions.select("contact_id").distinct().count()
     listed = found.action_list.collect()
@@ -46,7 +46,7 @@ def test_lead_plan(spark, wide, tmp_path):
 def test_conversion_plan(spark, wide):
     features = materialise(Q._conversion_features(spark, wide, segmented=False))
     assert not [c for c in features.columns if c.startswith("__")]
-    found = conversion.conversion_scores(features, Q.AS_OF, "contact_id", Q.QUICK_SPACE, trials=1)
+    found = conversion.conversion_scores(features, Q.AS_OF, "contact_id", Q.PLAN_SPACE, trials=1)
     rows = found.predictions.collect()
     assert len(rows) == features.count()
     assert all((r["oof_probability"] is None) == (r["y_true"] is None) for r in rows)
@@ -95,7 +95,7 @@ def test_jobs_leave_tables_and_no_stored_steps(spark, wide, tmp_path):
     steps = Path(shared_dir(spark).removeprefix("file:")) / "leadloom"
     before = set(steps.glob("run-*"))
     tables = {"contacts": "people", "meetings": "met", "calls": "called"}
-    written = jobs.lead_job(spark, source, target, tables, Q.AS_OF, Q.LEAD, space=Q.QUICK_SPACE, trials=1)
+    written = jobs.lead_job(spark, source, target, tables, Q.AS_OF, Q.LEAD, space=Q.PLAN_SPACE, trials=1)
     params = {"maxIter": 3, "maxDepth": 3, "stepSize": 0.2, "pos_weight": 0.95}
     topped = jobs.topup_job(spark, source, target, {"clients": "clients"}, Q.AS_OF, "Explain.", restarts=1, params=params, trees=20)
     assert set(steps.glob("run-*")) == before
