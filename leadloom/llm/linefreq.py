@@ -22,12 +22,13 @@ MAX_SHARE = 0.25
 MIN_PAGES = 3
 
 #: Parts of a page without text, tags that end a line, and character references of common signs.
-#: What never ends goes to the end of the page (a head to the body's tag): each pattern finds the end it is given there behind
-#: ``MARK``, so that it isn't tried anew at each of its beginnings.
-MARK = "\x01"
+#: What never ends goes to the end of the page (a head to the body's tag): all ends are given there once, behind a mark, so that no
+#: pattern is tried anew at each of its beginnings.
+MARK = "\x01-->"
+ENDS = MARK + "</script></style></noscript></template></head>"
 HIDDEN = (
-    (r"(?is)<!--.*?-->", "-->"), *((rf"(?is)<{t}\b.*?</{t}\s*>", f"</{t}>") for t in ("script", "style", "noscript", "template")),
-    (r"(?is)<head\b.*?(?:</head\s*>|<body\b[^>]*>)", "</head>"),
+    r"(?is)<!--.*?-->", *(rf"(?is)<{t}\b.*?</{t}\s*>" for t in ("script", "style", "noscript", "template")),
+    r"(?is)<head\b.*?(?:</head\s*>|<body\b[^>]*>)",
 )
 TAGS = r"<[A-Za-z/!?][^>]*>"
 BREAKS = (
@@ -43,18 +44,14 @@ def host_of(url: Column | str) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, HOST, 1)), F.lit(""))
 
 
-def _replaced(text: Column, pattern: str, end: str, by: str) -> Column:
-    """``text`` without the pattern, which may end where the text does."""
-    mark = F.lit(MARK + end)
-    return F.replace(F.regexp_replace(F.concat(text, mark), pattern, by), mark, F.lit(""))
-
-
 def html_lines(html: Column | str) -> Column:
     """Lines of text of a page, white space collapsed, blank lines left out; none for a null page."""
     text = F.regexp_replace(F.coalesce(html, F.lit("")), r"[\x20\x09-\x0D]+", " ")
-    for pattern, end in HIDDEN:
-        text = _replaced(text, pattern, end, "\n")
-    text = _replaced(_replaced(text, BREAKS, ">", "\n"), TAGS, ">", "")
+    text = F.concat(text, F.lit(ENDS))
+    for pattern in HIDDEN:
+        text = F.regexp_replace(text, pattern, "\n")
+    text = F.regexp_replace(F.regexp_replace(text, BREAKS, "\n"), TAGS, "")
+    text = F.replace(text, F.lit(MARK), F.lit(""))
     for name, sign in SIGNS:
         text = F.replace(text, F.lit(name), F.lit(sign))
     text = F.regexp_replace(text, " +", " ")

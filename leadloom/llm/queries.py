@@ -44,9 +44,12 @@ def op6_site_lines(spark, d):
 
 def _lines_sql() -> str:
     text = r"regexp_replace(coalesce(html, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
-    for pattern, end, by in [*((p, e, "chr(10)") for p, e in linefreq.HIDDEN), (linefreq.BREAKS, ">", "chr(10)"), (linefreq.TAGS, ">", "''")]:
-        mark = f"concat(chr({ord(linefreq.MARK)}), '{end}')"
-        text = f"replace(regexp_replace(concat({text}, {mark}), '{pattern}', {by}, 'g'), {mark}, '')"
+    mark, ends = f"chr({ord(linefreq.MARK[0])})", linefreq.ENDS[1:]
+    text = f"concat({text}, {mark}, '{ends}')"
+    for pattern in linefreq.HIDDEN:
+        text = f"regexp_replace({text}, '{pattern}', chr(10), 'g')"
+    text = f"regexp_replace(regexp_replace({text}, '{linefreq.BREAKS}', chr(10), 'g'), '{linefreq.TAGS}', '', 'g')"
+    text = f"replace({text}, concat({mark}, '{linefreq.MARK[1:]}'), '')"
     for name, sign in linefreq.SIGNS:
         text = f"replace({text}, '{name}', '{sign.replace(chr(39), chr(39) * 2)}')"
     return f"list_filter(list_transform(string_split(regexp_replace({text}, ' +', ' ', 'g'), chr(10)), lambda x: trim(x)), lambda x: x <> '')"
