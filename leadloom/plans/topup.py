@@ -92,7 +92,8 @@ def topup_scores(
         plan.names,
         {f"{c}_encoded": c for c in vocab.TOPUP_CATEGORIES},
     ).select(key, "explain")
-    actions = R.left_attach(actions, explained, key, fill={"explain": ""})
+    # Spark takes a computed text for 20 bytes a row; explanations are far longer and must not be broadcast by that figure.
+    actions = R.left_attach(actions, explained.hint("merge"), key, fill={"explain": ""})
     summary = F.col("`Client Summary`") if "Client Summary" in actions.columns else F.lit("")
     actions = N.prompt_payload(
         actions,

@@ -68,6 +68,16 @@ def test_topup_plan(spark, wide):
     assert counts["n_rows"] == found.action_list.count() and counts["n_empty"] == 0
 
 
+def test_explanations_are_not_broadcast(spark, wide):
+    clients = Q._clients(spark, wide)
+    features = materialise(topup.topup_features(clients, Q.AS_OF, restarts=1))
+    found = topup.topup_scores(features, clients, "Explain.", params={"maxIter": 1, "maxDepth": 2, "pos_weight": 0.95}, trees=5)
+    joins = [x for x in found.action_list._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in x and "HubSpotId" in x]
+    assert joins and all("SortMergeJoin" in x for x in joins)
+    rows = found.action_list.select("HubSpotId", "rank", "explain").collect()
+    assert rows and all(r["explain"] for r in rows) and [r["rank"] for r in rows] == list(range(1, len(rows) + 1))
+
+
 def test_topup_rows_without_metadata_and_duplicate_metadata(spark):
     facts = topup.normalise_metadata(
         spark.createDataFrame([(1, "x"), (1, "y"), (None, "z")], "`Client ID` int, RM_Name string"), "HubSpotId", ["RM_Name", "absent"]
