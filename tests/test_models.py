@@ -267,6 +267,42 @@ def test_nearest_of_five_thousand_groups(spark, pass_bytes):
     assert {r["nearest"] for r in C.assign_nearest_of_many(rows, "v", table.limit(0), "g").collect()} == {None}
 
 
+@pytest.mark.parametrize("most_visits", [C.MOST_VISITS, 0])
+def test_nearest_in_cells_of_space(spark, monkeypatch, most_visits):
+    """Each row meets the centres of few cells, with the groups and distances of comparing all; rows with no near cells take the passes."""
+    monkeypatch.setattr(C, "CELL_CENTRES", 20)
+    monkeypatch.setattr(C, "CELL_ROWS", 150)
+    monkeypatch.setattr(C, "MOST_VISITS", most_visits)
+    rng = np.random.default_rng(3)
+    centres = np.round(np.vstack([rng.normal(size=(1500, 3)), rng.normal(size=(400, 3)) * 0.01 + 7, np.zeros((100, 3))]), 3)
+    points = np.vstack([np.round(rng.normal(size=(400, 3)) * 3, 1), centres[:50], np.full((400, 3), 7.0)])
+    names = rng.permutation(len(centres))
+    table = spark.createDataFrame(
+        [(f"g{n:04}", c.tolist()) for n, c in zip(names, centres)] + [(None, [0.0, 0.0, 0.0]), ("a", [math.nan, 0.0, 0.0]), ("b", None)], "g string, centre array<double>"
+    )
+    rows = spark.createDataFrame([(i, p.tolist(), "clash") for i, p in enumerate(points)] + [(9999, None, "clash")], "i int, v array<double>, d string")
+    got = {r["i"]: r for r in C.assign_nearest_of_many(rows, "v", table, "g", few=100).collect()}
+    far = ((points[:, None, :] - centres[None]) ** 2).sum(axis=2)
+    assert len(got) == len(points) + 1 and got[9999]["nearest"] is None and got[9999]["distance"] is None
+    for i in range(len(points)):
+        least = far[i].min()
+        assert got[i]["distance"] == pytest.approx(math.sqrt(least), abs=1e-12)
+        assert got[i]["nearest"] == min(f"g{n:04}" for n in names[far[i] == least])
+
+
+def test_cells_of_space_spare_most_comparisons():
+    rng = np.random.default_rng(4)
+    centres, points = rng.normal(size=(20_000, 3)), rng.normal(size=(500, 3))
+    cells = C.cut_space(centres[::10], 6)
+    place = cells.place(centres)
+    known = np.unique(place)
+    cells = cells.bounded(known, *(np.array([f(centres[place == c], axis=0) for c in known]) for f in (np.min, np.max)))
+    _, least = C.nearest_in_block(points, centres)
+    row, cell = cells.within(points, least)
+    assert {place[np.argmin(((centres - p) ** 2).sum(axis=1))] in cell[row == i] for i, p in enumerate(points)} == {True}
+    assert np.bincount(place)[cell].sum() < 0.06 * len(points) * len(centres)
+
+
 def test_path_lengths_equal_a_walk_down_each_tree():
     rng = np.random.default_rng(2)
     grow, x = O._tree_grower(1, 8), rng.normal(size=(700, 3))
