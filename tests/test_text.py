@@ -1,6 +1,8 @@
 import re
+import tracemalloc
 import unicodedata
 
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -189,3 +191,17 @@ def test_prompt_payload(spark):
     parsed = json.loads(body)
     assert parsed["max_tokens"] == 7
     assert [c["text"] for c in parsed["messages"][0]["content"]] == ["Do it.", "Summary: ", "P: 0.46"]
+
+
+def test_normal_forms_hold_few_texts_at_once():
+    """The peak beside Arrow's own memory does not grow with the texts of a batch."""
+    texts = pa.array([None, "", "ﬁne x²", "e\u0301 \u00a0\u2028"] + ["Grüße " * 2000] * 1000)
+    blanks = {0x2028: " "}
+    want = [None, "", "fine x2", "é   "]
+    assert X.normal_forms(texts, blanks).to_pylist()[:4] == want and X.normal_forms(texts, blanks, 3).to_pylist()[:4] == want
+    tracemalloc.start()
+    got = X.normal_forms(texts, blanks)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(got) == len(texts) and got[-1] == texts[-1]
+    assert peak < 4e6 and X.normal_forms(texts.slice(0, 0), blanks).to_pylist() == []
