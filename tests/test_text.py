@@ -205,3 +205,19 @@ def test_normal_forms_hold_few_texts_at_once():
     tracemalloc.stop()
     assert len(got) == len(texts) and got[-1] == texts[-1]
     assert peak < 4e6 and X.normal_forms(texts.slice(0, 0), blanks).to_pylist() == []
+
+
+def test_settled_characters_need_no_normal_form(spark):
+    """None is changed, reordered or the second of a composed pair; of texts with others every one is found."""
+    settled = re.compile("[" + re.sub(r"\\x\{(\w+)\}", lambda m: chr(int(m[1], 16)), X.SETTLED) + "]")
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    parts = [unicodedata.decomposition(c).split() for c in every]
+    seconds = {chr(int(p[1], 16)) for p in parts if len(p) == 2 and p[0][0] != "<"} | {chr(c) for c in (*range(0x1161, 0x1176), *range(0x11A8, 0x11C3), 0x85, 0x1680, 0x2028, 0x2029)}
+    loose = {c for c in every if unicodedata.normalize("NFKC", c) != c or unicodedata.combining(c)} | seconds
+    assert not [hex(ord(c)) for c in loose if settled.match(c) or c.isascii()]
+    rows = spark.createDataFrame([(i, f"a{c}") for i, c in enumerate(sorted(loose))], "i int, v string")
+    blanks = dict.fromkeys([0x85, 0x1680, 0x2028, 0x2029], " ")
+    got = {r["v"]: r["n"] for r in rows.select("v", X.nfkc("v").alias("n")).collect()}
+    assert got == {v: unicodedata.normalize("NFKC", v).translate(blanks) for v in got}
+    plan = rows.limit(0).select(X.nfkc("v"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "ASCII" in plan
