@@ -176,6 +176,33 @@ def test_terms_and_weights_agree_with_brute_force(spark, max_features):
             assert abs(r["features"][j] - want.get((r["id"], w), 0.0)) < 1e-12
 
 
+def test_words_and_pairs_are_counted_before_they_become_rows(spark):
+    """One row for each different term of a slice, however often it occurs; before, two for each occurrence."""
+    notes = spark.createDataFrame([("red blue " * 500,), ("red-red a blue",), (None,), ("",)], "t string").coalesce(1)
+    counted = {pairs: sorted(map(tuple, N._term_counts(notes, pairs).collect())) for pairs in (False, True)}
+    assert counted[False] == [("blue", 501, 2), ("red", 502, 2)]
+    assert counted[True] == [("blue red", 499, 1), ("red blue", 501, 2), ("red red", 1, 1)]
+    assert [tuple(r) for r in N._term_counts(notes, True, ["red"]).collect()] == [("red red", 1, 1)]
+    assert N._term_counts(notes, True, []).collect() == []
+
+
+def test_slices_are_bounded_and_lose_no_note():
+    texts = pa.array(["ab"] * 5 + [None, "x" * 50, "", "cd", None])
+    parts = [p.to_pylist() for p in N._slices(texts, 4)]
+    assert sum(parts, []) == texts.to_pylist() and ["x" * 50] in parts
+    assert all(len(p) <= 3 for p in parts) and list(N._slices(texts.slice(0, 0))) == []
+
+
+@pytest.mark.parametrize("max_features", [4, 9, 50])
+def test_many_words_join_the_pairs_to_the_same_terms(spark, max_features):
+    df = spark.createDataFrame(list(enumerate([*DOCS, None, "", "déjà vu - vu déjà", "déjà-vu a vu"])), "id int, t string")
+    few = N.fit_terms(df, "t", max_features=max_features, min_df=1)
+    assert N.fit_terms(df, "t", max_features=max_features, min_df=1, most_known=0) == few
+    model = N.tfidf_model(few, "g").transform(df.withColumn("g", F.coalesce(N.grams("t"), F.array().cast("array<string>"))))
+    for r in model.withColumn("v", N.tfidf_vectors("t", few)).collect():
+        assert r["v"] == r["features"] and r["v"].size == len(few.terms)
+
+
 def test_lemma_lookup_keeps_order_and_unknown_words(spark):
     df = spark.createDataFrame([(1, ["calls", "made", "calls"]), (2, [])], "id int, w array<string>")
     lemmas = spark.createDataFrame([("calls", "call"), ("calls", "call")], "form string, lemma string")
