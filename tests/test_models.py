@@ -434,3 +434,13 @@ def test_too_many_groups_are_an_error(spark):
     assert C.group_centroids(df, "g", "x") == [[0.0], [1.0], [2.0], [3.0], [4.0]]
     with pytest.raises(ValueError):
         C.group_centroids(df, "g", "x", max_groups=4)
+
+
+def test_notes_become_vectors_without_arrays_of_their_terms(spark):
+    """Pairs of words are numbers inside the tasks; before, every pair of every note was a string of the plan."""
+    notes = ["red blue call"] * 4 + ["green tree house"] * 3 + ["", None, "red blue call back"]
+    df = spark.createDataFrame(list(enumerate(notes)), "i int, t string")
+    found = C.segment_notes_by_text(df, "t", "s", k=2, min_notes=0, min_df=1)
+    assert "zip_with" not in found._jdf.queryExecution().optimizedPlan().toString()
+    got = [r["s"] for r in found.orderBy("i").collect()]
+    assert len(set(got[:4])) == len(set(got[4:7])) == 1 and got[7:9] == [-1, -1] and set(got) == {-1, 0, 1}
