@@ -1,6 +1,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from leadloom import session as S
 
@@ -65,3 +66,10 @@ def test_only_a_local_session_falls_back_to_a_folder_of_its_own(tmp_path, monkey
     assert S.shared_dir(local) == str(tmp_path) == S.shared_dir(local)
     with pytest.raises(ValueError):
         S.shared_dir(Session("spark://host:7077"))
+
+
+def test_training_rows_that_pack_well_are_not_left_to_one_core(spark):
+    flags = spark.range(0, 180_000, 1, 4).select((F.col("id") % 2).alias("label"))
+    table = S.training_table(flags)
+    assert table.rdd.getNumPartitions() == 4 and table.count() == 180_000
+    assert S.training_table(flags.limit(50_000)).rdd.getNumPartitions() == 1
