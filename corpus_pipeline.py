@@ -3,6 +3,9 @@
 Each stage takes (spark, docs, sf_dir) and works on all rows of ``docs``; what it returns is written as
 Parquet and read again as the next stage's ``docs``. All stages but the last return the columns of
 ``documents``; the mix returns a document as often as it takes it.
+
+The stages share their executors, and Python workers outlive a stage with all they remember, beside the heap of the
+executor. So texts reach them in small batches, and the encoder remembers fewer words than alone.
 """
 
 from __future__ import annotations
@@ -12,16 +15,23 @@ from pyspark.sql import DataFrame, SparkSession
 from leadloom.llm import decontam, mixing, quality, simhash, tokenstore
 from leadloom.llm.queries import tokenizer_path
 from leadloom.llm.tables import read
-from leadloom.session import materialise
+from leadloom.session import materialise, small_batches
+
+#: Documents that a Python worker gets at once.
+BATCH_ROWS = 500
+#: Words that the encoder of a worker remembers.
+ENCODER_WORDS = 250_000
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
+    small_batches(spark, BATCH_ROWS)
     return quality.kept_documents(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked SimHash fingerprints."""
+    small_batches(spark, BATCH_ROWS)
     return simhash.one_of_each(docs)
 
 
@@ -37,7 +47,8 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The layout of the token-id files of all documents."""
-    return tokenstore.stored_layout(docs, tokenizer_path())
+    small_batches(spark, BATCH_ROWS)
+    return tokenstore.stored_layout(docs, tokenizer_path(), words=ENCODER_WORDS)
 
 
 STAGES = [

@@ -42,6 +42,7 @@ SAMPLE_CHARS = 1 << 16
 FILE_BYTES = 64 << 20
 _LEVEL = 3
 _MAGIC = b"LTID\x01"
+#: Words a worker remembers where the caller names no number; each takes about 130 bytes.
 _CACHE = 900_000
 _SHORT = 9
 _JOINT = 100
@@ -60,9 +61,13 @@ _WHOLE = re.compile(r"\s\s|<\|")
 
 
 class Encoder:
-    """Ids of texts as little-endian unsigned numbers of ``width`` bytes, with a bounded memory of words."""
+    """Ids of texts as little-endian unsigned numbers of ``width`` bytes, with a bounded memory of words.
 
-    def __init__(self, path: str):
+    About ``words`` different words are remembered (and those of one block of texts beyond); fewer cost time, not results.
+    """
+
+    def __init__(self, path: str, words: int | None = None):
+        self._most = words or _CACHE
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         gc.set_threshold(100_000, 20, 100)  # the memory of words holds no cycles; walking it costs a fifth of the time
         from tokenizers import Tokenizer
@@ -118,15 +123,15 @@ class Encoder:
         """Make room: the older half goes, except for short words, which come again."""
         late = len(self._known) // 2
         kept = {w: ids for i, (w, ids) in enumerate(self._known.items()) if i >= late or len(w) <= _SHORT}
-        self._known = kept if len(kept) < _CACHE * 3 // 4 else {}
+        self._known = kept if len(kept) < self._most * 3 // 4 else {}
 
     def encode(self, texts: Sequence[str | None]) -> Iterator[bytes]:
         for at in range(0, len(texts), 256):
             block = [t if isinstance(t, str) else "" for t in texts[at : at + 256]]
             cut = [None if not t or not self._apart or _WHOLE.search(t) else t.replace("\n", " \n").split(" ") for t in block]
-            if len(self._known) > _CACHE:
+            if len(self._known) > self._most:
                 self._forget()
-            if len(self._first) > _CACHE // 8:
+            if len(self._first) > self._most // 8:
                 self._first = {}
             known, first = self._known, self._first
             fresh = list({words[0] for words in cut if words and words[0] not in first})
@@ -150,21 +155,21 @@ class Encoder:
                     yield self._ids(text).tobytes()
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, int | None], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, words: int | None = None) -> Encoder:
     """The encoder of this worker process."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    if (path, words) not in _ENCODERS:
+        _ENCODERS[path, words] = Encoder(path, words)
+    return _ENCODERS[path, words]
 
 
 def _wide(data: bytes, width: int) -> bytes:
     return data if width == 4 else np.frombuffer(data, dtype="<u2").astype("<u4").tobytes()
 
 
-def train_dictionary(docs: DataFrame, tokenizer: str, text: str = "text", rows: int = SAMPLE_ROWS, size: int = DICTIONARY_BYTES) -> bytes:
+def train_dictionary(docs: DataFrame, tokenizer: str, text: str = "text", rows: int = SAMPLE_ROWS, size: int = DICTIONARY_BYTES, words: int | None = None) -> bytes:
     """A dictionary for id arrays; empty where the sample is too small to train one.
 
     The sample is drawn from all partitions at a rate that gives about ``rows`` documents.
@@ -174,7 +179,7 @@ def train_dictionary(docs: DataFrame, tokenizer: str, text: str = "text", rows:
         return b""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        code = encoder(tokenizer)
+        code = encoder(tokenizer, words)
         for batch in batches:
             yield pd.DataFrame({"ids": list(code.encode(list(batch["text"])))})
 
@@ -187,20 +192,20 @@ def train_dictionary(docs: DataFrame, tokenizer: str, text: str = "text", rows:
         return b""
 
 
-def write_store(docs: DataFrame, path: str, tokenizer: str, text: str = "text", end_id: int = END_ID) -> None:
+def write_store(docs: DataFrame, path: str, tokenizer: str, text: str = "text", end_id: int = END_ID, words: int | None = None) -> None:
     """Write ``docs`` (doc_id, text) under ``path``: ids/ holds the files, dictionary/ the dictionary.
 
     Documents are dealt out by ranges of doc_id (null last; rows of one id by the hash of their text) and
     encoded where they land, so the shuffle moves texts, not ids. A null text is empty and holds
-    the end id alone; repeated rows are stored each; an empty table makes no files.
+    the end id alone; repeated rows are stored each; an empty table makes no files. A worker remembers ``words`` words.
     """
     spark = docs.sparkSession
     rows = docs.select("doc_id", F.col(text).alias("text"))
-    trained = train_dictionary(rows, tokenizer)
+    trained = train_dictionary(rows, tokenizer, words=words)
     spark.createDataFrame([(hashlib.sha256(trained).digest(), trained)], "hash binary, data binary").write.parquet(f"{path}/dictionary")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        code = encoder(tokenizer)
+        code = encoder(tokenizer, words)
         packer = zstandard.ZstdCompressor(level=_LEVEL, dict_data=zstandard.ZstdCompressionDict(trained) if trained else None)
         end = end_id.to_bytes(code.width, "little")
         at, index = 0, []
@@ -314,9 +319,9 @@ def read_layout(spark: SparkSession, path: str) -> DataFrame:
     return rows.join(sums, same(rows, sums, ["file"])).select("doc_id", (F.col("before") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")
 
 
-def stored_layout(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
+def stored_layout(docs: DataFrame, tokenizer: str, end_id: int = END_ID, words: int | None = None) -> DataFrame:
     """Write the documents to a new folder and read them back: one row for each input row."""
     spark = docs.sparkSession
     path = new_folder(spark, "ids")
-    write_store(docs, path, tokenizer, end_id=end_id)
+    write_store(docs, path, tokenizer, end_id=end_id, words=words)
     return read_layout(spark, path)

@@ -43,6 +43,15 @@ def test_encoder_forgets_and_learns_again(library, monkeypatch):
         assert np.frombuffer(got, dtype=f"<u{code.width}").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_encoder_of_few_words(library):
+    """The number of words that a caller names bounds the memory of a worker, not the ids."""
+    texts = [" ".join(f"word{i}x{k}" for i in range(40)) for k in range(2000)]
+    code = tokenstore.Encoder(queries.tokenizer_path(), words=3000)
+    for text, got in zip(texts, code.encode(texts), strict=True):
+        assert np.frombuffer(got, dtype=f"<u{code.width}").tolist() == library.encode(text, add_special_tokens=False).ids
+        assert len(code._known) <= 3000 + 256 * 40
+
+
 def test_encoder_on_drawn_words(library):
     """Letters of many scripts, digits and marks in every order, so that each way of learning a word is taken."""
     drawn = random.Random(4)

@@ -382,3 +382,23 @@ def test_most_of_an_article_is_never_cut():
 )
 def test_layout_words_do_not_condemn_the_article(source, want):
     assert text_of(source) == want
+
+
+def test_pipeline_hands_python_few_texts_at_once(spark, monkeypatch):
+    """Each stage that runs Python, called alone; the encoder of the last remembers as many words as the pipeline says."""
+    import corpus_pipeline as pipeline
+    from leadloom.llm import tokenstore
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, asked = spark.conf.get(key), []
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    write = tokenstore.write_store
+    monkeypatch.setattr(tokenstore, "write_store", lambda *a, **b: asked.append(b.get("words")) or write(*a, **b))
+    try:
+        for stage in (pipeline.quality_rules, pipeline.near_duplicates, pipeline.token_files):
+            spark.conf.set(key, "10000")
+            stage(spark, docs, SF)
+            assert int(spark.conf.get(key)) == pipeline.BATCH_ROWS
+    finally:
+        spark.conf.set(key, before)
+    assert asked == [pipeline.ENCODER_WORDS] and pipeline.ENCODER_WORDS < tokenstore._CACHE

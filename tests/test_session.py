@@ -73,3 +73,22 @@ def test_training_rows_that_pack_well_are_not_left_to_one_core(spark):
     table = S.training_table(flags)
     assert table.rdd.getNumPartitions() == 4 and table.count() == 180_000
     assert S.training_table(flags.limit(50_000)).rdd.getNumPartitions() == 1
+
+
+def test_small_batches_bound_what_python_gets_at_once(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+
+    def sizes(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+    try:
+        for given, want in (("10000", 500), ("0", 500), ("200", 200)):
+            spark.conf.set(key, given)
+            S.small_batches(spark, 500)
+            assert spark.range(0, 1200, 1, 1).mapInArrow(sizes, "n bigint").agg(F.max("n"), F.sum("n")).first() == (want, 1200)
+    finally:
+        spark.conf.set(key, before)
